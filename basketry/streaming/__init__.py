@@ -1,0 +1 @@
+"""Empty: the analytics covered here have no streaming part; every operator takes a batch DataFrame."""
