@@ -63,8 +63,10 @@ def item_counts(tx: Transactions) -> DataFrame:
     )
 
 
-def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int]:
-    """``id, item, count`` with ids 0, 1, 2… by count descending, then item; and the number of items.
+def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int, int]:
+    """``id, item, count`` with ids 0, 1, 2… by count descending, then item.
+
+    Also the number of items and the sum of their counts.
 
     Ranked without a one-task window: rows are range partitioned, numbered inside their partition, and
     shifted by the sizes of the earlier partitions. Only those sizes, one per partition, are collected.
@@ -81,12 +83,17 @@ def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int]:
             F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("position"),
         )
     )
-    sizes = {r["part"]: r["size"] for r in numbered.groupBy("part").agg(F.count("*").alias("size")).collect()}
+    parts = (
+        numbered.groupBy("part")
+        .agg(F.count(F.lit(1)).alias("size"), F.sum("count").alias("entries"))
+        .collect()
+    )
+    sizes = {row["part"]: row["size"] for row in parts}
     by_part = [sizes.get(p, 0) for p in range(max(sizes, default=0) + 1)]
     shifts = [0, *accumulate(by_part)][: len(by_part)]
     shift = F.expr(f"element_at(array({', '.join(map(str, shifts))}), part + 1)")
     dictionary = numbered.select((F.col("position") + shift).cast("int").alias("id"), "item", "count")
-    return dictionary, sum(by_part)
+    return dictionary, sum(by_part), sum(row["entries"] for row in parts)
 
 
 @dataclass(frozen=True)
@@ -121,11 +128,23 @@ def decode_itemsets(encoded: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
+# Entries of the trimmed matrix per task. Counting is bound by CPU, not bytes, so tasks are sized by the
+# number of entries, known exactly from the dictionary, and small inputs still use every core.
+ENTRIES_PER_TASK = 20_000_000
+SMALLEST_TASK = 50_000
+
+
+def _counting_tasks(entries: int, cores: int) -> int:
+    return max(-(-entries // ENTRIES_PER_TASK), min(cores, -(-entries // SMALLEST_TASK)), 1)
+
+
 def encode_baskets(tx: Transactions, min_count: int) -> EncodedBaskets:
     counts = tx.presence.groupBy("item").agg(F.count(F.lit(1)).alias("count"))
-    dictionary, n_items = item_dictionary(counts.filter(F.col("count") >= min_count))
+    dictionary, n_items, entries = item_dictionary(counts.filter(F.col("count") >= min_count))
+    tasks = _counting_tasks(entries, tx.presence.sparkSession.sparkContext.defaultParallelism)
     baskets = materialize(
         encode_items(tx.presence, dictionary)
+        .repartition(tasks, "basket_id")
         .groupBy("basket_id")
         .agg(F.array_sort(F.collect_list("id")).alias("items"))
         .select("items", F.size("items").alias("n_basket_items"))

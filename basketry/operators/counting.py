@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -37,35 +38,49 @@ def count_pairs(encoded: EncodedBaskets) -> DataFrame:
     return _total(_scan(encoded, 2, pair_counter(encoded.n_items)), 2)
 
 
-def _ship(candidates: DataFrame, k: int):
+def _collect_sets(candidates: DataFrame, k: int) -> np.ndarray:
     table = candidates.select(*positions(k)).toArrow()
-    sets = np.column_stack([table.column(c).to_numpy() for c in positions(k)]).astype(np.int32)
-    return candidates.sparkSession.sparkContext.broadcast(sets)
+    return np.column_stack([table.column(c).to_numpy() for c in positions(k)]).astype(np.int32)
+
+
+@dataclass(frozen=True)
+class Counted:
+    """``table``: ``i1..ik, count``, written, ``n_rows`` of them; counted out of ``n_candidates``."""
+
+    table: DataFrame | None
+    n_rows: int
+    n_candidates: int
 
 
 def count_candidates(
-    encoded: EncodedBaskets, candidates: DataFrame, k: int, n_candidates: int, min_count: int = 1
-) -> tuple[DataFrame, int]:
-    """Written table ``i1..ik, count`` of the candidates occurring ``min_count`` times, and its size.
+    encoded: EncodedBaskets, candidates: DataFrame, k: int, at_most: int, min_count: int = 1
+) -> Counted:
+    """Count any set of candidates and keep those that occur ``min_count`` times.
 
-    Any set of candidates will do. ``n_candidates`` is their true number or an upper bound of it.
+    ``at_most`` is an upper bound of their number. Where it exceeds what may be shipped, the candidates
+    are written first and their true number decides in how many shares they go out.
     """
-    if n_candidates <= SHIPPED_CANDIDATES:
-        shares = [candidates]
-    else:
-        # aim at half the bound: hashed shares of millions differ by far less than that
-        n_shares = -(-2 * n_candidates // SHIPPED_CANDIDATES)
-        share = F.pmod(F.xxhash64(*positions(k)), F.lit(n_shares))
-        shares = [candidates.filter(share == s) for s in range(n_shares)]
-    tables, rows = [], 0
+    shares = [candidates]
+    if at_most > SHIPPED_CANDIDATES:
+        candidates, at_most = materialize_counted(candidates)
+        if at_most > SHIPPED_CANDIDATES:
+            # aim at half the bound: hashed shares of millions differ by far less than that
+            n_shares = -(-2 * at_most // SHIPPED_CANDIDATES)
+            share = F.pmod(F.xxhash64(*positions(k)), F.lit(n_shares))
+            shares = [candidates.filter(share == s) for s in range(n_shares)]
+    tables, n_rows, n_candidates = [], 0, 0
     for part in shares:
-        shipped = _ship(part, k)
+        sets = _collect_sets(part, k)
+        if not len(sets):
+            continue
+        n_candidates += len(sets)
+        shipped = candidates.sparkSession.sparkContext.broadcast(sets)
         counts = _total(_scan(encoded, k, candidate_counter(shipped, encoded.n_items, k)), k)
         table, size = frequent(counts, min_count)
         shipped.destroy()  # one share at a time, on the driver and on the workers
         tables.append(table)
-        rows += size
-    return reduce(DataFrame.unionByName, tables), rows
+        n_rows += size
+    return Counted(reduce(DataFrame.unionByName, tables) if tables else None, n_rows, n_candidates)
 
 
 def frequent(counts: DataFrame, min_count: int) -> tuple[DataFrame, int]:

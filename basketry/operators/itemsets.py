@@ -22,13 +22,8 @@ from basketry.operators.candidates import (
     positions,
     prefix_candidates,
 )
-from basketry.operators.counting import (
-    SHIPPED_CANDIDATES,
-    count_candidates,
-    count_pairs,
-    frequent,
-)
-from basketry.session import materialize, materialize_counted
+from basketry.operators.counting import count_candidates, count_pairs, frequent
+from basketry.session import materialize
 
 DEFAULT_MAX_K = 10  # fixed value: the published default depth
 
@@ -78,12 +73,15 @@ def mine_levels(
             tried[k] = encoded.n_items * (encoded.n_items - 1) // 2
             found, n_frequent = frequent(count_pairs(encoded), encoded.min_count)
         else:
-            candidates, tried[k] = materialize_counted(prefix_candidates(levels[k - 1], k))
-            if not tried[k]:
-                return levels, tried
-            found, n_frequent = count_candidates(
-                encoded, candidates, k, tried[k], encoded.min_count
+            # each candidate is a frequent set of the level below plus one item
+            counted = count_candidates(
+                encoded,
+                prefix_candidates(levels[k - 1], k),
+                k,
+                at_most=n_frequent * encoded.n_items,
+                min_count=encoded.min_count,
             )
+            tried[k], found, n_frequent = counted.n_candidates, counted.table, counted.n_rows
         if not n_frequent:
             return levels, tried
         levels[k] = found
@@ -193,8 +191,12 @@ def pair_level(encoded: EncodedBaskets) -> tuple[DataFrame, DataFrame]:
 
 def triple_level(encoded: EncodedBaskets, level2: DataFrame) -> DataFrame:
     """C3 from overlapping frequent pairs."""
-    candidates, n_candidates = materialize_counted(overlap_candidates(level2))
-    counts, _ = count_candidates(encoded, candidates, 3, n_candidates)
+    candidates = overlap_candidates(level2)
+    n = encoded.n_items
+    counted = count_candidates(encoded, candidates, 3, at_most=n * (n - 1) * (n - 2) // 6)
+    counts = counted.table
+    if counts is None:
+        counts = candidates.withColumn("count", F.lit(0).cast("long"))
     return candidate_level(encoded, candidates, counts, 3)
 
 
