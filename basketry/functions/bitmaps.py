@@ -18,7 +18,16 @@ import pyarrow as pa
 BatchFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def _bit_rows() -> Callable:
+def _helpers() -> tuple[Callable, Callable]:
+    largest = 1 << 26  # bytes of bit rows held at once
+
+    def blocks(batches, n_items):
+        """The item lists, cut where a batch of very many items would need too much memory."""
+        rows = max(64, largest * 8 // max(n_items, 1))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                yield batch.column(0).slice(lo, rows)
+
     def bit_rows(lists, n_items):
         """(n_items, words) uint64 bits, one column bit per basket."""
         values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -30,7 +39,7 @@ def _bit_rows() -> Callable:
         np.add.at(bits, values * width + (basket >> 3), (1 << (basket & 7)).astype(np.uint8))
         return bits.reshape(n_items, width).view(np.uint64)
 
-    return bit_rows
+    return blocks, bit_rows
 
 
 def pair_counter(n_items: int) -> BatchFunction:
@@ -39,9 +48,9 @@ def pair_counter(n_items: int) -> BatchFunction:
     Two exact ways, chosen per batch by cost. Dense: AND bit rows, work grows with the square of the
     items. Sparse: look at the item lists themselves, work grows with the square of the basket lengths.
     """
-    bit_rows = _bit_rows()
+    blocks, bit_rows = _helpers()
     step = 2_000_000  # pairs held at once on the sparse way
-    sparse_weight = 16  # one listed pair costs about as much as this many 64-basket words
+    sparse_weight = 24  # measured: one listed pair costs as much as this many 64-basket words
 
     def batch_of(i1, i2, n):
         return pa.RecordBatch.from_arrays(
@@ -57,7 +66,7 @@ def pair_counter(n_items: int) -> BatchFunction:
                 hit = np.flatnonzero(n)
                 yield np.full(len(hit), i), hit + i + 1, n[hit]
 
-    def sparse(lists, after, lengths):
+    def sparse(lists, after):
         values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         total = np.cumsum(after)
         lo = 0
@@ -74,16 +83,13 @@ def pair_counter(n_items: int) -> BatchFunction:
             lo = hi
 
     def count(batches):
-        for batch in batches:
-            lists = batch.column(0)
-            if len(lists) == 0:
-                continue
+        for lists in blocks(batches, n_items):
             lengths = np.diff(lists.offsets.to_numpy())
             # later items of the same basket, for each entry of the flattened lists
             after = np.repeat(np.cumsum(lengths), lengths) - np.arange(lengths.sum()) - 1
             dense_words = n_items * n_items / 2 * -(-len(lengths) // 64)
             if after.sum() * sparse_weight < dense_words:
-                parts = sparse(lists, after, lengths)
+                parts = sparse(lists, after)
             else:
                 parts = dense(lists)
             held, rows = [], 0
@@ -104,14 +110,11 @@ def candidate_counter(candidates, n_items: int, k: int) -> BatchFunction:
 
     Yields ``i1..ik, n`` for the sets seen in a batch.
     """
-    bit_rows = _bit_rows()
+    blocks, bit_rows = _helpers()
 
     def count(batches):
         sets = candidates.value
-        for batch in batches:
-            lists = batch.column(0)
-            if len(lists) == 0:
-                continue
+        for lists in blocks(batches, n_items):
             bits = bit_rows(lists, n_items)
             step = max(1, (1 << 17) // bits.shape[1])  # about 1 MB of bit rows at a time
             hits, counts = [], []

@@ -8,7 +8,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.session import materialize
+from basketry.session import discard, materialize, materialize_observed
 
 
 def presence(lines: DataFrame) -> DataFrame:
@@ -48,6 +48,10 @@ class Transactions:
     presence: DataFrame
     n: int
 
+    def release(self) -> None:
+        """Delete the written rows once no more results are wanted from them."""
+        discard(self.presence)
+
 
 def transactions(lines: DataFrame) -> Transactions:
     pairs = materialize(presence(lines))
@@ -66,13 +70,12 @@ def item_counts(tx: Transactions) -> DataFrame:
 def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int, int]:
     """``id, item, count`` with ids 0, 1, 2… by count descending, then item.
 
-    Also the number of items and the sum of their counts.
-
-    Ranked without a one-task window: rows are range partitioned, numbered inside their partition, and
-    shifted by the sizes of the earlier partitions. Only those sizes, one per partition, are collected.
+    Also the number of items and the sum of their counts. Ranked without a one-task window: rows are range
+    partitioned, numbered inside their partition, and shifted by the sizes of the earlier partitions. Only
+    those sizes, one per partition, are collected.
     """
     order = [F.desc("count"), F.asc("item")]
-    numbered = materialize(
+    numbered, seen = materialize_observed(
         counts.select("item", "count")
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -81,19 +84,19 @@ def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int, int]:
             "count",
             F.spark_partition_id().alias("part"),
             F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("position"),
-        )
-    )
-    parts = (
-        numbered.groupBy("part")
-        .agg(F.count(F.lit(1)).alias("size"), F.sum("count").alias("entries"))
-        .collect()
+        ),
+        F.count(F.lit(1)).alias("items"),
+        F.sum("count").alias("entries"),
+        F.max("part").alias("last_part"),
     )
-    sizes = {row["part"]: row["size"] for row in parts}
-    by_part = [sizes.get(p, 0) for p in range(max(sizes, default=0) + 1)]
-    shifts = [0, *accumulate(by_part)][: len(by_part)]
-    shift = F.expr(f"element_at(array({', '.join(map(str, shifts))}), part + 1)")
-    dictionary = numbered.select((F.col("position") + shift).cast("int").alias("id"), "item", "count")
-    return dictionary, sum(by_part), sum(row["entries"] for row in parts)
+    rank = F.col("position")
+    if seen["last_part"]:
+        sizes = dict(numbered.groupBy("part").count().collect())
+        by_part = [sizes.get(part, 0) for part in range(seen["last_part"])]
+        shifts = ", ".join(map(str, accumulate(by_part, initial=0)))
+        rank = rank + F.expr(f"element_at(array({shifts}), part + 1)")
+    dictionary = numbered.select(rank.cast("int").alias("id"), "item", "count")
+    return dictionary, int(seen["items"]), int(seen["entries"] or 0)
 
 
 @dataclass(frozen=True)

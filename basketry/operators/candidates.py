@@ -22,25 +22,28 @@ def pair_candidates(dictionary: DataFrame, n_items: int) -> DataFrame:
     )
 
 
-def prefix_candidates(level: DataFrame, k: int) -> DataFrame:
-    """Join two (k-1)-sets that agree on all but the last item, then prune.
+def join_candidates(level: DataFrame, k: int) -> DataFrame:
+    """Join two (k-1)-sets that differ in one item only, then prune (k ≥ 3).
 
-    A candidate survives when all its (k-1)-subsets are frequent. The two it was built from are, so
-    one semi join remains for each position of the shared prefix.
+    The classic join shares all items but the last in the chosen item order. Ids run from the most to
+    the least frequent item, so here the sets share all but the *first* id: groups form around rare items
+    and stay small, where a join on best sellers would put most of the work under a few keys. Each
+    candidate still arises exactly once.
+
+    A candidate survives when all its (k-1)-subsets are frequent. The two it was built from are, so one
+    semi join remains for each shared position.
     """
-    prefix = positions(k - 2)
-    last = f"i{k - 1}"
-    left = level.select(*prefix, F.col(last).alias("a"))
-    right = level.select(*prefix, F.col(last).alias("b"))
-    joined = left.join(right, prefix) if prefix else left.join(right, F.col("a") < F.col("b"))
-    candidates = joined.filter(F.col("a") < F.col("b")).select(
-        *prefix, F.col("a").alias(last), F.col("b").alias(f"i{k}")
-    )
+    shared = positions(k)[2:]
     known = level.select(*positions(k - 1))
-    for dropped in prefix:
+    candidates = (
+        known.toDF("i1", *shared)
+        .join(known.toDF("i2", *shared), shared)
+        .filter(F.col("i1") < F.col("i2"))
+        .select(*positions(k))
+    )
+    for dropped in shared:
         kept = [c for c in positions(k) if c != dropped]
-        subset = known.toDF(*kept)
-        candidates = candidates.join(subset, kept, "left_semi")
+        candidates = candidates.join(known.toDF(*kept), kept, "left_semi")
     return candidates.select(*positions(k))
 
 

@@ -20,10 +20,10 @@ from basketry.operators.candidates import (
     overlap_candidates,
     pair_candidates,
     positions,
-    prefix_candidates,
+    join_candidates,
 )
 from basketry.operators.counting import count_candidates, count_pairs, frequent
-from basketry.session import materialize
+from basketry.session import discard, materialize
 
 DEFAULT_MAX_K = 10  # fixed value: the published default depth
 
@@ -76,7 +76,7 @@ def mine_levels(
             # each candidate is a frequent set of the level below plus one item
             counted = count_candidates(
                 encoded,
-                prefix_candidates(levels[k - 1], k),
+                join_candidates(levels[k - 1], k),
                 k,
                 at_most=n_frequent * encoded.n_items,
                 min_count=encoded.min_count,
@@ -98,6 +98,8 @@ def mine_itemsets(
     levels, tried = mine_levels(encoded, max_k)
     tall = reduce(DataFrame.unionByName, [_as_list(df, k) for k, df in levels.items()])
     itemsets = materialize(_finish(decode_itemsets(tall, encoded.dictionary), tx.n))
+    # the result stands on its own now; the encoded copies, by far the largest tables, can go
+    discard(encoded.baskets, *(df for k, df in levels.items() if k > 1))
     return MiningResult(itemsets, tried, tx.n, min_count)
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -59,8 +59,24 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """:func:`materialize` plus the number of rows, observed during the same write."""
+def materialize_observed(df: DataFrame, *aggregates: Column) -> tuple[DataFrame, dict]:
+    """:func:`materialize` plus named aggregates of the rows, observed during the same write."""
     seen = Observation()
-    table = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return table, int(seen.get["rows"])
+    table = materialize(df.observe(seen, *aggregates))
+    return table, seen.get
+
+
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """:func:`materialize` plus the number of rows."""
+    table, seen = materialize_observed(df, F.count(F.lit(1)).alias("rows"))
+    return table, int(seen["rows"])
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again; files from elsewhere are left alone."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        own = f"/basketry/{context.applicationId}/"
+        for folder in {path.rsplit("/", 1)[0] for path in table.inputFiles() if own in path}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -108,13 +108,13 @@ def test_item_text_with_the_separator_inside(spark):
     assert as_dict(mined) == brute.frequent(lines, 1)
 
 
-def test_prefix_candidates_are_pruned(spark):
+def test_joined_candidates_are_pruned(spark):
     level2 = spark.createDataFrame([(1, 2, 9), (1, 3, 9), (2, 3, 9), (2, 4, 9)], "i1 int, i2 int, count long")
-    assert [tuple(r) for r in cd.prefix_candidates(level2, 3).collect()] == [(1, 2, 3)]
+    assert [tuple(r) for r in cd.join_candidates(level2, 3).collect()] == [(1, 2, 3)]
     level3 = spark.createDataFrame(
         [(1, 2, 3), (1, 2, 4), (1, 3, 4), (2, 3, 4), (1, 2, 5), (1, 3, 5)], "i1 int, i2 int, i3 int"
     )
-    assert [tuple(r) for r in cd.prefix_candidates(level3, 4).collect()] == [(1, 2, 3, 4)]
+    assert [tuple(r) for r in cd.join_candidates(level3, 4).collect()] == [(1, 2, 3, 4)]
 
 
 def test_overlap_candidates_are_not_pruned(spark):
@@ -216,6 +216,6 @@ def test_baskets_presence_and_counts(spark):
 def test_candidate_joins_broadcast_small_levels(spark):
     tx = bk.transactions(spark.createDataFrame(random_lines(11), LINES))
     levels, _ = its.mine_levels(bk.encode_baskets(tx, 3), max_k=3)
-    plan = cd.prefix_candidates(levels[3], 4)._jdf.queryExecution().executedPlan().toString()
+    plan = cd.join_candidates(levels[3], 4)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan

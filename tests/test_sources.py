@@ -1,5 +1,6 @@
 """Files, column checks, and where intermediate tables go."""
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -74,3 +75,13 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
     )
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_root(unset)
+
+
+def test_discard_deletes_only_what_was_written_here(spark, tmp_path):
+    table = session.materialize(spark.range(3))
+    session.discard(table)
+    assert not Path(table.inputFiles()[0].removeprefix("file:")).exists()
+    files.write_parquet(spark.range(3), str(tmp_path / "given"))
+    given = spark.read.parquet(str(tmp_path / "given"))
+    session.discard(given, spark.range(1))
+    assert given.count() == 3

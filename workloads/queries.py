@@ -166,7 +166,7 @@ def l2_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidates_k3(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = _encoded(spark, sf_dir, 0.01)
     levels, _ = its.mine_levels(encoded, max_k=2)
-    triples = cd.prefix_candidates(levels[2], 3).select(F.array(*cd.positions(3)).alias("items"))
+    triples = cd.join_candidates(levels[2], 3).select(F.array(*cd.positions(3)).alias("items"))
     decoded = bk.decode_itemsets(triples, encoded.dictionary)
     return decoded.select(itemset_text(F.col("itemset")).alias("itemset_text"))
 
