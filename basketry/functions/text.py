@@ -37,7 +37,7 @@ def to_number(col: Column, is_text: bool = True) -> Column:
 
 
 def itemset_text(items: Column, separator: str = ITEM_SEPARATOR) -> Column:
-    return F.array_join(F.array_sort(items.cast("array<string>")), separator)
+    return F.array_join(F.sort_array(items.cast("array<string>")), separator)
 
 
 def rule_text(antecedent: Column, consequent: Column, separator: str = ITEM_SEPARATOR) -> Column:

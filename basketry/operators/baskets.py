@@ -29,7 +29,7 @@ def build_baskets(lines: DataFrame) -> DataFrame:
     return (
         presence(lines)
         .groupBy("basket_id")
-        .agg(F.array_sort(F.collect_list("item")).alias("items"))
+        .agg(F.sort_array(F.collect_list("item")).alias("items"))
     )
 
 
@@ -126,7 +126,7 @@ def decode_itemsets(encoded: DataFrame, dictionary: DataFrame) -> DataFrame:
         encoded.withColumn("id", F.explode("items"))
         .join(dictionary.select("id", "item"), "id")
         .groupBy("items", *others)
-        .agg(F.array_sort(F.collect_list("item")).alias("itemset"))
+        .agg(F.sort_array(F.collect_list("item")).alias("itemset"))
         .drop("items")
     )
 
@@ -149,7 +149,7 @@ def encode_baskets(tx: Transactions, min_count: int) -> EncodedBaskets:
         encode_items(tx.presence, dictionary)
         .repartition(tasks, "basket_id")
         .groupBy("basket_id")
-        .agg(F.array_sort(F.collect_list("id")).alias("items"))
+        .agg(F.sort_array(F.collect_list("id")).alias("items"))
         .select("items", F.size("items").alias("n_basket_items"))
         .filter(F.col("n_basket_items") >= 2)
     )

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from time import perf_counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.text import REPORT_SEPARATOR
@@ -30,13 +30,14 @@ BENCHMARK_RATIOS = (0.05, 0.02, 0.01, 0.005)
 class Sweep:
     """``thresholds``: ``list_pos, min_support, abs_support_count`` (one row per given ratio).
 
-    ``mined``: the itemsets of the lowest threshold. ``itemsets``: the same per threshold.
+    ``mined``: the itemsets of the lowest threshold. ``itemsets``: the same per threshold. ``rows``: the
+    thresholds as given.
     """
 
     thresholds: DataFrame
     mined: DataFrame
     itemsets: DataFrame
-    n_thresholds: int
+    rows: list[tuple[int, float, int]]
 
 
 def _thresholds_expr(rows: list[tuple[int, float, int]]) -> str:
@@ -78,7 +79,7 @@ def sweep(
     thresholds = mined.sparkSession.createDataFrame(
         rows, "list_pos int, min_support double, abs_support_count bigint"
     )
-    return Sweep(thresholds, mined, _per_threshold(mined, rows), len(rows))
+    return Sweep(thresholds, mined, _per_threshold(mined, rows), rows)
 
 
 def sweep_summary(result: Sweep) -> DataFrame:
@@ -158,20 +159,22 @@ def correlated_itemsets(result: Sweep, per_level: int = TOP_ITEMS, n: int = TOP_
 def sweep_rules(result: Sweep) -> DataFrame:
     """Rules of the pairs and triples of every threshold; their metrics are computed once."""
     rules = generate_rules(result.mined, levels=(2, 3), separator=REPORT_SEPARATOR)
-    rows = [tuple(r) for r in result.thresholds.collect()]  # the ratios given by the caller
-    return _per_threshold(rules, rows)
+    return _per_threshold(rules, result.rows)
 
 
 def valuable_rules(rules: DataFrame, n: int = TOP_RULES) -> DataFrame:
-    """Per threshold the best valuable rules, or its best rules where none is valuable."""
+    """Per threshold the best valuable rules, or its best rules where none is valuable.
+
+    Valuable rules rank first, so the top ``n`` already tell whether a threshold has any: one pass over
+    the rules, and the flag is taken over at most ``n`` rows per threshold.
+    """
     flagged = rules.withColumn("valuable", is_valuable())
-    # one row per threshold of the caller's list
-    has_any = flagged.groupBy("list_pos").agg(F.max("valuable").alias("has_valuable"))
-    kept = flagged.join(F.broadcast(has_any), "list_pos").filter(
-        F.col("valuable") | ~F.col("has_valuable")
-    )
-    return top_per_group(kept, ["list_pos"], rank_order(), n).select(
-        "list_pos", "min_support", "rank", "rule", "support", "confidence", "lift"
+    ranked = top_per_group(flagged, ["list_pos"], [F.desc("valuable"), *rank_order()], n)
+    any_valuable = F.max("valuable").over(Window.partitionBy("list_pos"))
+    return (
+        ranked.withColumn("any_valuable", any_valuable)
+        .filter(F.col("valuable") | ~F.col("any_valuable"))
+        .select("list_pos", "min_support", "rank", "rule", "support", "confidence", "lift")
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -23,8 +22,8 @@ def create_session(app_name: str = "basketry", **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # collect_list on baskets stays hash based instead of sorting after 128 baskets per task
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
+        # collect_list stays hash based for this many baskets per task before it turns to sorting
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
@@ -38,9 +37,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-    own = tempfile.mkdtemp(prefix=f"basketry-{os.getpid()}-")
-    spark.conf.set(CHECKPOINT_CONF, own)
-    return own
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_table_path(spark: SparkSession) -> str:

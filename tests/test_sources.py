@@ -68,13 +68,25 @@ def test_intermediate_tables_go_to_the_configured_folder(spark):
     assert session.checkpoint_root(spark) + "/basketry/" in table.inputFiles()[0]
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
-    unset = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda *_: None),
-        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"),
+def unset_session(master, chosen):
+    context = SimpleNamespace(
+        getCheckpointDir=lambda: chosen[-1] if chosen else None,
+        setCheckpointDir=chosen.append,
+        master=master,
     )
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.checkpoint_root(unset)
+        session.checkpoint_root(unset_session("yarn", []))
+
+
+def test_local_mode_without_a_setting_gets_one_folder():
+    chosen = []
+    local = unset_session("local[2]", chosen)
+    assert session.checkpoint_root(local) == session.checkpoint_root(local) == chosen[0]
+    assert len(chosen) == 1
 
 
 def test_discard_deletes_only_what_was_written_here(spark, tmp_path):
