@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -20,6 +21,15 @@ def presence(lines: DataFrame) -> DataFrame:
     return lines.select("basket_id", "item").distinct()
 
 
+def presence_matrix(lines: DataFrame, items: Sequence[str]) -> DataFrame:
+    """Wide form for a short list of items: one row per basket, one boolean column per item.
+
+    A plain aggregate with map-side combine; the long form is what everything else works on.
+    """
+    columns = [F.bool_or(F.col("item") == item).alias(item) for item in items]
+    return lines.groupBy("basket_id").agg(*columns)
+
+
 def build_baskets(lines: DataFrame) -> DataFrame:
     """One row per basket with its sorted distinct items.
 

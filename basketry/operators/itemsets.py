@@ -207,5 +207,6 @@ def level_steps(tx: Transactions, min_count: int) -> LevelSteps:
     encoded = encode_baskets(tx, min_count)
     c2, level2 = pair_level(encoded)
     c3 = triple_level(encoded, level2)
+    discard(encoded.baskets)  # everything is counted
     enough = F.col("count") >= min_count
     return LevelSteps(c1, l1, dropped, c2, c2.filter(enough), c3, c3.filter(enough))

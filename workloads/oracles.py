@@ -134,12 +134,12 @@ def counted(candidates: str) -> str:
     )
 
 
-def sweep(lines: str, ratios, depth: int = 3) -> str:
+def sweep(lines: str, ratios, depth: int = 3, mode: str = "floor") -> str:
     """CTEs up to ``h``: thresholds; ``g``: sets per threshold. ``f`` holds the lowest threshold."""
     rows = ", ".join(f"({pos}, CAST({r} AS DOUBLE))" for pos, r in enumerate(ratios))
-    absolute = "greatest(1, CAST(floor(min_support * n) AS BIGINT))"
+    absolute = f"greatest(1, CAST({mode}(min_support * n) AS BIGINT))"
     return (
-        mined(lines, min(ratios), "floor", depth)
+        mined(lines, min(ratios), mode, depth)
         + f", h AS MATERIALIZED (SELECT list_pos, min_support, {absolute} AS abs_support"
         + f" FROM (VALUES {rows}) AS v(list_pos, min_support), t)"
         + ", g AS MATERIALIZED (SELECT h.*, f.k, f.s, f.cnt, f.sup FROM h JOIN f ON f.cnt >= h.abs_support)"
@@ -185,6 +185,12 @@ UNION ALL SELECT 'n_items', count(DISTINCT item) FROM ({A_TYPE})""",
 SELECT basket_id, {text('list_sort(list(item))')} AS items_text, CAST(count(*) AS INTEGER) AS n_items
 FROM (SELECT DISTINCT basket_id, item FROM ({A_TYPE})) GROUP BY basket_id""",
     "presence_long": f"SELECT DISTINCT basket_id, item FROM ({A_TYPE})",
+    "presence_matrix": "SELECT basket_id, "
+    + ", ".join(
+        f"bool_or(item = '{t}') AS \"{t}\""
+        for t in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+    )
+    + f" FROM ({A_TYPE}) GROUP BY basket_id",
     "threshold_modes": " UNION ALL ".join(
         f"SELECT CAST({r} AS DOUBLE) AS min_support, n AS n_transactions, {threshold(r, 'ceil')} AS abs_ceil,"
         f" {threshold(r, 'floor')} AS abs_floor, {threshold(r, 'ratio')} AS abs_ratio"
@@ -252,6 +258,11 @@ FROM r WHERE conf >= 0.3 AND lift >= 0.9
 ORDER BY conf DESC, antecedents, consequents LIMIT 20""",
     "threshold_sweep": SWEEP + SUMMARY + " SELECT * FROM y",
     "first_thresholds": SWEEP_SIX + SUMMARY + " SELECT * FROM y ORDER BY min_support LIMIT 5",
+    # no SQL for slowest_and_fastest: it reports wall-clock seconds
+    "timed_thresholds": sweep(A_TYPE, (0.05, 0.02, 0.01, 0.005), 6, "ceil")
+    + """ SELECT h.min_support, h.abs_support AS abs_support_count, count(*) FILTER (g.k = 1) AS l1_count,
+  count(*) FILTER (g.k = 2) AS l2_count, count(*) FILTER (g.k = 3) AS l3_count, count(g.k) AS total_freq
+  FROM h LEFT JOIN g ON g.list_pos = h.list_pos GROUP BY ALL""",
     "sweep_itemsets": SWEEP
     + f""" SELECT min_support, abs_support AS abs_support_count, k, {text('s')} AS itemset_text,
   cnt AS "count", sup AS support FROM g""",

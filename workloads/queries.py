@@ -107,6 +107,11 @@ def presence_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bk.presence(_lines(spark, sf_dir, item=TYPE))
 
 
+def presence_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    types = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+    return bk.presence_matrix(_lines(spark, sf_dir, item=TYPE), types)
+
+
 def threshold_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = bk.dataset_counts(_lines(spark, sf_dir, item=TYPE))
     return sw.threshold_modes(counts, MODE_RATIOS, ("ceil", "floor", "ratio"))
@@ -258,6 +263,15 @@ def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sw.sweep_summary(_sweep(spark, sf_dir))
 
 
+def timed_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each published ratio mined on its own; the seconds differ from run to run and are left out."""
+    return sw.time_thresholds(_tx(spark, sf_dir, item=TYPE)).drop("execution_time_sec")
+
+
+def slowest_and_fastest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sw.slowest_and_fastest(sw.time_thresholds(_tx(spark, sf_dir, item=TYPE)))
+
+
 def first_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sw.first_thresholds(sw.sweep_summary(_sweep(spark, sf_dir, SWEEP_SIX)))
 
@@ -399,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "dataset_profile": dataset_profile,
     "baskets_text": baskets_text,
     "presence_long": presence_long,
+    "presence_matrix": presence_matrix,
     "threshold_modes": threshold_modes,
     "item_dictionary": item_dictionary,
     "encoded_round_trip": encoded_round_trip,
@@ -433,6 +448,8 @@ QUERIES: dict[str, Query] = {
     "query_rules": query_rules,
     "threshold_sweep": threshold_sweep,
     "first_thresholds": first_thresholds,
+    "timed_thresholds": timed_thresholds,
+    "slowest_and_fastest": slowest_and_fastest,
     "sweep_itemsets": sweep_itemsets,
     "correlated_itemsets": correlated_itemsets,
     "valuable_rules": valuable_rules,
