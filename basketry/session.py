@@ -23,7 +23,7 @@ def create_session(app_name: str = "basketry", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # collect_list stays hash based for this many baskets per task before it turns to sorting
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "50000",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 from time import perf_counter
 
 from basketry.operators.baskets import transactions
@@ -51,7 +50,6 @@ def main() -> None:
             "spark.master": f"local[{cpus}]",
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": str(cores),
-            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="basketry-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -10,14 +10,13 @@ TESTDATA = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = (
         SparkSession.builder.master("local[4]")
         .appName("basketry-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

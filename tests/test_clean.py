@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.operators.clean import clean_lines
+from basketry.operators.clean import clean_lines, kept_lines
 from basketry.sources.files import read_lines
 
 # InvoiceNo, StockCode, Quantity, Description -> kept by A, B, C as (basket, item)
@@ -60,6 +60,14 @@ def test_numeric_quantity_column(spark):
     assert [r["basket_id"] for r in clean_lines(lines, "B").collect()] == ["1"]
 
 
+def test_kept_lines_are_the_raw_rows(spark):
+    lines = spark.createDataFrame(
+        [("1", " X ", "2", 7), ("1", None, "2", 8), ("C1", "X", "1", 9)],
+        "InvoiceNo string, StockCode string, Quantity string, extra int",
+    )
+    assert [tuple(r) for r in kept_lines(lines, "B").collect()] == [("1", " X ", "2", 7)]
+
+
 def test_unknown_profile_and_missing_columns(spark):
     lines = spark.createDataFrame([("1",)], "InvoiceNo string")
     with pytest.raises(ValueError, match="unknown profile"):

@@ -176,3 +176,6 @@ def test_execution_table(spark):
     )
     assert tuple(tb.execution_table(runs).first()) == ("0.0050", 103, "1.500000", 3, 2, 1)
     assert tb.execution_table(runs.drop("execution_time_sec")).first()["Execution Time (s)"] == "0.000000"
+    detail = tb.execution_detail_table(runs)
+    assert detail.columns == runs.columns
+    assert tuple(detail.first()) == ("0.005", 103, "1.500000", 3, 2, 1)

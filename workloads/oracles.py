@@ -323,6 +323,10 @@ FROM r WHERE k = 3""",
     + SUMMARY
     + f""" SELECT {fixed('min_support', 4)} AS "Min Support", abs_support_count AS "Abs Support",
   '0.000000' AS "Execution Time (s)", l1_count AS "L1 Count", l2_count AS "L2 Count", l3_count AS "L3 Count" FROM y""",
+    "report_execution": SWEEP
+    + SUMMARY
+    + f""" SELECT {fixed('min_support', 3)} AS min_support, abs_support_count, '0.000000' AS execution_time_sec,
+  l1_count, l2_count, l3_count FROM y""",
     "report_top_rules": TYPE_1
     + RULES
     + f""" SELECT {rule()} AS "Rule", {fixed('sup', 4)} AS "Support", {fixed('conf', 4)} AS "Confidence",

@@ -14,7 +14,7 @@ from basketry.operators import candidates as cd
 from basketry.operators import itemsets as its
 from basketry.operators import rules as rl
 from basketry.operators import topn
-from basketry.operators.clean import clean_lines
+from basketry.operators.clean import clean_lines, kept_lines
 from basketry.plans import sweep as sw
 from basketry.plans import tables as tb
 from basketry.plans.summary import summary_metrics
@@ -40,17 +40,18 @@ def _tx(spark, sf_dir, profile="A", item=None) -> bk.Transactions:
     return bk.transactions(_lines(spark, sf_dir, profile, item))
 
 
-def _mined(spark, sf_dir, ratio, profile="A", item=TYPE, mode="ceil", max_k=10) -> its.MiningResult:
-    tx = _tx(spark, sf_dir, profile, item)
-    return its.mine_itemsets(tx, absolute_support(tx.n, ratio, mode), max_k)
+def _mine(tx: bk.Transactions, ratio, mode="ceil", max_k=10) -> its.MiningResult:
+    result = its.mine_itemsets(tx, absolute_support(tx.n, ratio, mode), max_k)
+    tx.release()
+    return result
 
 
-def _mined_view(view, ratio, max_k=10) -> Callable:
-    def run(spark, sf_dir):
-        tx = bk.transactions(view(spark, sf_dir))
-        return its.mine_itemsets(tx, absolute_support(tx.n, ratio), max_k)
+def _mined(spark, sf_dir, ratio, profile="A", item=TYPE, mode="ceil", max_k=10) -> its.MiningResult:
+    return _mine(_tx(spark, sf_dir, profile, item), ratio, mode, max_k)
 
-    return run
+
+def _mined_view(view, ratio) -> Callable:
+    return lambda spark, sf_dir: _mine(bk.transactions(view(spark, sf_dir)), ratio)
 
 
 def _flat(itemsets: DataFrame) -> DataFrame:
@@ -251,12 +252,18 @@ def query_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sweep ----------------------------------------------------------------------------------------
 
 
+def _swept(tx: bk.Transactions, ratios) -> sw.Sweep:
+    result = sw.sweep(tx, ratios, mode="floor")
+    tx.release()
+    return result
+
+
 def _sweep(spark, sf_dir, ratios=SWEEP) -> sw.Sweep:
-    return sw.sweep(_tx(spark, sf_dir, "B", TYPE), ratios, mode="floor")
+    return _swept(_tx(spark, sf_dir, "B", TYPE), ratios)
 
 
 def _customer_sweep(spark, sf_dir) -> sw.Sweep:
-    return sw.sweep(bk.transactions(views.customer_baskets(spark, sf_dir)), CUSTOMER_SWEEP, "floor")
+    return _swept(bk.transactions(views.customer_baskets(spark, sf_dir)), CUSTOMER_SWEEP)
 
 
 def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,10 +338,9 @@ def top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = views.invoice_lines(spark, sf_dir)
-    kept = raw.filter((F.col("Quantity") > 0) & F.col(TYPE).isNotNull())
+    kept = kept_lines(raw, "C", item_col=TYPE)
     lines = clean_lines(raw, "C", item_col=TYPE)
-    tx = bk.transactions(lines)
-    mined = its.mine_itemsets(tx, absolute_support(tx.n, 0.02, "ratio"), None).itemsets
+    mined = _mine(bk.transactions(lines), 0.02, "ratio", None).itemsets
     return summary_metrics(kept, lines, mined, rl.library_rules(mined, min_confidence=0.3))
 
 
@@ -382,6 +388,10 @@ def table_execution_summary(spark, sf_dir):
     return tb.execution_table(sw.sweep_summary(_sweep(spark, sf_dir)))
 
 
+def report_execution(spark, sf_dir):
+    return tb.execution_detail_table(sw.sweep_summary(_sweep(spark, sf_dir)))
+
+
 def report_top_rules(spark, sf_dir):
     return tb.top_rules_table(topn.top_rules(_type_rules(spark, sf_dir)))
 
@@ -472,6 +482,7 @@ QUERIES: dict[str, Query] = {
     "table_rules_l3": table_rules_l3,
     "table_rule_summary": table_rule_summary,
     "table_execution_summary": table_execution_summary,
+    "report_execution": report_execution,
     "report_top_rules": report_top_rules,
     "report_top_items": report_top_items,
     "report_correlated": report_correlated,
