@@ -72,3 +72,13 @@ def interpretation(confidence: Column, lift: Column) -> Column:
     strength = F.when(safe_double(confidence) >= STRONG_CONFIDENCE, "strong").otherwise("weak")
     usefulness = F.when(safe_double(lift) > USEFUL_LIFT, "useful").otherwise("unuseful")
     return F.concat(strength, F.lit(REPORT_SEPARATOR), usefulness)
+
+
+def levels_text(per_level: Column) -> Column:
+    """``MAP<level, sets>`` as ``L1=33, L2=1,204``."""
+    entries = F.sort_array(F.map_entries(per_level))
+    parts = F.transform(
+        entries,
+        lambda e: F.concat(F.lit("L"), e["key"], F.lit("="), F.format_number(e["value"], 0)),
+    )
+    return F.array_join(parts, ITEM_SEPARATOR)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.text import itemset_text
+from basketry.functions.text import itemset_text, levels_text
 from basketry.operators.baskets import (
     EncodedBaskets,
     Transactions,
@@ -119,26 +119,11 @@ def level_funnel(result: MiningResult) -> DataFrame:
 def run_totals(result: MiningResult) -> DataFrame:
     """One row: deepest level, number of sets, sets per level as a map and as text."""
     per_level = result.itemsets.groupBy("k").agg(F.count("*").alias("sets"))
-    entries = F.array_sort(F.collect_list(F.struct("k", "sets")))  # at most one per level
-    return (
-        per_level.agg(
-            F.coalesce(F.max("k"), F.lit(0)).alias("max_k"),
-            F.coalesce(F.sum("sets"), F.lit(0)).cast("long").alias("total_freq"),
-            entries.alias("entries"),
-        )
-        .withColumn("per_k", F.map_from_entries("entries"))
-        .withColumn(
-            "per_k_text",
-            F.array_join(
-                F.transform(
-                    "entries",
-                    lambda e: F.concat(F.lit("L"), e["k"], F.lit("="), F.format_number(e["sets"], 0)),
-                ),
-                ", ",
-            ),
-        )
-        .drop("entries")
-    )
+    return per_level.agg(
+        F.coalesce(F.max("k"), F.lit(0)).alias("max_k"),
+        F.coalesce(F.sum("sets"), F.lit(0)).cast("long").alias("total_freq"),
+        F.map_from_entries(F.collect_list(F.struct("k", "sets"))).alias("per_k"),  # one per level
+    ).withColumn("per_k_text", levels_text(F.col("per_k")))
 
 
 @dataclass(frozen=True)

@@ -113,13 +113,16 @@ def time_thresholds(
         itemsets = mine_itemsets(tx, min_count, max_k).itemsets
         elapsed = round(perf_counter() - start, 6)
         sets = dict(itemsets.groupBy("k").count().collect())
+        first_levels = [sets.get(k, 0) for k in (1, 2, 3)]
         records.append(
-            (float(ratio), min_count, elapsed, *(sets.get(k, 0) for k in (1, 2, 3)), sum(sets.values()))
+            (float(ratio), min_count, elapsed, *first_levels)
+            + (tx.n, max(sets, default=0), sum(sets.values()), sets)
         )
     return tx.presence.sparkSession.createDataFrame(
         records,
         "min_support double, abs_support_count bigint, execution_time_sec double, "
-        "l1_count bigint, l2_count bigint, l3_count bigint, total_freq bigint",
+        "l1_count bigint, l2_count bigint, l3_count bigint, "
+        "n_txn bigint, max_k int, total_freq bigint, per_k map<int, bigint>",
     )
 
 

@@ -20,6 +20,8 @@ def create_session(app_name: str = "basketry", **conf: str) -> SparkSession:
     defaults = {
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
+        # a mining run compiles a few stages per level; keep them for the next run
+        "spark.sql.codegen.cache.maxEntries": "1000",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # collect_list stays hash based for this many baskets per task before it turns to sorting

@@ -219,3 +219,14 @@ def test_candidate_joins_broadcast_small_levels(spark):
     plan = cd.join_candidates(levels[3], 4)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_same_result_without_broadcast_joins(spark):
+    """With every join shuffled: what happens once a dictionary or level is too large to broadcast."""
+    lines = random_lines(12)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = its.mine_itemsets(bk.transactions(spark.createDataFrame(lines, LINES)), 8)
+        assert as_dict(result.itemsets) == brute.frequent(lines, 8)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -8,6 +8,7 @@ from basketry.operators import itemsets as its
 from basketry.operators import rules as rl
 from basketry.plans import sweep as sw
 from basketry.plans import tables as tb
+from basketry.plans import workflow
 from basketry.plans.summary import summary_metrics
 from tests import brute
 from tests.test_mining import LINES, random_lines
@@ -179,3 +180,62 @@ def test_execution_table(spark):
     detail = tb.execution_detail_table(runs)
     assert detail.columns == runs.columns
     assert tuple(detail.first()) == ("0.005", 103, "1.500000", 3, 2, 1)
+
+
+# --- whole analyses -------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def invoices(spark, lines):
+    """The random lines as a file would hold them, with a return and a line without quantity."""
+    rows = [(basket, item, "1", item) for basket, item in lines]
+    rows += [("Cx", "i0", "-1", "i0"), ("b1", "only-a", None, None)]
+    return spark.createDataFrame(
+        rows, "InvoiceNo string, StockCode string, Quantity string, Description string"
+    )
+
+
+def test_benchmark(invoices, lines, tx):
+    rows = workflow.benchmark(invoices, (0.2, 0.4)).collect()
+    assert [(r["min_support"], r["abs_support_count"], r["n_txn"]) for r in rows] == [
+        (0.2, absolute_support(tx.n, 0.2), tx.n),
+        (0.4, absolute_support(tx.n, 0.4), tx.n),
+    ]
+    for r in rows:
+        sets = brute.frequent(lines, r["abs_support_count"])
+        assert r["total_freq"] == len(sets) and r["max_k"] == max(map(len, sets))
+        assert r["per_k"] == {k: sum(len(s) == k for s in sets) for k in range(1, r["max_k"] + 1)}
+
+
+def test_stepwise(invoices, lines, tx):
+    got = workflow.stepwise(invoices, 0.3)
+    min_count = absolute_support(tx.n, 0.3, "floor")
+    truth = brute.supports(lines, 3)
+    assert {r["Itemset"]: r["Count"] for r in got.c1.collect()} == {
+        s[0]: c for s, c in truth.items() if len(s) == 1
+    }
+    want = {", ".join(s): c for s, c in truth.items() if len(s) == 3 and c >= min_count}
+    assert {r["itemsets"]: r["Count"] for r in got.l3.collect()} == want
+    rules = brute.rules(lines, min_count, {3})
+    assert got.rules.count() == got.rule_summary.count() == len(rules)
+    assert got.c2.count() == 36 and got.l1_dropped.count() == 0
+    assert got.l2.count() == sum(len(s) == 2 and c >= min_count for s, c in truth.items())
+
+
+def test_threshold_study(invoices, lines, tx, swept):
+    got = workflow.threshold_study(invoices, RATIOS)
+    assert got.execution.collect() == sw.sweep_summary(swept).collect()
+    assert got.correlated.collect() == sw.correlated_itemsets(swept).collect()
+    assert got.best_rules.count() == 10
+
+
+def test_library_run(invoices, lines, tx):
+    got = workflow.library_run(invoices, 0.4, 0.5)
+    min_count = absolute_support(tx.n, 0.4, "ratio")
+    assert got.itemsets.count() == len(brute.frequent(lines, min_count))
+    truth = [m for m in brute.rules(lines, min_count).values() if m[1] >= 0.5]
+    assert got.rules.count() == len(truth)
+    metrics = {r["metric"]: r["value"] for r in got.summary.collect()}
+    assert metrics["rows"] == len(lines) and metrics["columns"] == 4
+    assert metrics["association_rules"] == len(truth)
+    assert rl.query_rules(got.rules, 0.5, 0.0, limit=3).count() == min(3, len(truth))

@@ -261,8 +261,11 @@ ORDER BY conf DESC, antecedents, consequents LIMIT 20""",
     # no SQL for slowest_and_fastest: it reports wall-clock seconds
     "timed_thresholds": sweep(A_TYPE, (0.05, 0.02, 0.01, 0.005), 6, "ceil")
     + """ SELECT h.min_support, h.abs_support AS abs_support_count, count(*) FILTER (g.k = 1) AS l1_count,
-  count(*) FILTER (g.k = 2) AS l2_count, count(*) FILTER (g.k = 3) AS l3_count, count(g.k) AS total_freq
-  FROM h LEFT JOIN g ON g.list_pos = h.list_pos GROUP BY ALL""",
+  count(*) FILTER (g.k = 2) AS l2_count, count(*) FILTER (g.k = 3) AS l3_count, any_value(t.n) AS n_txn,
+  max(g.k) AS max_k, count(g.k) AS total_freq,
+  (SELECT string_agg(format('L{}={:,}', k, c), ', ' ORDER BY k)
+   FROM (SELECT k, count(*) AS c FROM f WHERE f.cnt >= h.abs_support GROUP BY k)) AS per_k_text
+  FROM t, h LEFT JOIN g ON g.list_pos = h.list_pos GROUP BY h.min_support, h.abs_support""",
     "sweep_itemsets": SWEEP
     + f""" SELECT min_support, abs_support AS abs_support_count, k, {text('s')} AS itemset_text,
   cnt AS "count", sup AS support FROM g""",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.functions.text import itemset_text
+from basketry.functions.text import itemset_text, levels_text
 from basketry.functions.thresholds import absolute_support
 from basketry.operators import baskets as bk
 from basketry.operators import candidates as cd
@@ -272,7 +272,10 @@ def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timed_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each published ratio mined on its own; the seconds differ from run to run and are left out."""
-    return sw.time_thresholds(_tx(spark, sf_dir, item=TYPE)).drop("execution_time_sec")
+    runs = sw.time_thresholds(_tx(spark, sf_dir, item=TYPE))
+    return runs.withColumn("per_k_text", levels_text(F.col("per_k"))).drop(
+        "execution_time_sec", "per_k"
+    )
 
 
 def slowest_and_fastest(spark: SparkSession, sf_dir: str) -> DataFrame:
