@@ -9,7 +9,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.session import discard, materialize, materialize_observed
+from basketry.session import discard, materialize
 
 
 def presence(lines: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int, int]:
     those sizes, one per partition, are collected.
     """
     order = [F.desc("count"), F.asc("item")]
-    numbered, seen = materialize_observed(
+    numbered = materialize(
         counts.select("item", "count")
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -94,19 +94,16 @@ def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int, int]:
             "count",
             F.spark_partition_id().alias("part"),
             F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("position"),
-        ),
-        F.count(F.lit(1)).alias("items"),
-        F.sum("count").alias("entries"),
-        F.max("part").alias("last_part"),
+        )
     )
-    rank = F.col("position")
-    if seen["last_part"]:
-        sizes = dict(numbered.groupBy("part").count().collect())
-        by_part = [sizes.get(part, 0) for part in range(seen["last_part"])]
-        shifts = ", ".join(map(str, accumulate(by_part, initial=0)))
-        rank = rank + F.expr(f"element_at(array({shifts}), part + 1)")
-    dictionary = numbered.select(rank.cast("int").alias("id"), "item", "count")
-    return dictionary, int(seen["items"]), int(seen["entries"] or 0)
+    parts = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("items"), F.sum("count").alias("entries"))
+    sizes = {row["part"]: row for row in parts.collect()}
+    by_part = [sizes[part]["items"] if part in sizes else 0 for part in range(max(sizes, default=0))]
+    shifts = ", ".join(map(str, accumulate(by_part, initial=0)))
+    shift = F.expr(f"element_at(array({shifts}), part + 1)")
+    dictionary = numbered.select((F.col("position") + shift).cast("int").alias("id"), "item", "count")
+    n_items, entries = (sum(row[c] for row in sizes.values()) for c in ("items", "entries"))
+    return dictionary, n_items, entries
 
 
 @dataclass(frozen=True)
