@@ -1,8 +1,9 @@
 """Support counting inside one task, for ``DataFrame.mapInArrow``.
 
 A batch of baskets (lists of item ids ``0..n_items-1``) becomes one bit row per item, so the support
-of a set is the number of ones left after AND-ing its rows. Only sums per batch leave the task; Spark
-adds them up with a partial and a final aggregate. Nothing is emitted per basket.
+of a set is the number of ones left after AND-ing its rows. Sums are kept over all batches of a task, and
+only they leave it; Spark adds up the tasks with a partial and a final aggregate. Nothing is emitted per
+basket.
 
 The functions are closures on purpose: they travel to the workers by value, so the package need not be
 installed there.
@@ -18,17 +19,23 @@ import pyarrow as pa
 BatchFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def _helpers() -> tuple[Callable, Callable]:
-    largest = 1 << 26  # bytes of bit rows held at once
+LARGEST = 1 << 26  # bytes that one task may hold for bit rows, and again for sums
+STEP = 2_000_000  # rows per emitted batch, and pairs listed at once
+# Measured: listing one pair costs as much as AND-ing this many 64-basket words.
+PAIR_IN_WORDS = 16
 
-    def blocks(batches, n_items):
+
+def _helpers(n_items: int) -> tuple[Callable, Callable, Callable]:
+    rows_at_once = max(64, LARGEST * 8 // max(n_items, 1))
+    step = STEP
+
+    def blocks(batches):
         """The item lists, cut where a batch of very many items would need too much memory."""
-        rows = max(64, largest * 8 // max(n_items, 1))
         for batch in batches:
-            for lo in range(0, batch.num_rows, rows):
-                yield batch.column(0).slice(lo, rows)
+            for lo in range(0, batch.num_rows, rows_at_once):
+                yield batch.column(0).slice(lo, rows_at_once)
 
-    def bit_rows(lists, n_items):
+    def bit_rows(lists):
         """(n_items, words) uint64 bits, one column bit per basket."""
         values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         lengths = np.diff(lists.offsets.to_numpy())
@@ -39,32 +46,35 @@ def _helpers() -> tuple[Callable, Callable]:
         np.add.at(bits, values * width + (basket >> 3), (1 << (basket & 7)).astype(np.uint8))
         return bits.reshape(n_items, width).view(np.uint64)
 
-    return blocks, bit_rows
+    def batches_of(columns, n):
+        """Record batches ``i1..ik, n`` of at most ``step`` rows."""
+        names = [f"i{j + 1}" for j in range(len(columns))] + ["n"]
+        for lo in range(0, len(n), step):
+            ids = [pa.array(c[lo : lo + step], pa.int32()) for c in columns]
+            sums = pa.array(n[lo : lo + step], pa.int64())
+            yield pa.RecordBatch.from_arrays([*ids, sums], names=names)
 
+    return blocks, bit_rows, batches_of
 
-def pair_counter(n_items: int) -> BatchFunction:
+
+def pair_counter(n_items: int, pair_in_words: int = PAIR_IN_WORDS) -> BatchFunction:
     """Count every co-occurring pair; yields ``i1 < i2, n``.
 
     Two exact ways, chosen per batch by cost. Dense: AND bit rows, work grows with the square of the
-    items. Sparse: look at the item lists themselves, work grows with the square of the basket lengths.
+    items. Sparse: read the pairs off the item lists, work grows with the square of the basket lengths.
+    Sums stay in the task while a square of all items fits; beyond, each batch hands on its own.
     """
-    blocks, bit_rows = _helpers()
-    step = 2_000_000  # pairs held at once on the sparse way
-    sparse_weight = 24  # measured: one listed pair costs as much as this many 64-basket words
-
-    def batch_of(i1, i2, n):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(i1, pa.int32()), pa.array(i2, pa.int32()), pa.array(n, pa.int64())],
-            names=["i1", "i2", "n"],
-        )
+    blocks, bit_rows, batches_of = _helpers(n_items)
+    square_fits = n_items * n_items * 8 <= LARGEST
+    step = STEP
 
     def dense(lists):
-        bits = bit_rows(lists, n_items)
+        bits = bit_rows(lists)
         for i in range(n_items - 1):
             if bits[i].any():
                 n = np.bitwise_count(bits[i] & bits[i + 1 :]).sum(axis=1, dtype=np.int64)
                 hit = np.flatnonzero(n)
-                yield np.full(len(hit), i), hit + i + 1, n[hit]
+                yield hit + (i * n_items + i + 1), n[hit]
 
     def sparse(lists, after):
         values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -76,31 +86,41 @@ def pair_counter(n_items: int) -> BatchFunction:
             width = after[lo:hi]
             first = np.repeat(np.arange(lo, hi), width)
             offset = np.arange(len(first)) - np.repeat(np.cumsum(width) - width, width)
-            keys, n = np.unique(
-                values[first] * n_items + values[first + 1 + offset], return_counts=True
-            )
-            yield keys // n_items, keys % n_items, n
+            keys = values[first] * n_items + values[first + 1 + offset]
+            yield (keys, 1) if square_fits else np.unique(keys, return_counts=True)
             lo = hi
 
+    def pairs(lists):
+        lengths = np.diff(lists.offsets.to_numpy())
+        # later items of the same basket, for each entry of the flattened lists
+        after = np.repeat(np.cumsum(lengths), lengths) - np.arange(lengths.sum()) - 1
+        words = n_items * n_items / 2 * -(-len(lengths) // 64)
+        return sparse(lists, after) if after.sum() * pair_in_words < words else dense(lists)
+
+    def split(keys):
+        return keys // n_items, keys % n_items
+
     def count(batches):
-        for lists in blocks(batches, n_items):
-            lengths = np.diff(lists.offsets.to_numpy())
-            # later items of the same basket, for each entry of the flattened lists
-            after = np.repeat(np.cumsum(lengths), lengths) - np.arange(lengths.sum()) - 1
-            dense_words = n_items * n_items / 2 * -(-len(lengths) // 64)
-            if after.sum() * sparse_weight < dense_words:
-                parts = sparse(lists, after)
-            else:
-                parts = dense(lists)
+        if square_fits:
+            total = np.zeros(n_items * n_items, np.int64)
+            for lists in blocks(batches):
+                for keys, n in pairs(lists):
+                    np.add.at(total, keys, n)
+            keys = np.flatnonzero(total)
+            yield from batches_of(split(keys), total[keys])
+            return
+        for lists in blocks(batches):
             held, rows = [], 0
-            for part in parts:
+            for part in pairs(lists):
                 held.append(part)
                 rows += len(part[0])
                 if rows >= step:
-                    yield batch_of(*(np.concatenate(c) for c in zip(*held)))
+                    keys, n = map(np.concatenate, zip(*held))
+                    yield from batches_of(split(keys), n)
                     held, rows = [], 0
             if rows:
-                yield batch_of(*(np.concatenate(c) for c in zip(*held)))
+                keys, n = map(np.concatenate, zip(*held))
+                yield from batches_of(split(keys), n)
 
     return count
 
@@ -108,31 +128,23 @@ def pair_counter(n_items: int) -> BatchFunction:
 def candidate_counter(candidates, n_items: int, k: int) -> BatchFunction:
     """Count the given k-sets; ``candidates`` is a Spark broadcast of an (m, k) int32 array.
 
-    Yields ``i1..ik, n`` for the sets seen in a batch.
+    Yields ``i1..ik, n`` for the sets seen in a task.
     """
-    blocks, bit_rows = _helpers()
+    blocks, bit_rows, batches_of = _helpers(n_items)
 
     def count(batches):
         sets = candidates.value
-        for lists in blocks(batches, n_items):
-            bits = bit_rows(lists, n_items)
-            step = max(1, (1 << 17) // bits.shape[1])  # about 1 MB of bit rows at a time
-            hits, counts = [], []
-            for lo in range(0, len(sets), step):
-                part = sets[lo : lo + step]
+        total = np.zeros(len(sets), np.int64)
+        for lists in blocks(batches):
+            bits = bit_rows(lists)
+            rows = max(1, (1 << 17) // bits.shape[1])  # about 1 MB of bit rows at a time
+            for lo in range(0, len(sets), rows):
+                part = sets[lo : lo + rows]
                 common = bits[part[:, 0]]
                 for j in range(1, k):
                     common &= bits[part[:, j]]
-                n = np.bitwise_count(common).sum(axis=1, dtype=np.int64)
-                hit = np.flatnonzero(n)
-                hits.append(hit + lo)
-                counts.append(n[hit])
-            hit = np.concatenate(hits)
-            if len(hit):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sets[hit, j], pa.int32()) for j in range(k)]
-                    + [pa.array(np.concatenate(counts), pa.int64())],
-                    names=[f"i{j + 1}" for j in range(k)] + ["n"],
-                )
+                total[lo : lo + rows] += np.bitwise_count(common).sum(axis=1, dtype=np.int64)
+        seen = np.flatnonzero(total)
+        yield from batches_of([sets[seen, j] for j in range(k)], total[seen])
 
     return count

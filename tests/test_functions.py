@@ -105,14 +105,28 @@ def truth(rows, k):
 
 
 @settings(deadline=None)
-@given(baskets, st.sampled_from([10, 10_000]), st.integers(0, 3))
-def test_pairs_dense_and_sparse(rows, n_items, skip):
-    """Ten items take the dense way, ten thousand the sparse one; both are exact."""
-    counter = bitmaps.pair_counter(n_items)
+@given(baskets, st.sampled_from([10, 4000]), st.sampled_from([0, 10**9]), st.integers(0, 3))
+def test_pairs(rows, n_items, pair_in_words, skip):
+    """Dense or sparse (by the weight of a pair), with sums kept per task or, for many items, per batch."""
+    counter = bitmaps.pair_counter(n_items, pair_in_words)
     got = totals(counter(iter([batch(rows, skip), batch(rows[:7])])), 2)
     assert got == truth(rows + rows[:7], 2)
 
 
+def test_large_batches_are_cut(monkeypatch):
+    """The memory bound cuts blocks and the row bound cuts emitted batches; sums stay the same."""
+    rows = [sorted({i % 9, (i * 7) % 9, (i * i) % 9}) for i in range(500)]
+    monkeypatch.setattr(bitmaps, "LARGEST", 100)
+    monkeypatch.setattr(bitmaps, "STEP", 5)
+    for weight in (0, 10**9):
+        got = list(bitmaps.pair_counter(9, weight)(iter([batch(rows)])))
+        assert len(got) > 5 and totals(got, 2) == truth(rows, 2)
+    sets = list(combinations(range(9), 3))
+    shipped = SimpleNamespace(value=np.array(sets, np.int32))
+    got = list(bitmaps.candidate_counter(shipped, 9, 3)(iter([batch(rows)])))
+    assert totals(got, 3) == truth(rows, 3)
+
+
 @settings(deadline=None)
 @given(baskets, st.integers(2, 4), st.integers(0, 3))
 def test_candidates(rows, k, skip):

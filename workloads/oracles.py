@@ -256,6 +256,13 @@ FROM r WHERE conf >= 0.3""",
 FROM r WHERE conf >= 0.3 AND lift >= 0.9
   AND (contains(lower({text('ante')}), 'promo') OR contains(lower({text('cons')}), 'promo'))
 ORDER BY conf DESC, antecedents, consequents LIMIT 20""",
+    "query_rules_columns": CUSTOMER_5
+    + RULES
+    + f""" SELECT {text('ante')} AS antecedents, {text('cons')} AS consequents, sc AS "consequent support",
+  sup - sa * sc AS leverage,
+  CASE WHEN greatest(sup * (1 - sa), sa * (sc - sup)) = 0 THEN 0.0
+       ELSE (sup - sa * sc) / greatest(sup * (1 - sa), sa * (sc - sup)) END AS zhangs_metric
+FROM r WHERE conf >= 0.9 AND lift >= 1.0 ORDER BY leverage, antecedents, consequents LIMIT 15""",
     "threshold_sweep": SWEEP + SUMMARY + " SELECT * FROM y",
     "first_thresholds": SWEEP_SIX + SUMMARY + " SELECT * FROM y ORDER BY min_support LIMIT 5",
     # no SQL for slowest_and_fastest: it reports wall-clock seconds

@@ -249,6 +249,15 @@ def query_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rl.query_rules(rules, min_confidence=0.3, min_lift=0.9, keyword=" Promo ", limit=20)
 
 
+def query_rules_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Other columns, rising sort on a metric that is not shown by default."""
+    rules = rl.library_rules(_customers(spark, sf_dir).itemsets, min_confidence=0.3)
+    columns = ["antecedents", "consequents", "consequent support", "leverage", "zhangs_metric", "none"]
+    return rl.query_rules(
+        rules, 0.9, 1.0, columns=columns, sort_by="leverage", descending=False, limit=15
+    )
+
+
 # --- sweep ----------------------------------------------------------------------------------------
 
 
@@ -459,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "rules_labelled": _labelled(_customers),
     "rules_labelled_users": _labelled(_users),
     "query_rules": query_rules,
+    "query_rules_columns": query_rules_columns,
     "threshold_sweep": threshold_sweep,
     "first_thresholds": first_thresholds,
     "timed_thresholds": timed_thresholds,
