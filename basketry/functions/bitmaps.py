@@ -20,7 +20,7 @@ BatchFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 LARGEST = 1 << 26  # bytes that one task may hold for bit rows, and again for sums
-STEP = 2_000_000  # rows per emitted batch, and pairs listed at once
+STEP = 2_000_000  # list entries and pairs handled at once, and rows per emitted batch
 # Measured: listing one pair costs as much as AND-ing this many 64-basket words.
 PAIR_IN_WORDS = 16
 
@@ -30,10 +30,16 @@ def _helpers(n_items: int) -> tuple[Callable, Callable, Callable]:
     step = STEP
 
     def blocks(batches):
-        """The item lists, cut where a batch of very many items would need too much memory."""
+        """The item lists, cut where very many items or very long baskets would need too much memory."""
         for batch in batches:
-            for lo in range(0, batch.num_rows, rows_at_once):
-                yield batch.column(0).slice(lo, rows_at_once)
+            lists = batch.column(0)
+            ends = lists.offsets.to_numpy()
+            lo = 0
+            while lo < len(lists):
+                fitting = int(np.searchsorted(ends, ends[lo] + step, side="right")) - 1
+                hi = min(max(fitting, lo + 1), lo + rows_at_once)
+                yield lists.slice(lo, hi - lo)
+                lo = hi
 
     def bit_rows(lists):
         """(n_items, words) uint64 bits, one column bit per basket."""
