@@ -17,6 +17,11 @@ SELECT CAST(o_custkey AS VARCHAR) AS basket_id, p_type AS item
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
 WHERE l_returnflag <> 'R'"""
 
+CUSTOMER_PRODUCTS = """
+SELECT CAST(o_custkey AS VARCHAR) AS basket_id, p_brand || ' ' || p_type AS item
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
+WHERE l_returnflag <> 'R'"""
+
 USERS = "SELECT CAST(user_id AS VARCHAR) AS basket_id, event_type AS item FROM events"
 
 USER_DAYS = """
@@ -216,6 +221,7 @@ FROM (SELECT DISTINCT basket_id, item FROM ({A_TYPE})) GROUP BY basket_id""",
     "frequent_itemsets_maxk2": mined(A_BRAND, 0.002, depth=2) + ITEMSETS,
     "itemsets_ratio_mode": mined(C_TYPE, 0.02, "ratio") + ITEMSETS,
     "itemsets_customers": CUSTOMER_5 + ITEMSETS,
+    "itemsets_customer_products": mined(CUSTOMER_PRODUCTS, 0.02, depth=3) + ITEMSETS,
     "itemsets_users": USER_5 + ITEMSETS,
     "itemsets_user_days": mined(USER_DAYS, 0.01, depth=5) + ITEMSETS,
     # a candidate of level k has all its (k-1)-subsets frequent; type sets that never occur cannot pass

@@ -50,8 +50,8 @@ def _mined(spark, sf_dir, ratio, profile="A", item=TYPE, mode="ceil", max_k=10)
     return _mine(_tx(spark, sf_dir, profile, item), ratio, mode, max_k)
 
 
-def _mined_view(view, ratio) -> Callable:
-    return lambda spark, sf_dir: _mine(bk.transactions(view(spark, sf_dir)), ratio)
+def _mined_view(view, ratio, max_k=10) -> Callable:
+    return lambda spark, sf_dir: _mine(bk.transactions(view(spark, sf_dir)), ratio, "ceil", max_k)
 
 
 def _flat(itemsets: DataFrame) -> DataFrame:
@@ -455,6 +455,9 @@ QUERIES: dict[str, Query] = {
     "frequent_itemsets_maxk2": _frequent(0.002, item=BRAND, max_k=2),
     "itemsets_ratio_mode": _frequent(0.02, "C", mode="ratio", max_k=None),
     "itemsets_customers": lambda spark, sf_dir: _flat(_customers(spark, sf_dir).itemsets),
+    "itemsets_customer_products": lambda spark, sf_dir: _flat(
+        _mined_view(views.customer_products, 0.02, max_k=3)(spark, sf_dir).itemsets
+    ),
     "itemsets_users": lambda spark, sf_dir: _flat(_users(spark, sf_dir).itemsets),
     "itemsets_user_days": lambda spark, sf_dir: _flat(
         _mined_view(views.user_day_events, 0.01)(spark, sf_dir).itemsets
