@@ -134,6 +134,7 @@ def pair_counter(n_items: int, pair_in_words: int = PAIR_IN_WORDS) -> BatchFunct
 def candidate_counter(candidates, n_items: int, k: int) -> BatchFunction:
     """Count the given k-sets; ``candidates`` is a Spark broadcast of an (m, k) int32 array.
 
+    Sets sharing all but their last item should stand together: their common part is AND-ed once.
     Yields ``i1..ik, n`` for the sets seen in a task.
     """
     blocks, bit_rows, batches_of = _helpers(n_items)
@@ -146,9 +147,14 @@ def candidate_counter(candidates, n_items: int, k: int) -> BatchFunction:
             rows = max(1, (1 << 17) // bits.shape[1])  # about 1 MB of bit rows at a time
             for lo in range(0, len(sets), rows):
                 part = sets[lo : lo + rows]
-                common = bits[part[:, 0]]
-                for j in range(1, k):
-                    common &= bits[part[:, j]]
+                new_head = np.ones(len(part), bool)
+                new_head[1:] = (part[1:, :-1] != part[:-1, :-1]).any(axis=1)
+                heads = part[new_head]
+                common = bits[heads[:, 0]]
+                for j in range(1, k - 1):
+                    common &= bits[heads[:, j]]
+                common = common[np.cumsum(new_head) - 1]
+                common &= bits[part[:, -1]]
                 total[lo : lo + rows] += np.bitwise_count(common).sum(axis=1, dtype=np.int64)
         seen = np.flatnonzero(total)
         yield from batches_of([sets[seen, j] for j in range(k)], total[seen])

@@ -128,9 +128,10 @@ def test_large_batches_are_cut(monkeypatch):
 
 
 @settings(deadline=None)
-@given(baskets, st.integers(2, 4), st.integers(0, 3))
-def test_candidates(rows, k, skip):
-    sets = list(combinations(range(10), k))[::3]
+@given(baskets, st.integers(2, 4), st.integers(0, 3), st.randoms())
+def test_candidates(rows, k, skip, random):
+    sets = list(combinations(range(10), k))
+    sets = random.sample(sets, len(sets) // 2)  # order helps speed only
     shipped = SimpleNamespace(value=np.array(sets, np.int32))
     got = totals(bitmaps.candidate_counter(shipped, 10, k)(iter([batch(rows, skip)])), k)
     assert got == {s: n for s, n in truth(rows, k).items() if s in set(sets)}
