@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import fingerprints
+from basketry.llm import fingerprints, neardup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +15,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_fast_sketch_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op6_fast_sketch_neardup": op6_fast_sketch_neardup,
     "op9_quartile_fingerprints": op9_quartile_fingerprints,
 }
 
