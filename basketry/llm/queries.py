@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketry.llm import fingerprints, neardup
+from basketry.llm import fingerprints, neardup, secrets, warc
+from basketry.session import new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +17,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    versions = documents.select(F.col("doc_id").alias("path"), F.lit(0).alias("version"), "text")
+    addressed, findings = secrets.scan_versions(versions, new_table_path(spark))
+    kinds = tuple(r.kind for r in secrets.BASE)
+    return secrets.span_digests(secrets.spans_by_version(addressed, findings, kinds))
+
+
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.deduplicate_pages(_table(spark, sf_dir, "pages"))
+
+
 def op6_fast_sketch_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -24,6 +38,8 @@ def op9_quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_blob_ledger_secrets": op3_blob_ledger_secrets,
+    "op4_warc_revisits": op4_warc_revisits,
     "op6_fast_sketch_neardup": op6_fast_sketch_neardup,
     "op9_quartile_fingerprints": op9_quartile_fingerprints,
 }
