@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import fingerprints, neardup, secrets, warc
+from basketry.llm import fingerprints, linedup, mixing, neardup, secrets, sharding, warc
 from basketry.session import new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_sizes(_table(spark, sf_dir, "documents"))
+
+
 def op3_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     versions = documents.select(F.col("doc_id").alias("path"), F.lit(0).alias("version"), "text")
@@ -29,19 +33,34 @@ def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.deduplicate_pages(_table(spark, sf_dir, "pages"))
 
 
+def op5_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linedup.remove_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("cleaned_sha256"))
+
+
 def op6_fast_sketch_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_systematic_mix": op2_systematic_mix,
     "op3_blob_ledger_secrets": op3_blob_ledger_secrets,
     "op4_warc_revisits": op4_warc_revisits,
+    "op5_line_windows": op5_line_windows,
     "op6_fast_sketch_neardup": op6_fast_sketch_neardup,
+    "op7_best_fit_shards": op7_best_fit_shards,
     "op9_quartile_fingerprints": op9_quartile_fingerprints,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_systematic_mix": mixing.ORACLE,
+    "op5_line_windows": linedup.ORACLE,
+}
