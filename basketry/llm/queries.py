@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import fingerprints, linedup, mixing, neardup, secrets, sharding, warc
+from basketry.llm import fingerprints, linedup, mixing, neardup, secrets, sharding, warc, weaklabels
 from basketry.session import new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op9_quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
+def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weaklabels.classify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_systematic_mix": op2_systematic_mix,
     "op3_blob_ledger_secrets": op3_blob_ledger_secrets,
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op6_fast_sketch_neardup": op6_fast_sketch_neardup,
     "op7_best_fit_shards": op7_best_fit_shards,
     "op9_quartile_fingerprints": op9_quartile_fingerprints,
+    "op10_weak_label_quality": op10_weak_label_quality,
 }
 
 ORACLES: dict[str, str] = {
