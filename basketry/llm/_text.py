@@ -51,12 +51,14 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every run of bytes that are not white space (space, tab to carriage return)."""
+def word_bounds(
+    data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every run of bytes that are not ``outside`` (white space: space, tab to carriage return)."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~_SPACE[data]
+    inside = ~outside[data]
     begins, finishes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     finishes[:-1] &= ~inside[1:]

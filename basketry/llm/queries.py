@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import fingerprints, linedup, mixing, neardup, secrets, sharding, warc, weaklabels
+from basketry.llm import decontaminate, fingerprints, linedup, mixing, neardup, secrets, sharding, warc, weaklabels
 from basketry.session import new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op7_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op5_line_windows": op5_line_windows,
     "op6_fast_sketch_neardup": op6_fast_sketch_neardup,
     "op7_best_fit_shards": op7_best_fit_shards,
+    "op8_latent_decontamination": op8_latent_decontamination,
     "op9_quartile_fingerprints": op9_quartile_fingerprints,
     "op10_weak_label_quality": op10_weak_label_quality,
 }
