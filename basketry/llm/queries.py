@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, fingerprints, linedup, mixing, neardup, secrets, sharding, warc, weaklabels
+from basketry.llm import decontaminate, fingerprints, linedup, mixing, neardup, secrets, sharding, tokens, warc, weaklabels
 from basketry.session import new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """Path of the tokenizer file that the token queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_context_mixed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.tokenize(_table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op2_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +70,7 @@ def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_context_mixed_tokens": op1_context_mixed_tokens,
     "op2_systematic_mix": op2_systematic_mix,
     "op3_blob_ledger_secrets": op3_blob_ledger_secrets,
     "op4_warc_revisits": op4_warc_revisits,
