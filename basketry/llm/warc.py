@@ -93,44 +93,38 @@ def _number(text: str | None) -> int | None:
     return None if text is None else int(text)
 
 
-def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
-    """The records' headers, with their payloads if asked for; a response's digest is taken from its payload."""
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(f"{folder}/*.gz").select("path", "content")
+
+
+def read_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """The records' headers; a response's length and digest are taken from its payload."""
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
-                rows, held = [], 0
+                rows = []
                 for at, (fields, payload) in enumerate(parse(content)):
                     found = fields["WARC-Type"] == "response"
-                    row = (
-                        path,
-                        at,
-                        fields["WARC-Record-ID"],
-                        fields["WARC-Type"],
-                        _number(fields.get("Page-ID")),
-                        fields.get("WARC-Target-URI"),
-                        fields.get("WARC-Refers-To"),
-                        _number(fields.get("Refers-To-Page-ID")),
-                        len(payload) if found else None,
-                        base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                        if found and not payloads
-                        else fields.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None,
+                    digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+                    rows.append(
+                        (
+                            path,
+                            at,
+                            fields["WARC-Record-ID"],
+                            fields["WARC-Type"],
+                            _number(fields.get("Page-ID")),
+                            fields.get("WARC-Target-URI"),
+                            fields.get("WARC-Refers-To"),
+                            _number(fields.get("Refers-To-Page-ID")),
+                            len(payload) if found else None,
+                            digest if found else fields["WARC-Payload-Digest"].removeprefix("sha1:"),
+                        )
                     )
-                    rows.append((*row, payload.decode("utf-8", "replace")) if payloads else row)
-                    held += len(payload) if payloads else 200
-                    if held > 4 << 20:
-                        yield _frame(rows)
-                        rows, held = [], 0
-                yield _frame(rows)
-
-    names = [*_NAMES, "payload"] if payloads else _NAMES
+                whole = {k: "Int64" for k in ("at", "page_id", "refers_to", "payload_bytes")}
+                yield pd.DataFrame(rows, columns=_NAMES).astype(whole)
 
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        whole = {k: "Int64" for k in ("at", "page_id", "refers_to", "payload_bytes")}
-        return pd.DataFrame(rows, columns=names).astype(whole)
-
-    files = spark.read.format("binaryFile").load(f"{folder}/*.gz").select("path", "content")
-    return files.mapInPandas(records, _HEADERS + (", payload string" if payloads else ""))
+    return _files(spark, folder).mapInPandas(records, _HEADERS)
 
 
 def archive_pages(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z") -> None:
@@ -174,16 +168,40 @@ def resolve_revisits(headers: DataFrame, least_bytes: int = 0) -> DataFrame:
     )
 
 
-def write_resolved(archives: DataFrame, resolved: DataFrame, folder: str, date: str) -> None:
-    """Write ``archives`` (with payloads) anew: fresh headers, payloads of responses only."""
-    payloads = archives.select("file", "at", "payload")
-    kept = F.when(F.col("record_type") == "response", F.col("payload")).otherwise("")
+def write_resolved(spark: SparkSession, crawl: str, resolved: DataFrame, folder: str, date: str) -> None:
+    """Write the archives of ``crawl`` anew: fresh headers, payloads of responses only.
+
+    Decisions meet their records file by file, as lists of ``RECORDS_PER_FILE`` at most, so the shuffle carries
+    compressed archives and not payloads.
+    """
+    names = ["at", "page_id", "url", "fresh_id", "record_type", "payload_digest", "refers_to_id", "refers_to"]
+    decided = resolved.groupBy("file").agg(F.array_sort(F.collect_list(F.struct(*names))).alias("decided"))
+    fields = ", ".join(f"{n} {resolved.schema[n].dataType.simpleString()}" for n in names)
+
+    def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def frame(rows: list[tuple]) -> pd.DataFrame:
+            whole = {k: "Int64" for k in ("at", "page_id", "refers_to")}
+            return pd.DataFrame(rows, columns=[*names, "payload"]).astype(whole)
+
+        for batch in batches:
+            for content, decisions in zip(batch["content"], batch["decided"], strict=True):
+                rows, held = [], 0
+                for (_, payload), decision in zip(parse(content), decisions, strict=True):
+                    kept = payload if decision["record_type"] == "response" else b""
+                    rows.append((*[decision[n] for n in names], kept.decode("utf-8", "replace")))
+                    held += len(kept)
+                    if held > 4 << 20:
+                        yield frame(rows)
+                        rows, held = [], 0
+                yield frame(rows)
+
+    files = _files(spark, crawl).join(decided, F.col("path") == F.col("file")).select("content", "decided")
     revisit = F.col("record_type") == "revisit"
     value = record(
         F.col("record_type"),
         F.col("fresh_id"),
         date,
-        F.concat(F.lit(_HTTP), kept),
+        F.concat(F.lit(_HTTP), F.col("payload")),
         WARC_Target_URI=F.col("url"),
         Page_ID=F.col("page_id").cast("string"),
         WARC_Payload_Digest=F.concat(F.lit("sha1:"), F.col("payload_digest")),
@@ -191,7 +209,7 @@ def write_resolved(archives: DataFrame, resolved: DataFrame, folder: str, date:
         WARC_Refers_To=F.col("refers_to_id"),
         Refers_To_Page_ID=F.col("refers_to").cast("string"),
     )
-    write_archives(resolved.join(payloads, ["file", "at"]).select(value.alias("value")), folder)
+    write_archives(files.mapInPandas(rewrite, f"{fields}, payload string").select(value.alias("value")), folder)
 
 
 def deduplicate_pages(
@@ -203,7 +221,7 @@ def deduplicate_pages(
     archive_pages(pages, crawl, date)
     headers = materialize(read_archives(spark, crawl))
     resolved = materialize(resolve_revisits(headers, least_bytes))
-    write_resolved(read_archives(spark, crawl, payloads=True), resolved, folder, date)
+    write_resolved(spark, crawl, resolved, folder, date)
     records = materialize(read_archives(spark, folder))
     responses = records.where("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_id"), F.col("payload_bytes").alias("full")
