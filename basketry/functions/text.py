@@ -55,9 +55,31 @@ def safe_count(col: Column) -> Column:
 
 
 def fixed(col: Column, digits: int) -> Column:
-    """``digits`` decimals, ties to even on the binary value, no thousands separator."""
-    pattern = "0." + "0" * digits if digits else "0"
-    return F.call_function("format_number", safe_double(col), F.lit(pattern))
+    """``digits`` decimals as C prints them: the binary value decides ties, no thousands separator.
+
+    Exact for values whose scaled size stays below 2^52; beyond, doubles have no decimals to settle and the
+    shortest decimal text is filled with zeros. Infinity is ``inf``, no number ``nan``.
+    """
+    x, scale = F.abs(safe_double(col)), float(10**digits)
+    product = x * scale
+    # what the product lost in rounding, exactly: both factors are split in halves of 26 bits
+    split = x * 134217729.0
+    high = split - (split - x)
+    low = x - high
+    scale_high = scale * 134217729.0 - (scale * 134217729.0 - scale)
+    lost = ((high * scale_high - product) + high * (scale - scale_high) + low * scale_high) + low * (
+        scale - scale_high
+    )
+    whole = F.rint(product)
+    beside = product - whole
+    whole = F.when((beside == 0.5) & (lost > 0), whole + 1).when((beside == -0.5) & (lost < 0), whole - 1).otherwise(whole)
+    number = F.when(product < float(1 << 52), whole.cast("decimal(38,0)").cast("string"))
+    number = F.lpad(number, F.greatest(F.length(number), F.lit(digits + 1)), F.lit("0"))
+    text = F.concat(F.substring(number, F.lit(1), F.length(number) - digits), F.lit("." if digits else ""), F.right(number, F.lit(digits)))
+    large = F.call_function("format_number", x, F.lit("0." + "0" * digits if digits else "0"))
+    sign = F.when(safe_double(col).cast("string").startswith("-"), "-").otherwise("")
+    number = F.when(x == float("inf"), "inf").otherwise(F.coalesce(text, large))
+    return F.when(F.isnan(x), "nan").otherwise(F.concat(sign, number))
 
 
 def percent(col: Column) -> Column:

@@ -7,7 +7,7 @@ import pytest
 
 from basketry import session
 from basketry.sources import files
-from basketry.sources.columns import require_columns, resolve_column
+from basketry.sources.columns import require_columns, resolve_roles
 
 
 def test_csv_is_read_as_text(spark, tmp_path):
@@ -54,11 +54,12 @@ def test_profile_and_preview(spark, capsys):
 def test_columns(spark):
     df = spark.createDataFrame([(1, 2)], "a int, c int")
     assert require_columns(df, ["a"]) is df
-    with pytest.raises(ValueError, match=r"Missing required columns: \['b', 'd'\]"):
+    with pytest.raises(ValueError, match="lacks b, d; it has a, c"):
         require_columns(df, ["d", "b", "a"])
-    assert resolve_column(df, ["b", "c"], "x") == "c"
-    with pytest.raises(ValueError, match="Missing x column: expected one of b, d"):
-        resolve_column(df, ["b", "d"], "x")
+    accepted = {"x": ["b", "c", "a"], "y": ["d"], "z": ["e", "f"]}
+    assert resolve_roles(df, ["x"], accepted) == {"x": "c"}
+    with pytest.raises(ValueError, match="no column for y \\(d\\); z \\(e / f\\)"):
+        resolve_roles(df, ["x", "y", "z"], accepted)
 
 
 def test_intermediate_tables_go_to_the_configured_folder(spark):
