@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
@@ -45,10 +46,22 @@ def build_baskets(lines: DataFrame) -> DataFrame:
 
 def dataset_counts(lines: DataFrame) -> DataFrame:
     """One row: transactions and distinct items of the cleaned lines."""
-    return lines.agg(
-        F.count_distinct("basket_id").alias("n_transactions"),
-        F.count_distinct("item").alias("n_items"),
-    )
+    return distinct_counts(lines, {"n_transactions": "basket_id", "n_items": "item"})
+
+
+def distinct_counts(lines: DataFrame, names: dict[str, str]) -> DataFrame:
+    """One row with the number of distinct values of each column, under the given names.
+
+    Each column is counted on its own and the single rows are put together; counted in one aggregate, every
+    line would be shuffled once for each column.
+    """
+    rows = [
+        lines.select(F.col(column).alias("value"))
+        .distinct()
+        .agg(*[(F.count("value") if n == name else F.lit(None).cast("long")).alias(n) for n in names])
+        for name, column in names.items()
+    ]
+    return reduce(DataFrame.unionByName, rows).agg(*[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in names])
 
 
 @dataclass(frozen=True)
@@ -121,6 +134,16 @@ class EncodedBaskets:
     min_count: int
 
 
+def restrict(encoded: EncodedBaskets, min_count: int) -> EncodedBaskets:
+    """The same baskets for a higher threshold: ids run by count, so its items are the first ids. No shuffle."""
+    dictionary = encoded.dictionary.filter(F.col("count") >= min_count)
+    n_items = dictionary.count()
+    items = F.filter("items", lambda item: item < n_items)
+    baskets = encoded.baskets.select(items.alias("items")).select("items", F.size("items").alias("n_basket_items"))
+    baskets = baskets.filter(F.col("n_basket_items") >= 2)
+    return EncodedBaskets(baskets, dictionary, n_items, encoded.n, min_count)
+
+
 def encode_items(pairs: DataFrame, dictionary: DataFrame) -> DataFrame:
     """``(basket_id, item)`` to ``(basket_id, id)``; items outside the dictionary fall away."""
     return pairs.join(dictionary.select("item", "id"), "item").select("basket_id", "id")

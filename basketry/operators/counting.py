@@ -1,87 +1,80 @@
-"""How often each candidate occurs: one scan of the trimmed baskets, partial sums, one small shuffle."""
+"""How often each candidate occurs: partial sums inside tasks, one small shuffle of sums."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.bitmaps import candidate_counter, pair_counter
+from basketry.functions.bitmaps import group_counter, pair_counter
 from basketry.operators.baskets import EncodedBaskets
 from basketry.operators.candidates import positions
-from basketry.session import materialize_counted
+from basketry.session import discard, materialize, materialize_counted
 
-# Candidates sent to the workers at a time (64 MB at k = 4). Larger tables are counted in several
-# scans, each with its own share, so the bound limits memory and never the result.
-SHIPPED_CANDIDATES = 4_000_000
-
-
-def _scan(encoded: EncodedBaskets, k: int, counter) -> DataFrame:
-    """Baskets too short for a k-set never leave the JVM."""
-    schema = ", ".join(f"{c} int" for c in positions(k)) + ", n bigint"
-    return (
-        encoded.baskets.filter(F.col("n_basket_items") >= k)
-        .select("items")
-        .mapInArrow(counter, schema)
-    )
+# Baskets that a group holds on average; an item in more baskets is counted in several groups.
+BASKETS_PER_GROUP = 16_384
 
 
 def _total(partial: DataFrame, k: int) -> DataFrame:
     return partial.groupBy(*positions(k)).agg(F.sum("n").alias("count"))
 
 
-def count_pairs(encoded: EncodedBaskets) -> DataFrame:
-    """``i1, i2, count`` of every pair that occurs together at least once."""
-    return _total(_scan(encoded, 2, pair_counter(encoded.n_items)), 2)
+def _schema(k: int) -> str:
+    return ", ".join(f"{c} int" for c in positions(k)) + ", n bigint"
 
 
-def _collect_sets(candidates: DataFrame, k: int) -> np.ndarray:
-    """The candidates as an array, sorted per partition so that those sharing a head stand together."""
-    table = candidates.select(*positions(k)).sortWithinPartitions(*positions(k)).toArrow()
-    return np.column_stack([table.column(c).to_numpy() for c in positions(k)]).astype(np.int32)
+def count_pairs(encoded: EncodedBaskets) -> DataFrame:
+    """``i1, i2, count`` of every pair that occurs together at least once: one scan of the baskets."""
+    items = encoded.baskets.filter(F.col("n_basket_items") >= 2).select("items")
+    return _total(items.mapInArrow(pair_counter(encoded.n_items), _schema(2)), 2)
 
 
 @dataclass(frozen=True)
 class Counted:
     """``table``: ``i1..ik, count``, written, ``n_rows`` of them; counted out of ``n_candidates``."""
 
-    table: DataFrame | None
+    table: DataFrame
     n_rows: int
     n_candidates: int
 
 
 def count_candidates(
-    encoded: EncodedBaskets, candidates: DataFrame, k: int, at_most: int, min_count: int = 1
+    encoded: EncodedBaskets, candidates: DataFrame, k: int, min_count: int = 1
 ) -> Counted:
-    """Count any set of candidates and keep those that occur ``min_count`` times.
+    """Count any set of candidates (k of 3 and above) and keep those that occur ``min_count`` times.
 
-    ``at_most`` is an upper bound of their number. Where it exceeds what may be shipped, the candidates
-    are written first and their true number decides in how many shares they go out.
+    Each candidate is counted where its last, its rarest item is: a basket sends the items before that one to
+    the item's group, and only to items that end a candidate. Ids run from the most to the least frequent
+    item, so lists grow as groups shrink; what a group costs are its candidates and its own baskets. An item in
+    many baskets is spread over several groups, each with its candidates. Nothing passes the driver but row
+    counts.
     """
-    shares = [candidates]
-    if at_most > SHIPPED_CANDIDATES:
-        candidates, at_most = materialize_counted(candidates)
-        if at_most > SHIPPED_CANDIDATES:
-            # aim at half the bound: hashed shares of millions differ by far less than that
-            n_shares = -(-2 * at_most // SHIPPED_CANDIDATES)
-            share = F.pmod(F.xxhash64(*positions(k)), F.lit(n_shares))
-            shares = [candidates.filter(share == s) for s in range(n_shares)]
-    tables, n_rows, n_candidates = [], 0, 0
-    for part in shares:
-        sets = _collect_sets(part, k)
-        if not len(sets):
-            continue
-        n_candidates += len(sets)
-        shipped = candidates.sparkSession.sparkContext.broadcast(sets)
-        counts = _total(_scan(encoded, k, candidate_counter(shipped, encoded.n_items, k)), k)
-        table, size = frequent(counts, min_count)
-        shipped.destroy()  # one share at a time, on the driver and on the workers
-        tables.append(table)
-        n_rows += size
-    return Counted(reduce(DataFrame.unionByName, tables) if tables else None, n_rows, n_candidates)
+    candidates, n_candidates = materialize_counted(candidates.select(*positions(k)))
+    last = positions(k)[-1]
+    shares = F.ceil(F.col("count") / BASKETS_PER_GROUP).cast("int")
+    ends = encoded.dictionary.select(F.col("id").alias(last), shares.alias("shares"))
+    ends = materialize(ends.join(candidates.select(last).distinct(), last, "left_semi"))
+    # the baskets are a written table, so a repeated task numbers its rows alike
+    number = F.xxhash64(F.monotonically_increasing_id())
+    tails = (
+        encoded.baskets.filter(F.col("n_basket_items") >= k)
+        .select(number.alias("number"), "items", F.posexplode("items").alias("at", last))
+        .filter(F.col("at") >= k - 1)
+        .join(ends, last)
+        .select(last, F.pmod("number", "shares").cast("int").alias("share"), F.slice("items", 1, F.col("at")).alias("head"))
+    )
+    sets = candidates.join(ends, last).select(
+        *positions(k), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
+    )
+    partial = (
+        tails.groupBy(last, "share")
+        .cogroup(sets.groupBy(last, "share"))
+        .applyInArrow(group_counter(k), _schema(k))
+    )
+    table, n_rows = frequent(_total(partial, k), min_count)
+    discard(candidates, ends)
+    return Counted(table, n_rows, n_candidates)
 
 
 def frequent(counts: DataFrame, min_count: int) -> tuple[DataFrame, int]:

@@ -25,20 +25,20 @@ from basketry.operators.candidates import (
 from basketry.operators.counting import count_candidates, count_pairs, frequent
 from basketry.session import discard, materialize
 
-DEFAULT_MAX_K = 10  # fixed value: the published default depth
-
 
 @dataclass(frozen=True)
 class MiningResult:
     """``itemsets``: ``k, itemset, itemset_text, count, support``, every level in one table.
 
     ``candidates``: number of candidates per level, the last entry being 0 when nothing was left to try.
+    ``cut_off``: a given depth ended the run although longer sets may be frequent.
     """
 
     itemsets: DataFrame
     candidates: dict[int, int]
     n: int
     min_count: int
+    cut_off: bool = False
 
 
 def _as_list(level: DataFrame, k: int) -> DataFrame:
@@ -56,9 +56,10 @@ def _finish(decoded: DataFrame, n: int) -> DataFrame:
 
 
 def mine_levels(
-    encoded: EncodedBaskets, max_k: int | None = DEFAULT_MAX_K
-) -> tuple[dict[int, DataFrame], dict[int, int]]:
-    """Frequent sets per level in encoded form, and the number of candidates tried per level.
+    encoded: EncodedBaskets, max_k: int | None = None
+) -> tuple[dict[int, DataFrame], dict[int, int], bool]:
+    """Frequent sets per level in encoded form, the number of candidates tried per level, and whether ``max_k``
+    ended the loop with sets left to try.
 
     Every level is one scan of the trimmed baskets and ends in a written table, so the plan stays flat
     and a lost executor costs at most the running level. Only row counts steer the loop.
@@ -73,34 +74,34 @@ def mine_levels(
             tried[k] = encoded.n_items * (encoded.n_items - 1) // 2
             found, n_frequent = frequent(count_pairs(encoded), encoded.min_count)
         else:
-            # each candidate is a frequent set of the level below plus one item
-            counted = count_candidates(
-                encoded,
-                join_candidates(levels[k - 1], k),
-                k,
-                at_most=n_frequent * encoded.n_items,
-                min_count=encoded.min_count,
-            )
+            counted = count_candidates(encoded, join_candidates(levels[k - 1], k), k, encoded.min_count)
             tried[k], found, n_frequent = counted.n_candidates, counted.table, counted.n_rows
         if not n_frequent:
-            return levels, tried
+            return levels, tried, False
         levels[k] = found
     if encoded.n_items and (max_k is None or k < max_k):
         tried[k + 1] = 0
-    return levels, tried
+    return levels, tried, n_frequent > k
 
 
 def mine_itemsets(
-    tx: Transactions, min_count: int, max_k: int | None = DEFAULT_MAX_K
+    tx: Transactions, min_count: int, max_k: int | None = None
 ) -> MiningResult:
-    """All frequent itemsets of up to ``max_k`` items (``None``: no limit); empty when no item is."""
+    """All frequent itemsets, or those of up to ``max_k`` items; empty when no item is."""
     encoded = encode_baskets(tx, min_count)
-    levels, tried = mine_levels(encoded, max_k)
+    result = mine_encoded(encoded, max_k)
+    discard(encoded.baskets)
+    return result
+
+
+def mine_encoded(encoded: EncodedBaskets, max_k: int | None = None) -> MiningResult:
+    """:func:`mine_itemsets` on baskets that are encoded already and are kept."""
+    levels, tried, cut_off = mine_levels(encoded, max_k)
     tall = reduce(DataFrame.unionByName, [_as_list(df, k) for k, df in levels.items()])
-    itemsets = materialize(_finish(decode_itemsets(tall, encoded.dictionary), tx.n))
-    # the result stands on its own now; the encoded copies, by far the largest tables, can go
-    discard(encoded.baskets, *(df for k, df in levels.items() if k > 1))
-    return MiningResult(itemsets, tried, tx.n, min_count)
+    itemsets = materialize(_finish(decode_itemsets(tall, encoded.dictionary), encoded.n))
+    # the result stands on its own now
+    discard(*(df for k, df in levels.items() if k > 1))
+    return MiningResult(itemsets, tried, encoded.n, encoded.min_count, cut_off)
 
 
 def level_funnel(result: MiningResult) -> DataFrame:
@@ -130,8 +131,8 @@ def run_totals(result: MiningResult) -> DataFrame:
 class LevelSteps:
     """The stepwise tables: candidates and survivors of levels 1 to 3.
 
-    ``c2`` holds every pair of frequent items and ``c3`` every three-item union of two frequent pairs,
-    both with a count that may be 0. Each table is lazy except for what counting had to write.
+    ``c2`` holds every pair of frequent items that occurs, ``c3`` every three-item union of two frequent pairs with
+    a count that may be 0. Each table is lazy except for what counting had to write.
     """
 
     c1: DataFrame
@@ -158,40 +159,47 @@ def item_levels(tx: Transactions, min_count: int) -> tuple[DataFrame, DataFrame,
     return c1, c1.filter(enough), c1.filter(~enough).select("itemset", "itemset_text", "count")
 
 
-def candidate_level(
-    encoded: EncodedBaskets, candidates: DataFrame, counts: DataFrame, k: int
-) -> DataFrame:
-    """Candidates with their counts, 0 where a candidate never occurs."""
-    counted = candidates.join(counts, positions(k), "left").withColumn(
-        "count", F.coalesce("count", F.lit(0)).cast("long")
-    )
+def _shown(encoded: EncodedBaskets, counted: DataFrame, k: int) -> DataFrame:
     decoded = decode_itemsets(_as_list(counted, k), encoded.dictionary)
     return _by_count(_finish(decoded, encoded.n).drop("k"))
 
 
-def pair_level(encoded: EncodedBaskets) -> tuple[DataFrame, DataFrame]:
-    """C2 and the encoded L2."""
+def pair_level(encoded: EncodedBaskets, absent: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """C2 and L2 as shown, and the encoded L2.
+
+    C2 lists the pairs that occur. ``absent`` adds the others with a count of 0: as many rows as there are
+    pairs of frequent items.
+    """
     counts = materialize(count_pairs(encoded))
-    c2 = candidate_level(encoded, pair_candidates(encoded.dictionary, encoded.n_items), counts, 2)
-    return c2, counts.filter(F.col("count") >= encoded.min_count)
+    level2 = counts.filter(F.col("count") >= encoded.min_count)
+    shown = counts
+    if absent:
+        pairs = pair_candidates(encoded.dictionary, encoded.n_items)
+        shown = pairs.join(counts, positions(2), "left").fillna(0, ["count"])
+    return _shown(encoded, shown, 2), _shown(encoded, level2, 2), level2
 
 
 def triple_level(encoded: EncodedBaskets, level2: DataFrame) -> DataFrame:
-    """C3 from overlapping frequent pairs."""
-    candidates = overlap_candidates(level2)
-    n = encoded.n_items
-    counted = count_candidates(encoded, candidates, 3, at_most=n * (n - 1) * (n - 2) // 6)
-    counts = counted.table
-    if counts is None:
-        counts = candidates.withColumn("count", F.lit(0).cast("long"))
-    return candidate_level(encoded, candidates, counts, 3)
+    """L3: the frequent triples, from the pruned candidates."""
+    counted = count_candidates(encoded, join_candidates(level2, 3), 3, encoded.min_count)
+    return _shown(encoded, counted.table, 3)
+
+
+def overlap_level(encoded: EncodedBaskets, level2: DataFrame) -> DataFrame:
+    """C3 from overlapping frequent pairs, 0 where a triple never occurs.
+
+    The table itself has a row for any two pairs that share an item, so it grows with the square of a best
+    seller's pairs; frequent triples come from :func:`triple_level`.
+    """
+    candidates = materialize(overlap_candidates(level2))
+    counted = count_candidates(encoded, candidates, 3)
+    return _shown(encoded, candidates.join(counted.table, positions(3), "left").fillna(0, ["count"]), 3)
 
 
 def level_steps(tx: Transactions, min_count: int) -> LevelSteps:
     c1, l1, dropped = item_levels(tx, min_count)
     encoded = encode_baskets(tx, min_count)
-    c2, level2 = pair_level(encoded)
-    c3 = triple_level(encoded, level2)
+    c2, l2, level2 = pair_level(encoded)
+    c3, l3 = overlap_level(encoded, level2), triple_level(encoded, level2)
     discard(encoded.baskets)  # everything is counted
-    enough = F.col("count") >= min_count
-    return LevelSteps(c1, l1, dropped, c2, c2.filter(enough), c3, c3.filter(enough))
+    return LevelSteps(c1, l1, dropped, c2, l2, c3, l3)

@@ -146,12 +146,14 @@ def query_rules(
     columns: Sequence[str] | None = None,
     sort_by: str = "confidence",
     descending: bool = True,
-    limit: int = 20,
+    limit: int | None = 20,
 ) -> DataFrame:
     """The rule browser as a query over :func:`library_rules`.
 
     The keyword is literal and case-blind and may occur on either side. Unknown columns are left out;
-    ties in the sort column are settled by the rule itself.
+    ties in the sort column are settled by the rule itself. An unknown sort column means the default order,
+    confidence from high to low, and a limit of ``None`` all rules: their number beside that of a limited
+    call is what a browser shows as shown and total.
     """
     view = rules.filter((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift))
     term = keyword.strip().lower()
@@ -159,13 +161,14 @@ def query_rules(
         view = view.filter(
             F.lower("antecedents").contains(term) | F.lower("consequents").contains(term)
         )
-    if sort_by in rules.columns:
-        key = F.col(f"`{sort_by}`")
-        view = view.orderBy(
-            key.desc() if descending else key.asc(), F.asc("antecedents"), F.asc("consequents")
-        )
+    if sort_by not in rules.columns:
+        sort_by, descending = "confidence", True
+    key = F.col(f"`{sort_by}`")
+    view = view.orderBy(key.desc() if descending else key.asc(), F.asc("antecedents"), F.asc("consequents"))
     chosen = [c for c in (columns or BROWSER_COLUMNS) if c in rules.columns] or list(BROWSER_FALLBACK)
-    return view.limit(limit).select(*[F.col(f"`{c}`") for c in chosen])
+    if limit is not None:
+        view = view.limit(limit)
+    return view.select(*[F.col(f"`{c}`") for c in chosen])
 
 
 def is_valuable() -> Column:

@@ -42,6 +42,6 @@ def top_rules_by_confidence(rules: DataFrame, n: int = TOP_RULES) -> DataFrame:
     return rules.orderBy(F.desc("confidence"), F.asc("antecedents"), F.asc("consequents")).limit(n)
 
 
-def display_rows(table: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """What a shown table is cut to: never more than five rows."""
-    return table.limit(DISPLAY_ROWS if max_rows is None else min(max_rows, DISPLAY_ROWS))
+def display_rows(table: DataFrame, max_rows: int = DISPLAY_ROWS) -> DataFrame:
+    """The first rows of a shown table."""
+    return table.limit(max_rows)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.operators.baskets import distinct_counts
+
 
 def summary_metrics(
     kept_lines: DataFrame, lines: DataFrame, itemsets: DataFrame, rules: DataFrame
@@ -26,9 +28,9 @@ def summary_metrics(
         metric(kept_lines, rows=F.count(F.lit(1)), columns=F.lit(len(kept_lines.columns)))
         .unionByName(
             metric(
-                lines,
-                transactions=F.count_distinct("basket_id"),
-                unique_items=F.count_distinct("item"),
+                distinct_counts(lines, {"transactions": "basket_id", "unique_items": "item"}),
+                transactions=F.max("transactions"),
+                unique_items=F.max("unique_items"),
             )
         )
         .unionByName(

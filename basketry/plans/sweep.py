@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from basketry.functions.text import REPORT_SEPARATOR
 from basketry.functions.thresholds import absolute_support, absolute_support_column
-from basketry.operators.baskets import Transactions
-from basketry.operators.itemsets import mine_itemsets
+from basketry.operators.baskets import Transactions, encode_baskets, restrict
+from basketry.operators.itemsets import mine_encoded, mine_itemsets
 from basketry.operators.rules import generate_rules, is_valuable, rank_order
 from basketry.operators.topn import TOP_ITEMS, TOP_RULES, top_per_group
-from basketry.session import materialize
+from basketry.session import discard, materialize
 
 # The published threshold lists.
 SWEEP_RATIOS = (0.005, 0.01, 0.02, 0.03, 0.05)
@@ -72,7 +72,7 @@ def sweep(
     tx: Transactions,
     ratios: Sequence[float] = SWEEP_RATIOS,
     mode: str = "floor",
-    max_k: int | None = 3,
+    max_k: int | None = None,
 ) -> Sweep:
     rows = [(pos, float(r), absolute_support(tx.n, r, mode)) for pos, r in enumerate(ratios)]
     mined = mine_itemsets(tx, min(count for _, _, count in rows), max_k).itemsets
@@ -82,15 +82,16 @@ def sweep(
     return Sweep(thresholds, mined, _per_threshold(mined, rows), rows)
 
 
-def sweep_summary(result: Sweep) -> DataFrame:
-    """Sets per level and threshold, lowest threshold first; a threshold without any has zeros."""
+def sweep_summary(result: Sweep, levels: Sequence[int] = (1, 2, 3)) -> DataFrame:
+    """Sets per threshold and each of ``levels``, lowest threshold first; a threshold without any has zeros."""
+    columns = {k: f"l{k}_count" for k in levels}
     found = result.itemsets.groupBy("list_pos").agg(
-        *[F.count_if(F.col("k") == k).alias(f"l{k}_count") for k in (1, 2, 3)]
+        *[F.count_if(F.col("k") == k).alias(name) for k, name in columns.items()]
     )
     return (
         result.thresholds.join(found, "list_pos", "left")
-        .fillna(0, ["l1_count", "l2_count", "l3_count"])
-        .select("min_support", "abs_support_count", "l1_count", "l2_count", "l3_count")
+        .fillna(0, [*columns.values()])
+        .select("min_support", "abs_support_count", *columns.values())
         .orderBy("min_support")
     )
 
@@ -103,14 +104,18 @@ def time_thresholds(
     tx: Transactions,
     ratios: Sequence[float] = BENCHMARK_RATIOS,
     mode: str = "ceil",
-    max_k: int | None = 10,
+    max_k: int | None = None,
 ) -> DataFrame:
-    """Mine each threshold on its own and record the wall-clock seconds of each run."""
+    """Mine each threshold on its own and record the wall-clock seconds of each run.
+
+    The baskets are encoded once, for the lowest threshold; each run reads them down to its own items.
+    """
+    counts = [absolute_support(tx.n, ratio, mode) for ratio in ratios]
+    encoded = encode_baskets(tx, min(counts))
     records = []
-    for ratio in ratios:
-        min_count = absolute_support(tx.n, ratio, mode)
+    for ratio, min_count in zip(ratios, counts, strict=True):
         start = perf_counter()
-        itemsets = mine_itemsets(tx, min_count, max_k).itemsets
+        itemsets = mine_encoded(restrict(encoded, min_count), max_k).itemsets
         elapsed = round(perf_counter() - start, 6)
         sets = dict(itemsets.groupBy("k").count().collect())
         first_levels = [sets.get(k, 0) for k in (1, 2, 3)]
@@ -118,6 +123,7 @@ def time_thresholds(
             (float(ratio), min_count, elapsed, *first_levels)
             + (tx.n, max(sets, default=0), sum(sets.values()), sets)
         )
+    discard(encoded.baskets)
     return tx.presence.sparkSession.createDataFrame(
         records,
         "min_support double, abs_support_count bigint, execution_time_sec double, "

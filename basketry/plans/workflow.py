@@ -35,7 +35,7 @@ LIBRARY_CONFIDENCE = 0.3
 
 
 def benchmark(
-    lines: DataFrame, ratios: Sequence[float] = BENCHMARK_RATIOS, max_k: int | None = 10
+    lines: DataFrame, ratios: Sequence[float] = BENCHMARK_RATIOS, max_k: int | None = None
 ) -> DataFrame:
     """Profile A: one timed mining run per ratio over the same transactions."""
     tx = transactions(clean_lines(lines, "A"))
@@ -90,7 +90,7 @@ class SweepTables:
 def threshold_study(lines: DataFrame, ratios: Sequence[float] = SWEEP_RATIOS) -> SweepTables:
     """Profile B, every ratio from one mining run."""
     tx = transactions(clean_lines(lines, "B"))
-    swept = sweep(tx, ratios, "floor")
+    swept = sweep(tx, ratios, "floor", max_k=3)
     tx.release()
     return SweepTables(
         swept,

@@ -1,9 +1,9 @@
 """Thresholds, formatting, and the counting kernels against plain Python."""
 
 from itertools import combinations
-from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -121,23 +121,41 @@ def test_large_batches_are_cut(monkeypatch):
     for weight in (0, 10**9):
         got = list(bitmaps.pair_counter(9, weight)(iter([batch(rows)])))
         assert len(got) > 5 and totals(got, 2) == truth(rows, 2)
-    sets = list(combinations(range(9), 3))
-    shipped = SimpleNamespace(value=np.array(sets, np.int32))
-    got = list(bitmaps.candidate_counter(shipped, 9, 3)(iter([batch(rows)])))
-    assert totals(got, 3) == truth(rows, 3)
 
 
 @settings(deadline=None)
-@given(baskets, st.integers(2, 4), st.integers(0, 3), st.randoms())
-def test_candidates(rows, k, skip, random):
-    sets = list(combinations(range(10), k))
-    sets = random.sample(sets, len(sets) // 2)  # order helps speed only
-    shipped = SimpleNamespace(value=np.array(sets, np.int32))
-    got = totals(bitmaps.candidate_counter(shipped, 10, k)(iter([batch(rows, skip)])), k)
+@given(baskets, st.integers(3, 5), st.randoms())
+def test_candidates_of_one_last_item(rows, k, random):
+    sets = [s for s in combinations(range(10), k) if s[-1] == 7]
+    sets = random.sample(sets, len(sets) // 2)
+    heads = pa.table({"head": pa.array([[i for i in r if i < 7] for r in rows if 7 in r], pa.list_(pa.int32()))})
+    table = pa.table({f"i{j + 1}": pa.array([s[j] for s in sets], pa.int32()) for j in range(k)})
+    got = totals(bitmaps.group_counter(k)(heads, table).to_batches(), k)
     assert got == {s: n for s, n in truth(rows, k).items() if s in set(sets)}
 
 
 def test_empty_batches():
     assert list(bitmaps.pair_counter(3)(iter([batch([])]))) == []
-    shipped = SimpleNamespace(value=np.array([[0, 1, 2]], np.int32))
-    assert list(bitmaps.candidate_counter(shipped, 3, 3)(iter([batch([])]))) == []
+    heads = pa.table({"head": pa.array([], pa.list_(pa.int32()))})
+    sets = pa.table({f"i{j}": pa.array([j], pa.int32()) for j in (1, 2, 3)})
+    assert bitmaps.group_counter(3)(heads, sets).num_rows == 0
+
+
+def test_fixed_prints_like_c(spark):
+    random = np.random.default_rng(5)
+    values = np.concatenate(
+        [
+            random.uniform(-2, 2, 20_000),
+            random.uniform(-1e6, 1e6, 20_000),
+            random.integers(-(10**7), 10**7, 20_000) / 2.0 ** random.integers(0, 12, 20_000),
+            10.0 ** random.uniform(-9, 9, 20_000),
+            random.integers(0, 10**6, 20_000) / 10.0 ** random.integers(0, 7, 20_000),
+            [5e-5, 0.125, 2.5, 0.5, 1.5, -0.00001, -0.0, 0.0, float("inf"), -float("inf"), float("nan"), 1e15, 1e22],
+        ]
+    )
+    df = spark.createDataFrame(pd.DataFrame({"x": values}))
+    for digits in (0, 2, 4, 6):
+        got = df.select("x", text.fixed(F.col("x"), digits).alias("t")).toPandas()
+        want = [f"{x:.{digits}f}" for x in values]
+        wrong = [(x, g, w) for x, g, w in zip(values, got["t"], want, strict=True) if g != w]
+        assert not wrong, wrong[:5]

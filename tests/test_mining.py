@@ -124,11 +124,14 @@ def test_overlap_candidates_are_not_pruned(spark):
 
 
 def test_steps_count_zero_and_infrequent_candidates(spark):
-    """c is never with d; a-b is infrequent although a-b-e is a candidate from a-e and b-e."""
+    """c is never with d; a-b is infrequent although a-b-e is a union of a-e and b-e."""
     lines = [(str(b), i) for b, items in enumerate(["ae", "ae", "be", "be", "abe", "c", "c", "d", "d"]) for i in items]
     steps = its.level_steps(bk.transactions(spark.createDataFrame(lines, LINES)), 2)
     counts = {tuple(r["itemset"]): r["count"] for r in steps.c2.collect()}
-    assert len(counts) == 10 and counts["c", "d"] == 0 and counts["a", "b"] == 1
+    assert counts == {("a", "e"): 3, ("b", "e"): 3, ("a", "b"): 1}
+    encoded = bk.encode_baskets(bk.transactions(spark.createDataFrame(lines, LINES)), 2)
+    every = {tuple(r["itemset"]): r["count"] for r in its.pair_level(encoded, absent=True)[0].collect()}
+    assert len(every) == 10 and every["c", "d"] == 0 and every["a", "b"] == 1
     assert {tuple(r["itemset"]): r["count"] for r in steps.l2.collect()} == {("a", "e"): 3, ("b", "e"): 3}
     assert {tuple(r["itemset"]): r["count"] for r in steps.c3.collect()} == {("a", "b", "e"): 1}
     assert steps.l3.count() == 0
@@ -152,21 +155,16 @@ def test_steps_match_brute_force(spark, seed):
 
 def test_steps_without_any_pair(spark):
     steps = its.level_steps(bk.transactions(spark.createDataFrame([("1", "a"), ("2", "b")], LINES)), 1)
-    assert [r["count"] for r in steps.c2.collect()] == [0]
-    assert steps.l2.count() == steps.c3.count() == steps.l3.count() == 0
+    assert steps.c2.count() == steps.l2.count() == steps.c3.count() == steps.l3.count() == 0
 
 
-def test_many_candidates_go_out_in_shares(spark, monkeypatch):
-    """Beyond the shipping bound the candidates are counted in several scans, with the same result."""
+def test_items_in_many_baskets_are_counted_in_shares(spark, monkeypatch):
+    """An item in more baskets than a group holds is counted in several groups, with the same result."""
     lines = random_lines(9, n_baskets=40, n_items=7)
     df = spark.createDataFrame(lines, LINES)
     want = brute.frequent(lines, 5, 4)
-    shipped = []
-    collect = counting._collect_sets
-    monkeypatch.setattr(counting, "SHIPPED_CANDIDATES", 20)
-    monkeypatch.setattr(counting, "_collect_sets", lambda *a: shipped.append(s := collect(*a)) or s)
+    monkeypatch.setattr(counting, "BASKETS_PER_GROUP", 4)
     assert as_dict(its.mine_itemsets(bk.transactions(df), 5, max_k=4).itemsets) == want
-    assert len(shipped) > 4
     steps = its.level_steps(bk.transactions(df), 5)
     assert {tuple(r["itemset"]): r["count"] for r in steps.l3.collect()} == {
         s: c for s, c in want.items() if len(s) == 3
@@ -215,7 +213,7 @@ def test_baskets_presence_and_counts(spark):
 
 def test_candidate_joins_broadcast_small_levels(spark):
     tx = bk.transactions(spark.createDataFrame(random_lines(11), LINES))
-    levels, _ = its.mine_levels(bk.encode_baskets(tx, 3), max_k=3)
+    levels, _, _ = its.mine_levels(bk.encode_baskets(tx, 3), max_k=3)
     plan = cd.join_candidates(levels[3], 4)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan
@@ -230,3 +228,18 @@ def test_same_result_without_broadcast_joins(spark):
         assert as_dict(result.itemsets) == brute.frequent(lines, 8)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_given_depth_is_reported_when_it_cuts_off(spark, toy_lines):
+    tx = bk.transactions(toy_lines)
+    assert its.mine_itemsets(tx, 2, max_k=2).cut_off
+    assert not its.mine_itemsets(tx, 2).cut_off
+    assert not its.mine_itemsets(tx, 100, max_k=2).cut_off
+
+
+def test_restricted_baskets_mine_alike(spark):
+    lines = random_lines(13)
+    encoded = bk.encode_baskets(bk.transactions(spark.createDataFrame(lines, LINES)), 3)
+    for min_count in (3, 8, 15):
+        found = its.mine_encoded(bk.restrict(encoded, min_count))
+        assert as_dict(found.itemsets) == brute.frequent(lines, min_count)

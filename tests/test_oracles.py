@@ -5,6 +5,8 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.conftest import TESTDATA
+from workloads.oracles import ORACLES
+from workloads.queries import QUERIES
 
 TABLES = "lineitem orders part events"
 SPARK_TO_SQL = {
@@ -14,10 +16,6 @@ SPARK_TO_SQL = {
     "int": "INTEGER",
     "string": "VARCHAR",
 }
-# wall-clock seconds have no SQL
-WITHOUT_SQL = {"slowest_and_fastest"}
-
-
 @pytest.fixture(scope="module")
 def sql():
     connection = duckdb.connect()
@@ -27,16 +25,15 @@ def sql():
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == WITHOUT_SQL
-    assert set(driver.oracle_sql()) <= set(driver.queries())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, sql, name):
-    result = driver.queries()[name](spark, TESTDATA)
+    result = QUERIES[name](spark, TESTDATA)
     columns = sorted(result.columns)
     rows = sorted(repr(tuple(r[c] for c in columns)) for r in result.collect())
-    cursor = sql.execute(driver.oracle_sql()[name])
+    cursor = sql.execute(ORACLES[name])
     types = {d[0]: str(d[1]) for d in cursor.description}
     order = [list(types).index(c) for c in columns]
     assert columns == sorted(types)

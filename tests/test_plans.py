@@ -28,7 +28,7 @@ def tx(spark, lines):
 
 @pytest.fixture(scope="module")
 def swept(tx):
-    return sw.sweep(tx, RATIOS)
+    return sw.sweep(tx, RATIOS, max_k=3)
 
 
 def per_threshold(lines, n):
@@ -153,7 +153,7 @@ def test_level_tables(spark, toy_lines):
 def test_tables_accept_the_usual_names(spark):
     other = spark.createDataFrame([(["b", "a"], "7.9", 0.5)], "Itemset array<string>, qty string, Support double")
     assert tuple(tb.c1_table(other).first()) == ("a, b", 7, "50.00%")
-    with pytest.raises(ValueError, match="Missing count column: expected one of count, Count, frequency"):
+    with pytest.raises(ValueError, match="no column for count"):
         tb.c2_table(other.drop("qty"))
     xy = spark.createDataFrame(
         [("a", "b", 0.12345, 0.7, 1.005)], "X string, Y string, support double, confidence double, lift double"
@@ -162,11 +162,11 @@ def test_tables_accept_the_usual_names(spark):
         "a -> b", "0.1235", "12.35%", "0.7000", "70.00%", "1.00", "strong + useful",
     )
     assert tuple(tb.rules_table(xy).first()) == ("a -> b", "0.7000 (70.00%)")
-    with pytest.raises(ValueError, match="Missing metric column: lift"):
+    with pytest.raises(ValueError, match="lacks lift"):
         tb.rule_summary_table(xy.drop("lift"))
-    with pytest.raises(ValueError, match="Missing antecedent column"):
+    with pytest.raises(ValueError, match="no column for antecedent"):
         tb.rules_table(xy.drop("X"))
-    with pytest.raises(ValueError, match="Missing required columns"):
+    with pytest.raises(ValueError, match="the input lacks"):
         tb.top_rules_table(xy)
 
 
@@ -176,7 +176,7 @@ def test_execution_table(spark):
         "min_support double, abs_support_count long, execution_time_sec double, l1_count long, l2_count long, l3_count long",
     )
     assert tuple(tb.execution_table(runs).first()) == ("0.0050", 103, "1.500000", 3, 2, 1)
-    assert tb.execution_table(runs.drop("execution_time_sec")).first()["Execution Time (s)"] == "0.000000"
+    assert tb.execution_table(runs.drop("execution_time_sec")).first()["Execution Time (s)"] is None
     detail = tb.execution_detail_table(runs)
     assert detail.columns == runs.columns
     assert tuple(detail.first()) == ("0.005", 103, "1.500000", 3, 2, 1)

@@ -126,8 +126,10 @@ USER_5 = mined(USERS, 0.05, depth=5)
 # candidates: every pair of frequent items, every three-item union of two frequent pairs, and the
 # three-item sets all of whose pairs are frequent
 C2 = """, c2 AS (SELECT [x.s[1], y.s[1]] AS s FROM f x JOIN f y ON x.k = 1 AND y.k = 1 AND x.s[1] < y.s[1])"""
-C3 = """, c3 AS (SELECT DISTINCT list_sort(list_distinct(list_concat(x.s, y.s))) AS s
-  FROM f x JOIN f y ON x.k = 2 AND y.k = 2 AND x.s < y.s AND list_has_any(x.s, y.s))"""
+C3 = """, ends AS MATERIALIZED (
+  SELECT s[1] AS shared, s[2] AS other FROM f WHERE k = 2 UNION ALL SELECT s[2], s[1] FROM f WHERE k = 2
+), c3 AS MATERIALIZED (SELECT DISTINCT list_sort([x.shared, x.other, y.other]) AS s
+  FROM ends x JOIN ends y ON x.shared = y.shared AND x.other < y.other)"""
 P3 = """, p3 AS (SELECT [x.s[1], x.s[2], y.s[2]] AS s FROM f x JOIN f y ON x.k = 2 AND y.k = 2
   AND x.s[1] = y.s[1] AND x.s[2] < y.s[2] JOIN f z ON z.k = 2 AND z.s[1] = x.s[2] AND z.s[2] = y.s[2])"""
 
@@ -139,6 +141,10 @@ def counted(candidates: str) -> str:
     )
 
 
+def occurring(candidates: str) -> str:
+    return f"{counted(candidates)} WHERE a.cnt > 0"
+
+
 def sweep(lines: str, ratios, depth: int = 3, mode: str = "floor") -> str:
     """CTEs up to ``h``: thresholds; ``g``: sets per threshold. ``f`` holds the lowest threshold."""
     rows = ", ".join(f"({pos}, CAST({r} AS DOUBLE))" for pos, r in enumerate(ratios))
@@ -208,7 +214,7 @@ FROM (SELECT DISTINCT basket_id, item FROM ({A_TYPE})) GROUP BY basket_id""",
     "c1_items": NAME_5 + LEVEL + " FROM a",
     "l1_items": NAME_5 + LEVEL + " FROM f",
     "l1_dropped": NAME_5 + f" SELECT {text('s')} AS itemset_text, cnt AS \"count\" FROM a, t WHERE cnt < m",
-    "c2_pairs": BRAND_1 + C2 + counted("c2"),
+    "c2_pairs": BRAND_1 + C2 + occurring("c2"),
     "l2_pairs": BRAND_1 + LEVEL + " FROM f WHERE k = 2",
     "candidates_k3": BRAND_1 + P3 + f" SELECT {text('s')} AS itemset_text FROM p3",
     "c3_triples": BRAND_1 + C3 + counted("c3"),
@@ -272,6 +278,11 @@ FROM r WHERE conf >= 0.9 AND lift >= 1.0 ORDER BY leverage, antecedents, consequ
     "threshold_sweep": SWEEP + SUMMARY + " SELECT * FROM y",
     "first_thresholds": SWEEP_SIX + SUMMARY + " SELECT * FROM y ORDER BY min_support LIMIT 5",
     # no SQL for slowest_and_fastest: it reports wall-clock seconds
+    "slowest_and_fastest": SWEEP
+    + SUMMARY
+    + """, e AS (SELECT min_support, CAST(l1_count + l2_count + l3_count AS DOUBLE) AS sec FROM y)
+SELECT (SELECT min_support FROM e ORDER BY sec DESC, min_support LIMIT 1) AS slowest_min_support, max(sec) AS slowest_sec,
+  (SELECT min_support FROM e ORDER BY sec, min_support LIMIT 1) AS fastest_min_support, min(sec) AS fastest_sec FROM e""",
     "timed_thresholds": sweep(A_TYPE, (0.05, 0.02, 0.01, 0.005), 6, "ceil")
     + """ SELECT h.min_support, h.abs_support AS abs_support_count, count(*) FILTER (g.k = 1) AS l1_count,
   count(*) FILTER (g.k = 2) AS l2_count, count(*) FILTER (g.k = 3) AS l3_count, any_value(t.n) AS n_txn,
@@ -318,7 +329,7 @@ UNION ALL SELECT 'avg_lift', coalesce(round_even(avg(lift), 4), 0) FROM z""",
     + f' SELECT {text("s")} AS "Dropped Itemset", cnt AS "Quantity" FROM a, t WHERE cnt < m',
     "table_c2": BRAND_1
     + C2
-    + f' SELECT itemset_text AS itemsets, "count" AS "Count" FROM ({counted("c2")})',
+    + f' SELECT itemset_text AS itemsets, "count" AS "Count" FROM ({occurring("c2")})',
     "table_l2": BRAND_1
     + f' SELECT {text("s")} AS itemsets, cnt AS "Count", {percent("sup")} AS "Support" FROM f WHERE k = 2',
     "table_c3": BRAND_1
@@ -338,10 +349,10 @@ FROM r WHERE k = 3""",
     "table_execution_summary": SWEEP
     + SUMMARY
     + f""" SELECT {fixed('min_support', 4)} AS "Min Support", abs_support_count AS "Abs Support",
-  '0.000000' AS "Execution Time (s)", l1_count AS "L1 Count", l2_count AS "L2 Count", l3_count AS "L3 Count" FROM y""",
+  CAST(NULL AS VARCHAR) AS "Execution Time (s)", l1_count AS "L1 Count", l2_count AS "L2 Count", l3_count AS "L3 Count" FROM y""",
     "report_execution": SWEEP
     + SUMMARY
-    + f""" SELECT {fixed('min_support', 3)} AS min_support, abs_support_count, '0.000000' AS execution_time_sec,
+    + f""" SELECT {fixed('min_support', 3)} AS min_support, abs_support_count, CAST(NULL AS VARCHAR) AS execution_time_sec,
   l1_count, l2_count, l3_count FROM y""",
     "report_top_rules": TYPE_1
     + RULES

@@ -109,8 +109,10 @@ def presence_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def presence_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    types = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-    return bk.presence_matrix(_lines(spark, sf_dir, item=TYPE), types)
+    lines = _lines(spark, sf_dir, item=TYPE)
+    # one column for each item, so their names are needed before the plan
+    types = sorted(row["item"] for row in lines.select("item").distinct().collect())
+    return bk.presence_matrix(lines, types)
 
 
 def threshold_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,8 +122,8 @@ def threshold_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def item_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = _tx(spark, sf_dir, item=BRAND)
-    encoded = bk.encode_baskets(tx, absolute_support(tx.n, 0.01))
-    return encoded.dictionary.select("id", "item", "count")
+    counts = bk.item_counts(tx).filter(F.col("count") >= absolute_support(tx.n, 0.01))
+    return bk.item_dictionary(counts)[0].select("id", "item", "count")
 
 
 def encoded_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,37 +161,34 @@ def _encoded(spark, sf_dir, ratio, item=BRAND) -> bk.EncodedBaskets:
 
 
 def c2_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c2, _ = its.pair_level(_encoded(spark, sf_dir, 0.01))
+    c2, _, _ = its.pair_level(_encoded(spark, sf_dir, 0.01))
     return c2.select("itemset_text", "count", "support")
 
 
 def l2_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = _encoded(spark, sf_dir, 0.01)
-    c2, _ = its.pair_level(encoded)
-    return c2.filter(F.col("count") >= encoded.min_count).select("itemset_text", "count", "support")
+    _, l2, _ = its.pair_level(_encoded(spark, sf_dir, 0.01))
+    return l2.select("itemset_text", "count", "support")
 
 
 def candidates_k3(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = _encoded(spark, sf_dir, 0.01)
-    levels, _ = its.mine_levels(encoded, max_k=2)
+    levels, _, _ = its.mine_levels(encoded, max_k=2)
     triples = cd.join_candidates(levels[2], 3).select(F.array(*cd.positions(3)).alias("items"))
     decoded = bk.decode_itemsets(triples, encoded.dictionary)
     return decoded.select(itemset_text(F.col("itemset")).alias("itemset_text"))
 
 
-def _triples(spark, sf_dir, ratio, item=BRAND):
-    encoded = _encoded(spark, sf_dir, ratio, item)
-    _, level2 = its.pair_level(encoded)
-    return its.triple_level(encoded, level2), encoded.min_count
+def _triples(spark, sf_dir, ratio, level) -> DataFrame:
+    encoded = _encoded(spark, sf_dir, ratio)
+    return level(encoded, its.pair_level(encoded)[2])
 
 
 def c3_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _triples(spark, sf_dir, 0.01)[0].select("itemset_text", "count", "support")
+    return _triples(spark, sf_dir, 0.01, its.overlap_level).select("itemset_text", "count", "support")
 
 
 def l3_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c3, min_count = _triples(spark, sf_dir, 0.002)
-    return c3.filter(F.col("count") >= min_count).select("itemset_text", "count", "support")
+    return _triples(spark, sf_dir, 0.002, its.triple_level).select("itemset_text", "count", "support")
 
 
 def _frequent(ratio, profile="A", item=TYPE, mode="ceil", max_k=10) -> Query:
@@ -262,7 +261,7 @@ def query_rules_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _swept(tx: bk.Transactions, ratios) -> sw.Sweep:
-    result = sw.sweep(tx, ratios, mode="floor")
+    result = sw.sweep(tx, ratios, mode="floor", max_k=3)
     tx.release()
     return result
 
@@ -281,14 +280,17 @@ def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timed_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each published ratio mined on its own; the seconds differ from run to run and are left out."""
-    runs = sw.time_thresholds(_tx(spark, sf_dir, item=TYPE))
+    runs = sw.time_thresholds(_tx(spark, sf_dir, item=TYPE), max_k=10)
     return runs.withColumn("per_k_text", levels_text(F.col("per_k"))).drop(
         "execution_time_sec", "per_k"
     )
 
 
 def slowest_and_fastest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sw.slowest_and_fastest(sw.time_thresholds(_tx(spark, sf_dir, item=TYPE)))
+    """Over a fixed execution table: the number of sets of a threshold stands for its seconds."""
+    counts = sw.sweep_summary(_sweep(spark, sf_dir))
+    total = (F.col("l1_count") + F.col("l2_count") + F.col("l3_count")).cast("double")
+    return sw.slowest_and_fastest(counts.withColumn("execution_time_sec", total))
 
 
 def first_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,7 +363,7 @@ def table_c1(spark, sf_dir):
 
 
 def table_c1_shown(spark, sf_dir):
-    return topn.display_rows(tb.c1_table(_items(spark, sf_dir)[0]), 20)
+    return topn.display_rows(tb.c1_table(_items(spark, sf_dir)[0]), topn.DISPLAY_ROWS)
 
 
 def table_l1_dropped(spark, sf_dir):
@@ -373,18 +375,15 @@ def table_c2(spark, sf_dir):
 
 
 def table_l2(spark, sf_dir):
-    encoded = _encoded(spark, sf_dir, 0.01)
-    c2, _ = its.pair_level(encoded)
-    return tb.frequent_table(c2.filter(F.col("count") >= encoded.min_count))
+    return tb.frequent_table(its.pair_level(_encoded(spark, sf_dir, 0.01))[1])
 
 
 def table_c3(spark, sf_dir):
-    return tb.c3_table(_triples(spark, sf_dir, 0.01)[0])
+    return tb.c3_table(_triples(spark, sf_dir, 0.01, its.overlap_level))
 
 
 def table_l3(spark, sf_dir):
-    c3, min_count = _triples(spark, sf_dir, 0.002)
-    return tb.frequent_table(c3.filter(F.col("count") >= min_count))
+    return tb.frequent_table(_triples(spark, sf_dir, 0.002, its.triple_level))
 
 
 def table_rules_l3(spark, sf_dir):
