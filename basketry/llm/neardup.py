@@ -12,8 +12,9 @@ minima. Bands of 6 of the 192 coordinates make 32 bucket keys: a pair at 0.85 mi
 
 *Groups.* Documents of equal sets are one class from the start. Within a bucket pairs are not written out: members
 are tried against one leader of each bucket, twice, with components formed after each time. Only members of
-different components that still share a bucket are then paired, if the sizes and 384 bits of the sketch (the
-agreement of a pair at 0.85 falls below the bound with 5e-7) allow a link. Every pair is confirmed on the full sets.
+different components that still share a bucket are then paired. Pairs are confirmed on the full sets unless a link is
+ruled out before: by the sizes, by 384 bits of the sketch (the agreement of a pair at 0.85 falls below the bound with
+5e-7), or by maps of 2,048 bits, of which each set only on one side stands for a shingle that the other side lacks.
 
 A null text is empty. Rows of equal id and text give equal rows; of texts that share an id each is a document of its
 own. A null id is larger than all others: it names a component only if no member has an id. An empty table gives
@@ -38,6 +39,7 @@ WORDS = 5
 BINS, ROWS = 192, 6
 #: coordinates whose two bits must agree (of 192): 4.9 standard deviations below the mean at 0.85
 AGREE = 149
+MAP_BITS = 2048
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _WEIGHTS = mix(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 _SEEDS = mix(np.arange(1000, 1000 + 2 * BINS, dtype=np.uint64))
@@ -94,6 +96,13 @@ def _set_key(items: np.ndarray) -> bytes:
     return hashlib.blake2b(items.tobytes(), digest_size=16).digest()
 
 
+def _map(items: np.ndarray) -> np.ndarray:
+    """Which of the 2,048 values of their leading 11 bits the items have."""
+    flags = np.zeros(MAP_BITS, np.uint8)
+    flags[(items >> np.uint64(53)).astype(np.int64)] = 1
+    return np.packbits(flags).view(np.uint64)
+
+
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, parts)])
     values = np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64)
@@ -115,12 +124,13 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(lo, hi - lo),
+                    batch.column("row_hash").slice(lo, hi - lo),
                     pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.binary()),
                     _lists(bands),
                     _lists(bits),
                 ],
-                ["doc_id", "n", "key", "bands", "bits"],
+                ["doc_id", "row_hash", "n", "key", "bands", "bits"],
             )
 
 
@@ -131,11 +141,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = offsets[lo : hi + 1]
             items = list(shingles(data[at[0] : at[-1]], at - at[0]))
             keys = pa.array([_set_key(i) for i in items], pa.binary())
-            yield pa.RecordBatch.from_arrays([keys, _lists(items)], ["key", "items"])
+            maps = _lists([_map(i) for i in items])
+            yield pa.RecordBatch.from_arrays([keys, _lists(items), maps], ["key", "items", "map"])
+
+
+def _only(left: str, right: str) -> Column:
+    """Bits of one map that the other lacks; a loop, as compiled code for every word would be too long to run fast."""
+    lacking = F.zip_with(left, right, lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b))))
+    return F.aggregate(lacking, F.lit(0), lambda total, n: total + n)
 
 
 def _may_link(percent: int) -> Column:
-    """Bounds on a link from the sizes and the sketch bits of two classes x and y."""
+    """Bounds on a link from the sizes, the sketch bits and the maps of two classes x and y."""
     agree = F.lit(0)
     for k in range(BINS // 32):
         # the two bits of a coordinate agree where neither bit of the exclusive or is set
@@ -143,22 +160,58 @@ def _may_link(percent: int) -> Column:
         differ = differ.bitwiseOR(F.shiftright(differ, 1)).bitwiseAND(F.lit(0x5555555555555555))
         agree += F.lit(32) - F.bit_count(differ)
     near = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
-    return near & (agree >= AGREE)
+    only_x, only_y = _only("x.map", "y.map"), _only("y.map", "x.map")
+    most = F.least(F.col("x.n") - only_x, F.col("y.n") - only_y)
+    return near & (agree >= AGREE) & (most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row for each row of ``documents`` (``doc_id``, ``text``)."""
+    placed = components(documents, percent)
+    named = placed.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    out = placed.join(named, "label", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicate(documents: DataFrame, percent: int = 85) -> DataFrame:
+    """One row of each component, that of the smallest id (then of the smallest text hash), with all its columns.
+
+    Texts without words are linked with nothing and all stay.
+    """
+    placed = components(documents, percent)
+    rows = placed.groupBy("label", "doc_id", "row_hash", (F.col("n") > 0).alias("words")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash", "rows")).alias("first")
+    winners = rows.where("words").groupBy("label").agg(first).select(
+        F.col("first.doc_id").alias("_id"), F.col("first.row_hash").alias("_hash"), (F.col("first.rows") > 1).alias("_more")
+    )
+    wordless = rows.where("NOT words").select(
+        F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), F.lit(False).alias("_more")
+    )
+    winners = materialize(winners.unionByName(wordless))
+    keyed = documents.withColumn("_key", F.xxhash64("text"))
+    joined = keyed.join(winners, (F.col("_key") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    repeated = joined.where("_more").dropDuplicates(["_key", "_id"])
+    return joined.where("NOT _more").unionByName(repeated).select(*documents.columns)
+
+
+def components(documents: DataFrame, percent: int = 85) -> DataFrame:
+    """``doc_id, row_hash, n, label``: the shingles of each row and its component, named by one of its sets."""
     if percent < 80:
         raise ValueError("the bands are laid out for links of 80 percent and above")
-    texts = documents.select("doc_id", "text")
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("row_hash"))
     docs = materialize(
         texts.mapInArrow(
-            _sketches, "doc_id long, n long, key binary, bands array<long>, bits array<long>"
+            _sketches, "doc_id long, row_hash long, n long, key binary, bands array<long>, bits array<long>"
         )
     )
     classes = docs.where("n > 0").select("key", "n", "bands", "bits").dropDuplicates(["key"])
     classes = materialize(classes)
-    profiles = classes.select("key", "n", "bits")
 
     rows = classes.select(F.explode("bands").alias("bucket"), "key")
     shared = rows.groupBy("bucket").agg(F.min("key").alias("leader"), F.max("key").alias("last"))
@@ -169,8 +222,9 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     wanted = wanted.groupBy("key").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     chosen = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
     sets = materialize(
-        chosen.mapInArrow(_sets, "key binary, items array<long>").dropDuplicates(["key"])
+        chosen.mapInArrow(_sets, "key binary, items array<long>, map array<long>").dropDuplicates(["key"])
     )
+    profiles = materialize(classes.select("key", "n", "bits").join(sets.select("key", "map"), "key"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Of distinct pairs ``a, b``, those linked by their full sets."""
@@ -211,18 +265,11 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     third = confirmed(apart.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
     labels = connected_components(links.unionByName(third))
 
-    placed = docs.select("doc_id", "n", "key").join(
+    placed = docs.select("doc_id", "row_hash", "n", "key").join(
         labels.select(F.col("node").alias("key"), "label"), "key", "left"
     )
-    placed = placed.withColumn("label", F.coalesce("label", "key"))
-    named = placed.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    out = placed.join(named, "label", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
-    result = materialize(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
-    discard(docs, classes, members, sets, first, second, third, rest, labels)
+    result = materialize(placed.select("doc_id", "row_hash", "n", F.coalesce("label", "key").alias("label")))
+    discard(docs, classes, members, sets, profiles, first, second, third, rest, labels)
     return result
 
 
