@@ -5,8 +5,8 @@ where it comes first, by ``doc_id`` (nulls first; equal ids by their text's hash
 occurrences cover are merged and removed. Where a later occurrence overlaps the first of its own hash, the shared
 lines stay. Texts of under three lines have no window and stay as they are.
 
-Windows are shuffled as 16-byte hashes with positions, combined in each task before; texts are not shuffled unless
-Spark has to join them with the removed positions. Null texts stay null; rows of equal id and text are one document and
+Windows are shuffled as 16-byte hashes with positions, combined in each task before; texts are shuffled once,
+to meet the positions they lose. Null texts stay null; rows of equal id and text are one document and
 get the same result. Columns other than id and text pass through; an empty table gives an empty result.
 """
 
@@ -54,7 +54,8 @@ def remove_repeated_lines(documents: DataFrame, text: str = "text") -> DataFrame
         F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text else F.col(c)
         for c in documents.columns
     ]
-    joined = documents.join(removed, _key(text) == F.col("_key"), "left")
+    # a sorted merge at every size: broadcast plans for few removals would change the plan with the data
+    joined = documents.join(removed.hint("merge"), _key(text) == F.col("_key"), "left")
     return joined.select(
         *columns,
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
