@@ -135,7 +135,7 @@ def edited_likeness(documents: DataFrame) -> DataFrame:
     Texts are shuffled once, by ranges of ``doc_id``. Each task pairs neighbours while it streams its range; the
     first and last text of a range go to a table of two rows for each range, which pairs the seams.
     """
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     dealt = (
         documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .repartitionByRange(*order)
