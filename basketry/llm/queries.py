@@ -58,7 +58,8 @@ def op7_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("row_hash")
 
 
 def op9_quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
