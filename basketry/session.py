@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_scopes: list[list[str]] = []
 
 
 def create_session(app_name: str = "basketry", **conf: str) -> SparkSession:
@@ -43,7 +46,30 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession) -> str:
-    return f"{checkpoint_root(spark)}/basketry/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/basketry/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    for paths in _scopes[-1:]:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at its end, every intermediate table written inside.
+
+    Results are lazy and read those tables, so a caller writes or collects them before the scope ends.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        _delete(spark, _scopes.pop())
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    context = spark.sparkContext
+    for name in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -67,8 +93,6 @@ def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
 def discard(*tables: DataFrame) -> None:
     """Delete written tables that nothing will read again; files from elsewhere are left alone."""
     for table in tables:
-        context = table.sparkSession.sparkContext
-        own = f"/basketry/{context.applicationId}/"
-        for folder in {path.rsplit("/", 1)[0] for path in table.inputFiles() if own in path}:
-            path = context._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        own = f"/basketry/{table.sparkSession.sparkContext.applicationId}/"
+        folders = {path.rsplit("/", 1)[0] for path in table.inputFiles() if own in path}
+        _delete(table.sparkSession, sorted(folders))

@@ -1,10 +1,13 @@
 """Every registered query against its SQL, on the smallest given tables."""
 
+from functools import cache
+
 import duckdb
 import pytest
 
 import __spark_entry__ as driver
 from tests.conftest import TESTDATA
+from workloads import queries
 from workloads.oracles import ORACLES
 from workloads.queries import QUERIES
 
@@ -16,6 +19,8 @@ SPARK_TO_SQL = {
     "int": "INTEGER",
     "string": "VARCHAR",
 }
+
+
 @pytest.fixture(scope="module")
 def sql():
     connection = duckdb.connect()
@@ -24,6 +29,18 @@ def sql():
     return connection
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_runs():
+    """Each view is mined once for each threshold and the queries that read the same run share it."""
+    names = ("_mined", "_items", "_encoded", "_sweep", "_customer_sweep")
+    plain = {name: getattr(queries, name) for name in names}
+    for name, run in plain.items():
+        setattr(queries, name, cache(run))
+    yield
+    for name, run in plain.items():
+        setattr(queries, name, run)
+
+
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
 

@@ -6,8 +6,11 @@ from types import SimpleNamespace
 import pytest
 
 from basketry import session
+from basketry.session import checkpoint_root, scope
 from basketry.sources import files
 from basketry.sources.columns import require_columns, resolve_roles
+from tests.conftest import TESTDATA
+from workloads.queries import QUERIES
 
 
 def test_csv_is_read_as_text(spark, tmp_path):
@@ -99,3 +102,13 @@ def test_discard_deletes_only_what_was_written_here(spark, tmp_path):
     given = spark.read.parquet(str(tmp_path / "given"))
     session.discard(given, spark.range(1))
     assert given.count() == 3
+
+
+@pytest.mark.parametrize("name", ["frequent_itemsets_maxk2", "best_threshold", "csv_ingest"])
+def test_a_scope_leaves_no_tables(spark, name):
+    root = Path(checkpoint_root(spark).removeprefix("file:")) / "basketry" / spark.sparkContext.applicationId
+    before = {*root.glob("*")}
+    with scope(spark):
+        assert QUERIES[name](spark, TESTDATA).count() > 0
+        assert {*root.glob("*")} - before
+    assert {*root.glob("*")} == before
