@@ -296,14 +296,26 @@ def fit(documents: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[QualityModel, D
     sides = [labelled.where(side).orderBy(mixed, "hash").limit(fit_rows // 2) for side in ("posterior < 0.5", "posterior >= 0.5")]
     sample = materialize(sides[0].unionByName(sides[1]))
     chosen = texts.join(F.broadcast(sample.select("hash")), "hash", "left_semi").dropDuplicates(["hash"])
-    rows = chosen.mapInArrow(_features, "hash long, x binary").join(F.broadcast(sample), "hash").orderBy("hash").toPandas()
-    x = np.stack([np.frombuffer(r, np.float32) for r in rows["x"]])
-    labels = rows["posterior"].to_numpy()
+    rows = chosen.mapInArrow(_features, "hash long, x binary").join(F.broadcast(sample), "hash")
+    # at most fit_rows rows meet in one task; only the weights come to the driver
+    ordered = rows.repartition(1).sortWithinPartitions("hash")
+    fitted = ordered.mapInPandas(_fit_task, "weights binary, bias double").first()
+    return QualityModel(model, Scorer(np.frombuffer(fitted["weights"], np.float64), fitted["bias"])), patterns
+
+
+def _fit_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    parts, labels = [], []
+    for batch in batches:
+        parts.extend(np.frombuffer(r, np.float32) for r in batch["x"])
+        labels.extend(batch["posterior"])
+    if not parts:
+        return
+    labels = np.array(labels)
     if (labels < 0.5).all() or (labels >= 0.5).all():
         scorer = Scorer(np.zeros(TRIPLETS + SHAPES), 1.0 if labels[0] >= 0.5 else -1.0)
     else:
-        scorer = fit_scorer(x, labels)
-    return QualityModel(model, scorer), patterns
+        scorer = fit_scorer(np.stack(parts), labels)
+    yield pd.DataFrame({"weights": [scorer.weights.tobytes()], "bias": [scorer.bias]})
 
 
 def keep_good(documents: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
