@@ -17,16 +17,26 @@ import numpy as np
 BLOCK = 8192
 LANES = 1024
 _ONE = 1 << 15
-_SLOTS = 13
+_SLOTS = 12
 _FLOOR = 32
 _U = np.uint64
 _LEAST = 8
 _RATE = 4
 #: distributions move towards that of the digit seen; every digit keeps a width of at least _LEAST
 _TARGETS = np.array(
-    [[_LEAST * i if i <= s else _ONE - _LEAST * (16 - i) for i in range(16)] for s in range(16)], np.int32
+    [[_LEAST * i if i <= s else _ONE - _LEAST * (16 - i) for i in range(16)] for s in range(16)], np.int16
 )
-_START = np.arange(16, dtype=np.int32) * (_ONE // 16)
+_START = (np.arange(16) * (_ONE // 16)).astype(np.int16)
+
+
+def _place(starts: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each digit begins in its row, and how wide it is."""
+    flat = starts.ravel()
+    at = np.arange(0, flat.size, 16) + digit
+    begin = flat[at].astype(np.int64)
+    end = flat[np.minimum(at + 1, flat.size - 1)].astype(np.int64)
+    end[digit == 15] = _ONE
+    return begin, end - begin
 
 
 class _Writer:
@@ -43,10 +53,8 @@ class _Writer:
         return bit
 
     def digit(self, lanes, starts: np.ndarray, digit: np.ndarray) -> np.ndarray:
-        rows = np.arange(len(digit))
-        begin = starts[rows, digit]
-        end = np.where(digit == 15, _ONE, starts[rows, np.minimum(digit + 1, 15)])
-        self.span(lanes, begin, end - begin)
+        begin, width = _place(starts, digit)
+        self.span(lanes, begin, width)
         return digit
 
     def span(self, lanes, start: np.ndarray, width: np.ndarray) -> None:
@@ -106,12 +114,11 @@ class _Reader:
     def digit(self, lanes, starts: np.ndarray, digit: None) -> np.ndarray:
         part = self.range[lanes] >> _U(15)
         code = self.code[lanes]
-        value = np.minimum(code // part, _U(_ONE - 1)).astype(np.int32)
-        found = (starts <= value[:, None]).sum(axis=1) - 1
-        rows = np.arange(len(found))
-        begin = starts[rows, found]
-        end = np.where(found == 15, _ONE, starts[rows, np.minimum(found + 1, 15)])
-        self._take(lanes, code - begin.astype(_U) * part, (end - begin).astype(_U) * part)
+        value = np.minimum(code // part, _U(_ONE - 1)).astype(np.int16)
+        below = np.packbits(starts <= value[:, None], axis=1).view(np.uint16).ravel()
+        found = np.bitwise_count(below).astype(np.int64) - 1
+        begin, width = _place(starts, found)
+        self._take(lanes, code - begin.astype(_U) * part, width.astype(_U) * part)
         return found
 
     def _take(self, lanes, code: np.ndarray, span: np.ndarray) -> None:
@@ -131,8 +138,8 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.nd
     levels = -(-bits // 4)
     nodes = (16**levels - 1) // 15
     out = ids if ids is not None else np.zeros((lanes, steps), np.int64)
-    table1 = np.zeros(lanes << _SLOTS, np.int64)
-    table2 = np.zeros(lanes << _SLOTS, np.int64)
+    table1 = np.zeros(lanes << _SLOTS, np.int32)
+    table2 = np.zeros(lanes << _SLOTS, np.int32)
     base = np.arange(lanes, dtype=np.int64) << _SLOTS
     tree = np.empty((lanes * nodes, 16), np.int16)
     tree[:] = _START
@@ -156,13 +163,15 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.nd
         a, b = eights[here] + sure2 * 2 + alike, eights[here] + sure1 * 2 + alike
         chance2, chance1 = by2[a], by1[b]
         apart = chance2 - chance1
-        chance = np.clip(chance1 + ((weight[here] * apart) >> 16), _FLOOR, _ONE - _FLOOR)
+        chance = chance1 + ((weight[here] * apart) >> 16)
+        np.minimum(np.maximum(chance, _FLOOR, out=chance), _ONE - _FLOOR, out=chance)
         x = out[:n, t] if ids is not None else None
         hit2 = coder.bit(here, chance, None if x is None else x == guess2)
         seen = hit2 * _ONE
         by2[a] = chance2 + ((seen - chance2) >> 5)
         by1[b] = chance1 + ((seen - chance1) >> 5)
-        weight[here] = np.clip(weight[here] + (((seen - chance) * apart) >> 15), 0, 1 << 16)
+        moved = weight[here] + (((seen - chance) * apart) >> 15)
+        weight[here] = np.minimum(np.maximum(moved, 0, out=moved), 1 << 16, out=moved)
 
         found = guess2.copy() if x is None else x
         left = np.flatnonzero(~hit2)
@@ -171,9 +180,8 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.nd
             tried = left[split]
             c = sixteens[tried] + sure1[tried] * 4 + sure2[tried]
             chance = by_both[c]
-            hit1 = coder.bit(
-                tried, np.clip(chance, _FLOOR, _ONE - _FLOOR), None if x is None else x[tried] == guess1[tried]
-            )
+            held = np.minimum(np.maximum(chance, _FLOOR), _ONE - _FLOOR)
+            hit1 = coder.bit(tried, held, None if x is None else x[tried] == guess1[tried])
             by_both[c] = chance + ((hit1 * _ONE - chance) >> 5)
             if x is None:
                 found[tried[hit1]] = guess1[tried[hit1]]
@@ -183,7 +191,7 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.nd
             node, value = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
             for level in range(levels - 1, -1, -1):
                 at = tree_base[left] + node
-                starts = tree[at].astype(np.int32)
+                starts = tree.take(at, axis=0)
                 digit = coder.digit(left, starts, None if x is None else (x[left] >> (4 * level)) & 15)
                 starts += (_TARGETS[digit] - starts) >> _RATE
                 tree[at] = starts
