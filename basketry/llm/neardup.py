@@ -8,13 +8,14 @@ linked when ``100 * intersection >= 85 * union`` (the percentage is a parameter,
 value of the first round that reached it. After t random rounds, round t + b throws all shingles into bin b, so no
 coordinate stays empty; a set of t log t shingles fills them in about one round. A coordinate agrees in two
 documents with the probability of their Jaccard similarity, and agreement is concentrated as with independent
-minima. Bands of 6 of the 192 coordinates make 32 bucket keys: a pair at 0.85 misses all with 3e-7.
+minima. Bands of 6 of the 192 coordinates make 32 bucket keys: a pair at 0.85 misses all with 3e-7. At 0.80 bands of 5 make
+38, and the miss is 3e-7 as well; ``layout`` takes both bounds from the percentage.
 
 *Groups.* Documents of equal sets are one class from the start. Within a bucket pairs are not written out: members
 are tried against one leader of each bucket, twice, with components formed after each time. Only members of
 different components that still share a bucket are then paired. Pairs are confirmed on the full sets unless a link is
-ruled out before: by the sizes, by 384 bits of the sketch (the agreement of a pair at 0.85 falls below the bound with
-5e-7), or by maps of 2,048 bits, of which each set only on one side stands for a shingle that the other side lacks.
+ruled out before: by the sizes, by 384 bits of the sketch (the agreement of a pair at the threshold falls below the bound with
+6e-7 at most), or by maps of 2,048 bits, of which each set only on one side stands for a shingle that the other side lacks.
 
 A null text is empty. Rows of equal id and text give equal rows; of texts that share an id each is a document of its
 own. A null id is larger than all others: it names a component only if no member has an id. An empty table gives
@@ -24,6 +25,7 @@ an empty result. Columns other than id and text are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +38,10 @@ from basketry.llm.components import connected_components
 from basketry.session import discard, materialize
 
 WORDS = 5
+#: coordinates of a sketch, and of a band at most
 BINS, ROWS = 192, 6
-#: coordinates whose two bits must agree (of 192): 4.9 standard deviations below the mean at 0.85
-AGREE = 149
+#: chance of a pair at the threshold to share no band, and to agree in too few bits
+MISS = 1e-6
 MAP_BITS = 2048
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _WEIGHTS = mix(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -84,9 +87,19 @@ def sketch(items: np.ndarray) -> np.ndarray:
     return out
 
 
-def _profile(coordinates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def layout(percent: int) -> tuple[int, int]:
+    """Coordinates of a band, and how many coordinates must agree in their two bits, for links from ``percent``."""
+    same = percent / 100
+    rows = max(r for r in range(1, ROWS + 1) if (1 - same**r) ** (BINS // r) <= MISS)
+    p = same + (1 - same) / 4
+    missed = np.cumsum([math.comb(BINS, k) * p**k * (1 - p) ** (BINS - k) for k in range(BINS)])
+    return rows, int(np.searchsorted(missed, MISS, "right"))
+
+
+def _profile(coordinates: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket keys of the bands, and two bits of each coordinate in six integers."""
-    bands = (coordinates.reshape(-1, ROWS) * _BAND_WEIGHTS).sum(axis=1, dtype=np.uint64)
+    whole = coordinates[: BINS // rows * rows].reshape(-1, rows)
+    bands = (whole * _BAND_WEIGHTS[:rows]).sum(axis=1, dtype=np.uint64)
     bands = mix(bands + np.arange(len(bands), dtype=np.uint64))
     bits = (mix(coordinates) >> np.uint64(62)).reshape(-1, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))
     return bands, np.bitwise_or.reduce(bits, axis=1)
@@ -109,7 +122,7 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = flat(batch.column("text"))
         for lo, hi in chunks(offsets):
@@ -118,7 +131,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for items in shingles(data[at[0] : at[-1]], at - at[0]):
                 sizes.append(len(items))
                 keys.append(_set_key(items))
-                band, bit = _profile(sketch(items)) if len(items) else (items, items)
+                band, bit = _profile(sketch(items), rows) if len(items) else (items, items)
                 bands.append(band)
                 bits.append(bit)
             yield pa.RecordBatch.from_arrays(
@@ -162,7 +175,7 @@ def _may_link(percent: int) -> Column:
     near = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
     only_x, only_y = _only("x.map", "y.map"), _only("y.map", "x.map")
     most = F.least(F.col("x.n") - only_x, F.col("y.n") - only_y)
-    return near & (agree >= AGREE) & (most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
+    return near & (agree >= layout(percent)[1]) & (most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -204,10 +217,11 @@ def components(documents: DataFrame, percent: int = 85) -> DataFrame:
     """``doc_id, row_hash, n, label``: the shingles of each row and its component, named by one of its sets."""
     if percent < 80:
         raise ValueError("the bands are laid out for links of 80 percent and above")
+    band, _ = layout(percent)
     texts = documents.select("doc_id", "text", F.xxhash64("text").alias("row_hash"))
     docs = materialize(
         texts.mapInArrow(
-            _sketches, "doc_id long, row_hash long, n long, key binary, bands array<long>, bits array<long>"
+            lambda batches: _sketches(batches, band), "doc_id long, row_hash long, n long, key binary, bands array<long>, bits array<long>"
         )
     )
     classes = docs.where("n > 0").select("key", "n", "bands", "bits").dropDuplicates(["key"])

@@ -94,3 +94,23 @@ def test_chains(spark):
     got = {r["node"]: r["label"] for r in labels.collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 200: 100, 150: 100}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_pairs_at_the_threshold(spark):
+    """Pairs of a similarity of exactly 0.80, thousands of them: none is ruled out by the sketch."""
+    pick = random.Random(15)
+    rows = []
+    for i in range(4000):
+        words = [f"w{pick.randrange(10**9)}" for _ in range(44)]
+        rows += [(2 * i, " ".join(words[:40])), (2 * i + 1, " ".join(words[:36] + words[40:]))]
+    df = spark.createDataFrame([(*r, "k", "n") for r in rows], SCHEMA).repartition(4)
+    assert sorted(r["doc_id"] for r in neardup.deduplicate(df, 80).collect()) == [2 * i for i in range(4000)]
+
+
+@pytest.mark.parametrize("percent", [80, 83, 85, 90, 100])
+def test_layout(percent):
+    rows, agree = neardup.layout(percent)
+    same = percent / 100
+    assert (1 - same**rows) ** (neardup.BINS // rows) <= neardup.MISS
+    below = np.random.default_rng(3).binomial(neardup.BINS, same + (1 - same) / 4, 2_000_000) < agree
+    assert below.sum() <= 12
