@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, fingerprints, linedup, mixing, neardup, secrets, sharding, tokens, warc, weaklabels
+from basketry.llm import decontaminate, fingerprints, linedup, mixing, neardup, repeats, secrets, sharding, tokens, warc, weaklabels
 from basketry.session import new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weaklabels.classify(_table(spark, sf_dir, "documents"))
 
 
+def op12_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), with_bytes=False).drop("text")
+
+
 QUERIES: dict[str, Query] = {
     "op1_context_mixed_tokens": op1_context_mixed_tokens,
     "op2_systematic_mix": op2_systematic_mix,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_latent_decontamination": op8_latent_decontamination,
     "op9_quartile_fingerprints": op9_quartile_fingerprints,
     "op10_weak_label_quality": op10_weak_label_quality,
+    "op12_run_length_repeats": op12_run_length_repeats,
 }
 
 ORACLES: dict[str, str] = {
