@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, fingerprints, linedup, mixing, neardup, repeats, secrets, sharding, tokens, warc, weaklabels
+from basketry.llm import alignment, decontaminate, fingerprints, linedup, mixing, neardup, prefixtrie, repeats, secrets, sharding, tokens, warc, weaklabels
 from basketry.session import new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,11 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary() -> str:
-    """Path of the tokenizer file that the token queries use."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a tokenizer file; by default the one that the token queries use."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_context_mixed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,10 +70,18 @@ def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weaklabels.classify(_table(spark, sf_dir, "documents"))
 
 
+def op11_gustavson_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digests(_table(spark, sf_dir, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+
+
 def op12_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), with_bytes=False).drop("text")
 
 
+def op13_time_forward_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_context_mixed_tokens": op1_context_mixed_tokens,
     "op2_systematic_mix": op2_systematic_mix,
@@ -85,10 +93,13 @@ QUERIES: dict[str, Query] = {
     "op8_latent_decontamination": op8_latent_decontamination,
     "op9_quartile_fingerprints": op9_quartile_fingerprints,
     "op10_weak_label_quality": op10_weak_label_quality,
+    "op11_gustavson_alignment": op11_gustavson_alignment,
     "op12_run_length_repeats": op12_run_length_repeats,
+    "op13_time_forward_trie": op13_time_forward_trie,
 }
 
 ORACLES: dict[str, str] = {
     "op2_systematic_mix": mixing.ORACLE,
     "op5_line_windows": linedup.ORACLE,
+    "op13_time_forward_trie": prefixtrie.ORACLE,
 }

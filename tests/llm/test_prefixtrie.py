@@ -1,0 +1,113 @@
+"""The prefix trie against a trie built from plain lists."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import duckdb
+import pytest
+
+from basketry.llm import prefixtrie
+from basketry.llm.queries import op13_time_forward_trie
+from tests.conftest import TESTDATA
+
+SCHEMA = "conv_id long, turn int, role string, text string"
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def brute(rows):
+    own: dict[int, list] = {}
+    for conv, turn, role, text in sorted(
+        (r for r in rows if r[0] is not None), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+    ):
+        own.setdefault(conv, []).append((role or "", text or ""))
+    rebuilt = {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % 4
+        rebuilt[conv] = tuple(own.get(conv - conv % 20, [])[:h] + turns[h:])
+    members: dict[tuple, list[int]] = {}
+    for conv, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(turns[:d], []).append(conv)
+    out = []
+    for path, inside in members.items():
+        below = [p for p in members if p[: len(path)] == path]
+        ends = sorted(c for c in inside if rebuilt[c] == path)
+        out.append(
+            (
+                min(inside),
+                len(path),
+                min(members[path[:-1]]) if path else None,
+                len(inside),
+                sum(len(p) == len(path) + 1 for p in below),
+                sum(not any(len(q) == len(p) + 1 and q[:-1] == p for q in below) for p in below),
+                sum((len(members[p]) - 1) * len(re.findall(r"[^\x20\x09-\x0D]+", p[-1][1])) for p in below if p),
+                hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest(),
+            )
+        )
+    return sorted(out, key=lambda r: (r[1], r[0]))
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.select(*COLUMNS).collect()), key=lambda r: (r[1], r[0]))
+
+
+def random_rows(seed):
+    draw = random.Random(seed)
+    rows = []
+    for conv in draw.sample(range(90), 70):
+        for turn in range(draw.randrange(1, 7)):
+            text = draw.choice(["a b", "a b", "c", "\x0b d\te  f", None, ""])
+            rows.append((conv, draw.choice([turn, turn, None, 0]), draw.choice(["user", "user", None]), text))
+    rows += [rows[0], (None, 0, "user", "lost"), (100, 0, "user", "a b"), (101, None, None, None)]
+    rows += [(c, t, "user", "same") for c in range(200, 230) for t in range(5)]
+    return rows
+
+
+@pytest.mark.parametrize(("limit", "held"), [(2, 1), (5, 3), (4096, 1 << 18)])
+def test_against_plain_lists(spark, limit, held):
+    rows = random_rows(limit)
+    conversations = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert found(prefixtrie.prefix_trie(conversations, limit, held)) == brute(rows)
+
+
+def test_one_long_conversation_and_its_copy(spark):
+    turns = [(c, t, "user", f"w{t} x") for c in (7, 1027) for t in range(300)]  # both take no or the same number of heads
+    conversations = spark.createDataFrame(turns, SCHEMA)
+    assert found(prefixtrie.prefix_trie(conversations, 2, 4)) == brute(turns)
+
+
+def test_edges(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert prefixtrie.prefix_trie(empty).collect() == []
+    turnless = spark.createDataFrame([(c, 0, "user", "x") for c in (3, 8, 11, 14)], SCHEMA)
+    rows = [(c, 0, "user", "x") for c in (3, 8, 11, 14)]
+    assert found(prefixtrie.prefix_trie(turnless.selectExpr("*", "1 AS depth", "2 AS total"))) == brute(rows)
+
+
+def test_queue_spills_and_keeps_order():
+    queue, draw = prefixtrie.SpillingQueue(held=3), random.Random(2)
+    sent = [(-draw.randrange(4), draw.randrange(5), 1, draw.randrange(9), draw.randrange(9)) for _ in range(100)]
+    for message in sent:
+        queue.push(message)
+    assert queue.spilled > 10
+    for to in sorted({m[:2] for m in sent}):
+        mine = [m[2:] for m in sent if m[:2] == to]
+        assert queue.take(*to) == tuple(map(sum, zip(*mine)))
+    assert len(queue) == 0
+
+
+def test_query_and_sql(spark):
+    path = f"{TESTDATA}/conversations.parquet"
+    rows = [tuple(r) for r in spark.read.parquet(path).select("conv_id", "turn", "role", "text").collect()]
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path}'")
+    result = op13_time_forward_trie(spark, TESTDATA)
+    expected = brute(rows)
+    assert found(result) == expected
+    sql = connection.sql(prefixtrie.ORACLE)
+    assert sql.columns == result.columns
+    assert sorted(sql.fetchall(), key=lambda r: (r[1], r[0])) == expected
