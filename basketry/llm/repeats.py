@@ -9,9 +9,10 @@ more than once, in others or inside, can repeat. They are dealt by anchor to tas
 run-compressed Burrows-Wheeler transform with sampled run ends, whose matching statistics are streamed along the block. Equal
 stretches (same anchor, hash and length) stand in the index once, with their number. Every decision compares bytes.
 
-*Hot anchors.* An anchor in more than ``HOT`` stretches would fill its task with strings that mostly differ outside the shared
-grams. Such stretches are split into their single strings, dealt by the string's own hash; those whose hash occurs once fall
-away, and of the others two representatives are compared in an index. So no group is unbounded, whatever a corpus shares.
+*Hot anchors.* An anchor in more than ``HOT`` different stretches would fill its task with strings that mostly differ outside the
+shared gram. Such stretches are split by where in a string its anchor stands, in bands of 32 places, and dealt by the
+bytes that all strings of a band share as well; bands whose bytes occur once fall away, those that are still hot are split
+again in bands of 8, 2 and 1. Bands of one share the whole string, so no group is unbounded, whatever a corpus shares.
 
 *Travel.* Rows are entries of a few integers; texts are shuffled twice, to cut the candidates' bytes and to take the repeats out. A text
 is known by a 64-bit hash and 20 further bits, so repeated rows and null or equal ids need no care: equal texts get equal results.
@@ -26,10 +27,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm._columns import free
@@ -39,12 +41,13 @@ from basketry.session import materialize
 
 LENGTH = 200
 GRAM = 32
-#: stretches of an anchor beyond which they are split into single strings
+#: different stretches of an anchor beyond which they are split, and the bands they are split into
 HOT = 4096
+BANDS = (32, 8, 2, 1)
 #: strings in a stretch at most, so a stretch has under 2,048 bytes
 STRETCH = 1024
-#: bytes that one index holds, a last group of at most HOT stretches apart
-BLOCK_BYTES = 1 << 20
+#: bytes that one index holds, a last group of at most HOT stretches apart; small blocks stay in a core's cache
+BLOCK_BYTES = 1 << 17
 SLICE = 2 << 20
 #: texts whose hash a task remembers, so that copies in it are read once
 REMEMBERED = 1_000_000
@@ -61,6 +64,7 @@ class Sizes:
     length: int = LENGTH
     gram: int = GRAM
     hot: int = HOT
+    bands: tuple[int, ...] = BANDS
 
 
 def _texts(documents: DataFrame, text: str) -> DataFrame:
@@ -89,6 +93,17 @@ def _hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * _power("down", _INVERSE, len(sums))[start] + (end - start).astype(np.uint64))
 
 
+def _grams(sums: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of the gram at each place, mixed enough for its order to look random."""
+    n = len(sums) - gram
+    out = sums[gram:] - sums[:-gram]
+    out *= _power("down", _INVERSE, n)[:n]
+    out ^= out >> np.uint64(31)
+    out *= _BASE
+    out ^= out >> np.uint64(29)
+    return out
+
+
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours."""
     n = len(values) - width + 1
@@ -104,8 +119,7 @@ def _stretches(data: np.ndarray, ends: np.ndarray, sizes: Sizes) -> tuple[np.nda
     if n <= 0:
         return None
     sums = _sums(data)
-    last = len(data) - sizes.gram + 1
-    grams = mix((sums[sizes.gram :] - sums[: -sizes.gram]) * _power("down", _INVERSE, len(data))[:last])
+    grams = _grams(sums, sizes.gram)
     anchor = _least(grams, sizes.length - sizes.gram + 1)
     # strings that lie in one text
     inside = np.ones(n + sizes.length, bool)
@@ -204,25 +218,36 @@ def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _STRETCH_SCHEMA.types)], schema=_STRETCH_SCHEMA)
 
 
-_STRINGS = "string bigint, anchor bigint, seg bigint, off int, key bigint, at bigint, n bigint"
+_PARTS = "anchor bigint, seg bigint, key bigint, at bigint, n bigint, of_anchor bigint, of_seg bigint, off int"
 
 
-def string_splitter(sizes: Sizes):
-    """Every single string of the wanted stretches, by its own hash."""
+def band_splitter(sizes: Sizes, width: int):
+    """The wanted stretches in parts: strings with their anchor in one band of ``width`` places, dealt by what they share."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, text, wanted in _wanted(batches):
             for w in wanted:
                 start, length = w["at"] >> 12 & 0x7FFFFFFF, w["at"] & 0x7FF
-                off = np.arange(length - sizes.length + 1)
                 sums = _sums(np.frombuffer(text[start : start + length], np.uint8))
-                string = _hashes(sums, off, off + sizes.length).view(np.int64)
-                at = (w["at"] >> 43 << 43) | ((start + off) << 12) | sizes.length
-                same = [np.full(len(off), x, np.int64) for x in (w["anchor"], w["seg"], key, w["n"])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (string, same[0], same[1], off.astype(np.int32), same[2], at, same[3])],
-                    names=["string", "anchor", "seg", "off", "key", "at", "n"],
-                )
+                grams = _grams(sums, sizes.gram)
+                n = length - sizes.length + 1
+                places = np.flatnonzero(grams == grams[: sizes.length - sizes.gram + 1].min())
+                string = np.arange(n)
+                # the first anchor in each string, and the band of places that it is in
+                place = places[np.searchsorted(places, string)]
+                band = (place - string) // width
+                begins = np.flatnonzero(np.append(True, (np.diff(place) != 0) | (np.diff(band) != 0)))
+                ends = np.append(begins[1:], n) + sizes.length - 1
+                place, band = place[begins], band[begins]
+                shared = place - width * band
+                anchor = _hashes(sums, shared, shared - width + 1 + sizes.length)
+                anchor = mix(mix(anchor + band.astype(np.uint64)) + np.uint64(width))
+                at = (w["at"] >> 43 << 43) | ((start + begins) << 12) | (ends - begins)
+                m = len(begins)
+                columns = [anchor.view(np.int64), _hashes(sums, begins, ends).view(np.int64), np.full(m, key), at, np.full(m, w["n"])]
+                columns += [np.full(m, w["anchor"]), np.full(m, w["seg"]), begins.astype(np.int32)]
+                names = ["anchor", "seg", "key", "at", "n", "of_anchor", "of_seg", "off"]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     return split
 
@@ -277,31 +302,42 @@ def _wanted_of(texts: DataFrame, entries: DataFrame) -> DataFrame:
     return texts.join(lists, "key").select("key", "check", "text", "wanted")
 
 
-def _hot_strings(texts: DataFrame, hot: DataFrame, sizes: Sizes) -> tuple[DataFrame, DataFrame]:
-    """The single strings of hot anchors, and entries of two representatives of each that occurs more than once.
-
-    A representative's anchor is the string's own hash; it stands for several where all come from equal stretches.
-    """
-    strings = materialize(_wanted_of(texts, hot).mapInArrow(string_splitter(sizes), _STRINGS))
-    place = F.struct("key", "at")
-    several = strings.groupBy("string").agg(F.sum("n").alias("n"), F.min(place).alias("a"), F.max(place).alias("b")).where("n > 1")
-    both = several.select(
-        F.col("string").alias("anchor"),
-        F.posexplode(F.when(F.col("a") == F.col("b"), F.array("a")).otherwise(F.array("a", "b"))).alias("seg", "place"),
-        F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(F.lit(1)).cast("long").alias("n"),
-    )
-    return strings, both.select("anchor", F.col("seg").cast("long").alias("seg"), "place.key", "place.at", "n")
-
-
-def _spans_of_strings(strings: DataFrame, found: DataFrame, sizes: Sizes) -> DataFrame:
-    """Spans of hot stretches from their single strings: neighbours are put together, a stretch has at most ``STRETCH``."""
-    known = found.select(F.col("anchor").alias("string")).distinct()
-    row = Window.partitionBy("anchor", "seg").orderBy("off")
-    # a stretch stands here once for each text that its entry was cut from
-    runs = strings.select("string", "anchor", "seg", "off").join(known, "string").select("anchor", "seg", "off").distinct()
-    runs = runs.withColumn("run", F.col("off") - F.row_number().over(row)).groupBy("anchor", "seg", "run")
-    span = runs.agg(F.struct(F.min("off").alias("a"), (F.max("off") + sizes.length).alias("b")).alias("span"))
-    return span.groupBy("anchor", "seg").agg(F.collect_list("span").alias("spans"))
+def _hot(different: DataFrame, sizes: Sizes) -> DataFrame | None:
+    """The anchors of too many different stretches, if there are any."""
+    found = materialize(different.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > sizes.hot).select("anchor"))
+    return None if found.isEmpty() else found
+
+
+def _split(texts: DataFrame, different: DataFrame, sizes: Sizes) -> tuple[DataFrame, list[DataFrame]]:
+    """Stretches of anchors that are not hot, or their parts; and the tables that say whose parts they are, coarse ones first."""
+    ready, tables = [], []
+    for width in sizes.bands:
+        hot = _hot(different, sizes)
+        if hot is None:
+            break
+        ready.append(different.join(hot, "anchor", "left_anti"))
+        parts = materialize(_wanted_of(texts, different.join(hot, "anchor", "left_semi")).mapInArrow(band_splitter(sizes, width), _PARTS))
+        tables.append(parts)
+        several = parts.groupBy("anchor").agg(F.sum("n").alias("m")).where("m > 1").select("anchor")
+        different = materialize(
+            parts.join(several, "anchor", "left_semi")
+            .groupBy("anchor", "seg")
+            .agg(F.min(F.struct("key", "at")).alias("place"), F.sum("n").alias("n"))
+            .select("anchor", "seg", "place.key", "place.at", "n")
+        )
+    return reduce(DataFrame.unionByName, [*ready, different]), tables
+
+
+def _joined(found: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """Spans of parts brought back to the stretches that they are parts of, fine ones first."""
+    for parts in reversed(tables):
+        # a part stands there once for each copy in a task that its stretch was cut from
+        own = parts.select("anchor", "seg", "of_anchor", "of_seg", "off").distinct()
+        spans = own.join(found, ["anchor", "seg"]).select("of_anchor", "of_seg", "off", F.explode("spans").alias("s"))
+        spans = spans.select("of_anchor", "of_seg", F.struct((F.col("s.a") + F.col("off")).alias("a"), (F.col("s.b") + F.col("off")).alias("b")).alias("s"))
+        back = spans.groupBy(F.col("of_anchor").alias("anchor"), F.col("of_seg").alias("seg")).agg(F.collect_list("s").alias("spans"))
+        found = materialize(found.unionByName(back))
+    return found
 
 
 def repeated(documents: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> DataFrame:
@@ -309,24 +345,17 @@ def repeated(documents: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -
     texts = _texts(documents, text)
     entries = texts.mapInArrow(entry_finder(sizes), _ENTRY)
     counts = entries.groupBy("anchor").agg(F.sum(F.shiftright("at", 11).bitwiseAND(1) + 1).alias("n")).where("n > 1")
-    candidates = materialize(
-        entries.join(counts.select("anchor", (F.col("n") > sizes.hot).alias("hot")), "anchor").select(*entries.columns, "hot")
-    )
+    candidates = materialize(entries.join(counts.select("anchor"), "anchor").select(*entries.columns))
     different = materialize(
-        candidates.groupBy("anchor", "seg", "hot")
+        candidates.groupBy("anchor", "seg")
         .agg(F.min(F.struct("key", "at")).alias("place"), F.count(F.lit(1)).alias("n"))
-        .select("anchor", "seg", "place.key", "place.at", "n", "hot")
+        .select("anchor", "seg", "place.key", "place.at", "n")
     )
-    plain, hot = different.where("NOT hot").drop("hot"), different.where("hot").drop("hot")
-    strings = None
-    if not hot.isEmpty():
-        strings, representatives = _hot_strings(texts, hot, sizes)
-        plain = plain.unionByName(representatives)
-    bodies = _wanted_of(texts, plain).mapInArrow(cut, "anchor bigint, seg bigint, n bigint, body binary")
+    wanted, tables = _split(texts, different, sizes)
+    bodies = _wanted_of(texts, wanted).mapInArrow(cut, "anchor bigint, seg bigint, n bigint, body binary")
     found = bodies.repartition("anchor").sortWithinPartitions("anchor", "seg").mapInArrow(index_blocks(sizes), _FOUND)
-    if strings is not None:
-        found = materialize(found)
-        found = found.unionByName(_spans_of_strings(strings, found, sizes))
+    if tables:
+        found = _joined(materialize(found), tables)
     start = F.shiftrightunsigned("at", 12).bitwiseAND(0x7FFFFFFF).cast("int")
     spans = (
         candidates.join(found, ["anchor", "seg"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from basketry.llm import repeats
@@ -12,7 +13,8 @@ from basketry.llm.queries import op12_run_length_repeats
 from tests.conftest import TESTDATA
 from tests.llm.test_runindex import covered
 
-SMALL = repeats.Sizes(length=24, gram=6, hot=5)
+BANDS = (12, 5, 2, 1)
+SMALL = repeats.Sizes(24, 6, 5, BANDS)
 
 
 def expected(texts: list[str | None], least: int) -> list[tuple[int, int, int, bytes]]:
@@ -49,7 +51,7 @@ def corpus(seed: int) -> list[str | None]:
 @pytest.mark.parametrize("hot", [2, 5, 10_000])
 def test_against_counted_substrings(spark, hot):
     texts = corpus(hot)
-    assert removed(spark, texts, repeats.Sizes(24, 6, hot)) == expected(texts, 24)
+    assert removed(spark, texts, repeats.Sizes(24, 6, hot, BANDS)) == expected(texts, 24)
 
 
 def test_pieces_of_long_texts_and_full_stretches(spark, monkeypatch):
@@ -65,8 +67,6 @@ def test_pieces_of_long_texts_and_full_stretches(spark, monkeypatch):
 
 
 def _batch(texts):
-    import pyarrow as pa
-
     return pa.RecordBatch.from_arrays(
         [pa.array(range(len(texts)), pa.int64()), pa.array([1] * len(texts), pa.int32()), pa.array([t.encode() for t in texts])],
         names=["key", "check", "text"],
@@ -88,6 +88,31 @@ def test_every_string_is_in_one_stretch():
     assert all(len(a) == 1 for a in anchors.values())
 
 
+def test_bands_of_one_share_whole_strings():
+    """Parts that are dealt together at the last level are equal, so no group of a hot anchor can grow."""
+    texts = [t or "" for t in corpus(4)]
+    entries = [r for b in repeats.entry_finder(SMALL)(iter([_batch(texts)])) for r in b.to_pylist()]
+    for width in BANDS:
+        wanted = [[{**e, "n": 1} for e in entries if e["key"] == k] for k in range(len(texts))]
+        batch = _batch(texts)
+        batch = batch.append_column("wanted", pa.array(wanted))
+        parts = [r for b in repeats.band_splitter(SMALL, width)(iter([batch])) for r in b.to_pylist()]
+        strings = {k: sorted(i for r in parts if r["key"] == k for i in starts(r)) for k in range(len(texts))}
+        assert strings == {k: list(range(max(0, len(t.encode()) - 23))) for k, t in enumerate(texts)}
+        dealt: dict[bytes, set[int]] = {}
+        for r in parts:
+            for i in starts(r):
+                dealt.setdefault(texts[r["key"]].encode()[i : i + 24], set()).add(r["anchor"])
+        assert all(len(a) == 1 for a in dealt.values())
+        entries = parts
+    assert len({r["anchor"] for r in parts}) == len(dealt)
+
+
+def starts(row):
+    first = row["at"] >> 12 & 0x7FFFFFFF
+    return range(first, first + (row["at"] & 0x7FF) - 23)
+
+
 def test_columns_rows_and_empty_tables(spark):
     text = "the same line of text, long enough"
     docs = spark.createDataFrame(
