@@ -1,10 +1,12 @@
 """Adaptive context-mixing range coder for token ids, many blocks at a time.
 
 A block is coded on its own, from a fresh state. Two tables predict the next id, from the last two ids (order 2) and from
-the last one (order 1), each with a confidence of 0 to 3. The chance that the order-2 prediction holds is mixed from two
-adaptive estimates, one by either confidence, with a weight that follows whichever erred less; if it fails, the chance of the
-order-1 prediction comes from both confidences; an id that neither predicts is coded by order 0: four hexadecimal digits
-(five above 65,535) down a tree of adaptive distributions. All chances are integers of 15 bits, so every machine decodes alike.
+the last one (order 1), each with a confidence of 0 to 3. The chance that the order-2 prediction holds is mixed from three
+adaptive estimates: by either confidence, and by how often the block held the predicted id so far (order 0); the weights follow
+whichever erred less. If it fails, the chance of the order-1 prediction comes from both confidences and its id's order 0; an id
+that neither predicts is coded by order 0 alone: four hexadecimal digits (five above 65,535) down a tree of adaptive
+distributions. All chances are integers of 15 bits, so every machine decodes alike. A lane's tables have a fixed size whatever
+the width of ids: beyond 16 bits the last digits' distributions share places by a hash.
 
 Python would be slow id by id, so blocks are *lanes*: step t codes the t-th id of all lanes with a few dozen NumPy
 operations. The range coder keeps 48 bits and emits 16-bit words; a carry is added to the words already written.
@@ -17,7 +19,11 @@ import numpy as np
 BLOCK = 8192
 LANES = 1024
 _ONE = 1 << 15
-_SLOTS = 12
+_SLOTS = 13
+#: places of a lane's counts of ids (order 0), and steps of a count
+_SEEN, _STEPS = 12, 8
+#: nodes of the digit tree that have a place of their own, and places that the others share
+_TOP, _SHARED = 273, 4096
 _FLOOR = 32
 _U = np.uint64
 _LEAST = 8
@@ -132,11 +138,15 @@ class _Reader:
         self.code[lanes], self.range[lanes] = code, span
 
 
+def _seen(ids: np.ndarray) -> np.ndarray:
+    return (ids.astype(np.int64) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - _SEEN)
+
+
 def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.ndarray:
     """Code ``ids`` (lanes by steps) or, if None, read them; ``lengths`` descend."""
     lanes, steps = len(lengths), int(lengths[0]) if len(lengths) else 0
     levels = -(-bits // 4)
-    nodes = (16**levels - 1) // 15
+    nodes = min((16**levels - 1) // 15, _TOP + _SHARED)
     out = ids if ids is not None else np.zeros((lanes, steps), np.int64)
     table1 = np.zeros(lanes << _SLOTS, np.int32)
     table2 = np.zeros(lanes << _SLOTS, np.int32)
@@ -145,9 +155,13 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.nd
     tree[:] = _START
     tree_base = np.arange(lanes, dtype=np.int64) * nodes
     by2, by1 = (np.full(lanes * 8, _ONE // 4, np.int64) for _ in range(2))
-    by_both = np.full(lanes * 16, _ONE // 8, np.int64)
-    eights, sixteens = np.arange(lanes) * 8, np.arange(lanes) * 16
-    weight = np.full(lanes, 1 << 15, np.int64)
+    by0 = np.full(lanes * _STEPS, _ONE // 4, np.int64)
+    by_both = np.full(lanes * 16 * _STEPS, _ONE // 8, np.int64)
+    counts = np.zeros(lanes << _SEEN, np.uint8)
+    counts_base = np.arange(lanes, dtype=np.int64) << _SEEN
+    step_of = np.minimum(np.frompyfunc(int.bit_length, 1, 1)(np.arange(256)).astype(np.int64), _STEPS - 1)
+    eights = np.arange(lanes) * 8
+    weight, weight0 = np.full(lanes, 1 << 15, np.int64), np.full(lanes, 1 << 12, np.int64)
     last1, last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     active = np.searchsorted(-lengths, -np.arange(1, steps + 1), "right")
     for t in range(steps):
@@ -161,24 +175,32 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.nd
         guess1, sure1, guess2, sure2 = entry1 >> 2, entry1 & 3, entry2 >> 2, entry2 & 3
         alike = guess1 == guess2
         a, b = eights[here] + sure2 * 2 + alike, eights[here] + sure1 * 2 + alike
-        chance2, chance1 = by2[a], by1[b]
+        step2 = step_of[counts[counts_base[here] + _seen(guess2)]]
+        z = eights[here] + step2
+        chance2, chance1, chance0 = by2[a], by1[b], by0[z]
         apart = chance2 - chance1
-        chance = chance1 + ((weight[here] * apart) >> 16)
+        ordered = chance1 + ((weight[here] * apart) >> 16)
+        apart0 = chance0 - ordered
+        chance = ordered + ((weight0[here] * apart0) >> 16)
         np.minimum(np.maximum(chance, _FLOOR, out=chance), _ONE - _FLOOR, out=chance)
         x = out[:n, t] if ids is not None else None
         hit2 = coder.bit(here, chance, None if x is None else x == guess2)
         seen = hit2 * _ONE
         by2[a] = chance2 + ((seen - chance2) >> 5)
         by1[b] = chance1 + ((seen - chance1) >> 5)
-        moved = weight[here] + (((seen - chance) * apart) >> 15)
+        by0[z] = chance0 + ((seen - chance0) >> 5)
+        moved = weight[here] + (((seen - ordered) * apart) >> 15)
         weight[here] = np.minimum(np.maximum(moved, 0, out=moved), 1 << 16, out=moved)
+        moved = weight0[here] + (((seen - chance) * apart0) >> 15)
+        weight0[here] = np.minimum(np.maximum(moved, 0, out=moved), 1 << 16, out=moved)
 
         found = guess2.copy() if x is None else x
         left = np.flatnonzero(~hit2)
         split = ~alike[left]
         if split.any():
             tried = left[split]
-            c = sixteens[tried] + sure1[tried] * 4 + sure2[tried]
+            step1 = step_of[counts[counts_base[tried] + _seen(guess1[tried])]]
+            c = ((tried * 4 + sure1[tried]) * 4 + sure2[tried]) * _STEPS + step1
             chance = by_both[c]
             held = np.minimum(np.maximum(chance, _FLOOR), _ONE - _FLOOR)
             hit1 = coder.bit(tried, held, None if x is None else x[tried] == guess1[tried])
@@ -190,7 +212,8 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.nd
         if len(left):
             node, value = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
             for level in range(levels - 1, -1, -1):
-                at = tree_base[left] + node
+                deep = node - _TOP
+                at = tree_base[left] + np.where(deep < 0, node, _TOP + ((deep ^ (deep >> 12) * 0x9E5) & (_SHARED - 1)))
                 starts = tree.take(at, axis=0)
                 digit = coder.digit(left, starts, None if x is None else (x[left] >> (4 * level)) & 15)
                 starts += (_TARGETS[digit] - starts) >> _RATE
@@ -207,6 +230,8 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.nd
         ):
             right = found == guess
             table[slot] = np.where(right, entry + (sure < 3), np.where(sure > 0, entry - 1, found << 2))
+        at = counts_base[here] + _seen(found)
+        counts[at] += counts[at] < 255
         last2[here], last1[here] = one.copy(), found
     return out
 

@@ -5,8 +5,9 @@ are cut into blocks of ``rangecoder.BLOCK``, whatever document they belong to. T
 ``part, block, payload``, committed by Spark's writer, so an attempt lost with its executor leaves nothing. A payload
 is self-contained (little-endian): ``magic`` "CMRC", version and bits (one byte each), number of pieces and of ids
 (32 bits each), number of the first document in the part (64), CRC-32 of the ids as 32-bit integers, CRC-32 of the
-coded words; then for each piece its document id (64), its length (32) and flags (8: 1 null id, 2 the document begins, 4 it
-ends); then the coded words. A reader checks both sums and decodes any block without another.
+coded words, CRC-32 of all before and of the pieces; then for each piece its document id (64), its length (32) and flags
+(8: 1 null id, 2 the document begins, 4 it ends); then the coded words. A reader checks the header's sum and bounds and the
+words' sum before it decodes a block, the ids' sum after, and needs no other block.
 
 *Encoding.* A text's bytes are cut where white space follows something else and where ASCII punctuation follows an ASCII
 letter; the tokenizer's own pre-tokenizer always cuts there, so encoding the pieces gives the ids of the whole text, and
@@ -47,9 +48,11 @@ _HEAD = np.dtype(
         ("first", "<i8"),
         ("ids_crc", "<u4"),
         ("words_crc", "<u4"),
+        ("head_crc", "<u4"),
     ]
 )
 _PIECE = np.dtype([("doc_id", "<i8"), ("n", "<u4"), ("flags", "u1")])
+VERSION = 2
 NULL, BEGINS, ENDS = 1, 2, 4
 #: pieces that a worker remembers before it starts anew
 REMEMBERED = 500_000
@@ -155,13 +158,18 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _head_crc(head: bytes, pieces: bytes) -> int:
+    return zlib.crc32(pieces, zlib.crc32(head[:-4]))
+
+
 def _payloads(blocks: list[tuple[int, np.ndarray, np.ndarray]], bits: int) -> list[bytes]:
     coded = rangecoder.encode_blocks([ids for _, _, ids in blocks], bits)
     out = []
     for (first, pieces, ids), words in zip(blocks, coded, strict=True):
         head = np.zeros(1, _HEAD)
         sums = zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(words)
-        head[0] = (b"CMRC", 1, bits, len(pieces), len(ids), first, *sums)
+        head[0] = (b"CMRC", VERSION, bits, len(pieces), len(ids), first, *sums, 0)
+        head[0]["head_crc"] = _head_crc(head.tobytes(), pieces.tobytes())
         out.append(head.tobytes() + pieces.tobytes() + words)
     return out
 
@@ -237,20 +245,30 @@ def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int
 
 
 def read_blocks(payloads: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First document number, pieces and ids of each payload; wrong sums raise."""
+    """First document number, pieces and ids of each payload; wrong sums and numbers raise, before decoding where they can."""
     heads, pieces, words = [], [], []
     for p in payloads:
+        if len(p) < _HEAD.itemsize:
+            raise ValueError("not a block of token ids")
         head = np.frombuffer(p, _HEAD, 1)[0]
-        if head["magic"] != b"CMRC" or head["version"] != 1:
+        if head["magic"] != b"CMRC" or head["version"] != VERSION:
             raise ValueError("not a block of token ids")
         middle = _HEAD.itemsize + int(head["pieces"]) * _PIECE.itemsize
+        # before anything is read by the header's numbers: a damaged count would ask for years or terabytes
+        if middle > len(p) or _head_crc(p[: _HEAD.itemsize], p[_HEAD.itemsize : middle]) != head["head_crc"]:
+            raise ValueError("a block's header is damaged")
+        piece = np.frombuffer(p[_HEAD.itemsize : middle], _PIECE)
+        if head["ids"] > rangecoder.BLOCK or head["ids"] != piece["n"].sum(dtype=np.int64) or head["bits"] > 20:
+            raise ValueError("a block's header is out of bounds")
         heads.append(head)
-        pieces.append(np.frombuffer(p[_HEAD.itemsize : middle], _PIECE))
+        pieces.append(piece)
         words.append(p[middle:])
         if zlib.crc32(p[middle:]) != head["words_crc"]:
             raise ValueError("a block's words are damaged")
     if not heads:
         return
+    if len({int(h["bits"]) for h in heads}) > 1:
+        raise ValueError("blocks of different widths")
     decoded = rangecoder.decode_blocks(words, [int(h["ids"]) for h in heads], int(heads[0]["bits"]))
     for head, piece, ids in zip(heads, pieces, decoded, strict=True):
         if zlib.crc32(ids.astype("<u4").tobytes()) != head["ids_crc"]:

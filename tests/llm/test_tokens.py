@@ -107,3 +107,33 @@ def test_files(spark, monkeypatch):
         damaged[at] ^= 64
         with pytest.raises(ValueError):
             list(tokens.read_blocks([bytes(damaged)]))
+
+
+def test_damage_anywhere_in_a_header_is_found_before_decoding(monkeypatch):
+    pieces = np.array([(7, 300, tokens.BEGINS | tokens.ENDS), (8, 50, tokens.BEGINS)], tokens._PIECE)
+    ids = np.random.default_rng(4).integers(0, 50000, 350).astype(np.uint32)
+    payload = tokens._payloads([(0, pieces, ids)], 16)[0]
+    (first, cut, back), = tokens.read_blocks([payload])
+    assert first == 0 and (cut == pieces).all() and (back == ids).all()
+    monkeypatch.setattr(rangecoder, "decode_blocks", lambda *a: pytest.fail("decoded a damaged block"))
+    size = tokens._HEAD.itemsize + pieces.nbytes
+    for at in range(len(payload)):
+        for flip in (1, 64, 255) if at < size else (8,):
+            damaged = bytearray(payload)
+            damaged[at] ^= flip
+            with pytest.raises(ValueError):
+                list(tokens.read_blocks([bytes(damaged)]))
+    for n in (0, 3, tokens._HEAD.itemsize - 1, size - 1, len(payload) - 1):
+        with pytest.raises(ValueError):
+            list(tokens.read_blocks([payload[:n]]))
+
+
+def test_headers_that_disagree_with_their_pieces_are_refused():
+    ids = np.arange(40, dtype=np.uint32)
+    pieces = np.array([(7, 39, tokens.BEGINS)], tokens._PIECE)
+    with pytest.raises(ValueError, match="bounds"):
+        list(tokens.read_blocks(tokens._payloads([(0, pieces, ids)], 16)))
+    long = np.zeros(rangecoder.BLOCK + 1, np.uint32)
+    pieces = np.array([(7, len(long), tokens.BEGINS)], tokens._PIECE)
+    with pytest.raises(ValueError, match="bounds"):
+        list(tokens.read_blocks(tokens._payloads([(0, pieces, long)], 16)))
