@@ -129,45 +129,3 @@ def pair_counter(n_items: int, pair_in_words: int = PAIR_IN_WORDS) -> BatchFunct
                 yield from batches_of(split(keys), n)
 
     return count
-
-
-def group_counter(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Count the candidate k-sets of one last item against the baskets that hold it.
-
-    ``tails``: column ``head``, the items before that one in each basket; ``sets``: columns ``i1..ik``. Only items that
-    both sides know become bit rows, and only sets all of whose items occur are AND-ed. Returns ``i1..ik, n``
-    for the sets seen.
-    """
-
-    def count(tails, sets):
-        names = [f"i{j + 1}" for j in range(k)]
-        lists = tails.column("head").combine_chunks() if tails.num_rows else pa.array([], pa.list_(pa.int32()))
-        table = np.column_stack([sets.column(c).to_numpy().astype(np.int64) for c in names])
-        heads = table[:, :-1]
-        used = np.unique(heads)
-        values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        n = np.zeros(len(table), np.int64)
-        if len(values) and len(used):
-            at = np.minimum(np.searchsorted(used, values), len(used) - 1)
-            known = used[at] == values
-            lengths = np.diff(lists.offsets.to_numpy())
-            basket = np.repeat(np.arange(len(lengths)), lengths)[known]
-            width = -(-len(lengths) // 64) * 8
-            bits = np.zeros(len(used) * width, np.uint8)
-            # a basket holds an item once, so adding the bit equals setting it
-            np.add.at(bits, at[known] * width + (basket >> 3), (1 << (basket & 7)).astype(np.uint8))
-            bits = bits.reshape(len(used), width).view(np.uint64)
-            place = np.searchsorted(used, heads)
-            possible = np.flatnonzero(bits.any(axis=1)[place].all(axis=1))
-            rows = max(1, (1 << 17) // bits.shape[1])  # about 1 MB of bit rows at a time
-            for lo in range(0, len(possible), rows):
-                part = possible[lo : lo + rows]
-                common = bits[place[part, 0]]
-                for j in range(1, k - 1):
-                    common &= bits[place[part, j]]
-                n[part] = np.bitwise_count(common).sum(axis=1, dtype=np.int64)
-        seen = np.flatnonzero(n)
-        ids = [pa.array(table[seen, j], pa.int32()) for j in range(k)]
-        return pa.table([*ids, pa.array(n[seen])], names=[*names, "n"])
-
-    return count

@@ -90,10 +90,10 @@ def item_counts(tx: Transactions) -> DataFrame:
     )
 
 
-def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int, int]:
+def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int, int, int]:
     """``id, item, count`` with ids 0, 1, 2… by count descending, then item.
 
-    Also the number of items and the sum of their counts. Ranked without a one-task window: rows are range
+    Also the number of items, the sum of their counts, and the bytes of their names. Ranked without a one-task window: rows are range
     partitioned, numbered inside their partition, and shifted by the sizes of the earlier partitions. Only
     those sizes, one per partition, are collected.
     """
@@ -109,14 +109,14 @@ def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int, int]:
             F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("position"),
         )
     )
-    parts = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("items"), F.sum("count").alias("entries"))
+    parts = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("items"), F.sum("count").alias("entries"), F.sum(F.octet_length("item")).alias("bytes"))
     sizes = {row["part"]: row for row in parts.collect()}
     by_part = [sizes[part]["items"] if part in sizes else 0 for part in range(max(sizes, default=0))]
     shifts = ", ".join(map(str, accumulate(by_part, initial=0)))
     shift = F.expr(f"element_at(array({shifts}), part + 1)")
     dictionary = numbered.select((F.col("position") + shift).cast("int").alias("id"), "item", "count")
-    n_items, entries = (sum(row[c] for row in sizes.values()) for c in ("items", "entries"))
-    return dictionary, n_items, entries
+    n_items, entries, name_bytes = (sum(row[c] for row in sizes.values()) for c in ("items", "entries", "bytes"))
+    return dictionary, n_items, entries, name_bytes
 
 
 @dataclass(frozen=True)
@@ -132,6 +132,10 @@ class EncodedBaskets:
     n_items: int
     n: int
     min_count: int
+    #: tasks that counting is worth, from the number of entries
+    tasks: int = 1
+    #: bytes of the item names
+    name_bytes: int = 0
 
 
 def restrict(encoded: EncodedBaskets, min_count: int) -> EncodedBaskets:
@@ -141,7 +145,7 @@ def restrict(encoded: EncodedBaskets, min_count: int) -> EncodedBaskets:
     items = F.filter("items", lambda item: item < n_items)
     baskets = encoded.baskets.select(items.alias("items")).select("items", F.size("items").alias("n_basket_items"))
     baskets = baskets.filter(F.col("n_basket_items") >= 2)
-    return EncodedBaskets(baskets, dictionary, n_items, encoded.n, min_count)
+    return EncodedBaskets(baskets, dictionary, n_items, encoded.n, min_count, encoded.tasks, encoded.name_bytes)
 
 
 def encode_items(pairs: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -149,16 +153,33 @@ def encode_items(pairs: DataFrame, dictionary: DataFrame) -> DataFrame:
     return pairs.join(dictionary.select("item", "id"), "item").select("basket_id", "id")
 
 
-def decode_itemsets(encoded: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Replace ``items ARRAY<INT>`` (unique per row) by ``itemset ARRAY<STRING>``, sorted."""
+# Bytes of item names up to which they travel inside the plan; more names are joined by position.
+NAMES_IN_PLAN = 1 << 20
+
+
+def decode_itemsets(encoded: DataFrame, dictionary: DataFrame, name_bytes: int | None = None) -> DataFrame:
+    """Replace ``items ARRAY<INT>`` by ``itemset ARRAY<STRING>``, sorted.
+
+    ``name_bytes``: measured size of the names. A small dictionary becomes one constant of the plan and needs no
+    shuffle; a large one is joined item by item and put together by row number, never by the array.
+    """
     others = [c for c in encoded.columns if c != "items"]
-    return (
-        encoded.withColumn("id", F.explode("items"))
-        .join(dictionary.select("id", "item"), "id")
-        .groupBy("items", *others)
-        .agg(F.sort_array(F.collect_list("item")).alias("itemset"))
-        .drop("items")
-    )
+    if name_bytes is not None and name_bytes <= NAMES_IN_PLAN:
+        names = [row["item"] for row in dictionary.select("id", "item").orderBy("id").collect()]
+        joint = _absent(names)
+        known = F.split(F.lit(joint.join(names)), joint)
+        decoded = F.transform("items", lambda id_: F.get(known, id_))
+        return encoded.select(*others, F.sort_array(decoded).alias("itemset"))
+    numbered = materialize(encoded.withColumn("number", F.monotonically_increasing_id()))
+    names = numbered.select("number", F.explode("items").alias("id")).join(dictionary.select("id", "item"), "id")
+    lists = names.groupBy("number").agg(F.sort_array(F.collect_list("item")).alias("itemset"))
+    return numbered.join(lists, "number").select(*others, "itemset")
+
+
+def _absent(names: list[str]) -> str:
+    """A character that no name holds, to keep them apart in one text."""
+    used = set().union(*names) if names else set()
+    return next(chr(c) for c in range(0xE000, 0x110000) if chr(c) not in used)
 
 
 # Entries of the trimmed matrix per task. Counting is bound by CPU, not bytes, so tasks are sized by the
@@ -173,7 +194,7 @@ def _counting_tasks(entries: int, cores: int) -> int:
 
 def encode_baskets(tx: Transactions, min_count: int) -> EncodedBaskets:
     counts = tx.presence.groupBy("item").agg(F.count(F.lit(1)).alias("count"))
-    dictionary, n_items, entries = item_dictionary(counts.filter(F.col("count") >= min_count))
+    dictionary, n_items, entries, name_bytes = item_dictionary(counts.filter(F.col("count") >= min_count))
     tasks = _counting_tasks(entries, tx.presence.sparkSession.sparkContext.defaultParallelism)
     baskets = materialize(
         encode_items(tx.presence, dictionary)
@@ -183,4 +204,4 @@ def encode_baskets(tx: Transactions, min_count: int) -> EncodedBaskets:
         .select("items", F.size("items").alias("n_basket_items"))
         .filter(F.col("n_basket_items") >= 2)
     )
-    return EncodedBaskets(baskets, dictionary, n_items, tx.n, min_count)
+    return EncodedBaskets(baskets, dictionary, n_items, tx.n, min_count, tasks, name_bytes)

@@ -22,7 +22,7 @@ from basketry.operators.candidates import (
     positions,
     join_candidates,
 )
-from basketry.operators.counting import count_candidates, count_pairs, frequent
+from basketry.operators.counting import count_candidates, count_pairs, frequent, mine_long_sets
 from basketry.session import discard, materialize
 
 
@@ -30,12 +30,13 @@ from basketry.session import discard, materialize
 class MiningResult:
     """``itemsets``: ``k, itemset, itemset_text, count, support``, every level in one table.
 
-    ``candidates``: number of candidates per level, the last entry being 0 when nothing was left to try.
-    ``cut_off``: a given depth ended the run although longer sets may be frequent.
+    ``sets``: the same in encoded form, ``k, items, count``. ``cut_off``: a given depth ended the run although longer sets
+    may be frequent.
     """
 
     itemsets: DataFrame
-    candidates: dict[int, int]
+    sets: DataFrame
+    n_items: int
     n: int
     min_count: int
     cut_off: bool = False
@@ -55,33 +56,27 @@ def _finish(decoded: DataFrame, n: int) -> DataFrame:
     )
 
 
-def mine_levels(
-    encoded: EncodedBaskets, max_k: int | None = None
-) -> tuple[dict[int, DataFrame], dict[int, int], bool]:
-    """Frequent sets per level in encoded form, the number of candidates tried per level, and whether ``max_k``
-    ended the loop with sets left to try.
+def mine_sets(encoded: EncodedBaskets, max_k: int | None = None) -> DataFrame:
+    """``k, items, count`` of all frequent sets, ids ascending, or of those of up to ``max_k`` items.
 
-    Every level is one scan of the trimmed baskets and ends in a written table, so the plan stays flat
-    and a lost executor costs at most the running level. Only row counts steer the loop.
+    Items come from the dictionary, pairs from one scan of the baskets, all longer sets from one shuffle of heads. Each
+    step ends in a written table, so a lost executor costs at most the running one.
     """
-    k, n_frequent = 1, encoded.n_items
-    levels = {1: encoded.dictionary.select(F.col("id").alias("i1"), "count")}
-    tried: dict[int, int] = {}
-    # a set of k+1 items needs k+1 frequent subsets
-    while n_frequent > k and (max_k is None or k < max_k):
-        k += 1
-        if k == 2:
-            tried[k] = encoded.n_items * (encoded.n_items - 1) // 2
-            found, n_frequent = frequent(count_pairs(encoded), encoded.min_count)
-        else:
-            counted = count_candidates(encoded, join_candidates(levels[k - 1], k), k, encoded.min_count)
-            tried[k], found, n_frequent = counted.n_candidates, counted.table, counted.n_rows
-        if not n_frequent:
-            return levels, tried, False
-        levels[k] = found
-    if encoded.n_items and (max_k is None or k < max_k):
-        tried[k + 1] = 0
-    return levels, tried, n_frequent > k
+    sets = [_as_list(encoded.dictionary.select(F.col("id").alias("i1"), "count"), 1)]
+    if encoded.n_items > 1 and (max_k is None or max_k > 1):
+        pairs, n_pairs = frequent(count_pairs(encoded), encoded.min_count)
+        sets.append(_as_list(pairs, 2))
+        # a set of three items needs three frequent pairs
+        if n_pairs > 2 and (max_k is None or max_k > 2):
+            longer = mine_long_sets(encoded, pairs, n_pairs, max_k)
+            sets.append(longer.select(F.size("items").alias("k"), "items", "count"))
+    return reduce(DataFrame.unionByName, sets)
+
+
+def level_of(sets: DataFrame, k: int) -> DataFrame:
+    """Level ``k`` of mined sets as a table ``i1..ik, count``."""
+    ids = [F.col("items")[j].alias(c) for j, c in enumerate(positions(k))]
+    return sets.filter(F.col("k") == k).select(*ids, "count")
 
 
 def mine_itemsets(
@@ -96,23 +91,35 @@ def mine_itemsets(
 
 def mine_encoded(encoded: EncodedBaskets, max_k: int | None = None) -> MiningResult:
     """:func:`mine_itemsets` on baskets that are encoded already and are kept."""
-    levels, tried, cut_off = mine_levels(encoded, max_k)
-    tall = reduce(DataFrame.unionByName, [_as_list(df, k) for k, df in levels.items()])
-    itemsets = materialize(_finish(decode_itemsets(tall, encoded.dictionary), encoded.n))
-    # the result stands on its own now
-    discard(*(df for k, df in levels.items() if k > 1))
-    return MiningResult(itemsets, tried, encoded.n, encoded.min_count, cut_off)
+    sets = mine_sets(encoded, max_k)
+    itemsets = materialize(_finish(decode_itemsets(sets, encoded.dictionary, encoded.name_bytes), encoded.n))
+    # as in candidate generation, a set of k+1 items needs k+1 frequent subsets
+    cut_off = max_k is not None and itemsets.filter(F.col("k") == max_k).count() > max_k
+    return MiningResult(itemsets, sets, encoded.n_items, encoded.n, encoded.min_count, cut_off)
+
+
+def candidate_counts(result: MiningResult) -> DataFrame:
+    """``k, n_candidates``: the sets of k items that level k - 1 admits; levels without any are left out."""
+    spark = result.itemsets.sparkSession
+    sizes = dict(result.sets.groupBy("k").count().collect())
+    levels = [spark.createDataFrame([(2, result.n_items * (result.n_items - 1) // 2)], "k int, n_candidates bigint")]
+    for k in range(2, max(sizes, default=0) + 1):
+        if sizes[k] > k:
+            admitted = join_candidates(level_of(result.sets, k), k + 1)
+            levels.append(admitted.agg(F.lit(k + 1).alias("k"), F.count(F.lit(1)).alias("n_candidates")))
+    return reduce(DataFrame.unionByName, levels).filter("n_candidates > 0")
 
 
 def level_funnel(result: MiningResult) -> DataFrame:
     """``k, n_candidates, n_frequent``; level 1 has no candidate step."""
-    spark = result.itemsets.sparkSession
-    tried = spark.createDataFrame(sorted(result.candidates.items()), "k int, n_candidates bigint")
+    deepest = result.itemsets.agg(F.max("k")).first()[0] or 0
+    tried = candidate_counts(result)
+    if result.cut_off:
+        tried = tried.filter(F.col("k") <= deepest)
     found = result.itemsets.groupBy("k").agg(F.count("*").alias("n_frequent"))
     return (
         found.join(tried, "k", "full_outer")
         .select("k", "n_candidates", F.coalesce("n_frequent", F.lit(0)).cast("long").alias("n_frequent"))
-        .filter((F.col("k") == 1) | (F.col("n_candidates") > 0))
         .orderBy("k")
     )
 
@@ -160,7 +167,7 @@ def item_levels(tx: Transactions, min_count: int) -> tuple[DataFrame, DataFrame,
 
 
 def _shown(encoded: EncodedBaskets, counted: DataFrame, k: int) -> DataFrame:
-    decoded = decode_itemsets(_as_list(counted, k), encoded.dictionary)
+    decoded = decode_itemsets(_as_list(counted, k), encoded.dictionary, encoded.name_bytes)
     return _by_count(_finish(decoded, encoded.n).drop("k"))
 
 
@@ -182,7 +189,7 @@ def pair_level(encoded: EncodedBaskets, absent: bool = False) -> tuple[DataFrame
 def triple_level(encoded: EncodedBaskets, level2: DataFrame) -> DataFrame:
     """L3: the frequent triples, from the pruned candidates."""
     counted = count_candidates(encoded, join_candidates(level2, 3), 3, encoded.min_count)
-    return _shown(encoded, counted.table, 3)
+    return _shown(encoded, counted, 3)
 
 
 def overlap_level(encoded: EncodedBaskets, level2: DataFrame) -> DataFrame:
@@ -193,7 +200,7 @@ def overlap_level(encoded: EncodedBaskets, level2: DataFrame) -> DataFrame:
     """
     candidates = materialize(overlap_candidates(level2))
     counted = count_candidates(encoded, candidates, 3)
-    return _shown(encoded, candidates.join(counted.table, positions(3), "left").fillna(0, ["count"]), 3)
+    return _shown(encoded, candidates.join(counted, positions(3), "left").fillna(0, ["count"]), 3)
 
 
 def level_steps(tx: Transactions, min_count: int) -> LevelSteps:

@@ -90,6 +90,18 @@ def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
     return table, table.count()
 
 
+def materialize_bucketed(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """Write ``df`` dealt by ``keys`` into ``n`` buckets, one file each, and read it as a table that knows so.
+
+    Joins and groups on these keys then read it without another exchange, as often as they like.
+    """
+    spark = df.sparkSession
+    path = new_table_path(spark)
+    name = f"basketry_{path.rsplit('/', 1)[1]}"
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete written tables that nothing will read again; files from elsewhere are left alone."""
     for table in tables:

@@ -123,22 +123,8 @@ def test_large_batches_are_cut(monkeypatch):
         assert len(got) > 5 and totals(got, 2) == truth(rows, 2)
 
 
-@settings(deadline=None)
-@given(baskets, st.integers(3, 5), st.randoms())
-def test_candidates_of_one_last_item(rows, k, random):
-    sets = [s for s in combinations(range(10), k) if s[-1] == 7]
-    sets = random.sample(sets, len(sets) // 2)
-    heads = pa.table({"head": pa.array([[i for i in r if i < 7] for r in rows if 7 in r], pa.list_(pa.int32()))})
-    table = pa.table({f"i{j + 1}": pa.array([s[j] for s in sets], pa.int32()) for j in range(k)})
-    got = totals(bitmaps.group_counter(k)(heads, table).to_batches(), k)
-    assert got == {s: n for s, n in truth(rows, k).items() if s in set(sets)}
-
-
 def test_empty_batches():
     assert list(bitmaps.pair_counter(3)(iter([batch([])]))) == []
-    heads = pa.table({"head": pa.array([], pa.list_(pa.int32()))})
-    sets = pa.table({f"i{j}": pa.array([j], pa.int32()) for j in (1, 2, 3)})
-    assert bitmaps.group_counter(3)(heads, sets).num_rows == 0
 
 
 def test_fixed_prints_like_c(spark):

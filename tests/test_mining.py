@@ -1,6 +1,7 @@
 """Baskets and levels: golden toys, brute force, an independent miner, skew, and large candidate sets."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.ml.fpm import FPGrowth
@@ -11,6 +12,7 @@ from basketry.operators import baskets as bk
 from basketry.operators import candidates as cd
 from basketry.operators import counting
 from basketry.operators import itemsets as its
+from basketry.session import materialize
 from tests import brute
 from tests.conftest import TESTDATA
 from workloads import views
@@ -171,6 +173,51 @@ def test_items_in_many_baskets_are_counted_in_shares(spark, monkeypatch):
     }
 
 
+def test_heads_are_shuffled_once(spark, monkeypatch):
+    """The written heads know their groups: mining them and counting candidates in them needs no exchange of baskets."""
+    monkeypatch.setattr(counting, "BASKETS_PER_GROUP", 4)
+    tx = bk.transactions(spark.createDataFrame(random_lines(10), LINES))
+    encoded = replace(bk.encode_baskets(tx, 5), tasks=3)
+    pairs, n_pairs = counting.frequent(counting.count_pairs(encoded), 5)
+    edges = pairs.selectExpr("i1 AS item", "i2 AS last")
+    found, split = counting.heads(encoded, edges, n_pairs)
+    assert split
+    dealt = counting._dealt(encoded, found)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    mined = dealt.groupBy("last", "share").applyInArrow(lambda table: table, dealt.schema)
+    assert "Exchange" not in plan(mined)
+    sets = spark.createDataFrame([(1, 5, [0, 1, 5])], "number long, last int, items array<int>")
+    counted = plan(counting._count_sets(encoded, dealt, sets))
+    assert "Bucketed: true" in counted and counted.count("Exchange hashpartitioning(last") == 1  # the sets' side
+    counts = counting.count_candidates(encoded, spark.createDataFrame([(0, 1, 5), (0, 2, 3)], "i1 int, i2 int, i3 int"), 3)
+    whole = {(r.i1, r.i2, r.i3): r["count"] for r in counts.collect()}
+    baskets = [set(r["items"]) for r in encoded.baskets.collect()]
+    assert whole == {c: n for c in ((0, 1, 5), (0, 2, 3)) if (n := sum({*c} <= b for b in baskets))}
+
+
+def test_edges_in_rounds(spark, monkeypatch):
+    lines = random_lines(14)
+    monkeypatch.setattr(counting, "EDGES_AT_ONCE", 5)
+    mined = its.mine_itemsets(bk.transactions(spark.createDataFrame(lines, LINES)), 4).itemsets
+    assert as_dict(mined) == brute.frequent(lines, 4)
+
+
+def test_names_beyond_the_plan_are_joined(spark, monkeypatch):
+    lines = random_lines(15)
+    monkeypatch.setattr(bk, "NAMES_IN_PLAN", 3)
+    mined = its.mine_itemsets(bk.transactions(spark.createDataFrame(lines, LINES)), 6).itemsets
+    assert as_dict(mined) == brute.frequent(lines, 6)
+
+
+def test_names_with_any_character(spark):
+    names = ["a b", "a b", "x", "\U000f0000", "it's", "a|b.*[c]", "", " ", "é\n"]
+    lines = [(str(b), name) for b in range(3) for name in names]
+    assert as_dict(its.mine_itemsets(bk.transactions(spark.createDataFrame(lines, LINES)), 2, 2).itemsets) == brute.frequent(lines, 2, 2)
+
+
 def test_hot_basket_and_hot_item(spark):
     """One basket holds a third of all rows and one item is in every basket."""
     hot = [("hot", f"i{n % 40}") for n in range(400)]
@@ -187,7 +234,7 @@ def test_dictionary_is_dense_and_ordered_over_partitions(spark):
     tx = bk.transactions(spark.createDataFrame(lines, LINES))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        dictionary, n_items, entries = bk.item_dictionary(bk.item_counts(tx))
+        dictionary, n_items, entries, _ = bk.item_dictionary(bk.item_counts(tx))
         rows = [tuple(r) for r in dictionary.orderBy("id").collect()]
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -213,8 +260,8 @@ def test_baskets_presence_and_counts(spark):
 
 def test_candidate_joins_broadcast_small_levels(spark):
     tx = bk.transactions(spark.createDataFrame(random_lines(11), LINES))
-    levels, _, _ = its.mine_levels(bk.encode_baskets(tx, 3), max_k=3)
-    plan = cd.join_candidates(levels[3], 4)._jdf.queryExecution().executedPlan().toString()
+    sets = materialize(its.mine_sets(bk.encode_baskets(tx, 3), max_k=3))
+    plan = cd.join_candidates(its.level_of(sets, 3), 4)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 

@@ -1,6 +1,7 @@
 """Rules, their metrics, the rule browser and the rankings."""
 
 import math
+import re
 
 import pytest
 
@@ -133,3 +134,56 @@ def test_shown_tables_have_five_rows_at_most(itemsets):
     assert topn.display_rows(itemsets).count() == 5
     assert topn.display_rows(itemsets, 20).count() == min(20, itemsets.count())
     assert topn.display_rows(itemsets, 2).count() == 2
+
+
+@pytest.mark.parametrize("bound", [0.05, 0.5, 0.8, 1.0])
+def test_grown_consequents_give_the_same_rules(itemsets, lines, monkeypatch, bound):
+    monkeypatch.setattr(rl, "SPLIT_WHOLE", 1)
+    got = as_dict(rl.generate_rules(itemsets, min_confidence=bound))
+    assert got == {r: m for r, m in brute.rules(lines, 8).items() if m[1] >= bound}
+
+
+def every_subset(spark, n, support):
+    """All sets of ``n`` items, with a support that follows from the set's size."""
+    names = "array(" + ", ".join(f"'i{j:02}'" for j in range(n)) + ")"
+    sets = spark.range(1, 1 << n).selectExpr(f"filter({names}, (x, j) -> (shiftright(id, j) & 1) = 1) AS itemset")
+    return sets.selectExpr("size(itemset) AS k", "itemset", f"CAST({support} * 100 AS BIGINT) AS count", f"{support} AS support")
+
+
+def test_a_long_set_is_not_split_in_all_ways(spark, monkeypatch):
+    """Confidence falls with the consequent: of 16,382 splits only those of one and two items are looked at."""
+    n, looked_at = 14, []
+    plain = rl._look_up
+
+    def counting(splits, itemsets, name):
+        if name == "antecedent":
+            looked_at.append(splits.count())
+        return plain(splits, itemsets, name)
+
+    monkeypatch.setattr(rl, "_look_up", counting)
+    itemsets = every_subset(spark, n, "pow(0.95D, size(itemset))")
+    rules = rl.generate_rules(itemsets, levels=(n,), min_confidence=0.94)
+    assert rules.count() == n
+    assert sum(looked_at) == n + n * (n - 1) // 2 and sum(looked_at) < 0.01 * (2**n - 2)
+
+
+def test_no_exchange_by_arrays_and_balanced_sides(spark):
+    """Every pair holds the best seller; its side is dealt to many tasks by the copies of its support."""
+    items = 400
+    pairs = [(2, ["best", f"i{j:03}"], 10, 0.1) for j in range(items)]
+    single = [(1, [f"i{j:03}"], 20, 0.2) for j in range(items)] + [(1, ["best"], 90, 0.9)]
+    itemsets = spark.createDataFrame(single + pairs, "k int, itemset array<string>, count long, support double")
+    for key, value in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(key, value)
+    try:
+        rules = rl.generate_rules(itemsets)
+        plan = rules._jdf.queryExecution().executedPlan().toString()
+        keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+        assert keys and all(re.fullmatch(r"\w+_key#\d+L, \w+_copy#\d+, \d+", k) for k in keys)
+        splits = itemsets.filter("k = 2").selectExpr("*", "explode(sequence(1L, 2L)) AS mask")
+        found = rl._look_up(splits.withColumn("antecedent", rl._side(1)), itemsets, "antecedent")
+        sizes = [r["count"] for r in found.selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 2 * sorted(sizes)[1]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -130,7 +130,7 @@ def encoded_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines to ids and back: the presence rows of the frequent items."""
     tx = _tx(spark, sf_dir, item=NAME)
     enough = F.col("count") >= absolute_support(tx.n, 0.05)
-    dictionary, _, _ = bk.item_dictionary(bk.item_counts(tx).filter(enough))
+    dictionary, *_ = bk.item_dictionary(bk.item_counts(tx).filter(enough))
     ids = bk.encode_items(tx.presence, dictionary)
     return ids.join(dictionary, "id").select("basket_id", "item")
 
@@ -172,9 +172,9 @@ def l2_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def candidates_k3(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = _encoded(spark, sf_dir, 0.01)
-    levels, _, _ = its.mine_levels(encoded, max_k=2)
-    triples = cd.join_candidates(levels[2], 3).select(F.array(*cd.positions(3)).alias("items"))
-    decoded = bk.decode_itemsets(triples, encoded.dictionary)
+    pairs = its.pair_level(encoded)[2]
+    triples = cd.join_candidates(pairs, 3).select(F.array(*cd.positions(3)).alias("items"))
+    decoded = bk.decode_itemsets(triples, encoded.dictionary, encoded.name_bytes)
     return decoded.select(itemset_text(F.col("itemset")).alias("itemset_text"))
 
 
