@@ -9,8 +9,9 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from basketry.session import discard, materialize
+from basketry.session import discard, materialize, new_table_path
 
 
 def presence(lines: DataFrame) -> DataFrame:
@@ -31,6 +32,46 @@ def presence_matrix(lines: DataFrame, items: Sequence[str]) -> DataFrame:
     return lines.groupBy("basket_id").agg(*columns)
 
 
+@dataclass(frozen=True)
+class PresenceVectors:
+    """``vectors``: ``basket_id, features``, one sparse binary vector of length ``n_items`` each; ``dictionary``: ``id, item, count``."""
+
+    vectors: DataFrame
+    dictionary: DataFrame
+    n_items: int
+    path: str
+
+    def entries(self) -> DataFrame:
+        """``basket_id, item`` of the non-zeros, read from the written vectors."""
+        stored = self.vectors.sparkSession.read.schema(f"basket_id string, features {_VECTOR}").parquet(self.path)
+        ids = stored.select("basket_id", F.explode("features.indices").alias("id"))
+        return ids.join(self.dictionary, "id").select("basket_id", "item")
+
+
+# How a vector column is stored; type 0 is sparse.
+_VECTOR = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+
+
+def presence_vectors(lines: DataFrame) -> PresenceVectors:
+    """The basket-by-item matrix as a column of sparse vectors, ready for MLlib estimators.
+
+    Names stay in the dictionary table; a basket's vector is put together from item ids, written in a vector's stored form and
+    read back as vectors. A row is bounded by the catalogue.
+    """
+    from pyspark.ml.linalg import VectorUDT
+
+    pairs = materialize(presence(lines))
+    dictionary, n_items, *_ = item_dictionary(pairs.groupBy("item").agg(F.count(F.lit(1)).alias("count")))
+    indices = F.sort_array(F.collect_list("id"))
+    rows = encode_items(pairs, dictionary).groupBy("basket_id").agg(indices.alias("indices"))
+    ones = F.transform("indices", lambda _: F.lit(1.0))
+    features = F.struct(F.lit(0).cast("tinyint"), F.lit(n_items), "indices", ones).cast(_VECTOR)
+    spark, path = lines.sparkSession, new_table_path(lines.sparkSession)
+    rows.select("basket_id", features.alias("features")).write.parquet(path)
+    schema = T.StructType([T.StructField("basket_id", T.StringType()), T.StructField("features", VectorUDT())])
+    return PresenceVectors(spark.read.schema(schema).parquet(path), dictionary, n_items, path)
+
+
 def build_baskets(lines: DataFrame) -> DataFrame:
     """One row per basket with its sorted distinct items.
 

@@ -47,16 +47,38 @@ def join_candidates(level: DataFrame, k: int) -> DataFrame:
     return candidates.select(*positions(k))
 
 
-def overlap_candidates(level2: DataFrame) -> DataFrame:
-    """Every union of two frequent pairs that has three items; the third pair need not be frequent."""
+# Neighbours of an item that are joined with each other in one group.
+NEIGHBOURS = 1024
+
+
+def neighbour_pairs(level2: DataFrame, neighbours: int = NEIGHBOURS) -> DataFrame:
+    """``shared, x, y`` with ``x < y``: any two frequent pairs that share an item.
+
+    A best seller's neighbours are cut into blocks and block is joined with block, so no group holds more than about two
+    blocks, although the result grows with the square of the neighbours.
+    """
     ends = level2.select(F.col("i1").alias("shared"), F.col("i2").alias("other")).unionByName(
         level2.select(F.col("i2").alias("shared"), F.col("i1").alias("other"))
     )
+    blocks = F.ceil(F.count(F.lit(1)) / neighbours).cast("int").alias("blocks")
+    ends = ends.join(ends.groupBy("shared").agg(blocks), "shared")
+    # an end goes to the meeting of its own block with every block
+    ends = ends.select(
+        "shared",
+        "other",
+        F.pmod(F.xxhash64("other"), "blocks").cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("meets"),
+    )
+    x = ends.select("shared", F.col("block").alias("a"), F.col("meets").alias("b"), F.col("other").alias("x"))
+    y = ends.select("shared", F.col("meets").alias("a"), F.col("block").alias("b"), F.col("other").alias("y"))
+    return x.join(y, ["shared", "a", "b"]).filter(F.col("x") < F.col("y")).select("shared", "x", "y")
+
+
+def overlap_candidates(level2: DataFrame, neighbours: int = NEIGHBOURS) -> DataFrame:
+    """Every union of two frequent pairs that has three items; the third pair need not be frequent."""
     low, high = F.least("shared", "x"), F.greatest("shared", "y")
     return (
-        ends.withColumnRenamed("other", "x")
-        .join(ends.withColumnRenamed("other", "y"), "shared")
-        .filter(F.col("x") < F.col("y"))
+        neighbour_pairs(level2, neighbours)
         .select(
             low.alias("i1"),
             (F.col("shared") + F.col("x") + F.col("y") - low - high).alias("i2"),

@@ -177,9 +177,8 @@ def extended_metrics(rules: DataFrame) -> DataFrame:
     )
 
 
-def library_rules(itemsets: DataFrame, min_confidence: float = 0.3) -> DataFrame:
-    """Rules of all levels above a confidence, under the column names of the common rule libraries."""
-    rules = extended_metrics(generate_rules(itemsets, min_confidence=min_confidence))
+def library_names(rules: DataFrame, *others: str) -> DataFrame:
+    """Rules under the column names of the common rule libraries, and ``others`` as they are."""
     return rules.select(
         F.col("antecedent_text").alias("antecedents"),
         F.col("consequent_text").alias("consequents"),
@@ -195,9 +194,15 @@ def library_rules(itemsets: DataFrame, min_confidence: float = 0.3) -> DataFrame
         "jaccard",
         "certainty",
         "kulczynski",
+        *others,
     )
 
 
+def library_rules(itemsets: DataFrame, min_confidence: float = 0.3) -> DataFrame:
+    """Rules of all levels above a confidence, under the column names of the common rule libraries."""
+    return library_names(extended_metrics(generate_rules(itemsets, min_confidence=min_confidence)))
+
+
 def query_rules(
     rules: DataFrame,
     min_confidence: float = 0.30,

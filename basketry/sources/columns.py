@@ -17,6 +17,13 @@ ALIASES: Mapping[str, Sequence[str]] = {
     "consequent": ("consequent", "consequents", "Y"),
 }
 
+# The complete rule summary looks for the short names of the sides before the plural ones.
+SUMMARY_ALIASES: Mapping[str, Sequence[str]] = {
+    **ALIASES,
+    "antecedent": ("antecedent", "X", "antecedents"),
+    "consequent": ("consequent", "Y", "consequents"),
+}
+
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Return ``df`` unchanged if it has all ``columns``."""

@@ -145,3 +145,13 @@ def test_fixed_prints_like_c(spark):
         want = [f"{x:.{digits}f}" for x in values]
         wrong = [(x, g, w) for x, g, w in zip(values, got["t"], want, strict=True) if g != w]
         assert not wrong, wrong[:5]
+
+
+def test_tiles_send_each_pair_once_for_all_held_entries():
+    """20,000 items: a task's rows are its distinct pairs, however many batches bring them."""
+    random = np.random.default_rng(8)
+    rows = [sorted(random.choice(20_000, 12, replace=False).tolist()) for _ in range(60)] * 4
+    parts = [batch(rows[lo : lo + 20]) for lo in range(0, len(rows), 20)]
+    got = list(bitmaps.pair_counter(20_000)(iter(parts)))
+    assert totals(got, 2) == truth(rows, 2)
+    assert sum(b.num_rows for b in got) == len(truth(rows, 2))

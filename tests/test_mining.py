@@ -125,6 +125,44 @@ def test_overlap_candidates_are_not_pruned(spark):
     assert got == [(1, 2, 3), (1, 2, 4), (2, 3, 4)]
 
 
+@pytest.mark.parametrize("neighbours", [1, 3, 1024])
+def test_overlap_by_blocks_of_neighbours(spark, neighbours):
+    rng = random.Random(neighbours)
+    pairs = {(0, i) for i in range(1, 30)} | {tuple(sorted(rng.sample(range(40), 2))) for _ in range(30)}
+    level2 = spark.createDataFrame(sorted(pairs), "i1 int, i2 int")
+    got = [tuple(r) for r in cd.overlap_candidates(level2, neighbours).collect()]
+    want = {tuple(sorted({*x, *y})) for x in pairs for y in pairs if len({*x, *y}) == 3}
+    assert sorted(got) == sorted(want)
+
+
+def test_a_best_seller_in_all_pairs_is_spread(spark):
+    """One item in every frequent pair: the join's largest task has under twice the median's rows."""
+    level2 = spark.range(1, 3001).selectExpr("0 AS i1", "CAST(id AS INT) AS i2")
+    for key, value in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(key, value)
+    try:
+        joined = cd.neighbour_pairs(level2, 128).groupBy(F.spark_partition_id()).count().collect()
+        sizes = sorted(r["count"] for r in joined)
+        assert sum(sizes) == 3000 * 2999 // 2 and len(sizes) == 4 and sizes[-1] < 2 * sizes[len(sizes) // 2 - 1]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_presence_vectors_hold_the_long_form(spark):
+    from pyspark.ml.linalg import VectorUDT
+
+    lines = spark.createDataFrame(random_lines(17) + [("x", "i1"), ("x", "i1")], LINES)
+    found = bk.presence_vectors(lines)
+    assert isinstance(found.vectors.schema["features"].dataType, VectorUDT)
+    names = {r["id"]: r["item"] for r in found.dictionary.collect()}
+    rows = {(r["basket_id"], names[i]) for r in found.vectors.collect() for i in r["features"].indices.tolist()}
+    presence = {tuple(r) for r in bk.presence(lines).collect()}
+    assert rows == presence == {tuple(r) for r in found.entries().collect()}
+    assert {len(r["features"]) for r in found.vectors.collect()} == {found.n_items}
+    assert bk.presence_vectors(lines.limit(0)).vectors.count() == 0
+
+
 def test_steps_count_zero_and_infrequent_candidates(spark):
     """c is never with d; a-b is infrequent although a-b-e is a union of a-e and b-e."""
     lines = [(str(b), i) for b, items in enumerate(["ae", "ae", "be", "be", "abe", "c", "c", "d", "d"]) for i in items]

@@ -114,10 +114,13 @@ def percent(column: str) -> str:
 
 
 A_TYPE, A_BRAND, A_NAME = clean("A"), clean("A", "Brand"), clean("A", "Description")
+A_PRODUCT = A_BRAND.replace('"Brand" AS item', """"Brand" || ' ' || "StockCode" AS item""")
 B_TYPE, C_TYPE = clean("B"), clean("C")
 
 TYPE_1 = mined(A_TYPE, 0.01)
 BRAND_1 = mined(A_BRAND, 0.01, depth=3)
+BRAND_1_PAIRS = mined(A_BRAND, 0.01, depth=2)
+PRODUCT_PAIRS = mined(A_PRODUCT, 0.0002, depth=2)
 BRAND_02 = mined(A_BRAND, 0.002, depth=7)
 NAME_5 = mined(A_NAME, 0.05, depth=1)
 CUSTOMER_5 = mined(CUSTOMERS, 0.05)
@@ -126,10 +129,19 @@ USER_5 = mined(USERS, 0.05, depth=5)
 # candidates: every pair of frequent items, every three-item union of two frequent pairs, and the
 # three-item sets all of whose pairs are frequent
 C2 = """, c2 AS (SELECT [x.s[1], y.s[1]] AS s FROM f x JOIN f y ON x.k = 1 AND y.k = 1 AND x.s[1] < y.s[1])"""
-C3 = """, ends AS MATERIALIZED (
+# triples as three columns, counted by joining presence on each of their items
+C3_COUNTED = """, ends AS MATERIALIZED (
   SELECT s[1] AS shared, s[2] AS other FROM f WHERE k = 2 UNION ALL SELECT s[2], s[1] FROM f WHERE k = 2
-), c3 AS MATERIALIZED (SELECT DISTINCT list_sort([x.shared, x.other, y.other]) AS s
-  FROM ends x JOIN ends y ON x.shared = y.shared AND x.other < y.other)"""
+), c3 AS MATERIALIZED (SELECT DISTINCT least(x.shared, x.other) AS i1,
+         CASE WHEN x.shared < x.other THEN x.other WHEN x.shared > y.other THEN y.other ELSE x.shared END AS i2,
+         greatest(x.shared, y.other) AS i3
+  FROM ends x JOIN ends y ON x.shared = y.shared AND x.other < y.other
+), u AS MATERIALIZED (SELECT x.item AS i1, y.item AS i2, z.item AS i3, count(*) AS cnt
+  FROM b x JOIN b y ON y.basket_id = x.basket_id AND y.item > x.item
+           JOIN b z ON z.basket_id = y.basket_id AND z.item > y.item GROUP BY ALL
+), c3_counted AS (SELECT concat_ws(', ', c3.i1, c3.i2, c3.i3) AS itemset_text, coalesce(u.cnt, 0) AS "count",
+         coalesce(CAST(u.cnt AS DOUBLE) / t.n, 0.0) AS support
+  FROM c3 LEFT JOIN u ON u.i1 = c3.i1 AND u.i2 = c3.i2 AND u.i3 = c3.i3, t)"""
 P3 = """, p3 AS (SELECT [x.s[1], x.s[2], y.s[2]] AS s FROM f x JOIN f y ON x.k = 2 AND y.k = 2
   AND x.s[1] = y.s[1] AND x.s[2] < y.s[2] JOIN f z ON z.k = 2 AND z.s[1] = x.s[2] AND z.s[2] = y.s[2])"""
 
@@ -186,6 +198,9 @@ ORACLES: dict[str, str] = {
     "clean_b": B_TYPE,
     "clean_c": C_TYPE,
     "csv_ingest": A_TYPE,
+    "csv_first": A_TYPE.replace(f"({INVOICE_LINES})", f"""({INVOICE_LINES}
+  AND regexp_replace(p_brand, '[^A-Za-z0-9]', '_', 'g') = (SELECT min(regexp_replace(p_brand, '[^A-Za-z0-9]', '_', 'g'))
+      FROM lineitem JOIN part ON l_partkey = p_partkey))"""),
     "parquet_copy": INVOICE_LINES,
     "dataset_profile": f"""
 SELECT 'n_rows' AS metric, count(*) AS value FROM ({INVOICE_LINES})
@@ -202,6 +217,7 @@ FROM (SELECT DISTINCT basket_id, item FROM ({A_TYPE})) GROUP BY basket_id""",
         for t in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
     )
     + f" FROM ({A_TYPE}) GROUP BY basket_id",
+    "presence_vectors": f"SELECT DISTINCT basket_id, item FROM ({A_BRAND})",
     "threshold_modes": " UNION ALL ".join(
         f"SELECT CAST({r} AS DOUBLE) AS min_support, n AS n_transactions, {threshold(r, 'ceil')} AS abs_ceil,"
         f" {threshold(r, 'floor')} AS abs_floor, {threshold(r, 'ratio')} AS abs_ratio"
@@ -215,9 +231,10 @@ FROM (SELECT DISTINCT basket_id, item FROM ({A_TYPE})) GROUP BY basket_id""",
     "l1_items": NAME_5 + LEVEL + " FROM f",
     "l1_dropped": NAME_5 + f" SELECT {text('s')} AS itemset_text, cnt AS \"count\" FROM a, t WHERE cnt < m",
     "c2_pairs": BRAND_1 + C2 + occurring("c2"),
+    "c2_absent_pairs": PRODUCT_PAIRS + C2 + counted("c2"),
     "l2_pairs": BRAND_1 + LEVEL + " FROM f WHERE k = 2",
     "candidates_k3": BRAND_1 + P3 + f" SELECT {text('s')} AS itemset_text FROM p3",
-    "c3_triples": BRAND_1 + C3 + counted("c3"),
+    "c3_triples": BRAND_1_PAIRS + C3_COUNTED + " SELECT * FROM c3_counted",
     "l3_triples": BRAND_02 + LEVEL + " FROM f WHERE k = 3",
     "frequent_itemsets": TYPE_1 + ITEMSETS,
     "frequent_itemsets_deep": mined(A_TYPE, 0.002) + ITEMSETS,
@@ -332,9 +349,9 @@ UNION ALL SELECT 'avg_lift', coalesce(round_even(avg(lift), 4), 0) FROM z""",
     + f' SELECT itemset_text AS itemsets, "count" AS "Count" FROM ({occurring("c2")})',
     "table_l2": BRAND_1
     + f' SELECT {text("s")} AS itemsets, cnt AS "Count", {percent("sup")} AS "Support" FROM f WHERE k = 2',
-    "table_c3": BRAND_1
-    + C3
-    + f' SELECT itemset_text AS "Itemset", "count" AS "Count", {percent("support")} AS "Support" FROM ({counted("c3")})',
+    "table_c3": BRAND_1_PAIRS
+    + C3_COUNTED
+    + f' SELECT itemset_text AS "Itemset", "count" AS "Count", {percent("support")} AS "Support" FROM c3_counted',
     "table_l3": BRAND_02
     + f' SELECT {text("s")} AS itemsets, cnt AS "Count", {percent("sup")} AS "Support" FROM f WHERE k = 3',
     "table_rules_l3": TYPE_1
@@ -373,3 +390,11 @@ FROM a ORDER BY cnt DESC, itemsets LIMIT 10""",
     + f""", u AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY cnt DESC, {text('s')}) AS rank,
   {text('s')} AS itemset, cnt AS "count" FROM f) SELECT k, itemset, "count" FROM u WHERE rank <= 5""",
 }
+
+ORACLES["query_rules_stored"] = ORACLES["query_rules"]
+ORACLES["alias_lookup"] = (
+    TYPE_1
+    + RULES
+    + f""" SELECT {text('s')} AS name, cnt AS "count", {percent('sup')} AS support FROM f
+UNION ALL SELECT {rule()}, NULL, {percent('sup')} FROM r WHERE k = 2"""
+)

@@ -13,6 +13,7 @@ from basketry.operators import baskets as bk
 from basketry.operators import candidates as cd
 from basketry.operators import itemsets as its
 from basketry.operators import rules as rl
+from basketry.operators import ruletable as rt
 from basketry.operators import topn
 from basketry.operators.clean import clean_lines, kept_lines
 from basketry.plans import sweep as sw
@@ -77,6 +78,15 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(text, "A")
 
 
+def csv_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as CSV in a folder for each brand; the first file below is read and cleaned."""
+    path = new_table_path(spark)
+    lines = views.invoice_lines(spark, sf_dir).withColumn("folder", F.regexp_replace("Brand", "[^A-Za-z0-9]", "_"))
+    lines.repartition("folder").write.option("header", True).partitionBy("folder").csv(path)
+    text = files.read_lines(spark, files.first_csv(spark, path))
+    return clean_lines(require_columns(text, ["InvoiceNo", "StockCode", "Quantity"]), "A")
+
+
 def parquet_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_table_path(spark)
     files.write_parquet(views.invoice_lines(spark, sf_dir), path)
@@ -115,6 +125,11 @@ def presence_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bk.presence_matrix(lines, types)
 
 
+def presence_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The non-zeros of the sparse vectors, by name."""
+    return bk.presence_vectors(_lines(spark, sf_dir, item=BRAND)).entries()
+
+
 def threshold_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = bk.dataset_counts(_lines(spark, sf_dir, item=TYPE))
     return sw.threshold_modes(counts, MODE_RATIOS, ("ceil", "floor", "ratio"))
@@ -165,6 +180,14 @@ def c2_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c2.select("itemset_text", "count", "support")
 
 
+def c2_absent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 with the pairs that never occur."""
+    named = views.invoice_lines(spark, sf_dir).withColumn("Product", F.concat_ws(" ", "Brand", "StockCode"))
+    tx = bk.transactions(clean_lines(named, "A", item_col="Product"))
+    c2, _, _ = its.pair_level(bk.encode_baskets(tx, absolute_support(tx.n, 0.0002)), absent=True)
+    return c2.select("itemset_text", "count", "support")
+
+
 def l2_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, l2, _ = its.pair_level(_encoded(spark, sf_dir, 0.01))
     return l2.select("itemset_text", "count", "support")
@@ -257,6 +280,34 @@ def query_rules_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def query_rules_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same browser call over a stored rule table."""
+    path = new_table_path(spark)
+    rt.write_rule_table(_mined(spark, sf_dir, 0.01).itemsets, path, min_confidence=0.3)
+    return rt.query_rule_table(spark, path, min_confidence=0.3, min_lift=0.9, keyword=" Promo ", limit=20)
+
+
+def alias_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result tables under the other names that are accepted: a level, and rules whose sides are X and Y."""
+    mined = _mined(spark, sf_dir, 0.01).itemsets
+    level = mined.select(F.col("itemset").alias("Itemset"), F.col("count").alias("frequency"), F.col("support").alias("Support"))
+    rules = rl.generate_rules(mined, levels=(2,)).select(
+        F.col("antecedent").alias("X"),
+        F.col("consequent").alias("Y"),
+        # the plural names come after the short ones in a summary
+        F.lit("unused").alias("antecedents"),
+        F.lit("unused").alias("consequents"),
+        "support",
+        "confidence",
+        "lift",
+    )
+    summary = tb.rule_summary_table(rules).select(
+        F.col("Rule").alias("name"), F.lit(None).cast("long").alias("count"), F.col("support_pct").alias("support")
+    )
+    shown = tb.c1_table(level).select(F.col("Itemset").alias("name"), F.col("Count").alias("count"), F.col("Support").alias("support"))
+    return shown.unionByName(summary)
+
+
 # --- sweep ----------------------------------------------------------------------------------------
 
 
@@ -430,11 +481,13 @@ QUERIES: dict[str, Query] = {
     "clean_b": _clean("B"),
     "clean_c": _clean("C"),
     "csv_ingest": csv_ingest,
+    "csv_first": csv_first,
     "parquet_copy": parquet_copy,
     "dataset_profile": dataset_profile,
     "baskets_text": baskets_text,
     "presence_long": presence_long,
     "presence_matrix": presence_matrix,
+    "presence_vectors": presence_vectors,
     "threshold_modes": threshold_modes,
     "item_dictionary": item_dictionary,
     "encoded_round_trip": encoded_round_trip,
@@ -442,6 +495,7 @@ QUERIES: dict[str, Query] = {
     "l1_items": l1_items,
     "l1_dropped": l1_dropped,
     "c2_pairs": c2_pairs,
+    "c2_absent_pairs": c2_absent_pairs,
     "l2_pairs": l2_pairs,
     "candidates_k3": candidates_k3,
     "c3_triples": c3_triples,
@@ -471,6 +525,8 @@ QUERIES: dict[str, Query] = {
     "rules_labelled_users": _labelled(_users),
     "query_rules": query_rules,
     "query_rules_columns": query_rules_columns,
+    "query_rules_stored": query_rules_stored,
+    "alias_lookup": alias_lookup,
     "threshold_sweep": threshold_sweep,
     "first_thresholds": first_thresholds,
     "timed_thresholds": timed_thresholds,
