@@ -38,10 +38,14 @@ from basketry.llm._text import ragged
 from basketry.session import materialize
 
 #: words that a worker remembers, and their characters, before it starts anew
-REMEMBERED = 400_000
-REMEMBERED_CHARS = 32 << 20
-#: bytes of different words aligned in one matrix, and entries of one batch of results
-MATRIX_BYTES = 1 << 20
+REMEMBERED = 300_000
+REMEMBERED_CHARS = 16 << 20
+#: characters of texts whose new words are learnt together, and of new words aligned in one matrix
+GROUP = 1 << 20
+MATRIX_CHARS = 1 << 17
+#: characters of new words that a tokenizer reads at once
+RUN = 1 << 14
+#: entries of one batch of results
 FLUSH = 1 << 20
 _WORD = re.compile(r"\s*\S+|\s+")
 _CUT = re.compile(r"(?<=\S)[ \n](?=\S)")
@@ -85,6 +89,18 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+class _Pool:
+    """The bytes of all tokens, to be gathered many at a time."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self._start = np.cumsum(self.size) - self.size
+        self._bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        return self._bytes[ragged(self._start[ids], self.size[ids])]
+
+
 class _Rows:
     """A table of integers that grows."""
 
@@ -106,6 +122,15 @@ def _plain(word: str) -> bool:
     return word[0] in " \n" and len(word) > 1 and not word[1].isspace()
 
 
+def _alone(word: str) -> bool:
+    """Whether a word may stand in a row with others: no white space but the first, nothing that reads as a space."""
+    return _plain(word) and _SPACE not in word and len(word.split()) == 1 and not word[-1].isspace()
+
+
+def _text(word: str | tuple[str]) -> str:
+    return word if isinstance(word, str) else word[0]
+
+
 class Aligner:
     """Both tokenizers and the words aligned so far."""
 
@@ -122,12 +147,13 @@ class Aligner:
         self.bytes_a = [bytes(byte_of[c] for c in n) if all(c in byte_of for c in n) else n.encode() for n in names]
         pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self._size_a = np.array([len(x) for x in self.bytes_a], np.int64)
-        self._size_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self._pool_a, self._pool_b = _Pool(self.bytes_a), _Pool(self.bytes_b)
         self.width = len(pieces)
-        self._lone = pieces.index(_SPACE) if _SPACE in pieces else None
         #: pieces that could join what stands before a space or line feed with what follows
         self.by_word = not any(re.search(rf"[^{_SPACE}]{_SPACE}|\n", p) for p in pieces)
+        # an id as it stands in the text of a group: A's before another or the last, B's before another, a group or a word
+        self._shown = [f"{i}{end}" for i in range(len(names)) for end in ",|"]
+        self._shown += [f"{i}{end}" for i in range(len(pieces)) for end in ",;\n"]
         self._forget()
 
     def _forget(self) -> None:
@@ -145,18 +171,50 @@ class Aligner:
         ends = sum(x[i:] in b for x in self.bytes_a for i in range(len(x)))
         return ends + sum(x[i:] in a for x in self.bytes_b for i in range(1, len(x)))
 
-    def _encode(self, words: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids of words that begin with a space, or with a line feed inside a text; nothing where the bytes differ."""
-        ids_a = [e.ids for e in self._a.encode_batch_fast(words, add_special_tokens=False)]
-        ids_b = self._b.encode([w if w[0] == "\n" else w[1:] for w in words], num_threads=1)
-        out: list[tuple[list[int], list[int]] | None] = []
-        for word, a, b in zip(words, ids_a, ids_b):
-            if word[0] == "\n":
-                b = b[1:]
-            body = word.encode()
-            same = b"".join([self.bytes_a[i] for i in a]) == body == b"".join([self.bytes_b[i] for i in b])
-            out.append((a, b) if same else None)
-        return out
+    def _encode_one(self, word: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of a word that begins with a space, or with a line feed inside a text; nothing where the bytes differ."""
+        a = np.array(self._a.encode(word, add_special_tokens=False).ids, np.int64)
+        b = self._b.encode(word if word[0] == "\n" else word[1:])
+        b = np.array(b[1:] if word[0] == "\n" else b, np.int64)
+        body = word.encode()
+        return (a, b) if self._pool_a.joined(a).tobytes() == body == self._pool_b.joined(b).tobytes() else None
+
+    def _encode_run(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids of plain words in a row, and how many each word has, if both tokenizers cut where the words end."""
+        text = " a" + "".join(words)
+        body = np.frombuffer(text.encode(), np.uint8)
+        ends = np.cumsum([2, *(len(w) if w.isascii() else len(w.encode()) for w in words)])
+        out = []
+        encoded = self._a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self._b.encode(text[1:])
+        for ids, pool in zip(encoded, (self._pool_a, self._pool_b)):
+            ids = np.array(ids, np.int64)
+            cuts = np.cumsum(pool.size[ids])
+            at = np.searchsorted(cuts, ends)
+            if len(cuts) == 0 or cuts[-1] != len(body) or (cuts[at] != ends).any() or (pool.joined(ids) != body).any():
+                return None
+            out += [ids[at[0] + 1 :], np.diff(at)]
+        return out[0], out[2], out[1], out[3]
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of A and of B, how many each word has, and whether the bytes agree (else it has none)."""
+        parts, valid = [], np.ones(len(words), bool)
+        none, at = np.zeros(0, np.int64), 0
+        while at < len(words):
+            run, size = [], 0
+            while at + len(run) < len(words) and size < RUN and _alone(words[at + len(run)]):
+                run.append(words[at + len(run)])
+                size += len(run[-1])
+            found = self._encode_run(run) if run else None
+            if found:
+                parts.append(found)
+                at += len(run)
+                continue
+            for word in run or words[at : at + 1]:
+                a, b = self._encode_one(word) or (none, none)
+                valid[at] = len(a) > 0
+                parts.append((a, b, np.array([len(a)]), np.array([len(b)])))
+                at += 1
+        return *(np.concatenate([p[j] for p in parts]) for j in range(4)), valid
 
     def pieces(self, text: str) -> Iterator[str]:
         """The space and the text, very long ones cut where both tokenizers cut."""
@@ -181,97 +239,104 @@ class Aligner:
                 out[-1] += word
         return out
 
-    def _numbers(self, piece: str) -> list[int | None]:
-        """Number of each word, or nothing for some that are not known."""
-        at = [*map(self._known.get, _WORD.findall(piece))]
-        if None in at:
-            words = self.words(piece)
-            at = [self._known.get(w if i or _plain(w) else (w,)) for i, w in enumerate(words)]
-            if None in at:
-                self._learn(words)
-                at = [self._known[w if i or _plain(w) else (w,)] for i, w in enumerate(words)]
-        return at
-
-    def _learn(self, words: list[str]) -> None:
-        keys = dict.fromkeys(w if i or _plain(w) else (w,) for i, w in enumerate(words))
-        new = [k for k in keys if k not in self._known]
+    def _learn(self, words: dict) -> None:
+        """Align words that are not known yet; an odd first word of a text comes as a tuple."""
+        new = [w for w in words if w not in self._known]
         at = 0
         while at < len(new):
             part, size = [], 0
-            while at < len(new) and (not part or size < MATRIX_BYTES):
+            while at < len(new) and (not part or size < MATRIX_CHARS):
                 part.append(new[at])
-                size += len(new[at] if isinstance(new[at], str) else new[at][0])
+                size += len(_text(new[at]))
                 at += 1
-            encoded = self._encode([k if isinstance(k, str) else k[0] for k in part])
-            done = iter(self._aligned([e for e in encoded if e]))
-            counts, sizes, pairs = [], [], []
-            for key, ids in zip(part, encoded):
-                n, text, linked = next(done) if ids else ((0, 0, 0, 0), "", np.zeros(0, np.int64))
-                self._known[key] = len(self._text)
-                self._chars += len(key if isinstance(key, str) else key[0])
-                self._text.append(text)
-                counts.append((*n, ids is not None))
-                sizes.append(len(linked))
-                pairs.append(linked)
-            first = self._pairs.n + np.cumsum(sizes) - sizes
-            self._counts.extend(np.array(counts, np.int64))
-            self._first.extend(np.column_stack([first, sizes]).astype(np.int64))
-            self._pairs.extend(np.concatenate(pairs).reshape(-1, 1))
-
-    def links(self, encoded: list[tuple[list[int], list[int]]]) -> Links:
-        """All links of several words in one matrix each: their blocks have no byte in common."""
-        a = np.array([i for x, _ in encoded for i in x], np.int64)
-        b = np.array([i for _, x in encoded for i in x], np.int64)
-        return align(a, b, self._size_a[a], self._size_b[b])
-
-    def _aligned(self, encoded: list[tuple[list[int], list[int]]]) -> list[tuple[tuple[int, int, int, int], str, np.ndarray]]:
-        """For each word its counts, its groups as text, and the linked pairs of ids as ``a * width + b``."""
-        links = self.links(encoded)
-        rows = links.overlap.rows()[links.together]
-        pairs = links.a[rows] * self.width + links.b[links.overlap.columns[links.together]]
-        n_groups = len(links.together)
-        in_a = np.split(links.a, np.searchsorted(links.group_a, np.arange(1, n_groups)))
-        in_b = np.split(links.b, np.searchsorted(links.group_b, np.arange(1, n_groups)))
-        groups = [f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in zip(map(np.ndarray.tolist, in_a), map(np.ndarray.tolist, in_b))]
-        out, at, group = [], 0, 0
-        ends = links.group_a
-        for a, b in encoded:
-            to = int(ends[at + len(a) - 1]) + 1
-            n = to - group
-            out.append(((len(a), len(b), n, n), ";".join(groups[group:to]), pairs[group:to]))
-            at, group = at + len(a), to
+            a, b, n_a, n_b, valid = self._encode([_text(w) for w in part])
+            found = align(a, b, self._pool_a.size[a], self._pool_b.size[b])
+            rows = found.overlap.rows()[found.together]
+            pairs = a[rows] * self.width + b[found.overlap.columns[found.together]]
+            # a word's last token ends its last group
+            ends = np.append(0, np.append(0, found.group_a + 1)[np.cumsum(n_a)])
+            groups = np.diff(np.maximum.accumulate(ends))
+            first = self._pairs.n + np.cumsum(groups) - groups
+            shown = iter(self._groups(found, np.cumsum(n_b)[valid] - 1))
+            for word, good in zip(part, valid.tolist()):
+                self._known[word] = len(self._text)
+                self._text.append(next(shown) if good else "")
+                self._chars += len(_text(word))
+            self._counts.extend(np.column_stack([n_a, n_b, groups, groups, valid]).astype(np.int64))
+            self._first.extend(np.column_stack([first, groups]).astype(np.int64))
+            self._pairs.extend(pairs.reshape(-1, 1))
+
+    def _groups(self, found: Links, last: np.ndarray) -> list[str]:
+        """The groups of each word as text; ``last``: places of the words' last B tokens."""
+        a_ends = np.append(found.group_a[1:] != found.group_a[:-1], True) if len(found.a) else np.zeros(0, bool)
+        b_ends = np.append(found.group_b[1:] != found.group_b[:-1], True).astype(np.int64) if len(found.b) else np.zeros(0, np.int64)
+        b_ends[last] = 2
+        codes = np.concatenate([found.a * 2 + a_ends, 2 * len(self.bytes_a) + found.b * 3 + b_ends])
+        order = np.argsort(np.concatenate([found.group_a * 2, found.group_b * 2 + 1]), kind="stable")
+        return "".join(map(self._shown.__getitem__, codes[order].tolist())).split("\n")
+
+    def _numbers(self, pieces: list[str]) -> list[list[int]]:
+        """Number of each word of each piece, new words of all learnt together."""
+        if len(self._known) > REMEMBERED or self._chars > REMEMBERED_CHARS:
+            self._forget()
+        raw = [_WORD.findall(p) if self.by_word else [p] for p in pieces]
+        out = [[*map(self._known.get, words)] for words in raw]
+        new = {w: None for words, at in zip(raw, out) if None in at for w, i in zip(words, at) if i is None and _plain(w)}
+        self._learn(new)
+        out = [[*map(self._known.get, words)] if None in at else at for words, at in zip(raw, out)]
+        odd = {j: [w if i or _plain(w) else (w,) for i, w in enumerate(self.words(pieces[j]))] for j, at in enumerate(out) if None in at}
+        self._learn({w: None for words in odd.values() for w in words})
+        for j, words in odd.items():
+            out[j] = [self._known[w] for w in words]
         return out
 
-    def document(self, text: str) -> tuple[tuple[int, int, int, int], str, np.ndarray, np.ndarray]:
-        """Counts of tokens, groups and links, the digest of the groups, and the linked pairs with how often each is linked."""
-        none = ((0, 0, 0, 0), "", np.zeros(0, np.int64), np.zeros(0, np.int64))
-        if not text:
-            return none
-        counts, digest, linked = np.zeros(4, np.int64), None, []
-        for piece in self.pieces(text):
-            if len(self._known) > REMEMBERED or self._chars > REMEMBERED_CHARS:
-                self._forget()
-            numbers = self._numbers(piece)
-            at = np.array(numbers, np.int64)
-            sums = self._counts.rows[at].sum(axis=0)
-            if sums[4] < len(at):
-                return none
-            counts += sums[:4]
-            groups = ";".join(map(self._text.__getitem__, numbers)).encode()
-            if digest:
-                digest.update(b";")
-                digest.update(groups)
-            else:
-                digest = hashlib.sha256(groups)
-            first = self._first.rows[at]
-            linked.append(np.unique(self._pairs.rows[ragged(first[:, 0], first[:, 1]), 0], return_counts=True))
-        pairs, times = linked[0]
-        if len(linked) > 1:
-            pairs, at = np.unique(np.concatenate([x for x, _ in linked]), return_inverse=True)
-            times = np.bincount(at, np.concatenate([x for _, x in linked])).astype(np.int64)
+    def documents(self, texts: list[str]) -> Iterator[tuple[tuple[int, int, int, int], str, np.ndarray, np.ndarray]]:
+        """For each text its tokens, groups and links, the digest of the groups, and the linked pairs with how often each is linked."""
+        pieces = [p for t in texts if t for p in self.pieces(t)]
+        begins = iter(np.cumsum([0, *(sum(1 for _ in self.pieces(t)) if len(t) > PIECE else 1 for t in texts if t)]).tolist())
+        numbers, lo = [], 0
+        while lo < len(pieces):
+            hi, size = lo, 0
+            while hi < len(pieces) and (hi == lo or size < GROUP):
+                size += len(pieces[hi])
+                hi += 1
+            numbers += [self._piece(at) for at in self._numbers(pieces[lo:hi])]
+            lo = hi
+        first = next(begins)
+        for text in texts:
+            if not text:
+                yield _NONE
+                continue
+            last = next(begins)
+            yield self._document(numbers[first:last])
+            first = last
+
+    def _piece(self, numbers: list[int]) -> tuple | None:
+        at = np.array(numbers, np.int64)
+        sums = self._counts.rows[at].sum(axis=0)
+        if sums[4] < len(at):
+            return None
+        first = self._first.rows[at]
+        pairs, times = np.unique(self._pairs.rows[ragged(first[:, 0], first[:, 1]), 0], return_counts=True)
+        return sums[:4], ";".join(map(self._text.__getitem__, numbers)).encode(), pairs, times
+
+    def _document(self, parts: list[tuple | None]) -> tuple[tuple[int, int, int, int], str, np.ndarray, np.ndarray]:
+        if None in parts:
+            return _NONE
+        counts, groups, pairs, times = parts[0]
+        digest = hashlib.sha256(groups)
+        for more, groups, _, _ in parts[1:]:
+            counts = counts + more
+            digest.update(b";" + groups)
+        if len(parts) > 1:
+            pairs, at = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+            times = np.bincount(at, np.concatenate([p[3] for p in parts])).astype(np.int64)
         return tuple(counts.tolist()), digest.hexdigest(), pairs, times
 
 
+_NONE = ((0, 0, 0, 0), "", np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 @lru_cache(1)
 def _aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
@@ -299,16 +364,15 @@ def document_aligner(path_a: str, path_b: str):
             columns = [[r[0] for r in rows], *([r[1][j] for r in rows] for j in range(4)), *([r[j] for r in rows] for j in (2, 3, 4))]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _DOCUMENT.types)], schema=_DOCUMENT)
 
-        rows, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                rows.append((doc_id.as_py(), *aligner.document(text.as_py())))
-                size += len(rows[-1][3]) + 1
-                if size >= FLUSH:
-                    yield flush(rows)
-                    rows, size = [], 0
-        if rows:
-            yield flush(rows)
+            names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            sizes = np.cumsum(np.diff(texts.offsets.to_numpy()) if hasattr(texts, "offsets") else [len(x.as_buffer()) for x in texts])
+            lo = 0
+            while lo < len(texts):
+                hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + GROUP, "right")))
+                found = aligner.documents(texts.slice(lo, hi - lo).to_pylist())
+                yield flush([(name, *one) for name, one in zip(names[lo:hi], found)])
+                lo = hi
 
     return run
 
@@ -368,11 +432,11 @@ def links(documents: DataFrame, path_a: str, path_b: str, kind: str = "overlap")
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 parts = [aligner._encode(aligner.words(piece)) for piece in aligner.pieces(text)] if text else []
-                if any(None in part for part in parts):
+                if not all(part[4].all() for part in parts):
                     continue
                 before_a = before_b = 0
-                for part in parts:
-                    found = aligner.links(part)
+                for a, b, *_ in parts:
+                    found = align(a, b, aligner._pool_a.size[a], aligner._pool_b.size[b])
                     product = found.shared if kind == "group" else found.overlap
                     a, b, weight = product.rows(), product.columns, product.values
                     if kind == "together":

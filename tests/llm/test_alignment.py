@@ -98,7 +98,7 @@ def test_odd_texts(spark):
 def test_pieces_and_forgetting(spark, monkeypatch):
     draw = random.Random(2)
     texts = [" ".join(draw.choice(["word", "other", "thing\nline", "two  gaps", "ünïcode"]) for _ in range(200)) for _ in range(6)]
-    for name, value in (("PIECE", 50), ("REMEMBERED", 5), ("MATRIX_BYTES", 20), ("FLUSH", 30)):
+    for name, value in (("PIECE", 50), ("REMEMBERED", 5), ("MATRIX_CHARS", 20), ("GROUP", 300), ("RUN", 15)):
         monkeypatch.setattr(alignment, name, value)
     run = alignment.document_aligner(A, B)
     import pyarrow as pa
@@ -135,8 +135,7 @@ def test_bound_on_pairs_holds():
     aligner = alignment.Aligner(A, B)
     bound = aligner.most_pairs()
     assert 32_000 < bound < 1_000_000
-    for text in filter(None, ODD):
-        counts, _, pairs, times = aligner.document(text)
+    for _, _, pairs, _ in aligner.documents(ODD):
         for pair in pairs.tolist():
             a, b = aligner.bytes_a[pair // aligner.width], aligner.bytes_b[pair % aligner.width]
             assert a.endswith(b) or b.endswith(a)
