@@ -12,9 +12,12 @@ get the same result. Columns other than id and text pass through; an empty table
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm._columns import free, packed
 from basketry.session import materialize
 
 LINES = 3
@@ -25,12 +28,21 @@ def _key(text: str) -> Column:
     return F.unhex(F.md5(F.concat_ws("\n", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(text))))
 
 
+def _once(array: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(array)``, the array bound to a name, so that it isn't computed again for each element of another."""
+    return F.get(F.transform(F.array(array), then), 0)
+
+
 def removed_positions(documents: DataFrame, text: str = "text") -> DataFrame:
     """``key, removed`` (sorted positions of lines, from 0) of the documents that lose lines."""
     lines = documents.select("doc_id", _key(text).alias("key"), F.split(text, "\n", -1).alias("lines"))
-    starts = F.sequence(F.lit(0), F.size("lines") - LINES)
-    hashes = F.transform(starts, lambda i: F.md5(F.concat_ws("\n", F.slice("lines", i + 1, LINES))))
-    windows = lines.where(F.size("lines") >= LINES).select("doc_id", "key", F.posexplode(hashes).alias("at", "window"))
+
+    def hashes(lines: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(lines) - LINES)
+        return F.transform(starts, lambda i: F.md5(F.concat_ws("\n", F.slice(lines, i + 1, LINES))))
+
+    lines = lines.where(F.size("lines") >= LINES)
+    windows = lines.select("doc_id", "key", F.posexplode(_once(F.col("lines"), hashes)).alias("at", "window"))
     windows = materialize(windows.withColumn("window", F.unhex("window")))
     firsts = (
         windows.groupBy("window")
@@ -46,20 +58,21 @@ def removed_positions(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def remove_repeated_lines(documents: DataFrame, text: str = "text") -> DataFrame:
-    """``documents`` without repeated passages, with ``n_lines`` and ``n_removed`` added."""
-    removed = materialize(removed_positions(documents, text)).withColumnRenamed("key", "_key")
-    lines = F.split(text, "\n", -1)
-    kept = F.filter(lines, lambda line, at: ~F.array_contains("removed", at))
-    columns = [
-        F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text else F.col(c)
-        for c in documents.columns
-    ]
+    """``documents`` without repeated passages, with ``n_lines`` and ``n_removed`` added (underscores behind them if taken)."""
+    removed = materialize(removed_positions(documents, text))
+    rows = packed(documents, key=_key(text), lines=F.split(text, "\n", -1))
+
+    def left(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
+        return F.array_join(F.transform(places, lambda at: F.get(lines, at)), "\n")
+
     # a sorted merge at every size: broadcast plans for few removals would change the plan with the data
-    joined = documents.join(removed.hint("merge"), _key(text) == F.col("_key"), "left")
+    joined = rows.join(removed.hint("merge"), "key", "left")
+    cleaned = F.when(F.col("removed").isNull(), F.col("row")[text]).otherwise(_once(F.col("lines"), left))
     return joined.select(
-        *columns,
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        *[cleaned.alias(c) if c == text else F.col("row")[c].alias(c) for c in documents.columns],
+        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias(free("n_lines", documents.columns)),
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias(free("n_removed", documents.columns)),
     )
 
 

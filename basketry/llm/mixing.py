@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.llm._columns import packed
 from basketry.llm.ranks import ranked
 from basketry.session import materialize
 
@@ -78,16 +79,14 @@ def copies(
 def mix(documents: DataFrame, **options) -> DataFrame:
     """The mixed documents: each row of ``documents``, with all its columns, as often as it is taken."""
     drawn = copies(documents, **options).groupBy("row_hash", "doc_id")
-    drawn = materialize(drawn.agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")))
-    drawn = drawn.where("_copies > 0").withColumnRenamed("doc_id", "_id").withColumnRenamed("row_hash", "_hash")
-    keyed = documents.withColumn("_key", _row_hash())
-    same = (F.col("_key") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    joined = keyed.join(drawn, same)
+    drawn = materialize(drawn.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n_rows"))).where("copies > 0")
+    keyed = packed(documents, key=_row_hash(), id=F.col("doc_id"))
+    joined = keyed.join(drawn, (F.col("key") == F.col("row_hash")) & F.col("id").eqNullSafe(F.col("doc_id")))
     # repeated rows share the copies they take together
-    single = joined.where("_rows = 1")
-    repeated = joined.where("_rows > 1").dropDuplicates(["_key", "_id"])
-    emitted = single.unionByName(repeated).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return emitted.select(*documents.columns)
+    single = joined.where("n_rows = 1")
+    repeated = joined.where("n_rows > 1").dropDuplicates(["key", "id"])
+    emitted = single.unionByName(repeated).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return emitted.select("row.*")
 
 
 def mixed_sizes(documents: DataFrame, **options) -> DataFrame:

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm._columns import packed
 from basketry.llm._text import chunks, flat, mix, word_bounds, word_hashes
 from basketry.llm.components import connected_components
 from basketry.session import discard, materialize
@@ -201,16 +202,14 @@ def deduplicate(documents: DataFrame, percent: int = 85) -> DataFrame:
     )
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash", "rows")).alias("first")
     winners = rows.where("words").groupBy("label").agg(first).select(
-        F.col("first.doc_id").alias("_id"), F.col("first.row_hash").alias("_hash"), (F.col("first.rows") > 1).alias("_more")
-    )
-    wordless = rows.where("NOT words").select(
-        F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), F.lit(False).alias("_more")
+        "first.doc_id", "first.row_hash", (F.col("first.rows") > 1).alias("more")
     )
+    wordless = rows.where("NOT words").select("doc_id", "row_hash", F.lit(False).alias("more"))
     winners = materialize(winners.unionByName(wordless))
-    keyed = documents.withColumn("_key", F.xxhash64("text"))
-    joined = keyed.join(winners, (F.col("_key") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    repeated = joined.where("_more").dropDuplicates(["_key", "_id"])
-    return joined.where("NOT _more").unionByName(repeated).select(*documents.columns)
+    keyed = packed(documents, key=F.xxhash64("text"), id=F.col("doc_id"))
+    joined = keyed.join(winners, (F.col("key") == F.col("row_hash")) & F.col("id").eqNullSafe(F.col("doc_id")))
+    repeated = joined.where("more").dropDuplicates(["key", "id"])
+    return joined.where("NOT more").unionByName(repeated).select("row.*")
 
 
 def components(documents: DataFrame, percent: int = 85) -> DataFrame:

@@ -33,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from basketry.llm._columns import free
+from basketry.llm._columns import free, packed
 from basketry.llm._text import _BASE, _INVERSE, _power, chunks, mix, ragged
 from basketry.llm.runindex import repeated_spans
 from basketry.session import materialize
@@ -407,12 +408,10 @@ def remove_repeats(documents: DataFrame, text: str = "text", with_bytes: bool =
     """``documents`` with ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), and ``kept``, the bytes that stay
     (a character may be cut); without ``with_bytes`` their SHA-256 in hex as ``kept_sha256``."""
     found = repeated(documents, text, sizes)
-    rows = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
-    )
+    rows = packed(documents, text=F.coalesce(F.col(text).cast("string"), F.lit("")))
     rows = rows.withColumns({"key": F.xxhash64("text"), "check": F.crc32("text").bitwiseAND((1 << 20) - 1).cast("int")})
     joined = rows.join(found.hint("merge"), ["key", "check"], "left").select("row", F.col("text").cast("binary"), "spans")
-    types = f"row {rows.schema['row'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept "
-    done = joined.mapInArrow(remover(with_bytes), types + ("binary" if with_bytes else "string"))
+    schema = T.StructType([rows.schema["row"], *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))])
+    done = joined.mapInArrow(remover(with_bytes), schema.add("kept", T.BinaryType() if with_bytes else T.StringType()))
     names = {"n_bytes": "n_bytes", "n_removed": "n_removed", "n_spans": "n_spans", "kept": "kept" if with_bytes else "kept_sha256"}
     return done.select("row.*", *[F.col(c).alias(free(name, documents.columns)) for c, name in names.items()])

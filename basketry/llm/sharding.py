@@ -7,8 +7,11 @@ into shards. All bins of a task but one are at least half full, so the driver se
 shard and one for each task, never groups or rows. For a given number of shards the least capacity that needs no
 more shards is searched by bisection, which only repeats the second level.
 
-A group larger than a shard fits nowhere and is cut into parts by a hash of the row's id; there are fewer such groups
-than shards. A row's size is its bytes of UTF-8 plus 1; a null text has none and stands with empty texts. Slots count
+A group larger than a shard fits nowhere and is cut into parts of about a parcel by the number of its row, whatever ids its
+rows have; there are fewer such groups than shards. A single row larger than a shard has one of its own, and the others
+share what is left. *Bound.* With capacity C, groups above C/64 are placed first and as by one global best fit decreasing; if a parcel
+opens a new shard after them, every other shard is filled above 63/64. So two levels need at most the shards of one global
+best fit decreasing, or 64/63 of all bytes by C plus one. A row's size is its bytes of UTF-8 plus 1; a null text has none and stands with empty texts. Slots count
 a shard's rows by id (nulls last). Columns other than id and text are ignored; an empty table gives an empty result.
 """
 
@@ -102,7 +105,23 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
 
 
 def _into(sizes: list[int], shards: int) -> list[int]:
-    """Bins of the least capacity of which ``shards`` are enough."""
+    """Bins of the least capacity of which ``shards`` are enough; an item above the others' share has a bin of its own."""
+    largest = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+    alone: list[int] = []
+    rest = sum(sizes)
+    while len(alone) < shards - 1 and len(alone) < len(sizes) and sizes[largest[len(alone)]] * (shards - len(alone)) > rest:
+        rest -= sizes[largest[len(alone)]]
+        alone.append(largest[len(alone)])
+    others = largest[len(alone) :]
+    out = [0] * len(sizes)
+    for number, i in enumerate(alone):
+        out[i] = number
+    for i, number in zip(others, _evenly([sizes[i] for i in others], shards - len(alone)), strict=True):
+        out[i] = len(alone) + number
+    return out
+
+
+def _evenly(sizes: list[int], shards: int) -> list[int]:
     low = max([1, math.ceil(sum(sizes) / shards), *sizes])
     high = 2 * low  # all bins but one are then more than half of it
     while low < high:
@@ -155,9 +174,10 @@ def shard_documents(documents: DataFrame, shards: int = 8) -> DataFrame:
     large = F.broadcast(
         groups.where(F.col("size") > share).select("same", F.ceil(F.col("size") / parcel).alias("parts"))
     )
-    rows = rows.join(large, "same", "left").withColumn(
-        "part_of", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), "parts"))
-    )
+    # rows of a large group by number: ids may be null or equal
+    cut = ranked(rows.join(large, "same"), ["same"], [F.col("doc_id").asc_nulls_last(), F.col("size")], "number")
+    cut = cut.select(*rows.columns, F.pmod("number", "parts").alias("part_of"))
+    rows = materialize(rows.join(large, "same", "left_anti").withColumn("part_of", F.lit(0).cast("long")).unionByName(cut))
     units = rows.groupBy("same", "part_of").agg(F.sum("size").alias("size"))
     units = materialize(pack_groups(units, parcel, None, shards).drop("size"))
     placed = rows.join(units, ["same", "part_of"]).select("doc_id", "size", "text_crc32", "shard")

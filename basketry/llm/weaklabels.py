@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm._columns import packed
 from basketry.llm._text import chunks, flat, word_bounds, word_hashes
 from basketry.session import materialize
 
@@ -321,7 +322,7 @@ def _fit_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def keep_good(documents: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows of ``documents`` that the classifier fitted on them does not reject."""
     model, _ = fit(documents, fit_rows)
-    return documents.withColumn("_score", model.score()).where("_score >= 0.5").drop("_score")
+    return packed(documents, score=model.score()).where("score >= 0.5").select("row.*")
 
 
 def classify(documents: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:

@@ -1,6 +1,7 @@
 """Repeated windows of lines against a plain search."""
 
 import random
+import time
 
 from basketry.llm import linedup
 
@@ -28,12 +29,12 @@ def test_windows(spark):
     pick = random.Random(4)
     rows = [(i, "\n".join(pick.choice("abc") for _ in range(pick.randrange(12)))) for i in range(40)]
     rows += [(50, "x\nx\nx\nx\nx\nx\nx"), (51, None), (52, ""), (53, "p\nq"), (54, "\n\n\n\n"), (7, rows[7][1])]
-    df = spark.createDataFrame([(*r, "keep") for r in rows], SCHEMA).repartition(4).withColumnRenamed("removed", "extra")
+    df = spark.createDataFrame([(*r, "keep") for r in rows], SCHEMA).repartition(4)
     want = brute(rows)
     got = linedup.remove_repeated_lines(df).collect()
     assert len(got) == len(rows)
     for r in got:
-        assert r["text"] == want.get(r["doc_id"]) and r["extra"] == "keep"
+        assert r["text"] == want.get(r["doc_id"]) and r["removed"] == "keep"
         lines = dict(rows)[r["doc_id"]]
         assert r["n_lines"] == (0 if lines is None else len(lines.split("\n")))
 
@@ -44,3 +45,13 @@ def test_the_first_occurrence_stays_whole(spark):
     got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in linedup.remove_repeated_lines(df).collect()}
     assert got == {1: (rows[0][1], 0), 2: ("end", 4), 3: ("", 3)}
     assert linedup.remove_repeated_lines(df.limit(0)).count() == 0
+
+
+def test_very_many_lines(spark):
+    """Work grows with the lines: 200,000 of them, all of them seen before."""
+    text = "\n".join(["a", "b", "c"] * 66_667)
+    df = spark.createDataFrame([(1, "a\nb\nc"), (2, text)], "doc_id long, text string")
+    start = time.perf_counter()
+    got = {r["doc_id"]: r for r in linedup.remove_repeated_lines(df).collect()}
+    assert time.perf_counter() - start < 10
+    assert got[2]["n_lines"] == got[2]["n_removed"] == 200_001 and got[2]["text"] == "" and got[1]["text"] == "a\nb\nc"

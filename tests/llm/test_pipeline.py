@@ -13,7 +13,7 @@ from tests.llm.test_tokens import expected
 
 def test_queries_are_registered():
     assert {*QUERIES, "pipeline"} <= set(driver.queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark):

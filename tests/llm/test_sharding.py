@@ -1,8 +1,10 @@
 """Best fit in a search tree against a linear search, and the shards of documents."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -67,3 +69,47 @@ def test_a_group_larger_than_a_shard_is_cut(spark):
     size, of = check(rows, sharding.shard_documents(df).collect())
     assert max(size.values()) < 1.1 * sum(size.values()) / 8
     assert all(len(s) == 1 for raw, s in of.items() if raw != b"same text")
+
+
+@pytest.mark.parametrize("ids", [None, 7])
+def test_a_large_group_without_ids_of_its_own(spark, ids):
+    """A third of the rows are one text under null or equal ids: all shards still get their share."""
+    rows = [(ids if i % 3 == 0 else i, "same text" if i % 3 == 0 else f"text {i}") for i in range(3000)]
+    got = sharding.shard_documents(spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA).repartition(4)).collect()
+    size, slots = Counter(), defaultdict(list)
+    for r in got:
+        size[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert sum(size.values()) == sum(len(t) + 1 for _, t in rows) and set(size) == set(range(8))
+    assert max(size.values()) - min(size.values()) < 0.03 * sum(size.values()) / 8
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_one_row_above_a_share_leaves_the_rest_even():
+    sizes = [9000, 4000] + [10] * 600
+    out = sharding._into(sizes, 8)
+    held = Counter()
+    for s, b in zip(sizes, out):
+        held[b] += s
+    assert sorted(held.values()) == [1000] * 6 + [4000, 9000]
+    assert sharding._into([], 8) == [] and sharding._into([5], 8) == [0]
+
+
+@settings(deadline=None)
+@given(st.lists(st.integers(1, 500), max_size=60), st.integers(1, 9))
+def test_all_shards_stay_in_range(sizes, shards):
+    assert all(0 <= b < shards for b in sharding._into(sizes, shards))
+
+
+def test_two_levels_keep_their_bound(spark):
+    draw = random.Random(3)
+    for capacity in (640, 6400):
+        sizes = [draw.choice([draw.randrange(1, 9), draw.randrange(1, 200), draw.randrange(1, 640)]) for _ in range(700)]
+        groups = spark.createDataFrame(list(enumerate(sizes)), "name long, size long")
+        placed = sharding.pack_groups(groups, capacity // 64, capacity, None).collect()
+        held = Counter()
+        for r in placed:
+            held[r["shard"]] += sizes[r["name"]]
+        assert len(placed) == len(sizes) and max(held.values()) <= capacity
+        globally = max(sharding.best_fit_decreasing(sizes, capacity)) + 1
+        assert len(held) <= max(globally, 64 / 63 * sum(sizes) / capacity + 1)
