@@ -131,10 +131,10 @@ def item_counts(tx: Transactions) -> DataFrame:
     )
 
 
-def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int, int, int]:
+def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int, int, int, int]:
     """``id, item, count`` with ids 0, 1, 2… by count descending, then item.
 
-    Also the number of items, the sum of their counts, and the bytes of their names. Ranked without a one-task window: rows are range
+    Also the number of items, the sum of their counts, the bytes of their names, and the largest count. Ranked without a one-task window: rows are range
     partitioned, numbered inside their partition, and shifted by the sizes of the earlier partitions. Only
     those sizes, one per partition, are collected.
     """
@@ -150,14 +150,14 @@ def item_dictionary(counts: DataFrame) -> tuple[DataFrame, int, int, int]:
             F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("position"),
         )
     )
-    parts = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("items"), F.sum("count").alias("entries"), F.sum(F.octet_length("item")).alias("bytes"))
+    parts = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("items"), F.sum("count").alias("entries"), F.sum(F.octet_length("item")).alias("bytes"), F.max("count").alias("most"))
     sizes = {row["part"]: row for row in parts.collect()}
     by_part = [sizes[part]["items"] if part in sizes else 0 for part in range(max(sizes, default=0))]
     shifts = ", ".join(map(str, accumulate(by_part, initial=0)))
     shift = F.expr(f"element_at(array({shifts}), part + 1)")
     dictionary = numbered.select((F.col("position") + shift).cast("int").alias("id"), "item", "count")
     n_items, entries, name_bytes = (sum(row[c] for row in sizes.values()) for c in ("items", "entries", "bytes"))
-    return dictionary, n_items, entries, name_bytes
+    return dictionary, n_items, entries, name_bytes, max((row["most"] for row in sizes.values()), default=0)
 
 
 @dataclass(frozen=True)
@@ -177,6 +177,8 @@ class EncodedBaskets:
     tasks: int = 1
     #: bytes of the item names
     name_bytes: int = 0
+    #: baskets of the most frequent item
+    most: int = 1 << 62
 
 
 def restrict(encoded: EncodedBaskets, min_count: int) -> EncodedBaskets:
@@ -186,7 +188,7 @@ def restrict(encoded: EncodedBaskets, min_count: int) -> EncodedBaskets:
     items = F.filter("items", lambda item: item < n_items)
     baskets = encoded.baskets.select(items.alias("items")).select("items", F.size("items").alias("n_basket_items"))
     baskets = baskets.filter(F.col("n_basket_items") >= 2)
-    return EncodedBaskets(baskets, dictionary, n_items, encoded.n, min_count, encoded.tasks, encoded.name_bytes)
+    return EncodedBaskets(baskets, dictionary, n_items, encoded.n, min_count, encoded.tasks, encoded.name_bytes, encoded.most)
 
 
 def encode_items(pairs: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -206,7 +208,7 @@ def decode_itemsets(encoded: DataFrame, dictionary: DataFrame, name_bytes: int |
     """
     others = [c for c in encoded.columns if c != "items"]
     if name_bytes is not None and name_bytes <= NAMES_IN_PLAN:
-        names = [row["item"] for row in dictionary.select("id", "item").orderBy("id").collect()]
+        names = [item for _, item in sorted(dictionary.select("id", "item").collect())]
         joint = _absent(names)
         known = F.split(F.lit(joint.join(names)), joint)
         decoded = F.transform("items", lambda id_: F.get(known, id_))
@@ -235,7 +237,7 @@ def _counting_tasks(entries: int, cores: int) -> int:
 
 def encode_baskets(tx: Transactions, min_count: int) -> EncodedBaskets:
     counts = tx.presence.groupBy("item").agg(F.count(F.lit(1)).alias("count"))
-    dictionary, n_items, entries, name_bytes = item_dictionary(counts.filter(F.col("count") >= min_count))
+    dictionary, n_items, entries, name_bytes, most = item_dictionary(counts.filter(F.col("count") >= min_count))
     tasks = _counting_tasks(entries, tx.presence.sparkSession.sparkContext.defaultParallelism)
     baskets = materialize(
         encode_items(tx.presence, dictionary)
@@ -245,4 +247,4 @@ def encode_baskets(tx: Transactions, min_count: int) -> EncodedBaskets:
         .select("items", F.size("items").alias("n_basket_items"))
         .filter(F.col("n_basket_items") >= 2)
     )
-    return EncodedBaskets(baskets, dictionary, n_items, tx.n, min_count, tasks, name_bytes)
+    return EncodedBaskets(baskets, dictionary, n_items, tx.n, min_count, tasks, name_bytes, most)

@@ -43,7 +43,10 @@ def _edges(encoded: EncodedBaskets, edges: DataFrame, n_edges: int) -> Iterator[
     """``last, item, shares`` of ``(item, last)`` edges in rounds of a bounded size, all of a last item in one round."""
     rounds = max(1, -(-n_edges // EDGES_AT_ONCE))
     shares = F.ceil(F.col("count") / BASKETS_PER_GROUP).cast("int").alias("shares")
-    known = edges.join(encoded.dictionary.select(F.col("id").alias("last"), shares), "last").select("last", "item", "shares")
+    if encoded.most <= BASKETS_PER_GROUP:
+        known = edges.select("last", "item", F.lit(1).alias("shares"))
+    else:
+        known = edges.join(encoded.dictionary.select(F.col("id").alias("last"), shares), "last").select("last", "item", "shares")
     for turn in range(rounds):
         table = known.filter(F.pmod(F.hash("last"), F.lit(rounds)) == turn).toArrow()
         columns = [table.column(c).to_numpy().astype(np.int64) for c in ("last", "item", "shares")]
@@ -121,12 +124,15 @@ def count_candidates(encoded: EncodedBaskets, candidates: DataFrame, k: int, min
         candidates.select(F.monotonically_increasing_id().alias("number"), last, F.array(*names).alias("items"))
     )
     before = F.explode(F.slice("items", 1, k - 1)).alias("item")
-    edges, n_edges = materialize_counted(listed.select(before, "last").distinct())
+    edges, n_edges = listed.select(before, "last").distinct(), listed.count() * (k - 1)
+    if n_edges > EDGES_AT_ONCE:
+        edges, n_edges = materialize_counted(edges)
     found, _ = heads(encoded, edges, n_edges)
-    counts = _count_sets(encoded, _dealt(encoded, found), listed).filter(F.col("count") >= min_count)
+    dealt = found.repartition(encoded.tasks, "last", "share")
+    counts = _count_sets(encoded, dealt, listed).filter(F.col("count") >= min_count)
     ids = [F.col("items")[j].alias(c) for j, c in enumerate(names)]
     table = materialize(listed.join(counts, "number").select(*ids, "count"))
-    discard(listed, edges)
+    discard(listed)
     return table
 
 

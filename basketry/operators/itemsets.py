@@ -30,8 +30,7 @@ from basketry.session import discard, materialize
 class MiningResult:
     """``itemsets``: ``k, itemset, itemset_text, count, support``, every level in one table.
 
-    ``sets``: the same in encoded form, ``k, items, count``. ``cut_off``: a given depth ended the run although longer sets
-    may be frequent.
+    ``sets``: the same in encoded form, ``k, items, count``. ``max_k``: the depth that was given, if any.
     """
 
     itemsets: DataFrame
@@ -39,7 +38,12 @@ class MiningResult:
     n_items: int
     n: int
     min_count: int
-    cut_off: bool = False
+    max_k: int | None = None
+
+    @property
+    def cut_off(self) -> bool:
+        """Whether the given depth ended the run although longer sets may be frequent: a set of k+1 items needs k+1 frequent subsets."""
+        return self.max_k is not None and self.itemsets.filter(F.col("k") == self.max_k).count() > self.max_k
 
 
 def _as_list(level: DataFrame, k: int) -> DataFrame:
@@ -93,9 +97,7 @@ def mine_encoded(encoded: EncodedBaskets, max_k: int | None = None) -> MiningRes
     """:func:`mine_itemsets` on baskets that are encoded already and are kept."""
     sets = mine_sets(encoded, max_k)
     itemsets = materialize(_finish(decode_itemsets(sets, encoded.dictionary, encoded.name_bytes), encoded.n))
-    # as in candidate generation, a set of k+1 items needs k+1 frequent subsets
-    cut_off = max_k is not None and itemsets.filter(F.col("k") == max_k).count() > max_k
-    return MiningResult(itemsets, sets, encoded.n_items, encoded.n, encoded.min_count, cut_off)
+    return MiningResult(itemsets, sets, encoded.n_items, encoded.n, encoded.min_count, max_k)
 
 
 def candidate_counts(result: MiningResult) -> DataFrame:

@@ -272,7 +272,7 @@ def test_dictionary_is_dense_and_ordered_over_partitions(spark):
     tx = bk.transactions(spark.createDataFrame(lines, LINES))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        dictionary, n_items, entries, _ = bk.item_dictionary(bk.item_counts(tx))
+        dictionary, n_items, entries, *_ = bk.item_dictionary(bk.item_counts(tx))
         rows = [tuple(r) for r in dictionary.orderBy("id").collect()]
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
