@@ -25,7 +25,7 @@ def test_stages(spark):
         if name != corpus_pipeline.STAGES[-1][0]:
             assert docs.columns == columns
     good, distinct, clean, mixed, tokens = results
-    groups = brute([r[:2] for r in good], 85)
+    groups = brute([r[:2] for r in good], 80)
     assert sorted(r[0] for r in distinct) == sorted({c for _, _, c in groups})
     leaks = {r[0] for r in distinct} - {r[0] for r in clean}
     bench = [b["text"] for b in spark.read.parquet(f"{TESTDATA}/benchmark.parquet").collect()]
@@ -38,6 +38,17 @@ def test_stages(spark):
     assert sorted(tokens, key=lambda r: r[1]) == list(expected([r[:2] for r in mixed]))
 
 
+def test_near_copies_between_80_and_85_are_linked(spark):
+    """One word in the middle replaced: 5 of the shingles differ on either side."""
+    words = [f"word{i}" for i in range(54)]
+    changed = [*words[:27], "other", *words[28:]]
+    same, every = len(words) - 4 - 5, len(words) - 4 + 5
+    assert 0.80 <= same / every < 0.85
+    texts = [" ".join(words), " ".join(changed), "quite another text of some words that stand alone in here"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, TESTDATA).collect()) == [0, 2]
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, TESTDATA).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
 
