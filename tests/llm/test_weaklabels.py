@@ -41,3 +41,24 @@ def test_edges(spark):
     assert wl.classify(df.limit(0)).count() == 0
     long = spark.createDataFrame([(1, f"{clean} " * 40_000, "s", "h"), (2, clean, "s", "h")], schema)
     assert wl.classify(long).where("kept").count() == 2
+
+
+def test_accuracies_against_labels_and_without_near_copies(spark):
+    """Estimated accuracies agree with held-out labels; leaving out labellers that repeat others' shares changes next to nothing."""
+    docs = spark.read.parquet(f"{LABELLED}/documents.parquet")
+    labels = spark.read.parquet(f"{LABELLED}/labels.parquet").select("doc_id", "quality")
+    rows = docs.join(labels, "doc_id").select("text", "quality").collect()
+    model, _ = wl.fit(docs)
+    given = wl.votes(wl.words_of(*wl.flat(wl.pa.array([r["text"] for r in rows], wl.pa.large_string()))))
+    good = np.array([r["quality"] == 1 for r in rows])
+    for j, estimated in enumerate(model.label_model.accuracies()):
+        voted = given[:, j] != wl.NONE
+        assert abs(((given[:, j] == wl.GOOD) == good)[voted].mean() - estimated) < 0.04
+    # one threshold of each share, without the union of three of them
+    alone = given.copy()
+    alone[:, [1, 3, 5, 8]] = wl.NONE
+    codes, counts = np.unique(alone @ wl._PLACES, return_counts=True)
+    ablated = wl.estimate(codes, counts.astype(float)).posterior(alone @ wl._PLACES) >= 0.5
+    whole = model.label_model.posterior(given @ wl._PLACES) >= 0.5
+    assert (ablated == whole).mean() > 0.98
+    assert (whole == good).mean() >= (ablated == good).mean() - 0.005
