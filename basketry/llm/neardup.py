@@ -44,6 +44,8 @@ BINS, ROWS = 192, 6
 #: chance of a pair at the threshold to share no band, and to agree in too few bits
 MISS = 1e-6
 MAP_BITS = 2048
+#: members of a bucket that are paired with each other in one group
+BLOCK = 256
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _WEIGHTS = mix(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 _SEEDS = mix(np.arange(1000, 1000 + 2 * BINS, dtype=np.uint64))
@@ -267,14 +269,7 @@ def components(documents: DataFrame, percent: int = 85) -> DataFrame:
     links = first.unionByName(second)
     labelled, mixed = _mixed(members, connected_components(links))
     rest = materialize(mixed.join(profiles, "key"))
-    x, y = rest.alias("x"), rest.alias("y")
-    apart = x.join(
-        y,
-        (F.col("x.bucket") == F.col("y.bucket"))
-        & (F.col("x.key") < F.col("y.key"))
-        & (F.col("x.label") != F.col("y.label"))
-        & _may_link(percent),
-    )
+    apart = _met(rest).where(_may_link(percent))
     third = confirmed(apart.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
     labels = connected_components(links.unionByName(third))
 
@@ -286,6 +281,23 @@ def components(documents: DataFrame, percent: int = 85) -> DataFrame:
     return result
 
 
+def _met(rest: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``x``, ``y``: any two members of a bucket in different components, the smaller key first.
+
+    A bucket's members are cut into blocks of about ``block`` and block meets block, so that no task pairs a whole bucket of
+    documents on one template; a bucket of one block, nearly all, is joined as it is.
+    """
+    sizes = rest.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = rest.join(sizes, "bucket").select(
+        *rest.columns,
+        F.pmod(F.xxhash64("key"), "blocks").cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("meets"),
+    )
+    x, y = dealt.alias("x"), dealt.alias("y")
+    same = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.own") == F.col("y.meets")) & (F.col("x.meets") == F.col("y.own"))
+    return x.join(y, same & (F.col("x.key") < F.col("y.key")) & (F.col("x.label") != F.col("y.label")))
+
+
 def _mixed(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members with their components, and those of buckets that hold more than one component."""
     labelled = members.join(labels, F.col("key") == F.col("node"), "left").select(

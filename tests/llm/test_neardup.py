@@ -114,3 +114,16 @@ def test_layout(percent):
     assert (1 - same**rows) ** (neardup.BINS // rows) <= neardup.MISS
     below = np.random.default_rng(3).binomial(neardup.BINS, same + (1 - same) / 4, 2_000_000) < agree
     assert below.sum() <= 12
+
+
+def test_members_of_a_hot_bucket_meet_in_blocks(spark):
+    """Every pair of different components once, whatever the block; no group has more than two blocks of members."""
+    random_ = random.Random(8)
+    rows = [(b, bytes([b, i // 256, i % 256]), bytes([random_.randrange(40)])) for b, n in ((1, 90), (2, 1), (3, 7)) for i in range(n)]
+    rest = spark.createDataFrame(rows, "bucket long, key binary, label binary")
+    want = {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and x[2] != y[2]}
+    for block in (1, 8, 1000):
+        met = neardup._met(rest, block).selectExpr("x.key AS a", "y.key AS b").collect()
+        assert {(bytes(r["a"]), bytes(r["b"])) for r in met} == want and len(met) == len(want)
+    plan = neardup._met(rest, 8)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
