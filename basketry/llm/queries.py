@@ -101,5 +101,6 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op2_systematic_mix": mixing.ORACLE,
     "op5_line_windows": linedup.ORACLE,
+    "op12_run_length_repeats": repeats.ORACLE,
     "op13_time_forward_trie": prefixtrie.ORACLE,
 }

@@ -415,3 +415,34 @@ def remove_repeats(documents: DataFrame, text: str = "text", with_bytes: bool =
     done = joined.mapInArrow(remover(with_bytes), schema.add("kept", T.BinaryType() if with_bytes else T.StringType()))
     names = {"n_bytes": "n_bytes", "n_removed": "n_removed", "n_spans": "n_spans", "kept": "kept" if with_bytes else "kept_sha256"}
     return done.select("row.*", *[F.col(c).alias(free(name, documents.columns)) for c, name in names.items()])
+
+
+#: every string by its own hash, cut from blocks of 200 bytes in hex so that none is searched for from a text's start
+ORACLE = f"""
+WITH t AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), blocks AS (
+  SELECT r, regexp_extract_all(h, '.{{1,{2 * LENGTH}}}') AS parts, length(h) // 2 AS n FROM t WHERE length(h) >= {2 * LENGTH}
+), strings AS MATERIALIZED (
+  SELECT r, u.i, md5(substr(parts[u.i // {LENGTH} + 1] || coalesce(parts[u.i // {LENGTH} + 2], ''), 2 * (u.i % {LENGTH}) + 1, {2 * LENGTH})) AS k
+  FROM blocks, LATERAL (SELECT unnest(range(0, n - {LENGTH - 1})) AS i) u
+), again AS (
+  SELECT r, i FROM strings WHERE k IN (SELECT k FROM strings GROUP BY k HAVING count(*) > 1)
+), islands AS (
+  SELECT r, i, sum(CASE WHEN i - before <= {LENGTH} THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS island
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM again)
+), spans AS MATERIALIZED (
+  SELECT r, min(i) AS a, max(i) + {LENGTH} AS b FROM islands GROUP BY r, island
+), pieces AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS lo, a AS hi FROM spans
+  UNION ALL
+  SELECT t.r, coalesce(max(s.b), 0), any_value(length(t.h)) // 2 FROM t LEFT JOIN spans s ON s.r = t.r GROUP BY t.r
+), kept AS (
+  SELECT p.r, string_agg(substr(t.h, 2 * p.lo + 1, 2 * (p.hi - p.lo)), '' ORDER BY p.lo) AS h FROM pieces p JOIN t ON t.r = p.r GROUP BY p.r
+), sums AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r
+)
+SELECT t.doc_id, (length(t.h) // 2)::BIGINT AS n_bytes, coalesce(s.n_removed, 0)::BIGINT AS n_removed,
+       coalesce(s.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+FROM t JOIN kept k ON k.r = t.r LEFT JOIN sums s ON s.r = t.r
+"""

@@ -55,7 +55,8 @@ def test_run(spark):
 
 def test_sql(spark):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{TESTDATA}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{TESTDATA}/{table}.parquet'")
     for name, sql in ORACLES.items():
         result = QUERIES[name](spark, TESTDATA)
         columns = sorted(result.columns)
