@@ -76,6 +76,8 @@ def write_archives(records: DataFrame, folder: str, size_class: int = 0) -> None
         records.select("value")
         .write.option("lineSep", "\r\n\r\n")
         .option("compression", "gzip")
+        # a third of the default level's time for an eighth more bytes
+        .option("zlib.compress.level", "BEST_SPEED")
         .option("maxRecordsPerFile", max(1, RECORDS_PER_FILE // 16**size_class))
         .text(f"{folder}/size={size_class}" if size_class else folder)
     )
