@@ -11,6 +11,7 @@ that run's seconds and numbers of sets.
 from __future__ import annotations
 
 import json
+import math
 import os
 from statistics import median
 from time import perf_counter
@@ -51,17 +52,34 @@ BASKETS, ITEMS, LINES = 20_728, 3_941, 541_909
 PUBLISHED = {0.05: (1.461, 33), 0.02: (21.303, 356), 0.01: (168.272, 1_857), 0.005: (626.312, 16_923)}
 
 
-def published_size(spark: SparkSession) -> DataFrame:
-    """Lines of the published size: skewed items, a third of which bring the one that goes with them."""
+# Ranks of items by the share of baskets that hold them, as published per support ratio.
+RANKS = ((33, 0.05), (276, 0.02), (792, 0.01), (1_503, 0.005))
+# Spread of the basket sizes' logarithm: long baskets are what brings items together.
+SPREAD = 1.35
 
-    def uniform(seed: int):
-        return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
 
-    basket = F.floor(uniform(1) * BASKETS)
-    item = F.floor(F.pow(uniform(2), 2.0) * ITEMS)
-    together = F.when(uniform(3) < 0.33, F.array(item, F.pmod(item + 7, F.lit(ITEMS)))).otherwise(F.array(item))
-    lines = spark.range(int(LINES / 1.33)).select(basket.alias("basket_id"), F.explode(together).alias("item"))
-    return lines.select(F.col("basket_id").cast("string"), F.concat(F.lit("item "), "item").alias("item"))
+def published_size(spark: SparkSession) -> DataFrame:
+    """Lines of the published size: items about as frequent as published, baskets of very different lengths."""
+
+    def uniform(*seed):
+        return (F.pmod(F.xxhash64(*seed), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+
+    z = F.sqrt(-2 * F.log(uniform("id", F.lit(1)))) * F.cos(2 * math.pi * uniform("id", F.lit(2)))
+    size = F.greatest(F.lit(1), F.round(LINES / BASKETS * F.exp(SPREAD * z - SPREAD**2 / 2)))
+    baskets = spark.range(BASKETS).select("id", F.explode(F.sequence(F.lit(1), size.cast("int"))).alias("line"))
+    # shares of items by rank: straight lines between the published points, on logarithms
+    points = [(1.0, 0.12), *((float(r), p) for r, p in RANKS), (float(ITEMS), 0.0002)]
+    weights = []
+    for (r, p), (r2, p2) in zip(points, points[1:]):
+        steps = [r * (r2 / r) ** (i / 20) for i in range(21)]
+        weights += [(lo, hi, p * (lo / r) ** (math.log(p2 / p) / math.log(r2 / r)) * (hi - lo)) for lo, hi in zip(steps, steps[1:])]
+    total = sum(w for _, _, w in weights)
+    u, rank, below = uniform("id", "line"), F.lit(float(ITEMS)), 0.0
+    for lo, hi, w in reversed(weights):
+        below = 1 - sum(x for a, _, x in weights if a >= lo) / total
+        rank = F.when(F.col("u") < below + w / total, lo + (hi - lo) * (F.col("u") - below) * (total / w)).otherwise(rank)
+    lines = baskets.withColumn("u", u).select("id", F.floor(rank).alias("item"))
+    return lines.select(F.col("id").cast("string").alias("basket_id"), F.concat(F.lit("item "), "item").alias("item"))
 
 
 def main() -> None:
