@@ -99,7 +99,10 @@ def materialize_bucketed(df: DataFrame, n: int, *keys: str) -> DataFrame:
     path = new_table_path(spark)
     name = f"basketry_{path.rsplit('/', 1)[1]}"
     df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    # the plan knows the buckets; the files stay, as the path is ours
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def discard(*tables: DataFrame) -> None:

@@ -27,6 +27,8 @@ from workloads import views
 Query = Callable[[SparkSession, str], DataFrame]
 
 TYPE, BRAND, NAME = "StockCode", "Brand", "Description"
+# columns of the wide presence matrix
+TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 MODE_RATIOS = (0.05, 0.02, 0.01, 0.005, 0.002)
 SWEEP = (0.005, 0.01, 0.02, 0.03, 0.05)
 SWEEP_SIX = (0.005, 0.01, 0.02, 0.03, 0.05, 0.1)
@@ -120,9 +122,7 @@ def presence_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def presence_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _lines(spark, sf_dir, item=TYPE)
-    # one column for each item, so their names are needed before the plan
-    types = sorted(row["item"] for row in lines.select("item").distinct().collect())
-    return bk.presence_matrix(lines, types)
+    return bk.presence_matrix(lines, TYPES)
 
 
 def presence_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
