@@ -45,7 +45,7 @@ BINS, ROWS = 192, 6
 MISS = 1e-6
 MAP_BITS = 2048
 #: members of a bucket that are paired with each other in one group
-BLOCK = 256
+BLOCK = 2048
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _WEIGHTS = mix(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 _SEEDS = mix(np.arange(1000, 1000 + 2 * BINS, dtype=np.uint64))
