@@ -6,8 +6,8 @@ over all documents, and no weight is below ``FLOOR``, so an item that many or al
 
 *Latent space.* A randomised SVD of passages of documents and benchmark, distributed: a random projection and a power step are
 matrix products AᵀA·X that tasks compute over their passages and Spark sums by word; orthonormalisation and the decomposition
-of the small product matrix follow on sums of a fixed size. It is fitted on one passage of each of ``FIT`` documents, chosen by a hash
-of their texts among all (a documented bound), and on as many of the benchmark; its rank ``LATENT_RANK`` is far below their number, so words that
+of the small product matrix follow on sums of a fixed size. It is fitted on every passage of every document, copies counted as in the
+document frequencies, and on at most ``FIT`` of the benchmark; its rank ``LATENT_RANK`` is far below their number, so words that
 stand in like company fall together. Coordinates are centred and divided by the singular values. Every passage of every
 document is projected and held against every passage of the benchmark: a pair is a candidate from a cosine of ``LATENT``. The search
 tries all pairs, so its recall against brute force is 1.
@@ -62,12 +62,18 @@ COSINE = 0.35
 FLOOR = 0.1
 LCS, PARAPHRASE, ANSWER = 0.7, 0.45, 0.6
 
-#: dimensions of the latent space, passages of documents (and of the benchmark) that it is fitted on, and least cosine of a candidate
+#: dimensions of the latent space, passages of the benchmark that it is fitted on, and least cosine of a candidate
 LATENT_RANK = 32
 FIT = 4096
 LATENT = 0.6
 #: further directions of the random projection
 OVERSAMPLE = 16
+#: half windows; passages in a row of the written words, and words for each task that multiplies them
+HALF = WINDOW // 2
+PIECE = 255
+PORTION = 1 << 24
+#: words that are multiplied at a time, half windows whose rows are summed at a time, buckets whose sums travel in one row
+MULTIPLIED, SUMMED, RANGE = 1 << 20, 1024, 1024
 
 _PAIRS = StructType(
     [StructField(c, LongType()) for c in ("doc_id", "row_hash", "item_id", "key")]
@@ -88,50 +94,66 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
 
 
 def survey(documents: DataFrame) -> tuple[np.ndarray, int, DataFrame]:
-    """One scan: of each bucket the number of documents that hold it, the number of documents, and the passages to fit on.
-
-    A passage (``hash, words``) is taken of the documents whose texts hash below a bound that about ``FIT`` reach.
-    """
+    """One scan: of each bucket the number of documents that hold it, the number of documents, and the words of all (:func:`_pieces`)."""
     n = documents.count()
-    below = min(1.0, FIT / max(n, 1)) * 2.0**63
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals, seen = np.zeros(BUCKETS, np.int64), set()
+        totals = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             data, offsets = flat(batch.column("text"))
-            drawn = batch.column("hash").to_numpy()
             for lo, hi in chunks(offsets):
                 at = offsets[lo : hi + 1]
                 hashes, rows = _words(data[at[0] : at[-1]], at - at[0])
                 buckets = _bucket(hashes)
                 held = np.sort(rows * BUCKETS + buckets)
                 once = held[np.append(True, held[1:] != held[:-1])[: len(held)]]
-                np.add.at(totals, once % BUCKETS, 1)
-                chosen = [i for i in np.flatnonzero(drawn[lo:hi] <= below).tolist() if drawn[lo + i] not in seen]
-                if chosen:
-                    seen.update(drawn[lo:hi][chosen].tolist())
-                    first = np.searchsorted(rows, np.arange(hi - lo + 1))
-                    passages = [_drawn_passage(buckets[first[i] : first[i + 1]], int(drawn[lo + i])) for i in chosen]
-                    none = pa.nulls(len(chosen), pa.int64())
-                    columns = [none, none, pa.array(drawn[lo:hi][chosen]), pa.array(passages, pa.list_(pa.int64()))]
-                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "n", "hash", "words"])
+                totals += np.bincount(once % BUCKETS, minlength=BUCKETS)
+                words = _pieces(buckets, np.bincount(rows, minlength=hi - lo))
+                none = pa.nulls(len(words), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, words], ["bucket", "n", "words"])
         some = np.flatnonzero(totals)
-        nothing = pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some]), *nothing], ["bucket", "n", "hash", "words"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some), pa.array(totals[some]), pa.nulls(len(some), pa.list_(pa.int32()))], ["bucket", "n", "words"]
+        )
 
-    rows = documents.select(F.lower("text").alias("text"), F.xxhash64("text", F.lit(5)).bitwiseAND((1 << 63) - 1).alias("hash"))
-    found = materialize(rows.mapInArrow(count, "bucket long, n long, hash long, words array<long>"))
+    found = materialize(documents.select(F.lower("text").alias("text")).mapInArrow(count, "bucket long, n long, words array<int>"))
     counted = found.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
     out = np.zeros(BUCKETS, np.int64)
     out[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
-    passages = found.where("hash IS NOT NULL AND size(words) > 0").dropDuplicates(["hash"]).orderBy("hash").limit(FIT)
-    return out, n, passages.select("words")
+    return out, n, found.where("words IS NOT NULL").select("words")
+
+
+def _pieces(buckets: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    """Words of texts with so many of them, a text in rows of at most ``PIECE`` passages; a row's last half window begins the next."""
+    halves = -(-counts // HALF)
+    n = np.where(counts > 0, np.maximum(1, -(-(halves - 1) // PIECE)), 0)
+    rows = np.repeat(np.arange(len(counts)), n)
+    first = ragged(np.zeros(len(n), np.int64), n) * (PIECE * HALF)
+    length = np.minimum((PIECE + 1) * HALF, counts[rows] - first)
+    words = buckets[ragged((np.cumsum(counts) - counts)[rows] + first, length)]
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)), pa.int32()), pa.array(words, pa.int32()))
 
 
-def _drawn_passage(buckets: np.ndarray, draw: int) -> np.ndarray:
-    starts = max(1, -(-(len(buckets) - WINDOW) // (WINDOW // 2)) + 1)
-    first = draw % starts * (WINDOW // 2)
-    return buckets[first : first + WINDOW]
+def _halves(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word and row of each half window, and the half windows that begin a window.
+
+    A window is a half and the next of its text, if there is one; the last half of several begins none.
+    """
+    n = -(-counts // HALF)
+    rows = np.repeat(np.arange(len(counts)), n)
+    number = ragged(np.zeros(len(n), np.int64), n)
+    return (np.cumsum(counts) - counts)[rows] + number * HALF, rows, np.flatnonzero((number == 0) | (number < n[rows] - 1))
+
+
+def _sums(table: np.ndarray, words: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``table`` for the words from each of ``begins`` to the next; few at a time, so that they stay in the cache."""
+    out = np.empty((len(begins), table.shape[1]), table.dtype)
+    ends = np.append(begins, len(words))
+    for lo in range(0, len(begins), SUMMED):
+        hi = min(len(begins), lo + SUMMED)
+        taken = table.take(words[ends[lo] : ends[hi]], axis=0)
+        np.add.reduceat(taken, begins[lo:hi] - ends[lo], axis=0, out=out[lo:hi])
+    return out
 
 
 def _units(words: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -143,46 +165,98 @@ def _units(words: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.nda
     return begins, rows, tokens, weights / np.sqrt(np.bincount(rows, weights**2, len(words)))[rows]
 
 
-def _signs(buckets: np.ndarray, width: int) -> np.ndarray:
-    """Rows of the random projection: signs from a hash, the same in every run and task."""
-    seeds = mix(buckets.astype(np.uint64)[:, None] ^ mix(np.arange(width, dtype=np.uint64)))
-    return np.where(seeds & np.uint64(1), 1.0, -1.0)
+def _signs(width: int) -> np.ndarray:
+    """Random projection, a row for each bucket: signs from a hash, the same in every run and task."""
+    columns, out = mix(np.arange(width, dtype=np.uint64)), np.empty((BUCKETS, width), np.float32)
+    for lo in range(0, BUCKETS, RANGE):
+        seeds = mix(np.arange(lo, lo + RANGE, dtype=np.uint64)[:, None] ^ columns)
+        out[lo : lo + RANGE] = np.where(seeds & np.uint64(1), 1, -1)
+    return out
 
 
-def _product(passages: DataFrame, idf: np.ndarray, index: np.ndarray | None, factor: np.ndarray | None, rank: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets in use and, for each, its row of AᵀA·X and of Aᵀ·1; X: ``factor`` by ``index``, or the random projection.
+def _add_product(sums: np.ndarray, words: np.ndarray, counts: np.ndarray, factor: np.ndarray, squares: np.ndarray) -> None:
+    """Add to ``sums`` what the passages of texts with so many words contribute to AᵀA·X and Aᵀ·1, short of the weight of the row's word.
 
-    Tasks multiply their passages, Spark adds up the rows of each bucket. As many rows come back as the bounded
-    sample has different words.
+    ``factor``: X times the weights, ``squares``: the weights' squares.
+    """
+    first, rows, begins = _halves(counts)
+    length = np.diff(np.append(first, len(words)))
+    halves = np.concatenate([_sums(factor, words, first), np.add.reduceat(squares[words], first)[:, None]], axis=1)
+    two = np.append(rows, -1)[begins + 1] == rows[begins]
+    windows = halves[begins]
+    windows[two] += halves[begins[two] + 1]
+    # a passage has length 1: its product is divided by its squared length, and Aᵀ·1 by its length
+    lengths = windows[:, -1:].copy()
+    windows /= lengths
+    windows[:, -1:] = 1 / np.sqrt(lengths)
+    back = np.zeros_like(halves)
+    back[begins] = windows
+    back[begins[two] + 1] += windows[two]
+    # by word: a sum for each, added once
+    order = np.sort(words.astype(np.int64) << 32 | np.repeat(np.arange(len(first)), length))
+    sorted_words = order >> 32
+    starts = np.flatnonzero(np.append(True, sorted_words[1:] != sorted_words[:-1]))
+    halves_of, ends = order & 0xFFFFFFFF, np.append(starts, len(order))
+    lo = 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + SUMMED * HALF, "right")) - 1)
+        taken = back.take(halves_of[ends[lo] : ends[hi]], axis=0)
+        sums[sorted_words[starts[lo:hi]]] += np.add.reduceat(taken, starts[lo:hi] - ends[lo], axis=0)
+        lo = hi
+
+
+def _product(passages: DataFrame, idf: np.ndarray, factor: np.ndarray | None, width: int) -> np.ndarray:
+    """For each bucket its row of AᵀA·X and, last, of Aᵀ·1; X: ``factor``, or the random projection.
+
+    Tasks multiply their passages and Spark brings together the sums of each range of buckets: the result has a fixed size.
     """
-    shared = passages.sparkSession.sparkContext.broadcast((idf, index, factor))
-    names = [f"y{j}" for j in range(rank + 1)]
+    shared = passages.sparkSession.sparkContext.broadcast((idf, None if factor is None else factor * idf[:, None]))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, index, factor = shared.value
+        idf, weighted = shared.value
+        if weighted is None:
+            weighted = _signs(width) * idf[:, None]
+        sums = np.zeros((BUCKETS, width + 1), np.float32)
+        squares = idf.astype(np.float32) ** 2
+        for batch in batches:
+            column = batch.column("words")
+            offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+            values = column.values.to_numpy()
+            for lo, hi in chunks(offsets, MULTIPLIED):
+                _add_product(sums, values[offsets[lo] : offsets[hi]], np.diff(offsets[lo : hi + 1]), weighted, squares)
+        sums *= idf[:, None]
+        for lo in range(0, BUCKETS, RANGE):
+            part = sums[lo : lo + RANGE]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([part.tobytes()], pa.binary())], ["first", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            words = [np.array(w, np.int64) for w in batch.column("words").to_pylist()]
-            if not words:
-                continue
-            begins, rows, tokens, weights = _units(words, idf)
-            x = _signs(tokens, rank) if factor is None else factor[np.searchsorted(index, tokens)]
-            projected = np.add.reduceat(x * weights[:, None], begins, axis=0)
-            order = np.argsort(tokens, kind="stable")
-            first = np.flatnonzero(np.append(True, np.diff(tokens[order]) > 0))
-            back = np.column_stack([projected[rows], np.ones(len(rows))]) * weights[:, None]
-            sums = np.add.reduceat(back[order], first, axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[order][first]), *map(pa.array, sums.T.copy())], ["bucket", *names])
-
-    parts = passages.mapInArrow(multiply, "bucket long, " + ", ".join(f"{c} double" for c in names))
-    table = parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in names]).orderBy("bucket").toArrow()
-    columns = np.column_stack([table[c].to_numpy() for c in names]) if table.num_rows else np.zeros((0, rank + 1))
-    return table["bucket"].to_numpy(), columns
+            for first, sums in zip(batch.column("first").to_pylist(), batch.column("sums"), strict=True):
+                part = np.frombuffer(sums.as_buffer(), np.float32).astype(np.float64)
+                totals[first] = totals[first] + part if first in totals else part
+        for first, sums in totals.items():
+            yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([sums.astype(np.float32).tobytes()], pa.binary())], ["first", "sums"])
+
+    schema = "first long, sums binary"
+    table = passages.mapInArrow(multiply, schema).repartition(16, "first").mapInArrow(add, schema).toArrow()
+    out = np.zeros((BUCKETS, width + 1), np.float32)
+    for first, sums in zip(table["first"].to_pylist(), table["sums"], strict=True):
+        out[first : first + RANGE] = np.frombuffer(sums.as_buffer(), np.float32).reshape(-1, width + 1)
+    shared.destroy()
+    return out
+
+
+def _inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` in double precision, some rows at a time."""
+    return sum(a[lo : lo + 8192].T.astype(np.float64) @ b[lo : lo + 8192].astype(np.float64) for lo in range(0, len(a), 8192))
 
 
 class Space:
     """What each word adds to a passage's coordinates (its weight included), and the ``mean`` of the fitted passages.
 
-    It travels as the rows of the words that it knows, as many as the bounded sample has, and is spread out where it is used.
+    It travels as the rows of the words that it knows, at most ``BUCKETS``, and is spread out where it is used.
     """
 
     def __init__(self, index: np.ndarray, rows: np.ndarray, mean: np.ndarray, idf: np.ndarray, least: float = LATENT) -> None:
@@ -194,71 +268,66 @@ class Space:
     def __setstate__(self, state: tuple) -> None:
         #: buckets of known words; least cosine of a candidate
         self.index, rows, self.mean, self.idf, self.least = state
-        # a last row for no word at all
-        self.wide = np.zeros((BUCKETS + 1, rows.shape[1]), np.float32)
-        self.wide[self.index] = rows
-        self.rows = self.wide[:BUCKETS]
-        squares = np.append(self.idf.astype(np.float32) ** 2, np.float32(0))
-        self.squares = np.column_stack([squares, squares * self.wide.any(axis=1)])
+        # with each word's squared weight, and once more if it is known
+        self.wide = np.zeros((BUCKETS, rows.shape[1] + 2), np.float32)
+        self.rows = self.wide[:, :-2]
+        self.rows[self.index] = rows
+        self.wide[:, -2] = self.idf.astype(np.float32) ** 2
+        self.wide[self.index, -1] = self.wide[self.index, -2] * rows.any(axis=1)
 
     def passages(self, buckets: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Coordinates of passages of at least one word, by first word and number of words."""
         if not len(first):
             return np.zeros((0, self.rows.shape[1]), np.float32)
-        words, begins = buckets[ragged(first, length)], np.cumsum(length) - length
-        return self._placed(np.add.reduceat(self.wide[words], begins, axis=0), np.add.reduceat(self.squares[words], begins, axis=0))
+        return self._placed(_sums(self.wide, buckets[ragged(first, length)], np.cumsum(length) - length))
 
     def windows(self, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Coordinates of all windows of ``WINDOW`` words, each two half windows of words that are read once."""
-        half = WINDOW // 2
-        n = -(-counts // half)
-        rows = np.repeat(np.arange(len(counts)), n)
-        number = ragged(np.zeros(len(n), np.int64), n)
-        first = (np.cumsum(counts) - counts)[rows] + number * half
-        length = np.minimum(half, counts[rows] - number * half)
-        sums = np.zeros((len(rows) + 1, self.rows.shape[1]), np.float32)
-        squares = np.zeros((len(rows) + 1, 2), np.float32)
-        at = np.arange(half)
-        padded = np.append(buckets, BUCKETS)
-        for lo in range(0, len(rows), 4096):
-            part = slice(lo, min(len(rows), lo + 4096))
-            words = padded[np.where(at < length[part, None], first[part, None] + at, len(buckets))]
-            sums[part], squares[part] = self.wide[words].sum(axis=1), self.squares[words].sum(axis=1)
-        # a window is a half and the next of its text, if there is one; the last half of several begins none
-        begins = (number == 0) | (number < n[rows] - 1)
-        here = np.flatnonzero(begins)
-        following = np.where(number[here] + 1 < n[rows[here]], here + 1, len(rows))
-        return self._placed(sums[here] + sums[following], squares[here] + squares[following])
-
-    def _placed(self, sums: np.ndarray, squares: np.ndarray) -> np.ndarray:
+        first, rows, begins = _halves(counts)
+        sums = np.concatenate([_sums(self.wide, buckets, first), np.zeros((1, self.wide.shape[1]), np.float32)])
+        following = np.where(np.append(rows, -1)[begins + 1] == rows[begins], begins + 1, len(rows))
+        return self._placed(sums[begins] + sums[following])
+
+    def _placed(self, sums: np.ndarray) -> np.ndarray:
         """Vectors of unit length unless too little of the passage is known.
 
         The fitted passages have a length of about the root of the rank; a vector under half of that, which one or two known
         words may make, keeps its share of it and so a lower cosine.
         """
-        every = np.maximum(squares[:, 0], 1e-9)
-        out = sums / np.sqrt(every)[:, None] - self.mean.astype(np.float32) * (squares[:, 1] / every)[:, None]
+        every = np.maximum(sums[:, -2], 1e-9)
+        out = sums[:, :-2] / np.sqrt(every)[:, None] - self.mean.astype(np.float32) * (sums[:, -1] / every)[:, None]
         usual = 0.5 * np.sqrt(self.rows.shape[1])
         return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), usual)).astype(np.float32)
 
 
 def latent_space(passages: DataFrame, idf: np.ndarray, rank: int = LATENT_RANK) -> Space:
-    """Randomised SVD of the TF-IDF matrix A of ``passages`` (``words``: buckets), by distributed products with AᵀA."""
-    n = passages.count()
-    index, product = _product(passages, idf, None, None, rank + OVERSAMPLE)
-    if not n or not len(index):
+    """Randomised SVD of the TF-IDF matrix A of all passages of ``words`` (:func:`_pieces`), by distributed products with AᵀA."""
+    size = F.size("words")
+    n, words = passages.agg(F.sum(F.greatest(F.lit(1), F.ceil(size / HALF) - 1)), F.sum(size)).first()
+    if not words:
         return Space(np.zeros(0, np.int64), np.zeros((0, rank)), np.zeros(rank), idf, LATENT)
-    total, before = product[:, -1], np.linalg.qr(product[:, :-1])[0]
-    _, product = _product(passages, idf, index, before, before.shape[1])
-    after = product[:, :-1]
-    # Nystroem: A.T A is approximated by after @ inverse(small) @ after.T, whose leading vectors these are
-    small = before.T @ after
+    # as many sums of all buckets travel as there are tasks
+    passages = passages.coalesce(-(-words // PORTION))
+    product = _product(passages, idf, None, rank + OVERSAMPLE)[:, :-1]
+    values, vectors = np.linalg.eigh(_inner(product, product))
+    # beyond are directions that only rounding made
+    sound = values > 1e-10 * values[-1]
+    before = product @ (vectors[:, sound] / np.sqrt(values[sound])).astype(np.float32)
+    product = _product(passages, idf, before, before.shape[1])
+    after, total = product[:, :-1], product[:, -1:]
+    # Nystroem: A.T A is approximated by F @ F.T, F = after @ root, whose leading singular vectors these are
+    small = _inner(before, after)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
-    sound = values > 1e-9 * values[-1]
-    left, singular, _ = np.linalg.svd(after @ (vectors[:, sound] / np.sqrt(values[sound])), full_matrices=False)
-    scaled = np.zeros((len(index), rank))
-    scaled[:, : min(rank, len(singular))] = (left / singular * np.sqrt(n))[:, :rank]
-    return Space(index, scaled * idf[index, None], total @ scaled / n, idf, LATENT)
+    sound = values > 1e-6 * values[-1]
+    root = vectors[:, sound] / np.sqrt(values[sound])
+    squares, vectors = np.linalg.eigh(root.T @ _inner(after, after) @ root)
+    turn = (root @ vectors / squares * np.sqrt(n))[:, ::-1][:, :rank]
+    mean = np.zeros(rank)
+    mean[: turn.shape[1]] = (_inner(total, after) @ turn / n)[0]
+    index = np.flatnonzero(total)
+    rows = np.zeros((len(index), rank), np.float32)
+    rows[:, : turn.shape[1]] = after[index] @ turn.astype(np.float32) * idf[index, None]
+    return Space(index, rows, mean, idf, LATENT)
 
 
 def benchmark_passages(benchmark: DataFrame) -> DataFrame:
@@ -270,10 +339,10 @@ def benchmark_passages(benchmark: DataFrame) -> DataFrame:
             first = np.searchsorted(rows, np.arange(batch.num_rows + 1))
             found = [(i, _bucket(hashes[first[i] + a : first[i] + a + n])) for i in range(batch.num_rows) for a, n, _ in zip(*_windows(np.array([first[i + 1] - first[i]]), WINDOW))]
             draws = batch.column("hash").take(pa.array([i for i, _ in found], pa.int64()))
-            yield pa.RecordBatch.from_arrays([draws, pa.array([w for _, w in found], pa.list_(pa.int64()))], ["hash", "words"])
+            yield pa.RecordBatch.from_arrays([draws, pa.array([w for _, w in found], pa.list_(pa.int32()))], ["hash", "words"])
 
     rows = benchmark.where("text IS NOT NULL").select(F.lower("text").alias("text"), F.xxhash64("text", F.lit(5)).bitwiseAND((1 << 63) - 1).alias("hash"))
-    return rows.mapInArrow(cut, "hash long, words array<long>").orderBy("hash").limit(FIT).select("words")
+    return rows.mapInArrow(cut, "hash long, words array<int>").orderBy("hash").limit(FIT).select("words")
 
 
 def _weights(frequencies: np.ndarray, n: int) -> np.ndarray:
@@ -636,7 +705,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, row_hash, item_id, cosine, common, answer``: each pair of a document and an item that it holds."""
     frequencies, n, passages = survey(documents)
     idf = _weights(frequencies, n)
-    space = latent_space(materialize(passages.unionByName(benchmark_passages(benchmark))), idf)
+    space = latent_space(passages.unionByName(materialize(benchmark_passages(benchmark))), idf)
     rows = documents.select("doc_id", F.xxhash64("text").alias("row_hash"), F.lower("text").alias("text"))
     pairs = documents.sparkSession.createDataFrame([], _PAIRS)
     for blocks in _rounds(_blocks(benchmark, frequencies, n, space)):

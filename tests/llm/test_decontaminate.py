@@ -228,3 +228,36 @@ def test_candidates_are_all_pairs_above_the_cosine(spark):
         brute = {(w, int(block.owner[p])) for w, p in zip(*np.nonzero(semantic @ block.semantic.T >= dc.LATENT))}
         assert brute and brute <= set(zip(at.tolist(), item.tolist()))
         assert np.allclose(cosine, [max((semantic[w] @ block.semantic[block.owner == i].T)) for w, i in zip(at, item)], atol=1e-5)
+
+
+def test_the_space_is_fitted_on_every_passage_of_every_document(spark, monkeypatch):
+    """Far more documents than any fixed number of them, long ones in several rows, copies counted: nothing is left out."""
+    pick = random.Random(17)
+    subjects = topics(6)
+    prose = lambda k, n: [pick.choice(pick.choice(subjects[k])) for _ in range(n)]
+    texts = [prose(k % 6, pick.choice((1, 15, 16, 17, 32, 33, 48, 49))) for k in range(6000)] + [prose(k, 5000 + k) for k in range(6)]
+    texts += texts[:200]
+    df = spark.createDataFrame([(i, " ".join(t), "x") for i, t in enumerate(texts)] + [(-1, None, "x"), (-2, "-", "x")], SCHEMA).repartition(5)
+    frequencies, n, rows = dc.survey(df)
+    words = [np.array(r["words"]) for r in rows.collect()]
+    # a row's last half window is the first of the text's next row
+    assert sum(map(len, words)) == sum(map(len, texts)) + 6 * 16
+    windows = [dc._bucket(dc._words(*dc.flat(pa.array([" ".join(t[a : a + 32])])))[0]) for t in texts for a in range(0, max(1, len(t) - 16), 16)]
+    idf = dc._weights(frequencies, n)
+    _, of, tokens, weights = dc._units(windows, idf)
+    used, column = np.unique(tokens, return_inverse=True)
+    matrix = np.zeros((len(windows), len(used)), np.float32)
+    np.add.at(matrix, (of, column), weights.astype(np.float32))
+    factor = np.random.default_rng(5).normal(size=(dc.BUCKETS, 7)).astype(np.float32)
+    monkeypatch.setattr(dc, "MULTIPLIED", 1000)
+    found = dc._product(rows.repartition(3), idf, factor, 7)
+    expected = np.column_stack([matrix.T @ (matrix @ factor[used]), matrix.sum(axis=0)])
+    assert np.allclose(found[used], expected, rtol=1e-3, atol=1e-2) and not np.delete(found, used, axis=0).any()
+    space = dc.latent_space(rows, idf, 6)
+    at = np.cumsum([0, *map(len, windows)])
+    ours = space.passages(np.concatenate(windows), at[:-1], np.diff(at))
+    truth = np.linalg.svd(matrix, full_matrices=False)[0][:, :6] * np.sqrt(len(windows))
+    truth -= truth.mean(axis=0)
+    pairs = np.random.default_rng(6).integers(0, len(windows), (2, 4000))
+    truth /= np.maximum(np.linalg.norm(truth, axis=1, keepdims=True), 0.5 * np.sqrt(6))
+    assert np.abs((ours[pairs[0]] * ours[pairs[1]]).sum(axis=1) - (truth[pairs[0]] * truth[pairs[1]]).sum(axis=1)).mean() < 0.05
