@@ -7,7 +7,7 @@ over all documents, and no weight is below ``FLOOR``, so an item that many or al
 *Latent space.* A randomised SVD of passages of documents and benchmark, distributed: a random projection and a power step are
 matrix products AᵀA·X that tasks compute over their passages and Spark sums by word; orthonormalisation and the decomposition
 of the small product matrix follow on sums of a fixed size. It is fitted on every passage of every document, copies counted as in the
-document frequencies, and on at most ``FIT`` of the benchmark; its rank ``LATENT_RANK`` is far below their number, so words that
+document frequencies, and on every passage of the benchmark; its rank ``LATENT_RANK`` is far below their number, so words that
 stand in like company fall together. Coordinates are centred and divided by the singular values. Every passage of every
 document is projected and held against every passage of the benchmark: a pair is a candidate from a cosine of ``LATENT``. The search
 tries all pairs, so its recall against brute force is 1.
@@ -62,9 +62,8 @@ COSINE = 0.35
 FLOOR = 0.1
 LCS, PARAPHRASE, ANSWER = 0.7, 0.45, 0.6
 
-#: dimensions of the latent space, passages of the benchmark that it is fitted on, and least cosine of a candidate
+#: dimensions of the latent space, and least cosine of a candidate
 LATENT_RANK = 32
-FIT = 4096
 LATENT = 0.6
 #: further directions of the random projection
 OVERSAMPLE = 16
@@ -73,7 +72,7 @@ HALF = WINDOW // 2
 PIECE = 255
 PORTION = 1 << 24
 #: words that are multiplied at a time, half windows whose rows are summed at a time, buckets whose sums travel in one row
-MULTIPLIED, SUMMED, RANGE = 1 << 20, 1024, 1024
+MULTIPLIED, SUMMED, RANGE = 1 << 20, 256, 1024
 
 _PAIRS = StructType(
     [StructField(c, LongType()) for c in ("doc_id", "row_hash", "item_id", "key")]
@@ -331,18 +330,17 @@ def latent_space(passages: DataFrame, idf: np.ndarray, rank: int = LATENT_RANK)
 
 
 def benchmark_passages(benchmark: DataFrame) -> DataFrame:
-    """``words`` of passages of the benchmark, at most ``FIT`` chosen by a hash of their items."""
+    """``words`` of all texts of the benchmark (:func:`_pieces`)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, rows = _words(*flat(batch.column("text")))
-            first = np.searchsorted(rows, np.arange(batch.num_rows + 1))
-            found = [(i, _bucket(hashes[first[i] + a : first[i] + a + n])) for i in range(batch.num_rows) for a, n, _ in zip(*_windows(np.array([first[i + 1] - first[i]]), WINDOW))]
-            draws = batch.column("hash").take(pa.array([i for i, _ in found], pa.int64()))
-            yield pa.RecordBatch.from_arrays([draws, pa.array([w for _, w in found], pa.list_(pa.int32()))], ["hash", "words"])
-
-    rows = benchmark.where("text IS NOT NULL").select(F.lower("text").alias("text"), F.xxhash64("text", F.lit(5)).bitwiseAND((1 << 63) - 1).alias("hash"))
-    return rows.mapInArrow(cut, "hash long, words array<int>").orderBy("hash").limit(FIT).select("words")
+            data, offsets = flat(batch.column("text"))
+            for lo, hi in chunks(offsets):
+                at = offsets[lo : hi + 1]
+                hashes, rows = _words(data[at[0] : at[-1]], at - at[0])
+                yield pa.RecordBatch.from_arrays([_pieces(_bucket(hashes), np.bincount(rows, minlength=hi - lo))], ["words"])
+
+    return benchmark.select(F.lower("text").alias("text")).mapInArrow(cut, "words array<int>")
 
 
 def _weights(frequencies: np.ndarray, n: int) -> np.ndarray:

@@ -261,3 +261,16 @@ def test_the_space_is_fitted_on_every_passage_of_every_document(spark, monkeypat
     pairs = np.random.default_rng(6).integers(0, len(windows), (2, 4000))
     truth /= np.maximum(np.linalg.norm(truth, axis=1, keepdims=True), 0.5 * np.sqrt(6))
     assert np.abs((ours[pairs[0]] * ours[pairs[1]]).sum(axis=1) - (truth[pairs[0]] * truth[pairs[1]]).sum(axis=1)).mean() < 0.05
+
+
+def test_the_space_is_fitted_on_every_passage_of_the_benchmark(spark):
+    """Far more items than any fixed number of them, some long: each word that they alone hold is in the space."""
+    items = [[f"q{k}w{i}" for i in range(1 + k % 40)] for k in range(5000)] + [[f"long{i}" for i in range(4500)]]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)] + [(-1, None), (-2, "?")], "item_id long, text string").repartition(3)
+    rows = dc.benchmark_passages(bench)
+    words = [r["words"] for r in rows.collect()]
+    assert len(words) == 5002 and sum(map(len, words)) == sum(map(len, items)) + 16
+    held = np.unique(dc._bucket(dc._words(*dc.flat(pa.array([" ".join(w) for w in items])))[0]))
+    space = dc.latent_space(rows, np.ones(dc.BUCKETS, np.float32))
+    assert (space.index == held).all()
+    assert dc.benchmark_passages(bench.limit(0)).count() == 0
