@@ -204,10 +204,11 @@ def _add_product(sums: np.ndarray, words: np.ndarray, counts: np.ndarray, factor
         lo = hi
 
 
-def _product(passages: DataFrame, idf: np.ndarray, factor: np.ndarray | None, width: int) -> np.ndarray:
+def _product(passages: DataFrame, idf: np.ndarray, factor: np.ndarray | None, width: int, tasks: int = 1) -> np.ndarray:
     """For each bucket its row of AᵀA·X and, last, of Aᵀ·1; X: ``factor``, or the random projection.
 
-    Tasks multiply their passages and Spark brings together the sums of each range of buckets: the result has a fixed size.
+    ``tasks`` multiply their passages and Spark brings together the sums of each range of buckets, in as many tasks while there are
+    as many ranges: the result has a fixed size.
     """
     shared = passages.sparkSession.sparkContext.broadcast((idf, None if factor is None else factor * idf[:, None]))
 
@@ -239,7 +240,7 @@ def _product(passages: DataFrame, idf: np.ndarray, factor: np.ndarray | None, wi
             yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([sums.astype(np.float32).tobytes()], pa.binary())], ["first", "sums"])
 
     schema = "first long, sums binary"
-    table = passages.mapInArrow(multiply, schema).repartition(16, "first").mapInArrow(add, schema).toArrow()
+    table = passages.mapInArrow(multiply, schema).repartition(min(BUCKETS // RANGE, max(8, tasks)), "first").mapInArrow(add, schema).toArrow()
     out = np.zeros((BUCKETS, width + 1), np.float32)
     for first, sums in zip(table["first"].to_pylist(), table["sums"], strict=True):
         out[first : first + RANGE] = np.frombuffer(sums.as_buffer(), np.float32).reshape(-1, width + 1)
@@ -306,13 +307,14 @@ def latent_space(passages: DataFrame, idf: np.ndarray, rank: int = LATENT_RANK)
     if not words:
         return Space(np.zeros(0, np.int64), np.zeros((0, rank)), np.zeros(rank), idf, LATENT)
     # as many sums of all buckets travel as there are tasks
-    passages = passages.coalesce(-(-words // PORTION))
-    product = _product(passages, idf, None, rank + OVERSAMPLE)[:, :-1]
+    tasks = -(-words // PORTION)
+    passages = passages.coalesce(tasks)
+    product = _product(passages, idf, None, rank + OVERSAMPLE, tasks)[:, :-1]
     values, vectors = np.linalg.eigh(_inner(product, product))
     # beyond are directions that only rounding made
     sound = values > 1e-10 * values[-1]
     before = product @ (vectors[:, sound] / np.sqrt(values[sound])).astype(np.float32)
-    product = _product(passages, idf, before, before.shape[1])
+    product = _product(passages, idf, before, before.shape[1], tasks)
     after, total = product[:, :-1], product[:, -1:]
     # Nystroem: A.T A is approximated by F @ F.T, F = after @ root, whose leading singular vectors these are
     small = _inner(before, after)
