@@ -9,10 +9,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 2 << 20
+#: bytes that are hashed at a time: their 64-bit sums stay in the cache
+HASHED = 1 << 15
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
+_VALUES = {True: _LOWER.astype(np.uint64) + np.uint64(1), False: np.arange(1, 257, dtype=np.uint64)}
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
@@ -85,12 +88,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     out = np.empty(len(starts), np.uint64)
     first = 0
     while first < len(starts):
-        last = max(first + 1, int(np.searchsorted(ends, starts[first] + CHUNK_BYTES, "right")))
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + HASHED, "right")))
         lo, hi = int(starts[first]), int(ends[last - 1])
-        part = data[lo:hi]
-        part = (_LOWER[part] if lower else part).astype(np.uint64) + np.uint64(1)
+        part = _VALUES[lower].take(data[lo:hi])
+        part *= _power("up", _BASE, len(part))[: len(part)]
         sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(part * _power("up", _BASE, len(part))[: len(part)], out=sums[1:])
+        np.cumsum(part, out=sums[1:])
         a, b = starts[first:last] - lo, ends[first:last] - lo
         out[first:last] = mix(
             (sums[b] - sums[a]) * _power("down", _INVERSE, len(part))[a] + (b - a).astype(np.uint64)

@@ -15,8 +15,8 @@ tries all pairs, so its recall against brute force is 1.
 *Verbatim route.* Copies must not depend on a space of low rank, so beside it a passage is a candidate if it holds a share of
 ``COSINE`` squared of the item's length on the item's own words; for items of at most 8 or 4 words in windows of 8 or 4 words that start
 every 4 or 2. The benchmark's passages are dealt into blocks of ``BLOCK`` with a basis each that holds them
-whole, the documents are searched in rounds of ``ROUND_BYTES`` of blocks, and the largest share that each word can add
-bounds a passage before, without loss. Item words that no document holds are left out of the item's length.
+whole, the documents are searched in rounds of ``ROUND_BYTES`` of blocks, and the largest shares that each word can add to any of
+``TOGETHER`` of their passages bound a document's passage before, without loss. Item words that no document holds are left out of the item's length.
 
 *Checks.* A candidate of either route is confirmed on the words around the passage, unless too few of them are the item's in any
 order: the longest common subsequence reaches ``LCS`` of the item, or reaches ``PARAPHRASE`` of it and the answer check
@@ -44,17 +44,20 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from basketry.llm import _text
 from basketry.llm._columns import packed
 from basketry.llm._text import chunks, flat, mix, ragged, word_hashes
-from basketry.session import materialize
+from basketry.session import discard, materialize
 
 WINDOW = 32
 #: windows for items of at most so many words
 SHORT = (4, 8)
 #: an item of fewer words must be held by the longest common subsequence alone: two of three words are no paraphrase
 LEAST = 4
-BUCKETS = 1 << 18
+#: hashed words, and bytes of a written one
+BUCKETS, BYTES = 1 << 18, 3
 RANK = 256
 #: passages that share a space; fewer than its directions, so that it holds them whole
 BLOCK = RANK - 32
+#: passages of a block that share a bound
+TOGETHER = 8
 #: bytes of blocks that pass the driver and are held against the documents at a time
 ROUND_BYTES = 64 << 20
 COSINE = 0.35
@@ -71,8 +74,8 @@ OVERSAMPLE = 16
 HALF = WINDOW // 2
 PIECE = 255
 PORTION = 1 << 24
-#: words that are multiplied at a time, half windows whose rows are summed at a time, buckets whose sums travel in one row
-MULTIPLIED, SUMMED, RANGE = 1 << 20, 256, 1024
+#: words that are multiplied at a time, words whose passages are, half windows whose rows are summed at a time, buckets whose sums travel in one row
+MULTIPLIED, FORWARD, SUMMED, RANGE = 1 << 20, 1 << 14, 256, 1024
 
 _PAIRS = StructType(
     [StructField(c, LongType()) for c in ("doc_id", "row_hash", "item_id", "key")]
@@ -94,6 +97,18 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
 
 def survey(documents: DataFrame) -> tuple[np.ndarray, int, DataFrame]:
     """One scan: of each bucket the number of documents that hold it, the number of documents, and the words of all (:func:`_pieces`)."""
+    frequencies, n, words = _survey(documents)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, offsets = _unpacked(batch.column("words"))
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))], ["words"])
+
+    return frequencies, n, words.mapInArrow(unpack, "words array<int>")
+
+
+def _survey(documents: DataFrame) -> tuple[np.ndarray, int, DataFrame]:
+    """:func:`survey`, with the words as bytes (:func:`_packed`), which Spark copies at once and not one by one."""
     n = documents.count()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,15 +122,15 @@ def survey(documents: DataFrame) -> tuple[np.ndarray, int, DataFrame]:
                 held = np.sort(rows * BUCKETS + buckets)
                 once = held[np.append(True, held[1:] != held[:-1])[: len(held)]]
                 totals += np.bincount(once % BUCKETS, minlength=BUCKETS)
-                words = _pieces(buckets, np.bincount(rows, minlength=hi - lo))
+                words = _packed(_pieces(buckets, np.bincount(rows, minlength=hi - lo)))
                 none = pa.nulls(len(words), pa.int64())
                 yield pa.RecordBatch.from_arrays([none, none, words], ["bucket", "n", "words"])
         some = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(some), pa.array(totals[some]), pa.nulls(len(some), pa.list_(pa.int32()))], ["bucket", "n", "words"]
+            [pa.array(some), pa.array(totals[some]), pa.nulls(len(some), pa.binary())], ["bucket", "n", "words"]
         )
 
-    found = materialize(documents.select(F.lower("text").alias("text")).mapInArrow(count, "bucket long, n long, words array<int>"))
+    found = materialize(documents.select(F.lower("text").alias("text")).mapInArrow(count, "bucket long, n long, words binary"))
     counted = found.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
     out = np.zeros(BUCKETS, np.int64)
     out[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
@@ -133,6 +148,26 @@ def _pieces(buckets: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)), pa.int32()), pa.array(words, pa.int32()))
 
 
+def _packed(words: pa.Array) -> pa.Array:
+    """Lists of words as bytes, ``BYTES`` for each."""
+    values, offsets = _unpacked(words)
+    data = values.astype("<i4", copy=False).view(np.uint8).reshape(-1, 4)[:, :BYTES].tobytes()
+    return pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(offsets * BYTES), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All words of a column of lists or of their bytes, and where each row begins and ends."""
+    if pa.types.is_list(column.type):
+        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        return column.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0]
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    values = np.zeros(((offsets[-1] - offsets[0]) // BYTES, 4), np.uint8)
+    if len(values):
+        values[:, :BYTES] = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(-1, BYTES)
+    return values.view("<i4").ravel(), (offsets - offsets[0]) // BYTES
+
+
 def _halves(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word and row of each half window, and the half windows that begin a window.
 
@@ -144,14 +179,39 @@ def _halves(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (np.cumsum(counts) - counts)[rows] + number * HALF, rows, np.flatnonzero((number == 0) | (number < n[rows] - 1))
 
 
-def _sums(table: np.ndarray, words: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Sums of the rows of ``table`` for the words from each of ``begins`` to the next; few at a time, so that they stay in the cache."""
-    out = np.empty((len(begins), table.shape[1]), table.dtype)
-    ends = np.append(begins, len(words))
-    for lo in range(0, len(begins), SUMMED):
-        hi = min(len(begins), lo + SUMMED)
-        taken = table.take(words[ends[lo] : ends[hi]], axis=0)
-        np.add.reduceat(taken, begins[lo:hi] - ends[lo], axis=0, out=out[lo:hi])
+def _added(table: np.ndarray, words: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``table`` for ``counts`` words each from ``first``; counts descend.
+
+    The k-th words of some runs are added as whole rows, for few runs at a time, so that they stay in the cache.
+    """
+    out = np.empty((len(first), table.shape[1]), table.dtype)
+    taken = np.empty((SUMMED, table.shape[1]), table.dtype)
+    for lo in range(0, len(first), SUMMED):
+        into, begin, many = out[lo : lo + SUMMED], first[lo : lo + SUMMED], counts[lo : lo + SUMMED]
+        np.take(table, words[begin], axis=0, out=into, mode="clip")
+        have = len(begin)
+        for k in range(1, int(many[0])):
+            while many[have - 1] <= k:
+                have -= 1
+            into[:have] += np.take(table, words[begin[:have] + k], axis=0, out=taken[:have], mode="clip")
+    return out
+
+
+def _sums(table: np.ndarray, words: np.ndarray, begins: np.ndarray, step: int = HALF) -> np.ndarray:
+    """Sums of the rows of ``table`` for the words from each of ``begins`` to the next: of whole pieces of ``step`` words and of what is left."""
+    words = words.astype(np.int64, copy=False)
+    whole, left = np.divmod(np.diff(np.append(begins, len(words))), step)
+    out = np.zeros((len(begins), table.shape[1]), table.dtype)
+    runs = np.flatnonzero(left)
+    runs = runs[np.argsort(-left[runs].astype(np.int8), kind="stable")]
+    out[runs] = _added(table, words, (begins + whole * step)[runs], left[runs])
+    runs = np.flatnonzero(whole)
+    number = whole[runs]
+    first = np.repeat(begins[runs], number) + ragged(np.zeros(len(runs), np.int64), number) * step
+    pieces = _added(table, words, first, np.full(len(first), step))
+    if len(first) > len(runs):
+        pieces = _sums(pieces, np.arange(len(first)), np.cumsum(number) - number, step)
+    out[runs] += pieces
     return out
 
 
@@ -173,14 +233,13 @@ def _signs(width: int) -> np.ndarray:
     return out
 
 
-def _add_product(sums: np.ndarray, words: np.ndarray, counts: np.ndarray, factor: np.ndarray, squares: np.ndarray) -> None:
-    """Add to ``sums`` what the passages of texts with so many words contribute to AᵀA·X and Aᵀ·1, short of the weight of the row's word.
+def _forward(words: np.ndarray, counts: np.ndarray, factor: np.ndarray) -> np.ndarray:
+    """For each half window of texts with so many words the sum of its passages' rows of A·X, and of A's 1, each by the passage's length.
 
-    ``factor``: X times the weights, ``squares``: the weights' squares.
+    ``factor``: X times the weights and, last, the weights' squares.
     """
     first, rows, begins = _halves(counts)
-    length = np.diff(np.append(first, len(words)))
-    halves = np.concatenate([_sums(factor, words, first), np.add.reduceat(squares[words], first)[:, None]], axis=1)
+    halves = _sums(factor, words, first)
     two = np.append(rows, -1)[begins + 1] == rows[begins]
     windows = halves[begins]
     windows[two] += halves[begins[two] + 1]
@@ -188,20 +247,22 @@ def _add_product(sums: np.ndarray, words: np.ndarray, counts: np.ndarray, factor
     lengths = windows[:, -1:].copy()
     windows /= lengths
     windows[:, -1:] = 1 / np.sqrt(lengths)
-    back = np.zeros_like(halves)
-    back[begins] = windows
-    back[begins[two] + 1] += windows[two]
+    halves[:] = 0
+    halves[begins] = windows
+    halves[begins[two] + 1] += windows[two]
+    return halves
+
+
+def _add_product(sums: np.ndarray, words: np.ndarray, counts: np.ndarray, factor: np.ndarray) -> None:
+    """Add to ``sums`` what the passages of texts with so many words contribute to AᵀA·X and Aᵀ·1, short of the weight of the row's word."""
+    ends = np.append(0, np.cumsum(counts))
+    back = np.concatenate([_forward(words[ends[lo] : ends[hi]], counts[lo:hi], factor) for lo, hi in chunks(ends, FORWARD)])
+    first = _halves(counts)[0]
     # by word: a sum for each, added once
-    order = np.sort(words.astype(np.int64) << 32 | np.repeat(np.arange(len(first)), length))
+    order = np.sort(words.astype(np.int64) << 32 | np.repeat(np.arange(len(first)), np.diff(np.append(first, len(words)))))
     sorted_words = order >> 32
     starts = np.flatnonzero(np.append(True, sorted_words[1:] != sorted_words[:-1]))
-    halves_of, ends = order & 0xFFFFFFFF, np.append(starts, len(order))
-    lo = 0
-    while lo < len(starts):
-        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + SUMMED * HALF, "right")) - 1)
-        taken = back.take(halves_of[ends[lo] : ends[hi]], axis=0)
-        sums[sorted_words[starts[lo:hi]]] += np.add.reduceat(taken, starts[lo:hi] - ends[lo], axis=0)
-        lo = hi
+    sums[sorted_words[starts]] += _sums(back, order & 0xFFFFFFFF, starts, HALF // 2)
 
 
 def _product(passages: DataFrame, idf: np.ndarray, factor: np.ndarray | None, width: int, tasks: int = 1) -> np.ndarray:
@@ -210,20 +271,19 @@ def _product(passages: DataFrame, idf: np.ndarray, factor: np.ndarray | None, wi
     ``tasks`` multiply their passages and Spark brings together the sums of each range of buckets, in as many tasks while there are
     as many ranges: the result has a fixed size.
     """
-    shared = passages.sparkSession.sparkContext.broadcast((idf, None if factor is None else factor * idf[:, None]))
+    shared = passages.sparkSession.sparkContext.broadcast((idf, factor))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, weighted = shared.value
-        if weighted is None:
-            weighted = _signs(width) * idf[:, None]
+        idf, factor = shared.value
+        weighted = np.empty((BUCKETS, width + 1), np.float32)
+        weighted[:, :-1] = _signs(width) if factor is None else factor
+        weighted[:, :-1] *= idf[:, None]
+        weighted[:, -1] = idf**2
         sums = np.zeros((BUCKETS, width + 1), np.float32)
-        squares = idf.astype(np.float32) ** 2
         for batch in batches:
-            column = batch.column("words")
-            offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-            values = column.values.to_numpy()
+            values, offsets = _unpacked(batch.column("words"))
             for lo, hi in chunks(offsets, MULTIPLIED):
-                _add_product(sums, values[offsets[lo] : offsets[hi]], np.diff(offsets[lo : hi + 1]), weighted, squares)
+                _add_product(sums, values[offsets[lo] : offsets[hi]], np.diff(offsets[lo : hi + 1]), weighted)
         sums *= idf[:, None]
         for lo in range(0, BUCKETS, RANGE):
             part = sums[lo : lo + RANGE]
@@ -240,11 +300,13 @@ def _product(passages: DataFrame, idf: np.ndarray, factor: np.ndarray | None, wi
             yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([sums.astype(np.float32).tobytes()], pa.binary())], ["first", "sums"])
 
     schema = "first long, sums binary"
-    table = passages.mapInArrow(multiply, schema).repartition(min(BUCKETS // RANGE, max(8, tasks)), "first").mapInArrow(add, schema).toArrow()
-    out = np.zeros((BUCKETS, width + 1), np.float32)
-    for first, sums in zip(table["first"].to_pylist(), table["sums"], strict=True):
-        out[first : first + RANGE] = np.frombuffer(sums.as_buffer(), np.float32).reshape(-1, width + 1)
+    table = materialize(passages.mapInArrow(multiply, schema).repartition(min(BUCKETS // RANGE, max(8, tasks)), "first").mapInArrow(add, schema))
     shared.destroy()
+    out = np.zeros((BUCKETS, width + 1), np.float32)
+    # file by file: the driver holds the result once, not also in its Java heap and as a table
+    for first, sums in table.toLocalIterator():
+        out[first : first + RANGE] = np.frombuffer(sums, np.float32).reshape(-1, width + 1)
+    discard(table)
     return out
 
 
@@ -302,7 +364,7 @@ class Space:
 
 def latent_space(passages: DataFrame, idf: np.ndarray, rank: int = LATENT_RANK) -> Space:
     """Randomised SVD of the TF-IDF matrix A of all passages of ``words`` (:func:`_pieces`), by distributed products with AᵀA."""
-    size = F.size("words")
+    size = F.size("words") if "array" in dict(passages.dtypes)["words"] else F.expr(f"octet_length(words) div {BYTES}")
     n, words = passages.agg(F.sum(F.greatest(F.lit(1), F.ceil(size / HALF) - 1)), F.sum(size)).first()
     if not words:
         return Space(np.zeros(0, np.int64), np.zeros((0, rank)), np.zeros(rank), idf, LATENT)
@@ -314,10 +376,12 @@ def latent_space(passages: DataFrame, idf: np.ndarray, rank: int = LATENT_RANK)
     # beyond are directions that only rounding made
     sound = values > 1e-10 * values[-1]
     before = product @ (vectors[:, sound] / np.sqrt(values[sound])).astype(np.float32)
+    del product
     product = _product(passages, idf, before, before.shape[1], tasks)
     after, total = product[:, :-1], product[:, -1:]
     # Nystroem: A.T A is approximated by F @ F.T, F = after @ root, whose leading singular vectors these are
     small = _inner(before, after)
+    del before
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     sound = values > 1e-6 * values[-1]
     root = vectors[:, sound] / np.sqrt(values[sound])
@@ -327,22 +391,34 @@ def latent_space(passages: DataFrame, idf: np.ndarray, rank: int = LATENT_RANK)
     mean[: turn.shape[1]] = (_inner(total, after) @ turn / n)[0]
     index = np.flatnonzero(total)
     rows = np.zeros((len(index), rank), np.float32)
-    rows[:, : turn.shape[1]] = after[index] @ turn.astype(np.float32) * idf[index, None]
+    for lo in range(0, len(index), 8192):
+        some = index[lo : lo + 8192]
+        rows[lo : lo + 8192, : turn.shape[1]] = after[some] @ turn.astype(np.float32) * idf[some, None]
     return Space(index, rows, mean, idf, LATENT)
 
 
 def benchmark_passages(benchmark: DataFrame) -> DataFrame:
     """``words`` of all texts of the benchmark (:func:`_pieces`)."""
+    return benchmark.select(F.lower("text").alias("text")).mapInArrow(_cut, "words array<int>")
+
+
+def _benchmark_passages(benchmark: DataFrame) -> DataFrame:
+    """:func:`benchmark_passages` as bytes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = flat(batch.column("text"))
-            for lo, hi in chunks(offsets):
-                at = offsets[lo : hi + 1]
-                hashes, rows = _words(data[at[0] : at[-1]], at - at[0])
-                yield pa.RecordBatch.from_arrays([_pieces(_bucket(hashes), np.bincount(rows, minlength=hi - lo))], ["words"])
+        for batch in _cut(batches):
+            yield pa.RecordBatch.from_arrays([_packed(batch.column("words"))], ["words"])
+
+    return benchmark.select(F.lower("text").alias("text")).mapInArrow(cut, "words binary")
 
-    return benchmark.select(F.lower("text").alias("text")).mapInArrow(cut, "words array<int>")
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = flat(batch.column("text"))
+        for lo, hi in chunks(offsets):
+            at = offsets[lo : hi + 1]
+            hashes, rows = _words(data[at[0] : at[-1]], at - at[0])
+            yield pa.RecordBatch.from_arrays([_pieces(_bucket(hashes), np.bincount(rows, minlength=hi - lo))], ["words"])
 
 
 def _weights(frequencies: np.ndarray, n: int) -> np.ndarray:
@@ -464,16 +540,26 @@ class Block:
     owner: np.ndarray
     #: what turns a product with each passage's direction into a share of its squared length
     scale: np.ndarray
-    #: largest share of a passage's squared length that one occurrence of a word adds, and 0 for other words
-    most: np.ndarray
+    #: weight of each word of the basis
+    weights: np.ndarray
     #: the passages' coordinates in the latent space
     semantic: np.ndarray
 
     def prepare(self) -> None:
-        """What is made anew in each task: rows of the basis (or -1) and of the items' words by bucket, and products of basis and passages."""
-        self.products = np.ascontiguousarray(self.basis @ self.latent.T)
-        self.place = np.full(BUCKETS, -1, np.int32)
+        """What is made anew in each task: rows of the basis and of the items' words by bucket, and what a word adds to each passage's product.
+
+        A group of ``TOGETHER`` passages has a row of ``products`` and, for a word that no passage holds, one of zeros; ``bounds``
+        holds the most that an occurrence adds to a share of any of them.
+        """
+        self.place = np.full(BUCKETS, len(self.index), np.int32)
         self.place[self.index] = np.arange(len(self.index))
+        groups = -(-len(self.owner) // TOGETHER)
+        products = np.zeros((len(self.index) + 1, groups * TOGETHER), np.float32)
+        products[:-1, : len(self.owner)] = self.basis @ self.latent.T * self.weights[:, None]
+        self.shares = np.zeros((groups, TOGETHER), np.float32)
+        self.shares.ravel()[: len(self.owner)] = self.scale
+        self.bounds = np.maximum((products * self.shares.ravel()).reshape(len(products), groups, TOGETHER).max(axis=2), 0)
+        self.products = products.reshape(-1, TOGETHER)
         buckets = [np.unique(_bucket(w), return_counts=True) for w in self.words]
         vocabulary = np.unique(np.concatenate([b for b, _ in buckets]))
         self.entry = np.full(BUCKETS, len(vocabulary), np.int32)
@@ -481,6 +567,7 @@ class Block:
         self.times = np.zeros((len(self.words), len(vocabulary) + 1), np.int32)
         for row, (b, n) in zip(self.times, buckets, strict=True):
             row[self.entry[b]] = n
+        self.holds = self.times.ravel() > 0
 
 
 def _block(passages: list[tuple], idf: np.ndarray, known: np.ndarray, space: Space) -> Block:
@@ -494,11 +581,9 @@ def _block(passages: list[tuple], idf: np.ndarray, known: np.ndarray, space: Spa
     # shares are of the length on words that documents hold: the others can be in no copy, however often it was edited
     held = np.array([np.square(w[known[b]]).sum() for b, w in zip(buckets, weights, strict=True)])
     scale = np.where(held > 0, 1 / np.maximum(held * np.array(lengths), 1e-9), 0)
-    most, latent = np.zeros(len(index) + 1), np.zeros((len(passages), basis.shape[1]))
-    for row, b, w, s in zip(latent, buckets, weights, scale, strict=True):
-        where = np.searchsorted(index, b)
-        row[:] = w @ basis[where]
-        most[where] = np.maximum(most[where], w * s * idf[b])
+    latent = np.zeros((len(passages), basis.shape[1]))
+    for row, b, w in zip(latent, buckets, weights, strict=True):
+        row[:] = w @ basis[np.searchsorted(index, b)]
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
     ids, keys, words, answers = zip(*items, strict=True)
     return Block(
@@ -512,7 +597,7 @@ def _block(passages: list[tuple], idf: np.ndarray, known: np.ndarray, space: Spa
         latent.astype(np.float32),
         np.array([at[id(item)] for item, *_ in passages], np.int64),
         scale.astype(np.float32),
-        most,
+        idf[index],
         semantic,
     )
 
@@ -565,58 +650,52 @@ def _rounds(blocks: DataFrame) -> Iterator[list[Block]]:
 def _possible(starts: np.ndarray, ends: np.ndarray, which: np.ndarray, buckets: np.ndarray, block: Block) -> np.ndarray:
     """Of stretches of words and items, those whose words in common, in any order, reach ``PARAPHRASE`` of the item."""
     out = np.zeros(len(starts), bool)
-    for lo, hi in chunks(np.concatenate([[0], np.cumsum(ends - starts)]), 1 << 20):
+    entries, many = block.entry[buckets], block.times.shape[1]
+    least = PARAPHRASE * np.array([len(w) for w in block.words])[which]
+    for lo, hi in chunks(np.concatenate([[0], np.cumsum(ends - starts)]), 1 << 18):
         length = ends[lo:hi] - starts[lo:hi]
-        of = np.repeat(np.arange(hi - lo), length)
-        entry = block.entry[buckets[ragged(starts[lo:hi], length)]]
-        held = block.times[which[lo:hi][of], entry] > 0
-        many = block.times.shape[1]
-        keys, n = np.unique(of[held] * many + entry[held], return_counts=True)
-        of = keys // many
-        common = np.bincount(of, np.minimum(n, block.times[which[lo:hi][of], keys % many]), hi - lo)
-        out[lo:hi] = common >= PARAPHRASE * np.array([len(block.words[i]) for i in which[lo:hi]])
+        keys = np.repeat(which[lo:hi] * many, length) + entries[ragged(starts[lo:hi], length)]
+        held = block.holds.take(keys)
+        # with all occurrences first, which are as many at least
+        enough = np.add.reduceat(held, np.cumsum(length) - length, dtype=np.int64) >= least[lo:hi]
+        held &= np.repeat(enough, length)
+        of, n = np.unique(np.repeat(np.arange(hi - lo), length)[held] * block.times.size + keys[held], return_counts=True)
+        common = np.bincount(of // block.times.size, np.minimum(n, block.times.ravel()[of % block.times.size]), hi - lo)
+        out[lo:hi] = common >= least[lo:hi]
     return out
 
 
-def _near(block: Block, idf: np.ndarray, buckets: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Passage, item and product with the item's direction, of pairs whose share of the item's length reaches ``COSINE``."""
+def _near(block: Block, buckets: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Passage and item of pairs whose share of the item's length reaches ``COSINE``; the passages are all of some texts."""
+    if not len(first):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    # two halves each: the second is the next passage's first, or stands alone behind a text's last passage
+    half = block.size // 2
+    two = length > half
+    alone = two.copy()
+    alone[:-1] &= first[1:] != first[:-1] + half
+    begin = np.arange(len(first)) + np.cumsum(alone) - alone
+    begins = np.repeat(first, 1 + alone)
+    begins[begin[alone] + 1] += half
     place = block.place[buckets]
-    # no item's share is larger than the sum of each word's largest
-    sums = np.concatenate([[0.0], np.cumsum(block.most[place], dtype=np.float64)])
-    near = np.flatnonzero(sums[first + length] - sums[first] >= 0.99 * COSINE**2)
+    sums = _sums(block.bounds, place, begins)
+    bounds = sums[begin]
+    bounds[two] += sums[begin[two] + 1]
+    at, group = np.divmod(np.flatnonzero(bounds >= 0.99 * COSINE**2), bounds.shape[1])
     found = []
-    for lo in range(0, len(near), 2048):
-        chosen = near[lo : lo + 2048]
-        of = np.repeat(np.arange(len(chosen)), length[chosen])
-        at = ragged(first[chosen], length[chosen])
-        known = place[at] >= 0
-        at, of = at[known], of[known]
-        many = np.bincount(of, minlength=len(chosen))
-        begins = np.cumsum(many) - many
-        # passages by falling number of words: the k-th words of all that have one are added as whole rows
-        order = np.argsort(-many, kind="stable")
-        products = np.zeros((len(order), block.latent.shape[0]), np.float32)
-        for k in range(int(many[order[0]])):
-            have = order[: int(np.searchsorted(-many[order], -k, "left"))]
-            entry = at[begins[have] + k]
-            products[: len(have)] += block.products[place[entry]] * idf[buckets[entry], None]
-        row, passage = np.divmod(np.flatnonzero(products * block.scale >= COSINE**2), products.shape[1])
-        found.append((chosen[order[row]], block.owner[passage], products[row, passage]))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    at, item, product = (np.concatenate([f[k] for f in found]) for k in range(3))
-    # of an item's passages the one in whose direction the passage is longest
-    order = np.lexsort((-product, item, at))
-    at, item, product = at[order], item[order], product[order]
-    best = np.ones(len(at), bool)
-    best[1:] = (at[1:] != at[:-1]) | (item[1:] != item[:-1])
-    return at[best], item[best], product[best]
+    for lo, hi in chunks(np.append(0, np.cumsum(length[at])), 1 << 16):
+        which, many = group[lo:hi], length[at[lo:hi]]
+        rows = place[ragged(first[at[lo:hi]], many)] * np.int64(bounds.shape[1]) + np.repeat(which, many)
+        products = np.add.reduceat(block.products.take(rows, axis=0), np.cumsum(many) - many, axis=0)
+        row, column = np.nonzero(products * block.shares[which] >= COSINE**2)
+        found.append((at[lo:hi][row], block.owner[which[row] * TOGETHER + column]))
+    return tuple(np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in range(2))
 
 
 def _candidates(windows: tuple, block: Block, space: Space, buckets: np.ndarray, semantic: np.ndarray | None) -> tuple[np.ndarray, ...]:
     """Passage, item and latent cosine of the candidates of both routes."""
     first, length = windows
-    at, item, _ = _near(block, space.idf, buckets, first, length)
+    at, item = _near(block, buckets, first, length)
     pairs = [at * len(block.words) + item]
     if semantic is not None:
         for lo in range(0, len(semantic), 2048):
@@ -703,9 +782,9 @@ def _search(rows: DataFrame, blocks: list[Block], space: Space) -> DataFrame:
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, row_hash, item_id, cosine, common, answer``: each pair of a document and an item that it holds."""
-    frequencies, n, passages = survey(documents)
+    frequencies, n, passages = _survey(documents)
     idf = _weights(frequencies, n)
-    space = latent_space(passages.unionByName(materialize(benchmark_passages(benchmark))), idf)
+    space = latent_space(passages.unionByName(materialize(_benchmark_passages(benchmark))), idf)
     rows = documents.select("doc_id", F.xxhash64("text").alias("row_hash"), F.lower("text").alias("text"))
     pairs = documents.sparkSession.createDataFrame([], _PAIRS)
     for blocks in _rounds(_blocks(benchmark, frequencies, n, space)):

@@ -274,3 +274,56 @@ def test_the_space_is_fitted_on_every_passage_of_the_benchmark(spark):
     space = dc.latent_space(rows, np.ones(dc.BUCKETS, np.float32))
     assert (space.index == held).all()
     assert dc.benchmark_passages(bench.limit(0)).count() == 0
+
+
+def test_sums_of_runs_of_any_length():
+    pick = np.random.default_rng(18)
+    table = pick.normal(size=(500, 5)).astype(np.float32)
+    for longest, step in ((3, 16), (40, 16), (3000, 8)):
+        lengths = pick.integers(1, longest + 1, 700)
+        words, begins = pick.integers(0, 500, lengths.sum()), np.cumsum(lengths) - lengths
+        assert np.allclose(dc._sums(table, words, begins, step), np.add.reduceat(table[words], begins), atol=1e-2)
+    assert dc._sums(table, words[:0], begins[:0]).shape == (0, 5)
+
+
+def test_bounds_of_groups_lose_no_pair(spark):
+    """The verbatim route gives what all products of passages and windows give, for windows of each size."""
+    pick = random.Random(19)
+    words = [f"w{i}" for i in range(3000)]
+    text = lambda n: [pick.choice(words[:40]) if pick.random() < 0.5 else pick.choice(words) for _ in range(n)]
+    items = [text(n) for n in [2, 3, 4, 5, 7, 8, 9, 20, 33, 90] * 8]
+    docs = [text(pick.randrange(0, 80)) + pick.choice(items)[pick.randrange(3) :] + text(pick.randrange(0, 40)) for _ in range(800)]
+    df = spark.createDataFrame([(i, " ".join(w), "x") for i, w in enumerate(docs)], SCHEMA)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    frequencies, n, passages = dc.survey(df)
+    idf = dc._weights(frequencies, n)
+    space = dc.latent_space(passages, idf)
+    hashes, rows = dc._words(*dc.flat(pa.array([" ".join(w) for w in docs])))
+    counts, buckets = np.bincount(rows, minlength=len(docs)), dc._bucket(hashes)
+    blocks = [b for part in dc._rounds(dc._blocks(bench, frequencies, n, space)) for b in part]
+    assert {b.size for b in blocks} == {4, 8, 32}
+    for block in blocks:
+        block.prepare()
+        first, length, of = dc._windows(counts, block.size)
+        first = first + (np.cumsum(counts) - counts)[of]
+        weights = np.zeros((len(first), dc.BUCKETS), np.float32)
+        np.add.at(weights, (np.repeat(np.arange(len(first)), length), buckets[dc.ragged(first, length)]), 1)
+        shares = (weights[:, block.index] * idf[block.index]) @ (block.basis @ block.latent.T) * block.scale
+        sure = {(w, int(block.owner[p])) for w, p in zip(*np.nonzero(shares >= dc.COSINE**2 + 1e-4))}
+        maybe = {(w, int(block.owner[p])) for w, p in zip(*np.nonzero(shares >= dc.COSINE**2 - 1e-4))}
+        found = set(zip(*(x.tolist() for x in dc._near(block, buckets, first, length))))
+        assert sure and sure <= found <= maybe
+
+
+def test_words_are_written_as_bytes_and_sums_reach_the_driver_in_parts(spark, monkeypatch):
+    texts = [" ".join(f"w{i * k}" for i in range(k)) for k in range(60)] + [None, "", "a " * 5000]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    _, _, written = dc._survey(df)
+    assert written.dtypes == [("words", "binary")]
+    packed = [np.frombuffer(r["words"], np.uint8).reshape(-1, dc.BYTES) for r in written.collect()]
+    found = sorted((x @ (1 << np.arange(0, 24, 8))).tolist() for x in packed)
+    assert found == sorted(r["words"] for r in dc.survey(df)[2].collect())
+    assert sum(map(len, found)) == sum(len((t or "").split()) for t in texts) + 16
+    whole = []
+    monkeypatch.setattr(type(df), "toArrow", lambda self: whole.append(self))
+    assert dc._product(written, np.ones(dc.BUCKETS, np.float32), None, 4).any() and not whole
