@@ -32,6 +32,8 @@ _RATE = 4
 _TARGETS = np.array(
     [[_LEAST * i if i <= s else _ONE - _LEAST * (16 - i) for i in range(16)] for s in range(16)], np.int16
 )
+#: a distribution as one item, which is copied at once
+_ROW = np.dtype("V32")
 _START = (np.arange(16) * (_ONE // 16)).astype(np.int16)
 
 
@@ -98,10 +100,11 @@ class _Writer:
 class _Reader:
     def __init__(self, blocks: list[bytes]) -> None:
         lengths = [len(b) // 2 for b in blocks]
-        self.words = np.zeros((len(blocks), max(lengths, default=0) + 4), np.uint64)
+        self.words = np.zeros((len(blocks), max(lengths, default=0) + 4), np.uint16)
         for row, b in zip(self.words, blocks, strict=True):
             row[: len(b) // 2] = np.frombuffer(b, "<u2")
-        self.code = (self.words[:, 0] << _U(32)) | (self.words[:, 1] << _U(16)) | self.words[:, 2]
+        first, second, third = self.words[:, :3].T.astype(np.uint64)
+        self.code = (first << _U(32)) | (second << _U(16)) | third
         self.range = np.full(len(blocks), (1 << 48) - 1, _U)
         self.at = np.full(len(blocks), 3, np.int64)
         self.last = self.words.shape[1] - 1
@@ -121,8 +124,9 @@ class _Reader:
         part = self.range[lanes] >> _U(15)
         code = self.code[lanes]
         value = np.minimum(code // part, _U(_ONE - 1)).astype(np.int16)
-        below = np.packbits(starts <= value[:, None], axis=1).view(np.uint16).ravel()
-        found = np.bitwise_count(below).astype(np.int64) - 1
+        # sixteen bytes of 0 or 1 a row, counted eight at a time
+        below = np.bitwise_count((starts <= value[:, None]).view(np.uint64))
+        found = (below[:, 0] + below[:, 1]).astype(np.int64) - 1
         begin, width = _place(starts, found)
         self._take(lanes, code - begin.astype(_U) * part, width.astype(_U) * part)
         return found
@@ -147,12 +151,13 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.nd
     lanes, steps = len(lengths), int(lengths[0]) if len(lengths) else 0
     levels = -(-bits // 4)
     nodes = min((16**levels - 1) // 15, _TOP + _SHARED)
-    out = ids if ids is not None else np.zeros((lanes, steps), np.int64)
+    out = ids if ids is not None else np.zeros((lanes, steps), np.int32)
     table1 = np.zeros(lanes << _SLOTS, np.int32)
     table2 = np.zeros(lanes << _SLOTS, np.int32)
     base = np.arange(lanes, dtype=np.int64) << _SLOTS
     tree = np.empty((lanes * nodes, 16), np.int16)
     tree[:] = _START
+    rows = tree.view(_ROW)
     tree_base = np.arange(lanes, dtype=np.int64) * nodes
     by2, by1 = (np.full(lanes * 8, _ONE // 4, np.int64) for _ in range(2))
     by0 = np.full(lanes * _STEPS, _ONE // 4, np.int64)
@@ -183,7 +188,7 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.nd
         apart0 = chance0 - ordered
         chance = ordered + ((weight0[here] * apart0) >> 16)
         np.minimum(np.maximum(chance, _FLOOR, out=chance), _ONE - _FLOOR, out=chance)
-        x = out[:n, t] if ids is not None else None
+        x = out[:n, t].astype(np.int64) if ids is not None else None
         hit2 = coder.bit(here, chance, None if x is None else x == guess2)
         seen = hit2 * _ONE
         by2[a] = chance2 + ((seen - chance2) >> 5)
@@ -216,8 +221,8 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.nd
                 at = tree_base[left] + np.where(deep < 0, node, _TOP + ((deep ^ (deep >> 12) * 0x9E5) & (_SHARED - 1)))
                 starts = tree.take(at, axis=0)
                 digit = coder.digit(left, starts, None if x is None else (x[left] >> (4 * level)) & 15)
-                starts += (_TARGETS[digit] - starts) >> _RATE
-                tree[at] = starts
+                starts += (_TARGETS.take(digit, axis=0) - starts) >> _RATE
+                rows.put(at, starts.view(_ROW))
                 value = value * 16 + digit
                 node = node * 16 + digit + 1
             if x is None:
@@ -249,7 +254,7 @@ def encode_blocks(blocks: list[np.ndarray], bits: int = 16) -> list[bytes]:
         raise ValueError("an id does not fit")
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     lengths = np.array([len(blocks[i]) for i in order])
-    ids = np.zeros((len(blocks), int(lengths[0])), np.int64)
+    ids = np.zeros((len(blocks), int(lengths[0])), np.int32)
     for row, i in zip(ids, order, strict=True):
         row[: len(blocks[i])] = blocks[i]
     coder = _Writer(len(blocks), _most_words(bits, int(lengths[0])))

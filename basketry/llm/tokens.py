@@ -25,6 +25,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -92,36 +93,36 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
+        #: number of each piece, ids of all, where a piece's begin and how many it has
         self._known: dict[str, int] = {}
-        self._ids: list[np.ndarray] = []
+        self._ids = np.zeros(0, np.uint32)
+        self._begins, self._sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in encoded]
+    def _learn(self, pieces: list[str]) -> None:
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        self._known.update(zip(pieces, range(len(self._sizes), len(self._sizes) + len(pieces)), strict=True))
+        self._begins = np.append(self._begins, len(self._ids) + np.cumsum(sizes) - sizes)
+        self._sizes = np.append(self._sizes, sizes)
+        self._ids = np.append(self._ids, np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum())))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and how many each has."""
         n = len(offsets) - 1
         starts = self._cuts(data, offsets)
-        lengths = np.diff(np.append(starts, len(data)))
         pieces = pa.LargeStringArray.from_buffers(
             len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data.tobytes())
         ).dictionary_encode()
         distinct = pieces.dictionary.to_pylist()
         if len(self._known) > REMEMBERED:
             self._forget()
-        new = [p for p in distinct if p not in self._known]
-        for piece, ids in zip(new, self._encode(new), strict=True):
-            self._known[piece] = len(self._ids)
-            self._ids.append(ids)
-        found = [self._ids[self._known[p]] for p in distinct]
-        sizes = np.array([len(f) for f in found], np.int64)
-        pool = np.concatenate([*found, np.zeros(0, np.uint32)])
-        at = pieces.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        begin = (np.cumsum(sizes) - sizes)[at]
+        self._learn([p for p in distinct if p not in self._known])
+        numbers = np.fromiter(map(self._known.__getitem__, distinct), np.int64, len(distinct))
+        at = numbers[pieces.indices.to_numpy(zero_copy_only=False)]
+        sizes = self._sizes[at]
         rows = np.searchsorted(offsets[1:], starts, "right")
-        counts = np.bincount(rows, sizes[at], n).astype(np.int64) if lengths.size else np.zeros(n, np.int64)
-        return pool[ragged(begin, sizes[at])], counts
+        counts = np.bincount(rows, sizes, n).astype(np.int64) if len(starts) else np.zeros(n, np.int64)
+        return self._ids[ragged(self._begins[at], sizes)], counts
 
     def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         first = np.zeros(len(data), bool)
@@ -310,13 +311,22 @@ def _joined_crc(pieces: pd.Series) -> pd.Series:
     )
 
 
+def _groups(n: int) -> Iterator[tuple[int, int]]:
+    """Ranges of blocks that are decoded together: a step costs nearly as much for few lanes, so a few join the last group."""
+    lo = 0
+    while lo < n:
+        hi = n if n - lo <= rangecoder.LANES * 5 // 4 else lo + rangecoder.LANES
+        yield lo, hi
+        lo = hi
+
+
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of each document in the files of ``folder``."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, rangecoder.LANES):
-                rows = batch.slice(lo, rangecoder.LANES)
+            for lo, hi in _groups(batch.num_rows):
+                rows = batch.slice(lo, hi - lo)
                 blocks = read_blocks(rows.column("payload").to_pylist())
                 for part, number, (first, cut, ids) in zip(
                     rows.column("part").to_pylist(), rows.column("block").to_pylist(), blocks, strict=True

@@ -137,3 +137,26 @@ def test_headers_that_disagree_with_their_pieces_are_refused():
     pieces = np.array([(7, len(long), tokens.BEGINS)], tokens._PIECE)
     with pytest.raises(ValueError, match="bounds"):
         list(tokens.read_blocks(tokens._payloads([(0, pieces, long)], 16)))
+
+
+def test_a_few_blocks_join_the_last_group():
+    """A step costs nearly as much for a hundred lanes as for a thousand."""
+    lanes = rangecoder.LANES
+    assert list(tokens._groups(0)) == [] and list(tokens._groups(lanes + 102)) == [(0, lanes + 102)]
+    for n in (1, lanes, 2 * lanes + 1, 3 * lanes - 1, 9 * lanes + lanes // 2):
+        groups = list(tokens._groups(n))
+        assert [lo for lo, _ in groups] == [0, *(hi for _, hi in groups[:-1])] and groups[-1][1] == n
+        assert all(hi - lo <= lanes * 5 // 4 for lo, hi in groups) and all(hi - lo >= lanes for lo, hi in groups[:-1])
+
+
+def test_digits_found_by_counting():
+    """The reader's digit is the last whose place begins at or below the value, for places of any width."""
+    pick = np.random.default_rng(4)
+    starts = np.sort(pick.integers(0, 1 << 15, (300, 16)), axis=1).astype(np.int16)
+    starts[:, 0] = 0
+    reader = rangecoder._Reader([pick.bytes(64) for _ in range(300)])
+    part = reader.range >> np.uint64(15)
+    value = np.minimum(reader.code // part, np.uint64((1 << 15) - 1)).astype(np.int64)
+    found = reader.digit(np.arange(300), starts, None)
+    assert found.tolist() == [int(np.searchsorted(row, v, "right")) - 1 for row, v in zip(starts.astype(np.int64), value)]
+    assert reader.words.dtype == np.uint16
