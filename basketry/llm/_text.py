@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -102,6 +103,15 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return out
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system; a worker lives on between tasks, next to those of later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # a C library of another kind
+        pass
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices ``starts[i] .. starts[i] + lengths[i] - 1`` for all i, one after the other."""
     ends = np.cumsum(lengths)

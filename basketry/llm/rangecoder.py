@@ -257,9 +257,10 @@ def encode_blocks(blocks: list[np.ndarray], bits: int = 16) -> list[bytes]:
     ids = np.zeros((len(blocks), int(lengths[0])), np.int32)
     for row, i in zip(ids, order, strict=True):
         row[: len(blocks[i])] = blocks[i]
-    coder = _Writer(len(blocks), _most_words(bits, int(lengths[0])))
+    del blocks  # a caller that let go of them has them once in memory
+    coder = _Writer(len(order), _most_words(bits, int(lengths[0])))
     _run(coder, lengths, ids, bits)
-    out: list[bytes] = [b""] * len(blocks)
+    out: list[bytes] = [b""] * len(order)
     for i, coded in zip(order, coder.finish(), strict=True):
         out[i] = coded
     return out
@@ -272,7 +273,7 @@ def decode_blocks(coded: list[bytes], lengths: list[int], bits: int = 16) -> lis
     order = sorted(range(len(coded)), key=lambda i: -lengths[i])
     sizes = np.array([lengths[i] for i in order])
     ids = _run(_Reader([coded[i] for i in order]), sizes, None, bits)
-    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(coded)
+    out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(coded)
     for i, row, n in zip(order, ids, sizes, strict=True):
-        out[i] = row[:n].astype(np.uint32)
+        out[i] = row[:n].view(np.uint32)
     return out

@@ -11,7 +11,7 @@ words' sum before it decodes a block, the ids' sum after, and needs no other blo
 
 *Encoding.* A text's bytes are cut where white space follows something else and where ASCII punctuation follows an ASCII
 letter; the tokenizer's own pre-tokenizer always cuts there, so encoding the pieces gives the ids of the whole text, and
-a piece that recurs is encoded once per worker. A text with white space beyond ASCII, or a tokenizer of another kind, is
+a piece that recurs is encoded once per task. A text with white space beyond ASCII, or a tokenizer of another kind, is
 encoded whole.
 
 A null text is empty and has only the end id. Repeated rows are documents of their own. Other columns are ignored. An empty
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.llm import rangecoder
-from basketry.llm._text import chunks, flat, ragged
+from basketry.llm._text import chunks, flat, give_back, ragged
 from basketry.session import materialize, new_table_path
 
 END_ID = 2
@@ -55,8 +55,8 @@ _HEAD = np.dtype(
 _PIECE = np.dtype([("doc_id", "<i8"), ("n", "<u4"), ("flags", "u1")])
 VERSION = 2
 NULL, BEGINS, ENDS = 1, 2, 4
-#: pieces that a worker remembers before it starts anew
-REMEMBERED = 500_000
+#: pieces that a task remembers before it starts anew, and pieces that go to the tokenizer at a time
+REMEMBERED, LEARNED = 500_000, 4096
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -90,16 +90,19 @@ class Encoder:
         )
         self.whole = "<|endoftext|>"
         self.bits = max(16, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         #: number of each piece, ids of all, where a piece's begin and how many it has
         self._known: dict[str, int] = {}
         self._ids = np.zeros(0, np.uint32)
         self._begins, self._sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self, pieces: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        encoded = []
+        for lo in range(0, len(pieces), LEARNED):
+            few = self.tokenizer.encode_batch_fast(pieces[lo : lo + LEARNED], add_special_tokens=False)
+            encoded.extend([e.ids for e in few])
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
         self._known.update(zip(pieces, range(len(self._sizes), len(self._sizes) + len(pieces)), strict=True))
         self._begins = np.append(self._begins, len(self._ids) + np.cumsum(sizes) - sizes)
@@ -115,7 +118,7 @@ class Encoder:
         ).dictionary_encode()
         distinct = pieces.dictionary.to_pylist()
         if len(self._known) > REMEMBERED:
-            self._forget()
+            self.forget()
         self._learn([p for p in distinct if p not in self._known])
         numbers = np.fromiter(map(self._known.__getitem__, distinct), np.int64, len(distinct))
         at = numbers[pieces.indices.to_numpy(zero_copy_only=False)]
@@ -164,12 +167,13 @@ def _head_crc(head: bytes, pieces: bytes) -> int:
 
 
 def _payloads(blocks: list[tuple[int, np.ndarray, np.ndarray]], bits: int) -> list[bytes]:
-    coded = rangecoder.encode_blocks([ids for _, _, ids in blocks], bits)
+    """The blocks as they are written; ``blocks`` is emptied, so that ids stand in memory once while they are coded."""
+    heads = [(first, pieces, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for first, pieces, ids in blocks]
+    coded = rangecoder.encode_blocks([blocks.pop(0)[2] for _ in heads], bits)
     out = []
-    for (first, pieces, ids), words in zip(blocks, coded, strict=True):
+    for (first, pieces, n, ids_crc), words in zip(heads, coded, strict=True):
         head = np.zeros(1, _HEAD)
-        sums = zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(words)
-        head[0] = (b"CMRC", VERSION, bits, len(pieces), len(ids), first, *sums, 0)
+        head[0] = (b"CMRC", VERSION, bits, len(pieces), n, first, ids_crc, zlib.crc32(words), 0)
         head[0]["head_crc"] = _head_crc(head.tobytes(), pieces.tobytes())
         out.append(head.tobytes() + pieces.tobytes() + words)
     return out
@@ -206,6 +210,23 @@ class _Blocks:
         self.pieces, self.ids, self.held, self.first = [], [], 0, self.docs
 
 
+def _encoded(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
+    """Document id and token ids of each row; at the end the encoder forgets what it learned from them."""
+    try:
+        for batch in batches:
+            data, offsets = flat(batch.column("text"))
+            names = batch.column("doc_id").to_pylist()
+            for lo, hi in chunks(offsets):
+                at = offsets[lo : hi + 1]
+                ids, counts = encoder.encode(data[at[0] : at[-1]], at - at[0])
+                ends = np.cumsum(counts)
+                for k in range(hi - lo):
+                    yield names[lo + k], ids[ends[k] - counts[k] : ends[k]]
+    finally:
+        encoder.forget()
+        give_back()
+
+
 def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Write the ids of ``documents`` (``doc_id``, ``text``) to ``folder``; ``tokenizer``: path of its file on all machines."""
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
@@ -217,8 +238,9 @@ def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int
 
         def emit() -> pa.RecordBatch:
             nonlocal written
-            payloads = _payloads(blocks.full[: rangecoder.LANES], blocks.bits)
+            group = blocks.full[: rangecoder.LANES]
             del blocks.full[: rangecoder.LANES]
+            payloads = _payloads(group, blocks.bits)
             numbers = np.arange(written, written + len(payloads), dtype=np.int64)
             written += len(payloads)
             parts = np.full(len(payloads), part, np.int32)
@@ -226,20 +248,14 @@ def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int
                 [pa.array(parts), pa.array(numbers), pa.array(payloads, pa.binary())], ["part", "block", "payload"]
             )
 
-        for batch in batches:
-            data, offsets = flat(batch.column("text"))
-            names = batch.column("doc_id").to_pylist()
-            for lo, hi in chunks(offsets):
-                at = offsets[lo : hi + 1]
-                ids, counts = encoder.encode(data[at[0] : at[-1]], at - at[0])
-                ends = np.cumsum(counts)
-                for k in range(hi - lo):
-                    blocks.add(names[lo + k], ids[ends[k] - counts[k] : ends[k]])
-                while len(blocks.full) >= rangecoder.LANES:
-                    yield emit()
+        for name, ids in _encoded(encoder, batches):
+            blocks.add(name, ids)
+            while len(blocks.full) >= rangecoder.LANES:
+                yield emit()
         blocks.close()
         while blocks.full:
             yield emit()
+        give_back()
 
     coded = dealt.mapInArrow(code, "part int, block long, payload binary")
     coded.write.option("compression", "none").parquet(folder)
@@ -348,6 +364,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                         ],
                         ["part", "doc", "block", "doc_id", "n", "crc"],
                     )
+        give_back()
 
     schema = "part int, doc long, block long, doc_id long, n long, crc long"
     found = spark.read.schema("part int, block long, payload binary").parquet(folder).mapInArrow(pieces, schema)

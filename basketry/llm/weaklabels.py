@@ -19,18 +19,19 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm._columns import packed
-from basketry.llm._text import chunks, flat, word_bounds, word_hashes
+from basketry.llm._text import chunks, flat, give_back, word_bounds, word_hashes
 from basketry.session import materialize
 
 #: most rows that the scorer is fitted on
 FIT_ROWS = 4000
 TRIPLETS, SHAPES = 4096, 64
+#: bytes of text that are looked at together, and rows of features that are widened together
+AT_ONCE, ROWS = 1 << 18, 128
 GOOD, BAD, NONE = 1, 0, 2
 
 #: fixed values: frequent function words of the four languages
@@ -144,12 +145,12 @@ _PLACES = 3 ** np.arange(LABELLERS)
 def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = flat(batch.column("text"))
-        for lo, hi in chunks(offsets):
+        found = [np.zeros(0, np.int64)]
+        for lo, hi in chunks(offsets, AT_ONCE):
             at = offsets[lo : hi + 1]
-            found = votes(words_of(data[at[0] : at[-1]], at - at[0])) @ _PLACES
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("hash").slice(lo, hi - lo), pa.array(found, pa.int32())], ["hash", "pattern"]
-            )
+            found.append(votes(words_of(data[at[0] : at[-1]], at - at[0])) @ _PLACES)
+        yield pa.RecordBatch.from_arrays([batch.column("hash"), pa.array(np.concatenate(found), pa.int32())], ["hash", "pattern"])
+    give_back()
 
 
 @dataclass
@@ -207,7 +208,7 @@ def _hashed(data: np.ndarray, offsets: np.ndarray, words: Words) -> tuple[np.nda
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = flat(batch.column("text"))
-        for lo, hi in chunks(offsets, 1 << 18):
+        for lo, hi in chunks(offsets, AT_ONCE):
             at = offsets[lo : hi + 1]
             part, n = data[at[0] : at[-1]], hi - lo
             words = words_of(part, at - at[0])
@@ -221,6 +222,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("hash").slice(lo, n), pa.array([row.tobytes() for row in x], pa.binary())], ["hash", "x"]
             )
+    give_back()
 
 
 @dataclass
@@ -241,15 +243,20 @@ class Scorer:
 
 
 def fit_scorer(x: np.ndarray, labels: np.ndarray, rounds: int = 300, decay: float = 1e-4) -> Scorer:
-    """Logistic regression on soft labels by accelerated gradient steps, on features of about equal variance."""
+    """Logistic regression on soft labels by accelerated gradient steps, on features of about equal variance.
+
+    ``x`` is scaled in place, and only a few of its rows at a time are widened: it may be most of a task's memory.
+    """
     scale = 1 / np.sqrt(x.mean(axis=0) + 1e-4).astype(np.float32)
-    x = x * scale
-    step = 4 / (np.square(x).sum(axis=1).mean() + 1)
+    x *= scale
+    cuts = [slice(lo, lo + ROWS) for lo in range(0, len(x), ROWS)]
+    step = 4 / (np.concatenate([np.square(x[cut]).sum(axis=1) for cut in cuts]).mean() + 1)
     w, b = np.zeros(x.shape[1], np.float32), 0.0
     v, c = w, b
     for k in range(rounds):
         miss = 1 / (1 + np.exp(-np.clip(x @ v + c, -50, 50))) - labels
-        w_next = v - step * ((miss @ x) / len(x) + decay * v).astype(np.float32)
+        total = sum(miss[cut] @ x[cut] for cut in cuts)
+        w_next = v - step * (total / len(x) + decay * v).astype(np.float32)
         b_next = c - step * float(miss.mean())
         momentum = k / (k + 3)
         v, c = w_next + momentum * (w_next - w), b_next + momentum * (b_next - b)
@@ -266,15 +273,16 @@ class QualityModel:
         """The chance of being good for each text of a column."""
         scorer = self.scorer
 
-        @F.pandas_udf("double")
-        def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("double")
+        def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for batch in batches:
-                data, offsets = flat(pa.array(batch, pa.large_string(), from_pandas=True))
+                data, offsets = flat(batch)
                 parts = [np.zeros(0)]
-                for lo, hi in chunks(offsets):
+                for lo, hi in chunks(offsets, AT_ONCE):
                     at = offsets[lo : hi + 1]
                     parts.append(scorer.probabilities(data[at[0] : at[-1]], at - at[0]))
-                yield pd.Series(np.concatenate(parts))
+                yield pa.array(np.concatenate(parts))
+            give_back()
 
         return scores(F.col(text))
 
@@ -300,23 +308,36 @@ def fit(documents: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[QualityModel, D
     rows = chosen.mapInArrow(_features, "hash long, x binary").join(F.broadcast(sample), "hash")
     # at most fit_rows rows meet in one task; only the weights come to the driver
     ordered = rows.repartition(1).sortWithinPartitions("hash")
-    fitted = ordered.mapInPandas(_fit_task, "weights binary, bias double").first()
+    fitted = ordered.mapInArrow(_fit_task, "weights binary, bias double").first()
     return QualityModel(model, Scorer(np.frombuffer(fitted["weights"], np.float64), fitted["bias"])), patterns
 
 
-def _fit_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The rows of features in a column, without a copy."""
+    column = column.cast(pa.large_binary())
+    begin = int(np.frombuffer(column.buffers()[1], np.int64)[column.offset]) if len(column) else 0
+    values = np.frombuffer(column.buffers()[2] or b"", np.uint8)[begin:].view(np.float32)
+    return values[: len(column) * (TRIPLETS + SHAPES)].reshape(len(column), TRIPLETS + SHAPES)
+
+
+def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts, labels = [], []
     for batch in batches:
-        parts.extend(np.frombuffer(r, np.float32) for r in batch["x"])
-        labels.extend(batch["posterior"])
+        parts.append(_matrix(batch.column("x")))
+        labels.append(batch.column("posterior").to_numpy())
     if not parts:
         return
-    labels = np.array(labels)
+    labels, x = np.concatenate(labels), np.concatenate(parts)
+    parts = batch = None
+    if not len(labels):
+        return
     if (labels < 0.5).all() or (labels >= 0.5).all():
         scorer = Scorer(np.zeros(TRIPLETS + SHAPES), 1.0 if labels[0] >= 0.5 else -1.0)
     else:
-        scorer = fit_scorer(np.stack(parts), labels)
-    yield pd.DataFrame({"weights": [scorer.weights.tobytes()], "bias": [scorer.bias]})
+        scorer = fit_scorer(x, labels)
+    yield pa.RecordBatch.from_pydict({"weights": [scorer.weights.tobytes()], "bias": [scorer.bias]})
+    del x
+    give_back()
 
 
 def keep_good(documents: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:

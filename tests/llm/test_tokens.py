@@ -160,3 +160,25 @@ def test_digits_found_by_counting():
     found = reader.digit(np.arange(300), starts, None)
     assert found.tolist() == [int(np.searchsorted(row, v, "right")) - 1 for row, v in zip(starts.astype(np.int64), value)]
     assert reader.words.dtype == np.uint16
+
+
+def test_a_task_holds_ids_once_and_forgets_pieces():
+    encoder = tokens.Encoder(PATH)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [4, None, 6], "text": ["some words here", "words, again", None]})
+    got = list(tokens._encoded(encoder, iter([batch])))
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = [t or "" for t in batch["text"].to_pylist()]
+    assert [(n, ids.tolist()) for n, ids in got] == [
+        (n, tokenizer.encode(t, add_special_tokens=False).ids) for n, t in zip(batch["doc_id"].to_pylist(), texts, strict=True)
+    ]
+    assert not encoder._known and not len(encoder._ids)
+    cut = tokens._Blocks(16, tokens.END_ID)
+    for name, ids in got:
+        cut.add(name, ids)
+    cut.close()
+    group = list(cut.full)
+    payloads = tokens._payloads(group, 16)
+    assert not group
+    (back,) = rangecoder.decode_blocks([rangecoder.encode_blocks([cut.full[0][2]])[0]], [len(cut.full[0][2])])
+    assert back.base is not None and back.dtype == np.uint32 and (back == cut.full[0][2]).all()
+    assert [ids.tolist() for _, _, ids in tokens.read_blocks(payloads)] == [cut.full[0][2].tolist()]

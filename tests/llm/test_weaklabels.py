@@ -1,5 +1,7 @@
 """The label model on known labellers, the classifier on labels it never saw."""
 
+import tracemalloc
+
 import numpy as np
 
 from basketry.llm import weaklabels as wl
@@ -62,3 +64,28 @@ def test_accuracies_against_labels_and_without_near_copies(spark):
     whole = model.label_model.posterior(given @ wl._PLACES) >= 0.5
     assert (ablated == whole).mean() > 0.98
     assert (whole == good).mean() >= (ablated == good).mean() - 0.005
+
+
+def _features_of(n: int) -> tuple[np.ndarray, np.ndarray]:
+    random = np.random.default_rng(5)
+    return random.random((n, wl.TRIPLETS + wl.SHAPES), np.float32), random.random(n)
+
+
+def test_fitting_takes_little_more_than_its_features():
+    x, labels = _features_of(600)
+    tracemalloc.start()
+    wl.fit_scorer(x, labels, rounds=2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < x.nbytes
+
+
+def test_fit_task_reads_batches_of_any_cut():
+    x, labels = _features_of(300)
+    columns = [wl.pa.array([row.tobytes() for row in x], wl.pa.binary()), wl.pa.array(labels)]
+    batch = wl.pa.RecordBatch.from_arrays(columns, ["x", "posterior"])
+    parts = [batch.slice(0, 7), batch.slice(7, 0), batch.slice(7, 200), batch.slice(207)]
+    (got,) = wl._fit_task(iter(parts))
+    want = wl.fit_scorer(x, labels)
+    assert got["weights"][0].as_py() == want.weights.tobytes() and got["bias"][0].as_py() == want.bias
+    assert not list(wl._fit_task(iter([batch.slice(0, 0)])))
