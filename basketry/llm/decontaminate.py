@@ -43,7 +43,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from basketry.llm import _text
 from basketry.llm._columns import packed
-from basketry.llm._text import chunks, flat, mix, ragged, word_hashes
+from basketry.llm._text import chunks, flat, give_back, mix, ragged, word_hashes
 from basketry.session import discard, materialize
 
 WINDOW = 32
@@ -76,6 +76,8 @@ PIECE = 255
 PORTION = 1 << 24
 #: words that are multiplied at a time, words whose passages are, half windows whose rows are summed at a time, buckets whose sums travel in one row
 MULTIPLIED, FORWARD, SUMMED, RANGE = 1 << 20, 1 << 14, 256, 1024
+#: words whose sums are added at a time
+ADDED = 1 << 14
 
 _PAIRS = StructType(
     [StructField(c, LongType()) for c in ("doc_id", "row_hash", "item_id", "key")]
@@ -129,6 +131,7 @@ def _survey(documents: DataFrame) -> tuple[np.ndarray, int, DataFrame]:
         yield pa.RecordBatch.from_arrays(
             [pa.array(some), pa.array(totals[some]), pa.nulls(len(some), pa.binary())], ["bucket", "n", "words"]
         )
+        give_back()
 
     found = materialize(documents.select(F.lower("text").alias("text")).mapInArrow(count, "bucket long, n long, words binary"))
     counted = found.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
@@ -224,15 +227,27 @@ def _units(words: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.nda
     return begins, rows, tokens, weights / np.sqrt(np.bincount(rows, weights**2, len(words)))[rows]
 
 
-def _signs(width: int) -> np.ndarray:
+def _signs(width: int, out: np.ndarray | None = None) -> np.ndarray:
     """Random projection, a row for each bucket: signs from a hash, the same in every run and task."""
-    columns, out = mix(np.arange(width, dtype=np.uint64)), np.empty((BUCKETS, width), np.float32)
+    columns, out = mix(np.arange(width, dtype=np.uint64)), np.empty((BUCKETS, width), np.float32) if out is None else out
     for lo in range(0, BUCKETS, RANGE):
         seeds = mix(np.arange(lo, lo + RANGE, dtype=np.uint64)[:, None] ^ columns)
         out[lo : lo + RANGE] = np.where(seeds & np.uint64(1), 1, -1)
     return out
 
 
+def _weighted(idf: np.ndarray, factor: np.ndarray | None, width: int) -> np.ndarray:
+    """``factor``, or the random projection, times the weights and, last, the weights' squares."""
+    out = np.empty((BUCKETS, width + 1), np.float32)
+    if factor is None:
+        _signs(width, out[:, :-1])
+    else:
+        out[:, :-1] = factor
+    out[:, :-1] *= idf[:, None]
+    out[:, -1] = idf**2
+    return out
+
+
 def _forward(words: np.ndarray, counts: np.ndarray, factor: np.ndarray) -> np.ndarray:
     """For each half window of texts with so many words the sum of its passages' rows of A·X, and of A's 1, each by the passage's length.
 
@@ -262,7 +277,11 @@ def _add_product(sums: np.ndarray, words: np.ndarray, counts: np.ndarray, factor
     order = np.sort(words.astype(np.int64) << 32 | np.repeat(np.arange(len(first)), np.diff(np.append(first, len(words)))))
     sorted_words = order >> 32
     starts = np.flatnonzero(np.append(True, sorted_words[1:] != sorted_words[:-1]))
-    sums[sorted_words[starts]] += _sums(back, order & 0xFFFFFFFF, starts, HALF // 2)
+    which, order = sorted_words[starts], order & 0xFFFFFFFF
+    del sorted_words
+    found = _sums(back, order, starts, HALF // 2)
+    for lo in range(0, len(which), ADDED):
+        sums[which[lo : lo + ADDED]] += found[lo : lo + ADDED]
 
 
 def _product(passages: DataFrame, idf: np.ndarray, factor: np.ndarray | None, width: int, tasks: int = 1) -> np.ndarray:
@@ -271,14 +290,13 @@ def _product(passages: DataFrame, idf: np.ndarray, factor: np.ndarray | None, wi
     ``tasks`` multiply their passages and Spark brings together the sums of each range of buckets, in as many tasks while there are
     as many ranges: the result has a fixed size.
     """
-    shared = passages.sparkSession.sparkContext.broadcast((idf, factor))
+    # a given factor travels with its weights, so that a task holds it once
+    shared = passages.sparkSession.sparkContext.broadcast((idf, None if factor is None else _weighted(idf, factor, width)))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, factor = shared.value
-        weighted = np.empty((BUCKETS, width + 1), np.float32)
-        weighted[:, :-1] = _signs(width) if factor is None else factor
-        weighted[:, :-1] *= idf[:, None]
-        weighted[:, -1] = idf**2
+        idf, weighted = shared.value
+        if weighted is None:
+            weighted = _weighted(idf, None, width)
         sums = np.zeros((BUCKETS, width + 1), np.float32)
         for batch in batches:
             values, offsets = _unpacked(batch.column("words"))
@@ -289,6 +307,8 @@ def _product(passages: DataFrame, idf: np.ndarray, factor: np.ndarray | None, wi
             part = sums[lo : lo + RANGE]
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([part.tobytes()], pa.binary())], ["first", "sums"])
+        del weighted, sums, part
+        give_back()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
@@ -298,6 +318,8 @@ def _product(passages: DataFrame, idf: np.ndarray, factor: np.ndarray | None, wi
                 totals[first] = totals[first] + part if first in totals else part
         for first, sums in totals.items():
             yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([sums.astype(np.float32).tobytes()], pa.binary())], ["first", "sums"])
+        totals.clear()
+        give_back()
 
     schema = "first long, sums binary"
     table = materialize(passages.mapInArrow(multiply, schema).repartition(min(BUCKETS // RANGE, max(8, tasks)), "first").mapInArrow(add, schema))
@@ -774,6 +796,7 @@ def _search(rows: DataFrame, blocks: list[Block], space: Space) -> DataFrame:
                     ],
                     _PAIRS.names,
                 )
+        give_back()
 
     pairs = materialize(rows.mapInArrow(search, _PAIRS))
     shared.destroy()

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm._columns import packed
-from basketry.llm._text import chunks, flat, mix, word_bounds, word_hashes
+from basketry.llm._text import chunks, flat, give_back, mix, word_bounds, word_hashes
 from basketry.llm.components import connected_components
 from basketry.session import discard, materialize
 
@@ -148,6 +148,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Recor
                 ],
                 ["doc_id", "row_hash", "n", "key", "bands", "bits"],
             )
+    give_back()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,6 +160,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = pa.array([_set_key(i) for i in items], pa.binary())
             maps = _lists([_map(i) for i in items])
             yield pa.RecordBatch.from_arrays([keys, _lists(items), maps], ["key", "items", "map"])
+    give_back()
 
 
 def _only(left: str, right: str) -> Column:
