@@ -1,15 +1,17 @@
 """Adaptive context-mixing range coder for token ids, many blocks at a time.
 
-A block is coded on its own, from a fresh state. Two tables predict the next id, from the last two ids (order 2) and from
-the last one (order 1), each with a confidence of 0 to 3. The chance that the order-2 prediction holds is mixed from three
-adaptive estimates: by either confidence, and by how often the block held the predicted id so far (order 0); the weights follow
-whichever erred less. If it fails, the chance of the order-1 prediction comes from both confidences and its id's order 0; an id
-that neither predicts is coded by order 0 alone: four hexadecimal digits (five above 65,535) down a tree of adaptive
-distributions. All chances are integers of 15 bits, so every machine decodes alike. A lane's tables have a fixed size whatever
-the width of ids: beyond 16 bits the last digits' distributions share places by a hash.
+A block is coded on its own, from a fresh state: first its alphabet, the ids it holds in ascending order (Elias-Fano: low bits
+packed, high bits in unary), then the place of each of its ids in the alphabet. Two tables predict the next place, from the last
+two (order 2) and from the last one (order 1), each with a confidence of 0 to 3. The chance that the order-2 prediction holds is
+mixed from three adaptive estimates: by either confidence, and by how often the block held the predicted id so far (order 0); the
+weights follow whichever erred less. The chance that it fails and the order-1 prediction holds comes from both confidences and
+its id's order 0; an id that neither predicts is coded by order 0 alone: in proportion to how often the block held each id so far,
+plus one, as of the last tally (after 16 ids, then whenever a quarter more and 16 have come). So an id takes one or two steps of
+the range coder. All chances are integers of 15 bits, so every machine decodes alike. A lane's tables have the size of its
+alphabet, whatever the width of ids, but for that of order 2.
 
 Python would be slow id by id, so blocks are *lanes*: step t codes the t-th id of all lanes with a few dozen NumPy
-operations. The range coder keeps 48 bits and emits 16-bit words; a carry is added to the words already written.
+operations. The range coder keeps 48 bits and emits 16-bit words; a carry stays with the word after which it came until the end.
 """
 
 from __future__ import annotations
@@ -19,32 +21,33 @@ import numpy as np
 BLOCK = 8192
 LANES = 1024
 _ONE = 1 << 15
+#: 2 ** _SLOTS contexts of order 2, and as many places of an alphabet at most
 _SLOTS = 13
-#: places of a lane's counts of ids (order 0), and steps of a count
-_SEEN, _STEPS = 12, 8
-#: nodes of the digit tree that have a place of their own, and places that the others share
-_TOP, _SHARED = 273, 4096
-_FLOOR = 32
-_U = np.uint64
-_LEAST = 8
-_RATE = 4
-#: distributions move towards that of the digit seen; every digit keeps a width of at least _LEAST
-_TARGETS = np.array(
-    [[_LEAST * i if i <= s else _ONE - _LEAST * (16 - i) for i in range(16)] for s in range(16)], np.int16
-)
-#: a distribution as one item, which is copied at once
-_ROW = np.dtype("V32")
-_START = (np.arange(16) * (_ONE // 16)).astype(np.int16)
-
-
-def _place(starts: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each digit begins in its row, and how wide it is."""
+#: steps of a count
+_STEPS = 8
+#: ids that 16 bits can count
+_MOST = (1 << 15) - 1
+_U, _I16 = np.uint64, np.int16
+_HALF, _WORDS = np.array(15, _U), np.array(1 << 32, _U)
+_MIX1, _MIX2 = 0x9E3779B1, 0x85EBCA6B
+#: what an estimate moves towards after a miss and a hit: it stays above 0 and below 1
+_AIM = np.array([32, _ONE - 32])
+#: a hit makes a prediction surer, by its confidence
+_SURER = np.array([1, 1, 1, 0])
+
+
+def _place(starts: np.ndarray, digit: np.ndarray, after: np.ndarray | int = _ONE) -> tuple[np.ndarray, np.ndarray]:
+    """Where each digit begins in its row, and how wide it is; rows end at ``after``."""
     flat = starts.ravel()
     at = np.arange(0, flat.size, 16) + digit
-    begin = flat[at].astype(np.int64)
-    end = flat[np.minimum(at + 1, flat.size - 1)].astype(np.int64)
-    end[digit == 15] = _ONE
-    return begin, end - begin
+    begin = flat.take(at).astype(np.int64)
+    return begin, np.where(digit == 15, after, flat.take(at + 1, mode="clip")) - begin
+
+
+def _counted(starts: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The last place of each row that begins at or below ``value``: sixteen bytes of 0 or 1, counted eight at a time."""
+    below = np.bitwise_count((starts <= value[:, None]).view(np.uint64))
+    return (below[:, 0] + below[:, 1] - np.uint8(1)).astype(np.int64)
 
 
 class _Writer:
@@ -52,52 +55,56 @@ class _Writer:
         self.low = np.zeros(lanes, _U)
         self.range = np.full(lanes, (1 << 48) - 1, _U)
         self.at = np.zeros(lanes, np.int64)
-        self.out = np.zeros((lanes, words), np.uint16)
+        # a word may hold a carry into the one before it until the end
+        self.out = np.zeros((lanes, words), np.uint32)
         self._lanes = np.arange(lanes)
 
-    def bit(self, lanes, chance: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        """Code ``bit`` (boolean) where it is true with ``chance`` of 2^15."""
-        self.span(lanes, np.where(bit, 0, chance), np.where(bit, chance, _ONE - chance))
-        return bit
+    def some(self, lanes: np.ndarray) -> _Writer:
+        """A coder of these lanes; ``join`` takes back what it did."""
+        part = _Writer.__new__(_Writer)
+        part.low, part.range, part._lanes = self.low.take(lanes), self.range.take(lanes), lanes
+        part.at, part.out = self.at, self.out
+        return part
 
-    def digit(self, lanes, starts: np.ndarray, digit: np.ndarray) -> np.ndarray:
-        begin, width = _place(starts, digit)
-        self.span(lanes, begin, width)
-        return digit
+    def join(self, part: _Writer) -> None:
+        self.low[part._lanes], self.range[part._lanes] = part.low, part.range
+
+    def choice(self, lanes, one: np.ndarray, two: np.ndarray, kind: tuple[np.ndarray, np.ndarray]):
+        """Code which of three comes: the first or second, of widths ``one`` and ``two``, or neither."""
+        first, second = kind
+        both = one + two
+        start = np.where(first, 0, np.where(second, one, both))
+        self.span(lanes, start, np.where(first, one, np.where(second, two, _ONE - both)))
+        return kind
 
     def span(self, lanes, start: np.ndarray, width: np.ndarray) -> None:
-        part = self.range[lanes] >> _U(15)
-        low = self.low[lanes] + start.astype(_U) * part
-        span = width.astype(_U) * part
-        over = np.flatnonzero(low >> _U(48))
-        which = self._lanes[lanes]
-        if len(over):
-            self._carry(which[over])
-            low[over] &= _U((1 << 48) - 1)
-        small = np.flatnonzero(span < _U(1 << 32))
+        part = self.range[lanes] >> _HALF
+        low = self.low[lanes] + start.view(_U) * part
+        span = width.view(_U) * part
+        small = (span < _WORDS).nonzero()[0]
         if len(small):
-            full = which[small]
-            self.out[full, self.at[full]] = low[small] >> _U(32)
-            self.at[full] += 1
-            low[small] = (low[small] << _U(16)) & _U((1 << 48) - 1)
+            full = self._lanes[lanes][small]
+            at, old = self.at.take(full), low.take(small)
+            self.out[full, at] = old >> _U(32)
+            self.at[full] = at + 1
+            low[small] = (old << _U(16)) & _U((1 << 48) - 1)
             span[small] <<= _U(16)
         self.low[lanes], self.range[lanes] = low, span
 
-    def _carry(self, which: np.ndarray) -> None:
-        at = self.at[which] - 1
-        while len(which):
-            self.out[which, at] += 1
-            again = self.out[which, at] == 0
-            which, at = which[again], at[again] - 1
-
     def finish(self) -> list[bytes]:
-        for shift in (32, 16, 0):
-            self.out[self._lanes, self.at] = (self.low >> _U(shift)) & _U(0xFFFF)
+        for word in (self.low >> _U(32), (self.low >> _U(16)) & _U(0xFFFF), self.low & _U(0xFFFF)):
+            self.out[self._lanes, self.at] = word
             self.at += 1
+        used = self.out[:, : int(self.at.max(initial=0))]
+        while len((over := np.nonzero(used >> 16))[0]):
+            used[over] &= 0xFFFF
+            used[over[0], over[1] - 1] += 1
         return [row[:n].astype("<u2").tobytes() for row, n in zip(self.out, self.at, strict=True)]
 
 
 class _Reader:
+    """Reads what ``_Writer`` codes, by methods of the same names."""
+
     def __init__(self, blocks: list[bytes]) -> None:
         lengths = [len(b) // 2 for b in blocks]
         self.words = np.zeros((len(blocks), max(lengths, default=0) + 4), np.uint16)
@@ -110,159 +117,245 @@ class _Reader:
         self.last = self.words.shape[1] - 1
         self._lanes = np.arange(len(blocks))
 
-    def bit(self, lanes, chance: np.ndarray, bit: None) -> np.ndarray:
-        part = self.range[lanes] >> _U(15)
-        edge = chance.astype(_U) * part
-        code = self.code[lanes]
-        hit = code < edge
-        self._take(
-            lanes, code - np.where(hit, _U(0), edge), np.where(hit, edge, (_ONE - chance).astype(_U) * part)
-        )
-        return hit
-
-    def digit(self, lanes, starts: np.ndarray, digit: None) -> np.ndarray:
-        part = self.range[lanes] >> _U(15)
-        code = self.code[lanes]
-        value = np.minimum(code // part, _U(_ONE - 1)).astype(np.int16)
-        # sixteen bytes of 0 or 1 a row, counted eight at a time
-        below = np.bitwise_count((starts <= value[:, None]).view(np.uint64))
-        found = (below[:, 0] + below[:, 1]).astype(np.int64) - 1
-        begin, width = _place(starts, found)
-        self._take(lanes, code - begin.astype(_U) * part, width.astype(_U) * part)
+    def some(self, lanes: np.ndarray) -> _Reader:
+        part = _Reader.__new__(_Reader)
+        part.code, part.range, part._lanes = self.code.take(lanes), self.range.take(lanes), lanes
+        part.at, part.words, part.last = self.at, self.words, self.last
+        return part
+
+    def join(self, part: _Reader) -> None:
+        self.code[part._lanes], self.range[part._lanes] = part.code, part.range
+
+    def choice(self, lanes, one: np.ndarray, two: np.ndarray, kind: None):
+        part, code = self.range[lanes] >> _HALF, self.code[lanes]
+        both = one + two
+        edge1, edge2 = one.view(_U) * part, both.view(_U) * part
+        first, either = code < edge1, code < edge2
+        second = either & ~first
+        start = np.where(first, _U(0), np.where(second, edge1, edge2))
+        end = np.where(first, edge1, np.where(second, edge2, part << _HALF))
+        self._take(lanes, code - start, end - start)
+        return first, second
+
+    def value(self, lanes) -> np.ndarray:
+        # below 2^48 by below 2^33: a double's quotient never rounds up to the next whole number
+        part = (self.range[lanes] >> _HALF).astype(np.float64)
+        return np.minimum(self.code[lanes].astype(np.float64) / part, _ONE - 1).astype(np.int16)
+
+    def digit(self, lanes, starts: np.ndarray, digit: None, after: np.ndarray | int = _ONE, value=None) -> np.ndarray:
+        """Read the digit whose place is coded, at ``value`` if that is known; rows of ``starts`` end at ``after``."""
+        found = _counted(starts, self.value(lanes) if value is None else value)
+        begin, width = _place(starts, found, after)
+        part = self.range[lanes] >> _HALF
+        self._take(lanes, self.code[lanes] - begin.view(_U) * part, width.view(_U) * part)
         return found
 
     def _take(self, lanes, code: np.ndarray, span: np.ndarray) -> None:
-        small = np.flatnonzero(span < _U(1 << 32))
+        small = (span < _WORDS).nonzero()[0]
         if len(small):
             which = self._lanes[lanes][small]
+            at = self.at.take(which)
             # a damaged block may run out of words; its checksum tells
-            code[small] = (code[small] << _U(16)) | self.words[which, np.minimum(self.at[which], self.last)]
-            self.at[which] += 1
+            code[small] = (code.take(small) << _U(16)) | self.words[which, np.minimum(at, self.last)]
+            self.at[which] = at + 1
             span[small] <<= _U(16)
         self.code[lanes], self.range[lanes] = code, span
 
 
-def _seen(ids: np.ndarray) -> np.ndarray:
-    return (ids.astype(np.int64) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - _SEEN)
+def _room(n: int) -> int:
+    return -(-n // 16) * 16
+
+
+class _Frequencies:
+    """Order 0 of each lane: how often it held each id so far, and the places that follow from it, tallied anew now and then."""
 
+    def __init__(self, sizes: np.ndarray) -> None:
+        self.sizes, self.width = sizes, _room(int(sizes.max()) + 1)
+        self.counts = np.zeros(len(sizes) * self.width, np.int16)
+        self.base = np.arange(len(sizes), dtype=np.int64) * self.width
+        self.none = np.where(np.arange(self.width) < sizes[:, None], 0, _ONE - 1).astype(np.int16)
+        self.tally()
 
-def _run(coder, lengths: np.ndarray, ids: np.ndarray | None, bits: int) -> np.ndarray:
-    """Code ``ids`` (lanes by steps) or, if None, read them; ``lengths`` descend."""
+    def tally(self) -> None:
+        """Places in proportion to the counts, one at least; ``levels`` are places, every 16th of them and so on, in rows of 16."""
+        lanes, width = len(self.sizes), self.width
+        starts = np.empty((lanes, width), np.int16)
+        steps = np.arange(width)
+        for lo in range(0, lanes, 64):
+            hi = min(lo + 64, lanes)
+            weight = self.counts[lo * width : hi * width].reshape(-1, width) + np.int64(1)
+            weight *= self.none[lo:hi] == 0
+            before = np.cumsum(weight, axis=1)
+            share = ((_ONE - 1 - self.sizes[lo:hi]) << 24) // before[:, -1]
+            before -= weight
+            before *= share[:, None]
+            before >>= 24
+            before += steps
+            np.maximum(np.minimum(before, _ONE - 1, out=before), self.none[lo:hi], out=before)
+            starts[lo:hi] = before
+        self.starts = starts.ravel()
+        self.levels = [(starts.reshape(-1, 16), np.arange(lanes, dtype=np.int64) * (width // 16))]
+        while starts.shape[1] > 16:
+            every = starts[:, ::16]
+            starts = np.full((lanes, _room(every.shape[1])), _ONE - 1, np.int16)
+            starts[:, : every.shape[1]] = every
+            self.levels.append((starts.reshape(-1, 16), np.arange(lanes, dtype=np.int64) * (starts.shape[1] // 16)))
+
+    def read(self, coder: _Reader, lanes: np.ndarray) -> np.ndarray:
+        """The place of the next id of ``lanes``, from row to row."""
+        row, value = np.zeros(len(lanes), np.int64), coder.value(slice(None))
+        for rows, first in self.levels[:0:-1]:
+            row = row * 16 + _counted(rows.take(first.take(lanes) + row, axis=0), value)
+        rows, first = self.levels[0]
+        at = first.take(lanes) + row
+        after = self.starts.take(at * 16 + 16, mode="clip")
+        return row * 16 + coder.digit(slice(None), rows.take(at, axis=0), None, after, value)
+
+    def write(self, coder: _Writer, lanes: np.ndarray, place: np.ndarray) -> None:
+        at = self.base.take(lanes) + place
+        begin = self.starts.take(at).astype(np.int64)
+        coder.span(slice(None), begin, self.starts.take(at + 1) - begin)
+
+
+def _run(coder, lengths: np.ndarray, sizes: np.ndarray, places: np.ndarray | None) -> np.ndarray:
+    """Code ``places`` (steps by lanes) in alphabets of ``sizes`` or, if None, read them; ``lengths`` descend."""
     lanes, steps = len(lengths), int(lengths[0]) if len(lengths) else 0
-    levels = -(-bits // 4)
-    nodes = min((16**levels - 1) // 15, _TOP + _SHARED)
-    out = ids if ids is not None else np.zeros((lanes, steps), np.int32)
-    table1 = np.zeros(lanes << _SLOTS, np.int32)
-    table2 = np.zeros(lanes << _SLOTS, np.int32)
-    base = np.arange(lanes, dtype=np.int64) << _SLOTS
-    tree = np.empty((lanes * nodes, 16), np.int16)
-    tree[:] = _START
-    rows = tree.view(_ROW)
-    tree_base = np.arange(lanes, dtype=np.int64) * nodes
-    by2, by1 = (np.full(lanes * 8, _ONE // 4, np.int64) for _ in range(2))
-    by0 = np.full(lanes * _STEPS, _ONE // 4, np.int64)
-    by_both = np.full(lanes * 16 * _STEPS, _ONE // 8, np.int64)
-    counts = np.zeros(lanes << _SEEN, np.uint8)
-    counts_base = np.arange(lanes, dtype=np.int64) << _SEEN
-    step_of = np.minimum(np.frompyfunc(int.bit_length, 1, 1)(np.arange(256)).astype(np.int64), _STEPS - 1)
-    eights = np.arange(lanes) * 8
-    weight, weight0 = np.full(lanes, 1 << 15, np.int64), np.full(lanes, 1 << 12, np.int64)
+    out = places if places is not None else np.zeros((steps, lanes), np.int16)
+    if not steps:
+        return out
+    often = _Frequencies(sizes)
+    counts, tallied = often.counts, 0
+    each = np.arange(lanes, dtype=np.int64)
+    # the tables of order 2, then those of order 1
+    table = np.zeros((lanes << _SLOTS) + lanes * often.width, np.int16)
+    base2, base1 = each << _SLOTS, (lanes << _SLOTS) + often.base
+    # estimates by the confidence of order 2, by that of order 1, by the count of order 0
+    by = np.full(3 * lanes * 8, _ONE // 4, np.int64)
+    by_base = np.arange(3 * lanes, dtype=np.int64).reshape(3, lanes) * 8
+    by_both = np.full(lanes * 16 * _STEPS, _ONE // 8, np.int32)
+    both_base = each * (16 * _STEPS)
+    step_of = np.minimum(np.frompyfunc(int.bit_length, 1, 1)(np.arange(steps + 1)).astype(np.int64), _STEPS - 1)
+    weights = np.empty((2, lanes), np.int64)
+    weights[0], weights[1] = 1 << 15, 1 << 12
     last1, last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     active = np.searchsorted(-lengths, -np.arange(1, steps + 1), "right")
+    n, here = -1, slice(0)
     for t in range(steps):
-        n = int(active[t])
-        here = slice(0, n)
+        if n != int(active[t]):
+            n = int(active[t])
+            here = slice(0, n)
+            slots, at_by = np.empty((2, n), np.int64), np.empty((3, n), np.int64)
+            apart, mixed = np.empty((2, n), np.int64), np.empty((2, n), np.int64)
+            context, context1, count_base, of_by, of_both = base2[here], base1[here], often.base[here], by_base[:, here], both_base[here]
+        if t >= tallied + (tallied >> 2) + 16:
+            often.tally()
+            tallied = t
         one, two = last1[here], last2[here]
-        mixed = one * 0x9E3779B1
-        slot1 = base[here] + ((mixed & 0xFFFFFFFF) >> (32 - _SLOTS))
-        slot2 = base[here] + (((mixed + two * 0x85EBCA6B + 0x27D4EB2F) & 0xFFFFFFFF) >> (32 - _SLOTS))
-        entry1, entry2 = table1[slot1], table2[slot2]
-        guess1, sure1, guess2, sure2 = entry1 >> 2, entry1 & 3, entry2 >> 2, entry2 & 3
-        alike = guess1 == guess2
-        a, b = eights[here] + sure2 * 2 + alike, eights[here] + sure1 * 2 + alike
-        step2 = step_of[counts[counts_base[here] + _seen(guess2)]]
-        z = eights[here] + step2
-        chance2, chance1, chance0 = by2[a], by1[b], by0[z]
-        apart = chance2 - chance1
-        ordered = chance1 + ((weight[here] * apart) >> 16)
-        apart0 = chance0 - ordered
-        chance = ordered + ((weight0[here] * apart0) >> 16)
-        np.minimum(np.maximum(chance, _FLOOR, out=chance), _ONE - _FLOOR, out=chance)
-        x = out[:n, t].astype(np.int64) if ids is not None else None
-        hit2 = coder.bit(here, chance, None if x is None else x == guess2)
-        seen = hit2 * _ONE
-        by2[a] = chance2 + ((seen - chance2) >> 5)
-        by1[b] = chance1 + ((seen - chance1) >> 5)
-        by0[z] = chance0 + ((seen - chance0) >> 5)
-        moved = weight[here] + (((seen - ordered) * apart) >> 15)
-        weight[here] = np.minimum(np.maximum(moved, 0, out=moved), 1 << 16, out=moved)
-        moved = weight0[here] + (((seen - chance) * apart0) >> 15)
-        weight0[here] = np.minimum(np.maximum(moved, 0, out=moved), 1 << 16, out=moved)
-
-        found = guess2.copy() if x is None else x
-        left = np.flatnonzero(~hit2)
-        split = ~alike[left]
-        if split.any():
-            tried = left[split]
-            step1 = step_of[counts[counts_base[tried] + _seen(guess1[tried])]]
-            c = ((tried * 4 + sure1[tried]) * 4 + sure2[tried]) * _STEPS + step1
-            chance = by_both[c]
-            held = np.minimum(np.maximum(chance, _FLOOR), _ONE - _FLOOR)
-            hit1 = coder.bit(tried, held, None if x is None else x[tried] == guess1[tried])
-            by_both[c] = chance + ((hit1 * _ONE - chance) >> 5)
-            if x is None:
-                found[tried[hit1]] = guess1[tried[hit1]]
-            split[split] = hit1
-            left = left[~split]
+        np.add(((one * _MIX1 + two * _MIX2) & 0xFFFFFFFF) >> (32 - _SLOTS), context, out=slots[0])
+        np.add(context1, one, out=slots[1])
+        entry = table.take(slots).astype(np.int64)
+        guess, sure = entry >> 2, entry & 3
+        guess2, guess1 = guess
+        alike = guess2 == guess1
+        step = step_of.take(counts.take(guess + count_base))
+        np.add(sure << 1, alike, out=at_by[:2])
+        at_by[2] = step[0]
+        at_by += of_by
+        chances = by.take(at_by)
+        weight = weights[:, here]
+        np.subtract(chances[0], chances[1], out=apart[0])
+        np.add(chances[1], (weight[0] * apart[0]) >> 16, out=mixed[0])
+        np.subtract(chances[2], mixed[0], out=apart[1])
+        chance = np.add(mixed[0], (weight[1] * apart[1]) >> 16, out=mixed[1])
+        at_both = ((sure[1] << 2) + sure[0]) * _STEPS
+        at_both += step[1]
+        at_both += of_both
+        held = by_both.take(at_both).astype(np.int64)
+        other = np.where(alike, 0, np.maximum(((_ONE - chance) * held) >> 15, 1))
+
+        x = out[t, :n].astype(np.int64) if places is not None else None
+        hit2, hit1 = coder.choice(here, chance, other, None if x is None else _hits(x, guess))
+        seen = _AIM.take(hit2)
+        by[at_by] = chances + ((seen - chances) >> 5)
+        moved = weight + (((seen - mixed) * apart) >> 15)
+        np.minimum(np.maximum(moved, 0, out=moved), 1 << 16, out=weights[:, here])
+        by_both[at_both] = np.where(alike | hit2, held, held + ((_AIM.take(hit1) - held) >> 5))
+
+        left = (~(hit2 | hit1)).nonzero()[0]
+        found = np.where(hit2, guess2, guess1) if x is None else x
         if len(left):
-            node, value = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
-            for level in range(levels - 1, -1, -1):
-                deep = node - _TOP
-                at = tree_base[left] + np.where(deep < 0, node, _TOP + ((deep ^ (deep >> 12) * 0x9E5) & (_SHARED - 1)))
-                starts = tree.take(at, axis=0)
-                digit = coder.digit(left, starts, None if x is None else (x[left] >> (4 * level)) & 15)
-                starts += (_TARGETS.take(digit, axis=0) - starts) >> _RATE
-                rows.put(at, starts.view(_ROW))
-                value = value * 16 + digit
-                node = node * 16 + digit + 1
+            few = coder.some(left)
             if x is None:
-                found[left] = value
-        if ids is None:
-            out[:n, t] = found
-        for table, slot, entry, guess, sure in (
-            (table1, slot1, entry1, guess1, sure1),
-            (table2, slot2, entry2, guess2, sure2),
-        ):
-            right = found == guess
-            table[slot] = np.where(right, entry + (sure < 3), np.where(sure > 0, entry - 1, found << 2))
-        at = counts_base[here] + _seen(found)
-        counts[at] += counts[at] < 255
-        last2[here], last1[here] = one.copy(), found
+                found[left] = often.read(few, left)
+            else:
+                often.write(few, left, x.take(left))
+            coder.join(few)
+        if x is None:
+            out[t, :n] = found
+        change = np.where(guess == found, _SURER.take(sure), -1)
+        table[slots] = np.where(change + sure < 0, found << 2, entry + change)
+        at = count_base + found
+        counts[at] = counts.take(at) + _I16(1)
+        last2[here] = one
+        last1[here] = found
     return out
 
 
-def _most_words(bits: int, steps: int) -> int:
-    """Words that no block can exceed: two bits of the least chance and digits of the least width."""
-    return steps * (2 * 10 + 12 * -(-bits // 4)) // 16 + 8
+def _hits(x: np.ndarray, guess: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first, second = x == guess
+    return first, second & ~first
+
+
+def _alphabet(present: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """The ids that are ``present``; coded: how many (16 bits), width of the low bits (8), bits in unary (32), both parts."""
+    ids = np.flatnonzero(present)
+    low = max(0, (int(ids[-1]) // len(ids)).bit_length() - 1)
+    high = np.zeros((int(ids[-1]) >> low) + len(ids), bool)
+    high[(ids >> low) + np.arange(len(ids))] = True
+    lows = np.packbits((ids[:, None] >> np.arange(low)) & 1 > 0)
+    head = len(ids).to_bytes(2, "little") + bytes([low]) + len(high).to_bytes(4, "little")
+    return ids, head + lows.tobytes() + np.packbits(high).tobytes()
+
+
+def _read_alphabet(coded: bytes) -> tuple[np.ndarray, int]:
+    """The ids and where the words begin."""
+    n, low, unary = int.from_bytes(coded[:2], "little"), coded[2], int.from_bytes(coded[3:7], "little")
+    middle = 7 + -(-n * low // 8)
+    end = middle + -(-unary // 8)
+    lows = np.unpackbits(np.frombuffer(coded[7:middle], np.uint8), count=n * low).reshape(n, low)
+    high = np.flatnonzero(np.unpackbits(np.frombuffer(coded[middle:end], np.uint8), count=unary))
+    return ((high - np.arange(n)) << low) + lows @ (1 << np.arange(low)), end
 
 
 def encode_blocks(blocks: list[np.ndarray], bits: int = 16) -> list[bytes]:
-    """The coded words of each block of ids below ``2 ** bits`` (20 at most)."""
+    """The alphabet and words of each block of ids below ``2 ** bits`` (20 at most); no block has much more than ``BLOCK``."""
     if not blocks:
         return []
     if bits > 20 or any(len(b) and int(b.max()) >> bits for b in blocks):
         raise ValueError("an id does not fit")
+    if max(map(len, blocks)) > _MOST:
+        raise ValueError("a block is too long")
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     lengths = np.array([len(blocks[i]) for i in order])
-    ids = np.zeros((len(blocks), int(lengths[0])), np.int32)
-    for row, i in zip(ids, order, strict=True):
-        row[: len(blocks[i])] = blocks[i]
-    del blocks  # a caller that let go of them has them once in memory
-    coder = _Writer(len(order), _most_words(bits, int(lengths[0])))
-    _run(coder, lengths, ids, bits)
+    places, sizes = np.zeros((int(lengths[0]), len(blocks)), np.int16), np.ones(len(blocks), np.int64)
     out: list[bytes] = [b""] * len(order)
+    present, place = np.zeros(1 << bits, bool), np.zeros(1 << bits, np.int16)
+    for lane, i in enumerate(order):
+        if len(blocks[i]):
+            present[blocks[i]] = True
+            ids, out[i] = _alphabet(present)
+            if len(ids) > 1 << _SLOTS:
+                raise ValueError("a block has too many different ids")
+            place[ids] = np.arange(len(ids))
+            places[: len(blocks[i]), lane], sizes[lane] = place.take(blocks[i]), len(ids)
+            present[ids] = False
+    del blocks  # a caller that let go of them has them once in memory
+    # a step of the range coder emits one word at most
+    coder = _Writer(len(order), 2 * int(lengths[0]) + 3)
+    _run(coder, lengths, sizes, places)
     for i, coded in zip(order, coder.finish(), strict=True):
-        out[i] = coded
+        if out[i]:
+            out[i] += coded
     return out
 
 
@@ -271,9 +364,17 @@ def decode_blocks(coded: list[bytes], lengths: list[int], bits: int = 16) -> lis
     if not coded:
         return []
     order = sorted(range(len(coded)), key=lambda i: -lengths[i])
-    sizes = np.array([lengths[i] for i in order])
-    ids = _run(_Reader([coded[i] for i in order]), sizes, None, bits)
+    steps = np.array([lengths[i] for i in order])
+    alphabets, words = [], []
+    for i in order:
+        ids, at = _read_alphabet(coded[i]) if lengths[i] else (np.zeros(1, np.int64), 0)
+        alphabets.append(ids.astype(np.uint32))
+        words.append(coded[i][at:])
+    places = _run(_Reader(words), steps, np.array([len(a) for a in alphabets]), None)
+    ids = np.empty(places.shape[::-1], np.uint32)
+    for row, lane, alphabet in zip(ids, places.T, alphabets, strict=True):
+        alphabet.take(lane, out=row, mode="clip")
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(coded)
-    for i, row, n in zip(order, ids, sizes, strict=True):
-        out[i] = row[:n].view(np.uint32)
+    for i, row, n in zip(order, ids, steps, strict=True):
+        out[i] = row[:n]
     return out

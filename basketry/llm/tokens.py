@@ -5,13 +5,13 @@ are cut into blocks of ``rangecoder.BLOCK``, whatever document they belong to. T
 ``part, block, payload``, committed by Spark's writer, so an attempt lost with its executor leaves nothing. A payload
 is self-contained (little-endian): ``magic`` "CMRC", version and bits (one byte each), number of pieces and of ids
 (32 bits each), number of the first document in the part (64), CRC-32 of the ids as 32-bit integers, CRC-32 of the
-coded words, CRC-32 of all before and of the pieces; then for each piece its document id (64), its length (32) and flags
-(8: 1 null id, 2 the document begins, 4 it ends); then the coded words. A reader checks the header's sum and bounds and the
+coded block, CRC-32 of all before and of the pieces; then for each piece its document id (64), its length (32) and flags
+(8: 1 null id, 2 the document begins, 4 it ends); then the coded block (alphabet and words). A reader checks the header's sum and bounds and the
 words' sum before it decodes a block, the ids' sum after, and needs no other block.
 
 *Encoding.* A text's bytes are cut where white space follows something else and where ASCII punctuation follows an ASCII
 letter; the tokenizer's own pre-tokenizer always cuts there, so encoding the pieces gives the ids of the whole text, and
-a piece that recurs is encoded once per task. A text with white space beyond ASCII, or a tokenizer of another kind, is
+a piece that recurs is encoded once per task; pieces go to the tokenizer many at a time, parted by its special token. A text with white space beyond ASCII, or a tokenizer of another kind, is
 encoded whole.
 
 A null text is empty and has only the end id. Repeated rows are documents of their own. Other columns are ignored. An empty
@@ -53,10 +53,14 @@ _HEAD = np.dtype(
     ]
 )
 _PIECE = np.dtype([("doc_id", "<i8"), ("n", "<u4"), ("flags", "u1")])
-VERSION = 2
+VERSION = 3
 NULL, BEGINS, ENDS = 1, 2, 4
 #: pieces that a task remembers before it starts anew, and pieces that go to the tokenizer at a time
 REMEMBERED, LEARNED = 500_000, 4096
+#: pieces that go as one text, parted by a token that the tokenizer finds before it cuts
+JOINED = 64
+#: bytes of text that are cut into pieces at a time
+CUT_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -89,6 +93,7 @@ class Encoder:
             if t["content"] != "<|endoftext|>"
         )
         self.whole = "<|endoftext|>"
+        self.parting = self._parting(spec) if self.by_piece else None
         self.bits = max(16, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.forget()
 
@@ -98,16 +103,43 @@ class Encoder:
         self._ids = np.zeros(0, np.uint32)
         self._begins, self._sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _parting(self, spec: dict) -> int | None:
+        """The id of ``whole`` if texts may be joined by it: no other added token, nothing stripped, no length set."""
+        added = spec.get("added_tokens", [])
+        free = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added)
+        if [t["content"] for t in added] != [self.whole] or not free or spec.get("truncation") or spec.get("padding"):
+            return None
+        return self.tokenizer.token_to_id(self.whole)
+
     def _learn(self, pieces: list[str]) -> None:
-        encoded = []
-        for lo in range(0, len(pieces), LEARNED):
-            few = self.tokenizer.encode_batch_fast(pieces[lo : lo + LEARNED], add_special_tokens=False)
-            encoded.extend([e.ids for e in few])
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        apart = [self.parting is None or self.whole in p for p in pieces]
+        odd = [p for p, alone in zip(pieces, apart, strict=True) if alone]
+        plain = [p for p, alone in zip(pieces, apart, strict=True) if not alone]
+        pieces, all_ids, all_sizes = odd + plain, [self._ids], [self._sizes]
+        for some, encoded in ((odd, self._one_by_one), (plain, self._joined)):
+            for lo in range(0, len(some), LEARNED):
+                ids, sizes = encoded(some[lo : lo + LEARNED])
+                all_ids.append(ids)
+                all_sizes.append(sizes)
         self._known.update(zip(pieces, range(len(self._sizes), len(self._sizes) + len(pieces)), strict=True))
-        self._begins = np.append(self._begins, len(self._ids) + np.cumsum(sizes) - sizes)
-        self._sizes = np.append(self._sizes, sizes)
-        self._ids = np.append(self._ids, np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum())))
+        self._ids, self._sizes = np.concatenate(all_ids), np.concatenate(all_sizes)
+        self._begins = np.cumsum(self._sizes) - self._sizes
+
+    def _one_by_one(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces and how many each has."""
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        return np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum())), sizes
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_one_by_one``, for pieces without ``whole``; a call costs as much as a short piece."""
+        texts = [self.whole.join(pieces[lo : lo + JOINED]) + self.whole for lo in range(0, len(pieces), JOINED)]
+        ids, _ = self._one_by_one(texts)
+        parting = ids == self.parting
+        ends = np.flatnonzero(parting)
+        if len(ends) != len(pieces):
+            raise ValueError("pieces were not parted")
+        return ids[~parting], np.diff(ends, prepend=-1) - 1
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and how many each has."""
@@ -216,7 +248,7 @@ def _encoded(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tu
         for batch in batches:
             data, offsets = flat(batch.column("text"))
             names = batch.column("doc_id").to_pylist()
-            for lo, hi in chunks(offsets):
+            for lo, hi in chunks(offsets, CUT_BYTES):
                 at = offsets[lo : hi + 1]
                 ids, counts = encoder.encode(data[at[0] : at[-1]], at - at[0])
                 ends = np.cumsum(counts)

@@ -182,3 +182,58 @@ def test_a_task_holds_ids_once_and_forgets_pieces():
     (back,) = rangecoder.decode_blocks([rangecoder.encode_blocks([cut.full[0][2]])[0]], [len(cut.full[0][2])])
     assert back.base is not None and back.dtype == np.uint32 and (back == cut.full[0][2]).all()
     assert [ids.tolist() for _, _, ids in tokens.read_blocks(payloads)] == [cut.full[0][2].tolist()]
+
+
+def test_an_id_takes_two_steps_of_the_coder_at_most(monkeypatch):
+    calls, span = [0], rangecoder._Writer.span
+
+    def counted(*args):
+        calls[0] += 1
+        return span(*args)
+
+    monkeypatch.setattr(rangecoder._Writer, "span", counted)
+    ids = np.random.default_rng(5).integers(0, 40000, (20, 300)).astype(np.uint32)
+    coded = rangecoder.encode_blocks(list(ids))
+    assert 300 <= calls[0] <= 600
+    assert (np.array(rangecoder.decode_blocks(coded, [300] * 20)) == ids).all()
+
+
+def test_ids_without_context_cost_little_more_than_their_entropy():
+    random = np.random.default_rng(6)
+    chance = 1 / np.arange(1, 2001)
+    names = random.choice(50000, 2000, replace=False)
+    ids = names[random.choice(2000, rangecoder.BLOCK, p=chance / chance.sum())].astype(np.uint32)
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    entropy = -(share * np.log2(share)).sum()
+    assert len(round_trip([ids])[0]) * 8 / len(ids) < entropy + 1.9
+
+
+def test_alphabets_of_any_size_in_one_group():
+    random = np.random.default_rng(7)
+    blocks = [random.permutation(1 << 16)[:n].astype(np.uint32) for n in (1, 15, 16, 17, 255, 256, 257, 4095, 4097, rangecoder.BLOCK)]
+    blocks += [np.zeros(0, np.uint32), np.full(9, 65535, np.uint32), np.repeat(blocks[4], 3)]
+    assert round_trip(blocks) == [rangecoder.encode_blocks([b])[0] for b in blocks]
+    round_trip([random.permutation(1 << 20)[:5000].astype(np.uint32), np.arange(30, dtype=np.uint32)], 20)
+
+
+def test_many_pieces_go_to_the_tokenizer_as_one_text(monkeypatch):
+    texts = [" ".join(f"w{i}ord{i * j % 83}," for i in range(40)) for j in range(30)] + TRICKY
+    whole = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    encoder, given = tokens.Encoder(PATH), []
+
+    class Counting:
+        def encode_batch_fast(self, some, **options):
+            given.extend(some)
+            return tokenizer.encode_batch_fast(some, **options)
+
+    tokenizer = encoder.tokenizer
+    encoder.tokenizer = Counting()
+    ids, counts = encoder.encode(*flat(pa.array(texts)))
+    assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == whole
+    assert len(encoder._known) > 1000 and len(given) < len(encoder._known) / 20
+    ids, counts = encoder.encode(*flat(pa.array(texts[::-1])))
+    assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == whole[::-1]
+    encoder.forget()
+    encoder.parting = None
+    ids, counts = encoder.encode(*flat(pa.array(texts)))
+    assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == whole
